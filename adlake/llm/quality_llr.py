@@ -33,7 +33,7 @@ QUERY_NAME = "op1_quality_llr"
 
 BUCKETS = 1 << 18
 SMOOTHING = 1.0
-THRESHOLD = -0.05
+THRESHOLD = -0.2
 #: Ids of trusted documents are broadcast up to this many rows (16 MB), shuffled beyond.
 BROADCAST_ROWS = 1_000_000
 

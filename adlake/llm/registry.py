@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = (
     "quality_llr",
     "langid_em",
+    "superminhash",
     "toxicity_ftrl",
     "bpe_backtrack",
 )

@@ -1,7 +1,8 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are the distinct hash buckets of its lower-cased words (outer
-punctuation removed), adjacent pairs, and pairs with one word between.  The
+punctuation removed), adjacent pairs, pairs with one word between, and stems (the
+first 4 to 7 bytes of longer words, as inflected words share them).  The
 learner keeps a rate per coordinate and an L1 term that leaves most weights at
 zero, so the model is a short list of (bucket, weight) that is broadcast.
 
@@ -36,7 +37,8 @@ QUERY_NAME = "op8_toxicity_ftrl"
 BUCKETS = 1 << 20
 #: Bound on the labelled rows that the learner reads.
 MAX_TRAIN_ROWS = 20_000
-ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.3, 0.1, 3
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 4.0, 0.1, 5
+STEMS = (4, 5, 6, 7)
 
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a") : ord("z") + 1] = True
@@ -63,6 +65,10 @@ def features(texts: Texts, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarr
             same = owner[gap:] == owner[:-gap]
             docs.append(owner[gap:][same])
             grams.append(join_hashes(h[:-gap][same], h[gap:][same]) + np.uint64(gap))
+    for n in STEMS:
+        longer = ends - starts > n
+        docs.append(owner[longer])
+        grams.append(texts.range_hash(starts[longer], starts[longer] + n) * np.uint64(3))
     return np.concatenate(docs), (np.concatenate(grams) % np.uint64(buckets)).astype(np.int64)
 
 
