@@ -48,7 +48,7 @@ QUERY_NAME = "op7_superminhash"
 
 BANDS, ROWS = 32, 5
 BLOCK = 256
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_GOLDEN = 0x9E3779B97F4A7C15
 
 
 def shingle_sets(texts: Texts, width: int) -> list[np.ndarray]:
@@ -77,7 +77,7 @@ def signatures(sets: list[np.ndarray], m: int) -> np.ndarray:
     for j in range(m):
         if not len(owner):
             break
-        draw = mix(seeds + _GOLDEN * np.uint64(j + 1))
+        draw = mix(seeds + np.uint64(_GOLDEN * (j + 1) % (1 << 64)))
         value = (draw >> np.uint64(40)).astype(np.float32) / np.float32(1 << 24) + np.float32(j)
         place = j + (((draw & np.uint64(0xFFFFFFFF)) * np.uint64(m - j)) >> np.uint64(32)).astype(np.int32)
         register = place.copy()
