@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Modules with QUERY_NAME and query(); ORACLE_SQL where SQL can express the query.
 MODULES = (
     "quality_llr",
+    "secret_links",
+    "pii_feistel",
     "langid_em",
     "superminhash",
     "toxicity_ftrl",
