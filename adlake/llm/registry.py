@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 #: Modules with QUERY_NAME and query(); ORACLE_SQL where SQL can express the query.
 MODULES = (
     "quality_llr",
+    "html_consensus",
     "secret_links",
     "pii_feistel",
     "langid_em",
+    "mixing_ipf",
     "superminhash",
     "toxicity_ftrl",
     "bpe_backtrack",
