@@ -7,6 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 #: Modules with QUERY_NAME and query(); ORACLE_SQL where SQL can express the query.
 MODULES = (
     "quality_llr",
@@ -17,6 +19,7 @@ MODULES = (
     "mixing_ipf",
     "superminhash",
     "toxicity_ftrl",
+    "hilbert_ann",
     "bpe_backtrack",
 )
 
@@ -26,7 +29,7 @@ def _modules():
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {m.QUERY_NAME: m.query for m in _modules()}
+    return {m.QUERY_NAME: m.query for m in _modules()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -126,8 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_ro
     return dict(zip(model["bucket"].to_pylist(), model["weight"].to_pylist()))
 
 
-def score(docs: DataFrame, model: dict[int, float], buckets: int = BUCKETS) -> DataFrame:
-    """*docs* with the column score; *docs* must hold text and no column named score."""
+def score(docs: DataFrame, model: dict[int, float], buckets: int = BUCKETS, name: str = "score") -> DataFrame:
+    """*docs* with the column *name*, which must be new."""
     table = np.zeros(buckets, np.float32)
     for bucket, weight in model.items():
         if bucket >= 0:
@@ -146,9 +146,9 @@ def score(docs: DataFrame, model: dict[int, float], buckets: int = BUCKETS) -> D
                 keys = np.unique(doc[use] * buckets + bucket[use])
                 total = np.bincount(keys // buckets, weights[keys % buckets], minlength=texts.n) + intercept
                 p = np.where(np.isfinite(total), 1 / (1 + np.exp(-np.clip(total, -30, 30))), 0.0)
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(p)], [*names, "score"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(p)], [*names, name])
 
-    return docs.mapInArrow(apply, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(apply, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
