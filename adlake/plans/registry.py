@@ -5,11 +5,122 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from adlake.operators import attribution, enrich, keyed, metrics
+from adlake.plans import oracles
+from adlake.plans.offline import Offline
+from adlake.plans.semantic import CHARTS
+from adlake.sources import driver, events
+from adlake.streaming import jobs
+
+#: The test events are sparse: with the default thresholds no rule fires on them, so the registered queries use these.
+FRAUD_FEATURES = {"long": "1 day", "keys": ("user_id",)}
+FRAUD_RULES = {"burst": 4, "mid": 3, "mid_dev": 0.7, "daily": 3}
+
+
+def offline(spark: SparkSession, sf_dir: str) -> Offline:
+    return Offline(spark, sf_dir, oracles.AS_OF, FRAUD_FEATURES, FRAUD_RULES, "creative_id")
+
+
+def portable(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, times and dates as text, arrays joined: the same values in any engine."""
+
+    def shown(name: str, kind: str):
+        if kind.startswith("decimal"):
+            return F.col(name).cast("double").alias(name)
+        if kind.startswith("timestamp"):
+            return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSS").alias(name)
+        if kind == "date":
+            return F.col(name).cast("string").alias(name)
+        return F.concat_ws(",", name).alias(name) if kind == "array<string>" else F.col(name)
+
+    return df.select(*[shown(n, k) for n, k in df.dtypes])
+
+
+def _late_names(o: Offline) -> DataFrame:
+    """Names looked up in half of the dimension, then again in all of it."""
+    early = o.advertiser.filter(F.col("advertiser_id") < "adv_4")
+    first = enrich.lookup_enrich(o.events, early, "advertiser_id", {"advertiser_name": "advertiser_name"})
+    return enrich.reenrich_unknown(first, {"advertiser_id": (o.advertiser, {"advertiser_name": "advertiser_name"})}).select("event_id", "advertiser_name")
+
+
+def _orders_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = driver.order_changes(spark, sf_dir)
+    return keyed.cdc_apply(changes.filter("false").drop("op", "seq"), changes, ["order_id"])
+
+
+def _orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driver.order_changes(spark, sf_dir).filter("op = 'r'").drop("op", "seq")
+
+
+def _reconcile(o: Offline) -> DataFrame:
+    daily = o.metrics_10s.groupBy(F.date_format("window_start", "yyyy-MM-dd").alias("stat_date"), "creative_id").agg(F.sum("clicks").alias("clicks"))
+    batch = o.daily.filter(F.col("stat_date") < o.as_of).select("stat_date", "creative_id", F.col("click_cnt_1d").alias("clicks"))
+    return keyed.reconcile(daily, batch, ["stat_date", "creative_id"], ["clicks"])
+
+
+def _stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.run_to_table(metrics.window_metrics(driver.ad_events_stream(spark, sf_dir)), "complete")
+
+
+def _stream_dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = offline(spark, sf_dir)
+    return jobs.run_to_table(enrich.enrich_dwd(driver.ad_events_stream(spark, sf_dir), o.advertiser, o.campaign, o.creative))
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.parse_events(driver.raw_json(spark, sf_dir), "UTC")
+
+
+_QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
+    "dwd_enrich": lambda o: o.dwd,
+    "dws_creative_daily": lambda o: o.daily,
+    "event_validate": lambda o: events.split_dirty(_parsed(o.spark, o.sf_dir))[0].select("event_id", "event_date", "event_type", "spend"),
+    "event_dirty": lambda o: _parsed(o.spark, o.sf_dir).groupBy((~F.col("is_valid")).alias("is_dirty")).agg(F.count("*").alias("n")),
+    "contract_violations": lambda o: events.contract_violations(driver.raw_json(o.spark, o.sf_dir)).groupBy("violations").agg(F.count("*").alias("n")),
+    "ods_check": lambda o: events.source_check(o.events),
+    "table_counts": lambda o: events.table_counts({"events": o.events, "advertiser": o.advertiser, "campaign": o.campaign, "unit": o.unit, "creative": o.creative}),
+    "freshness": lambda o: events.freshness(o.metrics_10s, "window_start"),
+    "point_lookup": lambda o: events.point_lookup(o.events, "creative_id", "crt_7"),
+    "ad_hierarchy": lambda o: o.hierarchy,
+    "attr_candidates": lambda o: o.candidates,
+    "attr_touchpoints": lambda o: o.points,
+    "attr_order_detail": lambda o: o.detail,
+    "attr_summary": lambda o: o.summary,
+    "last_touch_asof": lambda o: attribution.last_touch(o.dwd),
+    "click_features": lambda o: o.clicks,
+    "fraud_features": lambda o: o.fraud,
+    "fraud_signals_1m": lambda o: o.signals,
+    "fraud_daily": lambda o: o.fraud_daily.withColumn("avg_risk_score", F.round("avg_risk_score", 6)),
+    "advertiser_retention": lambda o: o.retention,
+    "creative_offline": lambda o: o.creative_offline,
+    "creative_rolling_7d": lambda o: metrics.creative_rolling(o.daily).select("stat_date", "creative_id", "cost_1d", "gmv_1d", "cost_7d", "gmv_7d", "cost_total", "gmv_total"),
+    "creative_backfill": lambda o: metrics.creative_backfill(o.metrics_10s, o.hierarchy, o.as_of),
+    "creative_latest_flag": lambda o: metrics.with_latest_flag(o.creative_offline, "stat_date").select("stat_date", "creative_id", "is_latest_partition"),
+    "metrics_10s": lambda o: o.metrics_10s,
+    "metrics_10s_enriched": lambda o: o.metrics_named,
+    "metrics_change": lambda o: o.realtime,
+    "stream_metrics_10s": lambda o: _stream_metrics(o.spark, o.sf_dir),
+    "stream_dwd": lambda o: _stream_dwd(o.spark, o.sf_dir),
+    "reenrich_unknown": _late_names,
+    "latest_by_key": lambda o: keyed.latest_by_key(driver.order_changes(o.spark, o.sf_dir), ["order_id"], "seq"),
+    "cdc_apply": lambda o: _orders_now(o.spark, o.sf_dir),
+    "changelog_diff": lambda o: keyed.changelog_between(_orders_before(o.spark, o.sf_dir), _orders_now(o.spark, o.sf_dir), ["order_id"]),
+    "order_lifecycle": lambda o: keyed.partial_update(driver.order_steps(o.spark, o.sf_dir), ["order_id"], "seq"),
+    "reconcile": _reconcile,
+    "upsert_messages": lambda o: keyed.upsert_messages(_orders_now(o.spark, o.sf_dir).select("order_id", "status"), ["order_id"]),
+}
+
+
+def _query(make: Callable[[Offline], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: portable(make(offline(spark, sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    charts = {f"bi_{n}": _query(lambda o, c=c: c.run(o.dataset(c.dataset))) for n, c in CHARTS.items()}
+    return {n: _query(make) for n, make in _QUERIES.items()} | charts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.sql()
