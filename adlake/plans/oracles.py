@@ -43,7 +43,7 @@ CTES: dict[str, str] = {
   {_r(_n('click'), _n('impression'))} AS ctr_1d, {_r(_n('conversion'), _n('click'))} AS cvr_1d, {_r('sum(gmv)', 'sum(spend)', 4)} AS roi_1d FROM dwd GROUP BY event_date, creative_id""",
     "cand": """SELECT o.event_date AS stat_date, o.event_id AS outcome_event_id, o.order_id, o.event_ts AS outcome_time, o.user_id, o.advertiser_id AS order_advertiser_id, o.advertiser_name AS order_advertiser_name,
   o.campaign_id AS order_campaign_id, o.campaign_name AS order_campaign_name, o.gmv AS order_gmv, t.event_id AS touch_event_id, t.event_ts AS touch_time, t.creative_id, t.campaign_id, t.campaign_name, t.advertiser_id, t.advertiser_name,
-  t.spend AS touch_spend, row_number() OVER (PARTITION BY o.event_id ORDER BY t.event_ts DESC, t.event_id DESC) AS touchpoint_seq, o.event_id || '_' || coalesce(t.event_id, 'organic') AS candidate_id,
+  t.spend AS touch_spend, CAST(row_number() OVER (PARTITION BY o.event_id ORDER BY t.event_ts DESC, t.event_id DESC) AS INT) AS touchpoint_seq, o.event_id || '_' || coalesce(t.event_id, 'organic') AS candidate_id,
   date_sub('minute', t.event_ts, o.event_ts) AS lag_minutes
   FROM (SELECT * FROM dwd WHERE event_type = 'order') o LEFT JOIN (SELECT * FROM dwd WHERE event_type = 'click') t
   ON o.user_id = t.user_id AND o.advertiser_id = t.advertiser_id AND t.event_ts <= o.event_ts AND t.event_ts >= o.event_ts - INTERVAL 30 DAY""",
