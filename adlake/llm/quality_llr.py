@@ -2,7 +2,8 @@
 
 Words and adjacent word pairs of every document fall into ``buckets`` hash
 buckets.  Two multinomials over the buckets are counted: one over all documents
-(raw), one over the documents that the labels call good (target).  A document's
+(raw), one over the documents that the labels call good (target), with a prior of
+SMOOTHING counts a bucket that follows the raw counts.  A document's
 score is the mean over its n-grams of log p_target - log p_raw, so it does not
 depend on length; a document is kept if its score reaches ``threshold``.  No
 sampling takes part: equal texts get equal verdicts.
@@ -32,8 +33,8 @@ from adlake.llm.textgrams import Texts, chunks, join_hashes, per_document
 QUERY_NAME = "op1_quality_llr"
 
 BUCKETS = 1 << 18
-SMOOTHING = 1.0
-THRESHOLD = -0.2
+SMOOTHING = 10.0
+THRESHOLD = -0.08
 #: Ids of trusted documents are broadcast up to this many rows (16 MB), shuffled beyond.
 BROADCAST_ROWS = 1_000_000
 
@@ -130,9 +131,9 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMO
     raw[at], target[at] = table["raw"].to_numpy(), table["target"].to_numpy()
     if not target.sum():
         return np.zeros(buckets, np.float32)
-    p = (target + smoothing) / (target.sum() + smoothing * buckets)
-    q = (raw + smoothing) / (raw.sum() + smoothing * buckets)
-    return np.log(p / q).astype(np.float32)
+    # the prior follows the raw counts, so a bucket with little evidence has a ratio near 1
+    expected = raw * (target.sum() / raw.sum())
+    return np.log((target + smoothing) / (expected + smoothing)).astype(np.float32)
 
 
 def score_documents(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
