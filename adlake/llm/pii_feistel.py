@@ -46,7 +46,15 @@ IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9/.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9/-]|\.[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}\x20[0-9]{4}\x20[0-9]{4}\x20[0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9])"
-PHONE = r"(?<![0-9+])\+[0-9]{1,3}(?:[\x20.-]?\([0-9]{1,4}\))?(?:[\x20.-]?[0-9]{2,5}){2,5}(?![0-9])|(?<![0-9(])\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])"
+PHONE = "|".join(
+    (
+        r"(?<![0-9+])\+1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])",
+        # other country codes; a group never is the beginning of a dotted number
+        r"(?<![0-9+])\+(?!1[^0-9])[0-9]{1,3}(?:[\x20-]?\([0-9]{1,4}\))?(?:[\x20-]?[0-9]{2,5}(?!\.?[0-9])|[0-9]{2,5}){2,4}(?![0-9])",
+        r"(?<![0-9(])\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+        r"(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])",
+    )
+)
 
 KINDS = {"email": EMAIL, "iban": IBAN, "ipv4": IPV4, "date": DATE, "ssn": SSN, "card": CARD, "phone": PHONE}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
