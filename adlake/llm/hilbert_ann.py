@@ -41,6 +41,8 @@ QUERY_NAME = "op9_hilbert_ann"
 
 CURVES, DIMENSIONS, BITS, WINDOWS = 16, 8, 6, 32
 SAMPLE, BLOCK, SEED = 8192, 4096, 11
+#: A table so small that a range would hold fewer sampled rows has fewer ranges.
+LEAST_IN_RANGE = 64
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -138,7 +140,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sizes = np.bincount([len(v) for v in fit])
     size = int(sizes.argmax())
-    fitted = Curves(np.array([v for v in fit if len(v) == size]), curves=curves, windows=windows)
+    fit = [v for v in fit if len(v) == size]
+    windows = max(1, min(windows, len(fit) // LEAST_IN_RANGE))
+    fitted = Curves(np.array(fit), curves=curves, windows=windows)
     rows = rows.filter(F.size("vector") == size)
     held = spark.sparkContext.broadcast(fitted)
 
