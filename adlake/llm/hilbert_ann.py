@@ -100,14 +100,14 @@ class Curves:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and vector (array of double) of the rows that take part."""
-    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    """vec_id and vector (in its own type, so that no wider one is shuffled) of the rows that take part."""
+    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return whole.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(~odd & F.exists("vector", lambda x: x != 0))
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
 def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,8 +142,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
     size = int(sizes.argmax())
     fit = [v for v in fit if len(v) == size]
     windows = max(1, min(windows, len(fit) // LEAST_IN_RANGE))
-    fitted = Curves(np.array(fit), curves=curves, windows=windows)
+    fitted = Curves(np.array(fit, np.float64), curves=curves, windows=windows)
     rows = rows.filter(F.size("vector") == size)
+    kind = rows.schema["vector"].dataType.simpleString()
     held = spark.sparkContext.broadcast(fitted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +182,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
                             part.append(np.arange(n))
                             role.append(np.ones(n, bool))
                 of = pa.array(np.concatenate(of))
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in (curve, cell, part, role)), some.column(0).take(of), some.column(1).take(of)], ["curve", "range", "part", "asks", "vec_id", "vector"])
+                where = [pa.array(np.concatenate(x).astype(t)) for x, t in ((curve, np.int32), (cell, np.int32), (part, np.int64), (role, bool))]
+                yield pa.RecordBatch.from_arrays([*where, some.column(0).take(of), some.column(1).take(of)], ["curve", "range", "part", "asks", "vec_id", "vector"])
 
     def rerank(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -193,7 +195,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
             q, v, s = best_of(all_vectors[asks], ids[asks], all_vectors[~asks], ids[~asks], k)
         return pa.table({"query_id": q, "vec_id": v, "score": s})
 
-    dealt = rows.select("vec_id", "vector", F.coalesce(is_query, F.lit(False)).alias("asks")).mapInArrow(place, "curve long, range long, part long, asks boolean, vec_id long, vector array<double>")
+    dealt = rows.select("vec_id", "vector", F.coalesce(is_query, F.lit(False)).alias("asks")).mapInArrow(place, f"curve int, range int, part long, asks boolean, vec_id long, vector {kind}")
     found = dealt.groupBy("curve", "range", "part").applyInArrow(rerank, schema)
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -203,7 +205,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
 def recall(found: DataFrame, vectors: DataFrame, is_query: Column, k: int = 5) -> float:
     """Share of the true k nearest that *found* holds, by brute force over all rows: for tests and measurements."""
     rows = usable(vectors).toArrow()
-    ids, all_vectors = rows["vec_id"].to_numpy(), np.array(rows["vector"].to_pylist())
+    ids, all_vectors = rows["vec_id"].to_numpy(), np.array(rows["vector"].to_pylist(), np.float64)
     asks = np.isin(ids, usable(vectors).filter(is_query).select("vec_id").toArrow()["vec_id"].to_numpy())
     q, v, _ = best_of(all_vectors[asks], ids[asks], all_vectors, ids, k)
     got = found.select("query_id", "vec_id").toArrow()
