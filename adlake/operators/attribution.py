@@ -90,10 +90,19 @@ def _by_lag(natural, direct, indirect, last) -> Column:
     return out.otherwise(last)
 
 
-def order_detail(candidates: DataFrame, points: DataFrame) -> DataFrame:
-    """One row for each order: its last click or none, with type, period and sort number of the lag."""
-    final = points.filter("is_last_click OR touchpoint_type = 'organic'").select("stat_date", F.col("attribution_id").alias("candidate_id"), "attribution_model")
-    return candidates.join(final, ["stat_date", "candidate_id"]).select(
+def order_detail(candidates: DataFrame, points: DataFrame | None = None, model: str = MODEL) -> DataFrame:
+    """One row for each order: its last click or none, with type, period and sort number of the lag.
+
+    points: touchpoints whose model decides, joined by candidate.  Without them the candidates decide themselves: those of
+    `last_touch`, one for each order, or the first of `attribution_candidates`; that needs no join.
+    """
+    if points is not None:
+        final = points.filter("is_last_click OR touchpoint_type = 'organic'").select("stat_date", F.col("attribution_id").alias("candidate_id"), "attribution_model")
+        chosen = candidates.join(final, ["stat_date", "candidate_id"])
+    else:
+        first = candidates.filter("touchpoint_seq = 1") if "touchpoint_seq" in candidates.columns else candidates
+        chosen = first.withColumn("attribution_model", F.lit(model))
+    return chosen.select(
         F.col("stat_date").alias("event_date"), F.col("outcome_event_id").alias("order_event_id"), "order_id", F.col("outcome_time").alias("order_ts"), "user_id",
         "order_advertiser_id", "order_advertiser_name", "order_campaign_id", "order_campaign_name", "order_gmv",
         F.col("touch_event_id").alias("click_event_id"), F.col("touch_time").alias("click_ts"), "creative_id", "campaign_id", "campaign_name", "advertiser_id", "advertiser_name", "touch_spend", "attribution_model",

@@ -65,8 +65,8 @@ def click_features(events: DataFrame, long: str = "1 hour", short: str = "1 minu
     )
 
 
-def fraud_features(clicks: DataFrame, burst: int = 10, mid: int = 5, mid_dev: float = 0.7, daily: int = 20) -> DataFrame:
-    """Label, score and rules of each click; the first rule that holds counts."""
+def label_clicks(clicks: DataFrame, burst: int = 10, mid: int = 5, mid_dev: float = 0.7, daily: int = 20) -> DataFrame:
+    """*clicks* with fraud_label, fraud_score and rule_hits; the first rule that holds counts."""
     conditions = {"HIGH_CLICK_BURST": F.col("click_cnt_1h") >= burst, "ABNORMAL_CTR": (F.col("click_cnt_1h") >= mid) & (F.col("ctr_deviation") >= mid_dev), "HIGH_DAILY_CLICKS": F.col("click_cnt_1d") >= daily}
 
     def cascade(of, otherwise) -> Column:
@@ -75,26 +75,35 @@ def fraud_features(clicks: DataFrame, burst: int = 10, mid: int = 5, mid_dev: fl
             out = out.when(condition, of(rule))
         return out.otherwise(otherwise)
 
-    return clicks.select(
+    return clicks.withColumns(
+        {
+            "fraud_score": cascade(lambda r: F.lit(RULES[r][0]), F.lit(NORMAL_SCORE)).cast("decimal(6,4)"),
+            "fraud_label": cascade(F.lit, F.lit(NORMAL)),
+            "rule_hits": cascade(lambda r: F.array(F.lit(r)), F.array(F.lit("NONE"))),
+        }
+    )
+
+
+def fraud_features(clicks: DataFrame, **rules) -> DataFrame:
+    """The feature table of the clicks with their labels; *rules* as in label_clicks."""
+    return label_clicks(clicks, **rules).select(
         "stat_date", "event_id", "user_id", "device_id", "device_ip", "creative_id", "slot_id", "click_cnt_1h", "click_cnt_1d", "ip_click_cnt_1h", "ip_uv_1h", "click_interval_ms", "ctr_deviation",
-        F.lit(0).cast("decimal(10,6)").alias("ua_entropy"), F.lit(False).alias("geo_ip_mismatch"), "is_night_burst",
-        cascade(lambda r: F.lit(RULES[r][0]), F.lit(NORMAL_SCORE)).cast("decimal(6,4)").alias("fraud_score"),
-        cascade(F.lit, F.lit(NORMAL)).alias("fraud_label"),
-        cascade(lambda r: F.array(F.lit(r)), F.array(F.lit("NONE"))).alias("rule_hits"),
+        F.lit(0).cast("decimal(10,6)").alias("ua_entropy"), F.lit(False).alias("geo_ip_mismatch"), "is_night_burst", "fraud_score", "fraud_label", "rule_hits",
     )
 
 
-def fraud_signals(features: DataFrame, clicks: DataFrame, size: str = "1 minute") -> DataFrame:
-    """Abnormal clicks by window, advertiser, media and rule."""
-    labels = features.filter(F.col("fraud_label") != NORMAL).select("stat_date", "event_id", "fraud_label", "fraud_score")
-    sums = (
-        clicks.join(labels, ["stat_date", "event_id"])
-        .groupBy(F.window("event_time", size).alias("w"), "advertiser_id", "media", F.col("fraud_label").alias("rule_code"))
-        .agg(
-            F.max("advertiser_name").alias("advertiser_name"), F.count("*").alias("click_count"), F.max("impression_cnt_1m").alias("impression_count"),
-            F.countDistinct("user_id").alias("unique_users"), F.sum("spend").cast("decimal(18,4)").alias("suspicious_spend"), F.max("fraud_score").cast("decimal(18,6)").alias("risk_score"),
-        )
-    )
+def fraud_signals(features: DataFrame, clicks: DataFrame | None = None, size: str = "1 minute") -> DataFrame:
+    """Abnormal clicks by window, advertiser, media and rule.
+
+    features: labelled clicks; or a feature table, to be joined with *clicks* by date and event.
+    """
+    abnormal = features.filter(F.col("fraud_label") != NORMAL)
+    if clicks is not None:
+        abnormal = clicks.join(abnormal.select("stat_date", "event_id", "fraud_label", "fraud_score"), ["stat_date", "event_id"])
+    sums = abnormal.groupBy(F.window("event_time", size).alias("w"), "advertiser_id", "media", F.col("fraud_label").alias("rule_code")).agg(
+        F.max("advertiser_name").alias("advertiser_name"), F.count("*").alias("click_count"), F.max("impression_cnt_1m").alias("impression_count"),
+        F.countDistinct("user_id").alias("unique_users"), F.sum("spend").cast("decimal(18,4)").alias("suspicious_spend"), F.max("fraud_score").cast("decimal(18,6)").alias("risk_score"),
+    )
     said = F
     for rule, (_, text) in RULES.items():
         said = said.when(F.col("rule_code") == rule, text)

@@ -59,7 +59,7 @@ class Offline:
 
     @cached_property
     def detail(self) -> DataFrame:
-        return attribution.order_detail(self.candidates, self.points)
+        return attribution.order_detail(attribution.last_touch(self.dwd))
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -75,7 +75,7 @@ class Offline:
 
     @cached_property
     def signals(self) -> DataFrame:
-        return fraud.fraud_signals(self.fraud, self.clicks)
+        return fraud.fraud_signals(fraud.label_clicks(self.clicks, **self.fraud_rules))
 
     @cached_property
     def fraud_daily(self) -> DataFrame:

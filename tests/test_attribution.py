@@ -70,6 +70,13 @@ def test_one_row_per_order_and_sums(events):
     assert {(r[0], int(r[1])) for r in weights} == {(1, 5), (2, 0)}
 
 
+def test_detail_without_join_equals_join(events):
+    c = A.attribution_candidates(events)
+    joined = A.order_detail(c, A.touchpoints(c))
+    for other in (A.order_detail(c), A.order_detail(A.last_touch(events))):
+        assert joined.exceptAll(other).isEmpty() and other.exceptAll(joined).isEmpty()
+
+
 def test_window_form_equals_join_form(events):
     a, b = (A.last_touch(events, strategy=s) for s in ("window", "join"))
     b = b.select(a.columns)

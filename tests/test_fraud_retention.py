@@ -29,6 +29,7 @@ def test_burst(spark):
     clicks = Fr.click_features(spark.createDataFrame(burst(), SCHEMA))
     (signal,) = Fr.fraud_signals(Fr.fraud_features(clicks), clicks).collect()
     assert (signal.click_count, signal.impression_count, signal.unique_users) == (36, 1, 3)
+    assert Fr.fraud_signals(Fr.label_clicks(clicks)).collect() == [signal]
     (day,) = Fr.fraud_daily(Fr.fraud_signals(Fr.fraud_features(clicks), clicks)).collect()
     assert (day.suspicious_users, day.suspicious_windows, day.suspicious_clicks) == (3, 1, 36)
 
