@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import bounded_broadcast, read_table
+from adlake.llm.common import bounded_broadcast, read_table, stored
 
 QUERY_NAME = "op2_html_consensus"
 
@@ -48,8 +48,11 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 CONTAINERS = frozenset("article main section div td body blockquote".split())
 DROPPED_TAGS = frozenset("nav header footer aside form fieldset menu dialog head".split())
 DROPPED_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer footer form login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "ad adbox ads adslot adv advert alert announcement adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer footer form login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: A name with one of these tells of another part of the page (`has-sidebar`), and an article is dropped for few words only.
+ABOUT_OTHERS = frozenset("has no with without".split())
+NO_ARTICLE = frozenset("ad ads advert comment comments promo related reply replies sponsored".split())
 DROPPED_NAMES = frozenset("header site-header page-header top-header".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
@@ -73,13 +76,14 @@ class Element:
     def __init__(self, tag: str, attributes: str, parent: Element | None) -> None:
         got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
         names = html.unescape(f"{got.get('class', '')} {got.get('id', '')}").lower().split()
-        words = {w for n in names for w in re.split(r"[-_\d]+", n)}
+        parts = [set(re.split(r"[-_\d]+", n)) for n in names]
+        words = {w for p in parts if not p & ABOUT_OTHERS for w in p}
         classes = sorted({re.sub(r"\d+", "", n) for n in html.unescape(got.get("class", "")).lower().split()} - {""})
         self.tag = tag
         self.step = ".".join([tag, *classes])
         self.path = f"{parent.path}/{self.step}" if parent else self.step
         hidden = "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower()
-        boiler = tag in DROPPED_TAGS or bool(words & DROPPED_WORDS) or bool(DROPPED_NAMES & set(names)) or got.get("role", "").lower() in DROPPED_ROLES or hidden
+        boiler = tag in DROPPED_TAGS or bool(words & (NO_ARTICLE if tag in ("article", "main") else DROPPED_WORDS)) or bool(DROPPED_NAMES & set(names)) or got.get("role", "").lower() in DROPPED_ROLES or hidden
         self.dropped = bool(parent and parent.dropped) or (boiler and tag not in ("body", "html"))
         self.container = tag in CONTAINERS
         self.good = tag in ("article", "main") or bool(words & GOOD_WORDS)
@@ -206,7 +210,7 @@ def host_winners(pages: DataFrame, winners: int = WINNERS) -> DataFrame:
 
 def extract_pages(pages: DataFrame, winners: int = WINNERS, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """page_id, url, text and the path that the text was read from."""
-    best = host_winners(pages, winners)
+    best = stored(host_winners(pages, winners), "winners")  # counted and joined: the pages are parsed for votes once
     spread = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("_host"), F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("_salt"))
     joined = keyed.join(bounded_broadcast(spread, broadcast_hosts * SALTS), (F.col("_host") == F.col("host")) & (F.col("_salt") == F.col("salt")), "left")

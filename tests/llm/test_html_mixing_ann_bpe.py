@@ -37,6 +37,12 @@ def test_extraction(spark):
     assert X.extract_pages(pages(spark, rows).limit(0)).count() == 0
 
 
+def test_names_that_speak_of_other_parts():
+    kept = "<body class='has-sidebar'><div class='page with-sidebar'><article class='post alert'><p>kept text</p></article><div id='cookie-banner'>x</div></div></body>"
+    assert X.main_text(kept, [])[0] == "kept text"
+    assert X.main_text("<body><main><p>a</p><article class='comment'><p>b</p></article></main></body>", [])[0] == "a"
+
+
 def test_consensus_beats_a_page_of_its_own(spark):
     """A page whose side block is longer than its article still yields the article, by its host's votes."""
     good = "<body><div class='c1'><p>" + "main words " * 30 + "</p></div><div class='c2x'><p>short</p></div></body>"
