@@ -11,14 +11,16 @@ unfinished documents of a chunk is done at once in numpy.
 Steps on Spark:
 
 1. one scan makes each document's shingle set (64-bit hashes), and from that a
-   set id and the signature; documents with the same set are collapsed to one
-   representative (min doc_id) by an aggregation before anything else;
+   set id and the signature; only these are kept.  Documents with the same set are
+   collapsed to one representative (min doc_id) by an aggregation;
 2. `bands` hashes of `rows` registers each are shuffled as (band key, id);
 3. every bucket links its members to its smallest member (a star, not pairs);
    the pairs are verified on the full sets and grouped;
 4. buckets whose members then lie in one group are done.  In the others every
-   pair of different groups is compared, in blocks of at most `block` members, by
-   signature first and then on the full sets.  Nothing is capped;
+   pair of different groups is compared, in the first band that it shares, by
+   signature first and then on the full sets.  Buckets above `small` members are
+   dealt to pairs of blocks of `block` members, and those tasks give out only links that join groups,
+   never all pairs.  Nothing is capped;
 5. groups come from alternating large-star and small-star steps after a
    union-find inside each partition.
 
@@ -40,14 +42,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import read_table, stored
+from adlake.llm.common import bounded_broadcast, read_table, stored
 from adlake.llm.components import connected_components
 from adlake.llm.textgrams import Texts, chunks, join_hashes, mix
 
 QUERY_NAME = "op7_superminhash"
 
 BANDS, ROWS = 32, 5
-BLOCK = 256
+#: Buckets of up to SMALL members give out candidate pairs; larger ones are dealt to blocks of BLOCK members.
+SMALL, BLOCK = 64, 1024
+#: Ids that are broadcast to fetch texts or drop rows (16 MB); more are shuffled.
+BROADCAST_IDS = 1_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -100,8 +105,13 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return join_hashes(np.broadcast_to(np.arange(bands, dtype=np.uint64), words.shape[:2]), *[words[:, :, k] for k in range(rows)])
 
 
-def documents_to_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (two 64-bit sums of the set) and, for documents with words, keys, sketch and the set itself."""
+def _set_ids(sets: list[np.ndarray]) -> pa.Array:
+    """Two 64-bit sums over each set as hex; null for an empty set."""
+    return pa.array([f"{int(s.sum(dtype=np.uint64)):016x}{int(mix(s).sum(dtype=np.uint64)):016x}" if len(s) else None for s in sets], pa.string())
+
+
+def documents_to_signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, n_shingles, set_id, and for documents with words the band keys and a sketch (a byte of each register)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,23 +119,38 @@ def documents_to_sets(docs: DataFrame, width: int, bands: int, rows: int) -> Dat
                 sets = shingle_sets(texts, width)
                 sig = signatures(sets, bands * rows)
                 keys = band_keys(sig, bands, rows).view(np.int64)
-                total = [(int(s.sum(dtype=np.uint64)), int(mix(s).sum(dtype=np.uint64))) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([f"{x:016x}{y:016x}" if len(s) else None for s, (x, y) in zip(sets, total)], pa.string()),
+                        _set_ids(sets),
                         pa.array([k.tobytes() for k in keys], pa.binary()),
                         pa.array([(mix(s.view(np.uint32).astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes() for s in sig], pa.binary()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "keys", "sketch", "members"],
+                    ["doc_id", "n_shingles", "set_id", "keys", "sketch"],
                 )
 
-    schema = "doc_id long, n_shingles long, set_id string, keys binary, sketch binary, members binary"
+    schema = "doc_id long, n_shingles long, set_id string, keys binary, sketch binary"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, schema)
 
 
+def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, members): the shingle sets of the documents with these ids, made from their texts again.
+
+    Sets are larger than texts, so they are kept only of documents that have a candidate.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, texts in chunks(batch.column(1), lower=True, size=1 << 20):
+                sets = shingle_sets(texts, width)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _set_ids(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "set_id", "members"])
+
+    few = bounded_broadcast(ids, BROADCAST_IDS)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(few, "id", "left_semi")
+    return texts.mapInArrow(make, "id long, set_id string, members binary")
+
+
 def explode_keys(sets: DataFrame) -> DataFrame:
     """(key, id) for each band."""
 
@@ -139,20 +164,18 @@ def explode_keys(sets: DataFrame) -> DataFrame:
     return sets.select("id", "keys").mapInArrow(explode, "key long, id long")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= similarity * union on the full sets."""
-    half = sets.select("id", "members")
+    pairs = stored(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    # repeated rows have one set
+    half = stored(full_sets(docs, ids, width).dropDuplicates(["id", "set_id"]).drop("set_id"), "members")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = np.zeros(len(batch), bool)
             for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) >= similarity * max(len(x), len(y)):
-                    both = np.concatenate([x, y])
-                    both.sort(kind="stable")
-                    shared = int((both[1:] == both[:-1]).sum())
-                    good[k] = 100 * shared >= similarity * (len(both) - shared)
+                good[k] = _similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), similarity)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in batch.columns[:2]], ["a", "b"])
 
     return (
@@ -163,55 +186,99 @@ def verify(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     )
 
 
-def across_groups(buckets: DataFrame, sets: DataFrame, similarity: int, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of different groups in a bucket whose sketches look similar; all of them, in blocks.
+def _candidates(k: int, right: np.ndarray, key: int, group: np.ndarray, size: np.ndarray, sketch: np.ndarray, keys: np.ndarray, similarity: int) -> np.ndarray:
+    """The members of *right* in another group than *k* that may be similar, if this is the first band that the two share."""
+    at = right[(group[right] != group[k]) & (100 * np.minimum(size[right], size[k]) >= similarity * np.maximum(size[right], size[k]))]
+    # the estimate may fall short of the similarity by five standard deviations of m registers
+    floor = similarity / 100
+    at = at[(sketch[at] == sketch[k]).mean(axis=1) >= floor - 5 * np.sqrt(floor * (1 - floor) / sketch.shape[1])]
+    first = np.argmax(keys[at] == keys[k], axis=1)
+    return at[keys[k][first] == key]
 
-    *buckets*: key, id, group of the members of buckets with two groups or more.
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
+    """100 * intersection >= similarity * union of two sorted sets."""
+    if 100 * min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= similarity * (len(both) - shared)
+
+
+def pairs_in_small_buckets(members: DataFrame, similarity: int) -> DataFrame:
+    """Candidate pairs (a, b) of different groups in each bucket; at most a block's members share one, so pairs grow with members."""
+
+    def compare(t: pa.Table) -> pa.Table:
+        ids, group, size = (t[c].to_numpy() for c in ("id", "group", "n_shingles"))
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.int64).reshape(len(ids), -1)
+        a, b = [], []
+        for k in range(len(ids)):
+            meet = _candidates(k, np.arange(k + 1, len(ids)), t["key"][0].as_py(), group, size, sketch, keys, similarity)
+            a += [ids[k]] * len(meet)
+            b += list(ids[meet])
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return members.groupBy("key").applyInArrow(compare, "a long, b long")
+
+
+def links_in_large_buckets(members: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that join the groups of each bucket, verified on the full sets.
+
+    Members (with the number of cells of their bucket) are dealt to cells, and each pair of cells is a task of its own.  A task
+    looks at all its pairs of different groups but gives out only links that join two groups that it has not joined yet.
     """
-    n = F.count("*")
-    cells = buckets.groupBy("key").agg(F.greatest(F.lit(1), F.ceil(n / F.lit(block))).cast("int").alias("cells"))
     dealt = (
-        buckets.join(cells, "key")
-        .join(sets.select("id", "sketch", "n_shingles"), "id")
-        .withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
-        # a member meets every cell: as the row side with cells after its own, as the column side with those before
+        members.withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        .select("key", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "cell", "id", "group", "sketch", "n_shingles")
+        .withColumns({"i": F.least("cell", "other"), "j": F.greatest("cell", "other")})
     )
-    # estimate of the similarity less five standard deviations of m registers
-    floor = similarity / 100
 
-    def compare(frames: Iterator[pa.Table] | pa.Table) -> pa.Table:
-        t = frames
-        ids, group, cell, size = (t[c].to_numpy() for c in ("id", "group", "cell", "n_shingles"))
+    def join_groups(t: pa.Table) -> pa.Table:
+        ids, group, size, cell = (t[c].to_numpy() for c in ("id", "group", "n_shingles", "cell"))
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        least = floor - 5 * np.sqrt(floor * (1 - floor) / sketch.shape[1])
-        left = np.flatnonzero(cell == cell.min())
-        right = left if cell.min() == cell.max() and t["i"][0] == t["j"][0] else np.flatnonzero(cell != cell.min())
+        keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.int64).reshape(len(ids), -1)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["members"]]
+        group, key, one = group.copy(), t["key"][0].as_py(), t["i"][0].as_py() == t["j"][0].as_py()
+        left = np.arange(len(ids)) if one else np.flatnonzero(cell == t["i"][0].as_py())
+        across = np.flatnonzero(cell == t["j"][0].as_py())
         a, b = [], []
         for k in left:
-            meet = right[(group[right] != group[k]) & (100 * np.minimum(size[right], size[k]) >= similarity * np.maximum(size[right], size[k]))]
-            if right is left:
-                meet = meet[meet > k]
-            meet = meet[(sketch[meet] == sketch[k]).mean(axis=1) >= least]
-            a += [ids[k]] * len(meet)
-            b += list(ids[meet])
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            for other in _candidates(k, across[across > k] if one else across, key, group, size, sketch, keys, similarity):
+                if group[other] != group[k] and _similar(sets[k], sets[other], similarity):
+                    a.append(min(ids[k], ids[other]))
+                    b.append(max(ids[k], ids[other]))
+                    group[group == group[other]] = group[k]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(join_groups, "a long, b long")
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+def across_groups(docs: DataFrame, buckets: DataFrame, sets: DataFrame, width: int, similarity: int, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """Links between different groups in a bucket: every pair that shares a band is looked at.
+
+    *buckets*: key, id, group of the members of buckets with two groups or more.
+    """
+    cells = buckets.groupBy("key").agg(F.when(F.count("*") <= small, 0).otherwise(F.ceil(F.count("*") / F.lit(block))).cast("int").alias("cells"))
+    members = stored(buckets.join(cells, "key").join(sets.select("id", "sketch", "keys", "n_shingles"), "id"), "bucketed")
+    few = verify(pairs_in_small_buckets(members.filter("cells = 0"), similarity), docs, width, similarity)
+    large = members.filter("cells > 0")
+    texts = full_sets(docs, large.select("id").distinct(), width).dropDuplicates(["id", "set_id"]).drop("set_id")
+    return few.union(links_in_large_buckets(large.join(stored(texts, "large"), "id"), similarity))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80, bands: int = BANDS, rows: int = ROWS, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of *docs*."""
-    signed = stored(documents_to_sets(docs, width, bands, rows), "sets")
+    signed = stored(documents_to_signatures(docs, width, bands, rows), "signatures")
     # one representative for equal sets; max() of equal values only carries them
     firsts = signed.filter("doc_id IS NOT NULL AND set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("id"))
     sets = stored(
         signed.withColumnRenamed("set_id", "_set")
         .join(firsts, (F.col("_set") == F.col("set_id")) & (F.col("doc_id") == F.col("id")))
         .dropDuplicates(["_set"])
-        .select("id", "keys", "sketch", "members", "n_shingles"),
+        .select("id", "keys", "sketch", "n_shingles"),
         "representatives",
     )
     # repeated doc_ids with different texts are one document: their sets hang together by the id
@@ -221,12 +288,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80, bands
     stars = buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct()
     own = signed.filter("doc_id IS NOT NULL AND set_id IS NOT NULL").select("doc_id", "set_id").join(firsts, "set_id")
     same = own.filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = stored(verify(stars, sets, similarity).union(same), "links")
+    links = stored(verify(stars, docs, width, similarity).union(same), "links")
     groups = connected_components(links)
     member = buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("group"))
     mixed = member.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("key")
     rest = stored(member.join(mixed, "key"), "mixed")
-    more = verify(across_groups(rest, sets, similarity), sets, similarity)
+    more = across_groups(docs, rest, sets, width, similarity, small, block)
     groups = connected_components(links.union(more))
     return (
         signed.select("doc_id", "n_shingles")
@@ -239,7 +306,7 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFrame
     """The rows of *docs* whose doc_id is the smallest of its group; rows without a doc_id stay."""
     groups = near_duplicates(docs, width, similarity)
     gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(bounded_broadcast(stored(gone, "gone"), BROADCAST_IDS), F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
