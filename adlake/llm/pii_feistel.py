@@ -46,13 +46,27 @@ IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9/.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9/-]|\.[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}\x20[0-9]{4}\x20[0-9]{4}\x20[0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9])"
+_US = r"(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])"
+# a phone number never takes a following token of these; before its fifth digit four dotted pairs are digits of the number
+_NEXT = rf"(?!(?!(?:[0-9]{{2}}\.){{3}}[0-9]{{2}}(?![0-9])){IPV4}|{DATE}|{CARD})"
+_NEXT_LATER = rf"(?!{IPV4}|{DATE}|{CARD}|{SSN}|{_US}|[0-9]+\.[0-9]{{1,2}}(?![0-9]|\.[0-9]))"
+
+
+def _international(country: int) -> str:
+    """Numbers with *country* digits of country code and 15 at most, in groups of any length; only the first group and those behind a hyphen may be one digit."""
+    first = rf"(?:\x20{_NEXT}|[.-])?(?=[0-9]{{2}}|[0-9](?:[\x20.-]?[0-9]){{6}})[0-9]"
+    to_fourth = rf"(?:(?:\x20{_NEXT}|[.-])(?=[0-9]{{2}})|)[0-9]"
+    further = rf"(?:\x20(?=[0-9]{{2}}){_NEXT_LATER}|\.(?=[0-9]{{2}})|-|)[0-9]"
+    return rf"[0-9]{{{country}}}(?:[\x20.-]?\([0-9]{{1,4}}\))?{first}(?:{to_fourth}){{3}}(?:{further}){{0,{11 - country}}}(?![0-9])"
+
+
 PHONE = "|".join(
     (
         r"(?<![0-9+])\+1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])",
-        # other country codes; a group never is the beginning of a dotted number
-        r"(?<![0-9+])\+(?!1[^0-9])[0-9]{1,3}(?:[\x20-]?\([0-9]{1,4}\))?(?:[\x20-]?[0-9]{2,5}(?!\.?[0-9])|[0-9]{2,5}){2,4}(?![0-9])",
+        # other country codes
+        rf"(?<![0-9+])\+(?!1[^0-9])(?:{'|'.join(map(_international, (3, 2, 1)))})",
         r"(?<![0-9(])\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
-        r"(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])",
+        _US,
     )
 )
 

@@ -121,3 +121,19 @@ def test_masking_keeps_rows_and_columns(make_docs):
 def test_neighbouring_numbers(make_docs, text):
     (out,) = masked(make_docs, text)
     assert "4845168114407329" not in out
+
+
+NUMBERS = ["+49 30 1234567", "+49 170 1234567", "+49-89-123456", "+33 612345678", "+86 13812345678", "+49.30.1234567", "+33 6 12 34 56 78", "+33 1.42.68.53.10", "+45 12.34.56.78", "+44 (0)20 7946 0958", "+4930123456", "+49 89 1234-0"]
+
+
+def test_phone_groups_of_any_length_are_masked_whole(make_docs):
+    out = masked(make_docs, *(f"call {n} 5 times." for n in NUMBERS))
+    for n, text in zip(NUMBERS, out):
+        assert [m[0] for m in re.finditer(P.ANY, f"call {n} 5 times.")] == [n]
+        assert n not in text and re.sub("[0-9]", "9", text[5:-9]) == re.sub("[0-9]", "9", n) and text.endswith(" 5 times.")
+
+
+@pytest.mark.parametrize("next_token", ["10.0.0.1", "2024-02-29", "29.02.2024", "4845 1681 1440 7329", "078-05-1120", "555-123-4567"])
+def test_a_phone_number_takes_no_following_value(next_token):
+    for n in ("+49 30 12345", "+49 30 1234567", "+49-89-123456"):
+        assert [m[0] for m in re.finditer(P.ANY, f"{n} {next_token}")] == [n, next_token]
