@@ -8,7 +8,8 @@ shuffle.  Round functions are SHA-256 of key, kind, round and half.
 * card numbers (13 to 19 digits, valid Luhn digit): all but the check digit are
   permuted, then a new check digit is set;
 * IBANs (valid mod 97): digits behind the check digits are permuted, letters
-  stay, the check digits are set anew;
+  stay, the check digits are set anew; the length follows the country, so a token
+  behind the number is left alone;
 * phone numbers: digits behind the country code are permuted;
 * social security numbers (valid ranges): the nine digits are permuted, walking
   the cycle until the ranges are valid again;
@@ -27,6 +28,8 @@ columns are carried.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +44,19 @@ FIRST_DAY, DAYS, SIDE = "1900-01-01", 73049, 271  # SIDE squared covers DAYS
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Lengths of IBANs by country.
+IBAN_LENGTHS = {
+    int(n): countries
+    for n, *countries in map(
+        str.split,
+        """15 NO;16 BE;18 DK FI FK FO GL NL SD;19 MK SI;20 AT BA EE KZ LT LU MN XK;21 CH HR LI LV;22 BG BH CR DE GB GE IE ME RS VA;
+        23 AE GI IL IQ OM SO TL;24 AD CZ ES MD PK RO SA SE SK TN VG;25 LY PT ST;26 IS TR;27 BI DJ FR GR IT MC MR SM;
+        28 AL AZ BY CY DO GT HN HU LB NI PL SV;29 BR EG PS QA UA;30 JO KW MU YE;31 MT SC;32 LC;33 RU""".split(";"),
+    )
+}
+_BY_LENGTH = "|".join(rf"(?:{'|'.join(c)})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+# other countries and lengths: trailing groups are dropped until the number is valid
+IBAN = rf"(?<![A-Za-z0-9])(?:{_BY_LENGTH}|[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])"
 IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9/.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9/-]|\.[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
@@ -148,6 +163,13 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), add)
 
 
+def _woven(text: Column, pattern: str, new: Callable[[Column], Column]) -> Column:
+    """*text* with each match of the pattern replaced by *new* of it."""
+    masked = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), new)
+    # pieces between the matches and the pseudonyms in turn; one piece more than matches
+    return F.array_join(F.flatten(F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), masked.alias("new")), lambda x: F.array(x["gap"], F.coalesce(x["new"], F.lit(""))))), "")
+
+
 def _card(m: Column, key: Column) -> Column:
     digits = only_digits(m)
     body = permute_digits(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
@@ -156,13 +178,24 @@ def _card(m: Column, key: Column) -> Column:
 
 
 def _iban(m: Column, key: Column) -> Column:
-    packed = F.regexp_replace(m, " ", "")
-    bban = F.substr(packed, F.lit(5))
-    new = written_like(bban, permute_digits(only_digits(bban), key, "iban"))
-    country = F.substr(packed, F.lit(1), F.lit(2))
-    check = F.lpad((98 - mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    masked = written_like(m, F.concat(check, only_digits(new)))
-    return F.when(mod97(F.concat(bban, F.substr(packed, F.lit(1), F.lit(4)))) == 1, masked).otherwise(m)
+    """The longest valid IBAN of whole groups from the left is masked; what lies behind it stays, but for card numbers."""
+    words = F.split(m, " ")
+    packed = lambda x: F.regexp_replace(x, " ", "")
+    heads = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(words, 1, k), " "))
+    valid = F.filter(heads, lambda h: h.rlike(f"^(?:{IBAN})$") & (mod97(F.concat(F.substr(packed(h), F.lit(5)), F.substr(packed(h), F.lit(1), F.lit(4)))) == 1))
+
+    def mask(head: Column) -> Column:
+        bban = F.substr(packed(head), F.lit(5))
+        new = written_like(bban, permute_digits(only_digits(bban), key, "iban"))
+        country = F.substr(head, F.lit(1), F.lit(2))
+        check = F.lpad((98 - mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+        return written_like(head, F.concat(check, only_digits(new)))
+
+    kept = F.coalesce(F.get(valid, F.lit(0)), F.get(words, F.lit(0)))
+    return F.concat(
+        F.element_at(F.transform(F.array(kept), lambda h: F.when(F.size(valid) > 0, mask(h)).otherwise(h)), 1),
+        F.element_at(F.transform(F.array(F.substr(m, F.length(kept) + 1)), lambda rest: F.when(rest.rlike(CARD), _woven(rest, CARD, lambda c: _card(c, key))).otherwise(rest)), 1),
+    )
 
 
 def _phone(m: Column, key: Column) -> Column:
@@ -231,10 +264,7 @@ def pseudonym(match: Column, key: Column) -> Column:
 def mask_pii(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """*docs* with the column masked; all other columns stay."""
     text = F.col(column)
-    matches = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    masked = F.transform(matches, lambda m: pseudonym(m, F.lit(key)))
-    # pieces between the matches and the pseudonyms in turn; one piece more than matches
-    woven = F.array_join(F.flatten(F.transform(F.arrays_zip(F.split(text, ANY, -1).alias("gap"), masked.alias("new")), lambda x: F.array(x["gap"], F.coalesce(x["new"], F.lit(""))))), "")
+    woven = _woven(text, ANY, lambda m: pseudonym(m, F.lit(key)))
     return docs.withColumn(column, F.when(text.rlike("[0-9@]") & text.rlike(ANY), woven).otherwise(text))
 
 

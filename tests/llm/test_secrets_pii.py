@@ -137,3 +137,17 @@ def test_phone_groups_of_any_length_are_masked_whole(make_docs):
 def test_a_phone_number_takes_no_following_value(next_token):
     for n in ("+49 30 12345", "+49 30 1234567", "+49-89-123456"):
         assert [m[0] for m in re.finditer(P.ANY, f"{n} {next_token}")] == [n, next_token]
+
+
+@pytest.mark.parametrize("iban", ["BE68 5390 0754 7034", "ES9121000418450200051332", "XX83 1234 5678 9012 3456"])
+def test_an_iban_takes_no_following_token(make_docs, iban):
+    tails = ["", " OK", " BIC", " 5 times", " SEPA", " 2024 12"]
+    out = masked(make_docs, *(f"to {iban}{t}" for t in tails))
+    new = out[0][3:]
+    assert new != iban and int("".join(str(int(c, 36)) for c in new.replace(" ", "")[4:] + new[:4])) % 97 == 1
+    assert out == [f"to {new}{t}" for t in tails]
+
+
+def test_a_card_behind_something_like_an_iban_is_masked(make_docs):
+    out = masked(make_docs, "BE68 5390 0754 7034 4845 1681 1440 7329", "AB12 4845 1681 1440 7329", "AB12 4845 1681 1440 7328")
+    assert all("4845" not in x for x in out[:2]) and out[1].startswith("AB12 ") and out[2] == "AB12 4845 1681 1440 7328"
