@@ -8,7 +8,10 @@
 2. Spark sums the votes by (host, path); the best paths of each host win.
 3. Each page is parsed again and its text is read from the containers on the
    host's first winning path that the page has text in; a page that has none
-   uses its own best container, or its body.
+   uses its own best container, or its body.  The path climbs to the outermost
+   article or main around it, else to a container so named, else to the nearest
+   winning one, whose further text is not linked text: an article split in parts,
+   or one with a long quote or table, is read whole.
 
 Votes are pre-aggregated per task batch, and hosts with a third of all pages
 shuffle only sums.  The winners (a few rows a host) are broadcast up to
@@ -166,16 +169,33 @@ def container_scores(page: str) -> dict[str, float]:
     return {p: s for p, s in scores.items() if s > 0}
 
 
+def climbed(path: str, winners: list[str], found: list[tuple[list[Element], str, int]]) -> str:
+    """The path of the container around those on *path* that holds the whole content; *path* itself if there is none."""
+    inside = next(stack for stack, _, _ in found if any(e.path == path for e in stack))
+    around = [e for e in inside if e.container and e.tag != "body" and path.startswith(e.path + "/")]
+    articles = [e.path for e in around if e.tag in ("article", "main")]
+    if articles:
+        return articles[0]
+    for e in [*[e for e in around if e.good], *[e for e in reversed(around) if e.path in winners]]:
+        rest = [(len(text), linked) for stack, text, linked in found if any(x.path == e.path for x in stack) and all(x.path != path for x in stack)]
+        if sum(n for n, _ in rest) > 2 * sum(k for _, k in rest):
+            return e.path
+    return path
+
+
 def main_text(page: str, winners: list[str]) -> tuple[str, str]:
-    """(text, path used) by the first winning path with text on the page."""
-    found = [([e.path for e in stack if e.container], text) for stack, text, _ in blocks(page)]
+    """(text, path used) by the first winning path with text on the page, or the container around it."""
+    found = list(blocks(page))
     own = container_scores(page)
-    tries = [*winners, *([max(sorted(own), key=own.get)] if own else [])]
-    for path in tries:
-        chosen = [text for paths, text in found if path in paths]
-        if chosen:
-            return "\n".join(chosen), path
-    return "\n".join(text for _, text in found), ""
+    tries = [(path, winners) for path in winners]
+    if own:
+        ranked = sorted(sorted(own), key=own.get, reverse=True)
+        tries.append((ranked[0], ranked[:WINNERS]))
+    for path, among in tries:
+        if any(e.container and e.path == path for stack, _, _ in found for e in stack):
+            whole = climbed(path, among, found)
+            return "\n".join(text for stack, text, _ in found if any(e.container and e.path == whole for e in stack)), whole
+    return "\n".join(text for _, text, _ in found), ""
 
 
 def host_of(url: Column) -> Column:

@@ -51,6 +51,29 @@ def test_consensus_beats_a_page_of_its_own(spark):
     assert got[-1].text == "brief" and got[-1].path.endswith("div.c")
 
 
+LONG, SHORT = "long words " * 80, "short words " * 16
+SPLIT = {
+    "parts of an article": f"<article><div class='c-one'><p>{SHORT}</p></div><div class='c-two text'><p>{LONG}</p></div></article>",
+    "a long quote": f"<div class='x'><p>{SHORT}</p><blockquote><p>{LONG}</p></blockquote></div>",
+    "a long table": f"<div class='x'><p>{SHORT}</p><table><tr><td>{LONG}</td><td>{LONG}</td></tr></table></div>",
+    "a quote deep in an article": f"<article><p>{SHORT}</p><div class='a'><div class='b'><blockquote>{LONG}</blockquote></div></div></article>",
+}
+
+
+def test_split_articles_are_read_whole(spark):
+    for k, body in enumerate(SPLIT.values()):
+        page = f"<body><nav><a href='/'>menu</a></nav>{body}<div class='links'><a href='/'>{SHORT}</a></div></body>"
+        (winners,) = [r.paths for r in X.host_winners(pages(spark, [("http://a/", page)] * 3)).collect()]
+        for chosen in (winners, []):
+            text, _ = X.main_text(page, chosen)
+            assert SHORT.strip() in text and text.count(LONG.strip()) == (2 if k == 2 else 1) and "menu" not in text
+
+
+def test_linked_text_around_the_content_stays_out():
+    page = f"<body><div class='wrap'><div class='c'><p>{LONG}</p></div><div class='more'><a href='/'>{SHORT}</a></div></div></body>"
+    assert X.main_text(page, [])[0] == LONG.strip()
+
+
 def test_mixing_equals_sql_and_meets_targets(spark, make_docs):
     for sf in ("/root/testdata/sf0.001",):
         con = duckdb.connect()
