@@ -3,9 +3,12 @@
 Each language is a multinomial over hashed byte trigrams of lower-cased letters.
 A document is a mixture of languages: EM estimates the proportions that make its
 trigrams likeliest.  The set of languages is chosen by penalised likelihood: the
-nested sets of the 1, 2, ... ``max_languages`` largest proportions are fitted
-again, and the one with the least -2 log L + penalty * size * log(n) stays.  The
-prediction is the largest proportion of that set, its score the proportion.
+nested sets of the 1, 2, ... largest proportions, up to all learned languages, are
+fitted again, and the one with the least -2 log L + penalty * size * log(n) stays.
+A size is left out only where an upper bound of its likelihood shows that it
+cannot win.  The prediction is the largest proportion of that set, its score the
+proportion.  A text counts as standing between two spaces, so that every text
+with a letter has a trigram.
 
 Plan: two scans.  Counting shuffles at most languages x buckets sums per task;
 only that table, of fixed size per language, goes through the driver.  EM runs
@@ -33,7 +36,6 @@ QUERY_NAME = "op5_langid_em"
 
 BUCKETS = 1 << 13
 SMOOTHING = 0.5
-MAX_LANGUAGES = 3
 ROUNDS = 8
 #: Weight of log(n) per further language; adjacent trigrams overlap, so it is above 1.
 PENALTY = 3.0
@@ -49,7 +51,9 @@ def trigrams(texts: Texts, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarr
 
     ASCII letters and the Latin-1 letters behind byte C3 are lower-cased, other ASCII bytes count as spaces.
     """
-    data = _FOLD[texts.data]
+    owner = np.repeat(np.arange(texts.n), np.diff(texts.offsets) + 2)
+    data = np.full(len(owner), 0x20, np.uint8)
+    data[np.arange(len(texts.data)) + 2 * np.repeat(np.arange(texts.n), np.diff(texts.offsets)) + 1] = _FOLD[texts.data]
     if len(data) > 1:
         upper = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
         data[1:][upper] += 0x20
@@ -57,7 +61,6 @@ def trigrams(texts: Texts, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     x = data.astype(np.uint32)
     gram = (x[:-2] << 16) | (x[1:-1] << 8) | x[2:]
-    owner = np.repeat(np.arange(texts.n), np.diff(texts.offsets))
     use = (gram != 0x202020) & (owner[:-2] == owner[2:])
     gram = gram[use] * np.uint32(0x9E3779B1)
     return owner[:-2][use], (gram >> np.uint32(32 - buckets.bit_length() + 1)).astype(np.int64)
@@ -102,7 +105,7 @@ def _em(pi: np.ndarray, probs: np.ndarray, counts: np.ndarray, first: np.ndarray
     return pi, np.add.reduceat(counts * np.log((pi[owner] * probs).sum(axis=1)), first)
 
 
-def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int, max_languages: int = MAX_LANGUAGES, rounds: int = ROUNDS, penalty: float = PENALTY) -> np.ndarray:
+def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int, max_languages: int | None = None, rounds: int = ROUNDS, penalty: float = PENALTY) -> np.ndarray:
     """Language proportions of each document after choosing its set of languages; zeros for a document without trigrams."""
     n_langs, buckets = model.shape
     out = np.zeros((n_docs, n_langs))
@@ -114,7 +117,10 @@ def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int
     first = np.searchsorted(owner, np.arange(len(docs)))
     probs = np.ascontiguousarray(model.T[keys % buckets])
     total = np.add.reduceat(counts, first)
-    full, _ = _em(np.full((len(docs), n_langs), 1 / n_langs), probs, counts, first, owner, total, rounds)
+    full, reached = _em(np.full((len(docs), n_langs), 1 / n_langs), probs, counts, first, owner, total, rounds)
+    # the log likelihood is concave in the proportions: none exceeds this tangent's largest value
+    slope = np.add.reduceat(probs * (counts / (full[owner] * probs).sum(axis=1))[:, None], first, axis=0)
+    bound = reached + np.maximum(slope.max(axis=1) - total, 0) + 1e-6 * (1 + np.abs(reached))
     order = np.argsort(-full, axis=1, kind="stable")
     # one language: no EM needed
     single = np.add.reduceat(counts[:, None] * np.log(probs), first, axis=0)
@@ -122,8 +128,8 @@ def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int
     best = np.zeros_like(full)
     best[np.arange(len(docs)), top] = 1
     cost = -2 * single[np.arange(len(docs)), top]
-    for size in range(2, min(max_languages, n_langs) + 1):
-        todo = np.flatnonzero(np.take_along_axis(full, order[:, size - 1 : size], 1)[:, 0] > 0.02)
+    for size in range(2, min(max_languages or n_langs, n_langs) + 1):
+        todo = np.flatnonzero(-2 * bound + penalty * (size - 1) * np.log(total + 1) < cost)
         if not len(todo):
             break
         chosen = np.zeros_like(full, bool)
@@ -142,7 +148,7 @@ def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int
     return out
 
 
-def predict(docs: DataFrame, names: list[str], model: np.ndarray, max_languages: int = MAX_LANGUAGES) -> DataFrame:
+def predict(docs: DataFrame, names: list[str], model: np.ndarray, max_languages: int | None = None) -> DataFrame:
     """doc_id, lang_pred, score and the chosen mixture (map of language to proportion) of each document."""
     held = docs.sparkSession.sparkContext.broadcast((names, model))
 

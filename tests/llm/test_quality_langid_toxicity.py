@@ -86,6 +86,40 @@ def test_language_accuracy_and_und(spark, sample, make_docs):
     assert set(mixed.mixture) == {"en", "fr"} and sum(mixed.mixture.values()) == pytest.approx(1)
 
 
+def test_all_languages_of_a_text_and_short_texts(sample, make_docs):
+    docs = sample("documents").filter("n_chars > 0")
+    names, model = langid_em.language_model(langid_em.trigram_counts(docs, F.lit(True)))
+    parts = {n: docs.filter(F.col("lang") == n).agg(F.array_join(F.sort_array(F.collect_list("text")), " ")).first()[0] for n in names}
+    assert len(names) == 4
+    few = names[-1]  # a clear passage of 1.5 per cent of the text
+    texts = ["A.", "x", "é", "Z", " ".join(parts[n][:2000] for n in names), parts[names[0]][:40_000] + " " + parts[few][:600]]
+    got = sorted(langid_em.predict(make_docs(texts), names, model).collect(), key=lambda r: r.doc_id)
+    assert all(r.lang_pred != "und" and r.score > 0 for r in got)
+    assert set(got[4].mixture) == set(names)
+    assert few in got[5].mixture
+
+
+def test_bound_leaves_out_no_winning_set():
+    """Sets chosen with the bound equal those chosen by fitting every size for every document."""
+    rng = np.random.default_rng(3)
+    model = rng.dirichlet(np.ones(60), 5)
+    for k in range(60):
+        counts = rng.multinomial(rng.integers(3, 600), rng.dirichlet(np.full(5, 0.3)) @ model)
+        at = np.flatnonzero(counts)
+        n, args = counts.sum(), (model.T[at], counts[at].astype(float), np.array([0]), np.zeros(len(at), int), np.array([counts.sum()]), langid_em.ROUNDS)
+        full, _ = langid_em._em(np.full((1, 5), 0.2), *args)
+        single = counts @ np.log(model.T)
+        best, cost = np.eye(5)[np.argmax(single)], -2 * single.max()
+        for size in range(2, 6):
+            start = np.zeros((1, 5))
+            start[0, np.argsort(-full[0], kind="stable")[:size]] = full[0, np.argsort(-full[0], kind="stable")[:size]]
+            pi, fit = langid_em._em(start / start.sum(), *args)
+            now = -2 * fit[0] + langid_em.PENALTY * (size - 1) * np.log(n + 1)
+            if now < cost:
+                best, cost = pi[0], now
+        assert np.allclose(langid_em.mixtures(np.zeros(n, int), np.repeat(np.arange(60), counts), model, 1)[0], best)
+
+
 def test_em_equals_plain_em():
     rng = np.random.default_rng(1)
     model = rng.dirichlet(np.ones(50), 3)
