@@ -1,8 +1,8 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells of (source, language, topic).  Raking multiplies the
-cells' token weights by target / current for one marginal after the other until
-all three agree with the targets.  A document's probability is its cell's weight
+cells' token weights by target / current for one marginal after the other, in a
+fixed number of rounds without a test of the remaining error.  A document's probability is its cell's weight
 per token times a constant that keeps the asked share of tokens, at most 1; the
 document is kept if a hash of its doc_id falls below that.
 
