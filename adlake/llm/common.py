@@ -5,9 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+#: Rows of an Arrow batch: with texts of some kilobytes a worker holds a few megabytes at once.
+ARROW_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Keys that one join may deal to several tasks, and the rows of a key up to which one task is enough.
+HOT_KEYS, HOT_ROWS = 10_000, 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,26 +23,59 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is named, as in tests."""
+    """The shared folder that the cluster names.  Only a local master may go without one: its executors share the driver's disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "adlake-checkpoints"))
-    return named or sc._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), "adlake-checkpoints")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a step to Parquet in the shared folder and read it again: kept by name, splittable, and safe against lost executors."""
+    """Write a step to Parquet in the shared folder and read it again: splittable, and safe against lost executors.
+
+    drop_stored() deletes it when nothing reads it any more.
+    """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/adlake-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/adlake-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_in = path
+    return out
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete the files of frames that stored() returned."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_in)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def in_batches(df: DataFrame, f: Callable, schema: StructType | str) -> DataFrame:
+    """mapInArrow with batches of ARROW_ROWS rows, unless the session names another number."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(f, schema)
+
+
+def small_batches(spark: SparkSession) -> None:
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(ARROW_ROWS))
+
+
+def spread_join(rows: DataFrame, sides: DataFrame, key: str, n: str = "n", by: str = "id") -> DataFrame:
+    """*rows* with the columns of *sides* (one row a key, *n* of them the key's rows), the rows of a hot key dealt to many tasks by a hash of *by*.
+
+    Hot are keys with more than HOT_ROWS rows and more than 1/HOT_KEYS of all, so fewer than HOT_KEYS, which are broadcast.
+    """
+    limit = max(HOT_ROWS, (sides.agg(F.sum(n)).first()[0] or 0) // HOT_KEYS)
+    parts = F.when(F.col(n) > limit, F.ceil(F.col(n) / F.lit(limit))).otherwise(1).cast("int")
+    hot = sides.filter(F.col(n) > limit).select(F.col(key).alias("_hot"), parts.alias("_parts"))
+    salt = F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")), F.lit(0)).cast("int")
+    salted = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot", "_parts")
+    return salted.join(sides.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))), [key, "_salt"]).drop("_salt")
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -2,9 +2,9 @@
 
 A batch of texts is one UTF-8 byte buffer with document offsets.  Words are
 maximal runs without ASCII white space (0x20, 0x09-0x0D), so they can be found
-in the bytes alone.  A running polynomial hash over the buffer gives the 64-bit
-hash of any byte range by one subtraction and one multiplication, so no Python
-object is made for a word.
+in the bytes alone.  A running polynomial hash over a block of the buffer gives
+the 64-bit hash of any byte range in it by one subtraction and one
+multiplication, so no Python object is made for a word.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer single document is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
+#: Bytes of a buffer that are hashed together.
+HASH_BYTES = 1 << 17
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -71,15 +73,23 @@ class Texts:
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
         self.n = len(offsets) - 1
-        self._prefix: np.ndarray | None = None
 
     def range_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the byte ranges."""
-        up, down = _POWERS.get(len(self.data) + 1)
-        if self._prefix is None:
-            self._prefix = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=self._prefix[1:])
-        return mix((self._prefix[ends] - self._prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        """64-bit hashes of the byte ranges, whose starts and ends both rise."""
+        out = np.empty(len(starts), np.uint64)
+        k = 0
+        while k < len(starts):
+            low = int(starts[k])
+            # the ranges that end in this block; a longer range is a block of its own
+            stop = max(k + 1, int(np.searchsorted(ends, low + HASH_BYTES, "right")))
+            s, e = starts[k:stop] - low, ends[k:stop] - low
+            size = int(e[-1])
+            up, down = _POWERS.get(size + 1) if size <= HASH_BYTES else _Powers().get(size + 1)
+            prefix = np.zeros(size + 1, np.uint64)
+            np.cumsum((self.data[low : low + size].astype(np.uint64) + np.uint64(1)) * up[:-1], out=prefix[1:])
+            out[k:stop] = mix((prefix[e] - prefix[s]) * down[s] + (e - s).astype(np.uint64))
+            k = stop
+        return out
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Byte starts and ends of all words, and the first word's number of each document (n + 1 long)."""

@@ -4,7 +4,8 @@ Features of a text are the distinct hash buckets of its lower-cased words (outer
 punctuation removed), adjacent pairs, pairs with one word between, and stems (the
 first 4 to 7 bytes of longer words, as inflected words share them).  The
 learner keeps a rate per coordinate and an L1 term that leaves most weights at
-zero, so the model is a short list of (bucket, weight) that is broadcast.
+zero, so the model is a short list of (bucket, weight).  That list is broadcast;
+each task marks its buckets in a table of bits before it reads the texts.
 
 Training uses at most ``max_rows`` labelled rows (those with the smallest hash
 of doc_id), so that the learner, which is sequential, runs in one bounded task.
@@ -21,7 +22,8 @@ the largest counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlake.llm.common import crc_mod, read_table
+from adlake.llm.common import crc_mod, in_batches, read_table
 from adlake.llm.textgrams import Texts, chunks, join_hashes
 
 QUERY_NAME = "op8_toxicity_ftrl"
@@ -72,7 +74,21 @@ def features(texts: Texts, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(docs), (np.concatenate(grams) % np.uint64(buckets)).astype(np.int64)
 
 
-def train_ftrl(texts: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2, epochs: int = EPOCHS) -> dict[int, float]:
+class Rows:
+    """Texts as slices of one block of buckets, in a given order."""
+
+    def __init__(self, block: np.ndarray, ends: np.ndarray, order: np.ndarray) -> None:
+        self.block, self.ends, self.order = block, ends, order
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        at = self.order[k]
+        return self.block[self.ends[at] : self.ends[at + 1]]
+
+
+def train_ftrl(texts: Sequence[np.ndarray] | Rows, labels: np.ndarray, buckets: int = BUCKETS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2, epochs: int = EPOCHS) -> dict[int, float]:
     """Weights of the nonzero buckets, the intercept at -1; *texts* are arrays of distinct buckets."""
     z, n = np.zeros(buckets + 1), np.zeros(buckets + 1)
 
@@ -108,47 +124,49 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_ro
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "text", "_label")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, grams, labels = [], [], []
+        # one growing block of 32-bit buckets: some 2,000 a text
+        grams, ends, ids, labels = array("i"), [0], [], []
         for batch in batches:
             for a, b, texts in chunks(batch.column(1), lower=True):
                 doc, bucket = features(texts, buckets)
                 keys = np.unique(doc * buckets + bucket)
-                grams += np.split(keys % buckets, np.searchsorted(keys, np.arange(1, texts.n) * buckets))
+                grams.frombytes((keys % buckets).astype(np.int32).tobytes())
+                ends += (ends[-1] + np.searchsorted(keys, np.arange(1, texts.n + 1) * buckets)).tolist()
                 ids.append(batch.column(0).slice(a, b - a).to_numpy())
                 labels.append(batch.column(2).slice(a, b - a).to_numpy())
         model: dict[int, float] = {}
         if ids:
             order = np.argsort(np.concatenate(ids), kind="stable")  # the same order however Spark dealt the rows
-            model = train_ftrl([grams[k] for k in order], np.concatenate(labels)[order], buckets)
+            model = train_ftrl(Rows(np.frombuffer(grams, np.int32), np.array(ends), order), np.concatenate(labels)[order], buckets)
         yield pa.RecordBatch.from_arrays([pa.array(list(model), pa.int64()), pa.array(list(model.values()), pa.float64())], ["bucket", "weight"])
 
-    model = sample.repartition(1).mapInArrow(learn, "bucket long, weight double").toArrow()
+    model = in_batches(sample.repartition(1), learn, "bucket long, weight double").toArrow()
     return dict(zip(model["bucket"].to_pylist(), model["weight"].to_pylist()))
 
 
 def score(docs: DataFrame, model: dict[int, float], buckets: int = BUCKETS, name: str = "score") -> DataFrame:
     """*docs* with the column *name*, which must be new."""
-    table = np.zeros(buckets, np.float32)
-    for bucket, weight in model.items():
-        if bucket >= 0:
-            table[bucket] = weight
-    held, intercept = docs.sparkSession.sparkContext.broadcast(table), model.get(-1, 0.0) if model else -np.inf
+    used = np.array(sorted(b for b in model if b >= 0), np.int64)
+    weights = np.array([model[b] for b in used.tolist()])
+    held, intercept = docs.sparkSession.sparkContext.broadcast((used, weights)), model.get(-1, 0.0) if model else -np.inf
     names = docs.columns
     at_text = names.index("text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = held.value
-        active = weights != 0
+        used, weights = held.value
+        active = np.zeros(buckets, bool)
+        active[used] = True
         for batch in batches:
             for a, b, texts in chunks(batch.column(at_text), lower=True):
                 doc, bucket = features(texts, buckets)
                 use = active[bucket]
                 keys = np.unique(doc[use] * buckets + bucket[use])
-                total = np.bincount(keys // buckets, weights[keys % buckets], minlength=texts.n) + intercept
+                found = weights[np.searchsorted(used, keys % buckets)] if len(keys) else np.zeros(0)
+                total = np.bincount(keys // buckets, found, minlength=texts.n) + intercept
                 p = np.where(np.isfinite(total), 1 / (1 + np.exp(-np.clip(total, -30, 30))), 0.0)
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), pa.array(p)], [*names, name])
 
-    return docs.mapInArrow(apply, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return in_batches(docs, apply, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
