@@ -11,21 +11,27 @@ unfinished documents of a chunk is done at once in numpy.
 Steps on Spark:
 
 1. one scan makes each document's shingle set (64-bit hashes), and from that a
-   set id and the signature; only these are kept.  Documents with the same set are
-   collapsed to one representative (min doc_id) by an aggregation;
+   set id and the signature; only these are kept.  Documents with the same set id
+   (two 64-bit sums over the set; the sets themselves are not compared) are collapsed
+   to one representative (min doc_id) by an aggregation;
 2. `bands` hashes of `rows` registers each are shuffled as (band key, id);
 3. every bucket links its members to its smallest member (a star, not pairs);
    the pairs are verified on the full sets and grouped;
 4. buckets whose members then lie in one group are done.  In the others every
-   pair of different groups is compared, in the first band that it shares, by
-   signature first and then on the full sets.  Buckets above `small` members are
-   dealt to pairs of blocks of `block` members, and those tasks give out only links that join groups,
-   never all pairs.  Nothing is capped;
-5. groups come from alternating large-star and small-star steps after a
-   union-find inside each partition.
+   pair of different groups is compared by signature, in the first band that it shares,
+   and then on the full sets.  Buckets above `small` members are dealt to pairs of
+   blocks: a first pass over signatures alone finds the members that have a candidate at
+   all, a second one over their sets gives out only links that join groups, never all pairs.
+   Nothing is capped;
+5. groups of representatives come from alternating large-star and small-star steps after a
+   union-find inside each Arrow batch; documents meet their representative's group last.
+
+Hot keys - a band key, or a set with a third of all documents as copies - are
+dealt to many tasks by `spread_join`.
 
 A pair at the similarity 0.8 meets in no band with probability
-(1 - 0.8^rows)^bands, 3e-6 at the defaults; all links are verified exactly.
+(1 - 0.8^rows)^bands, 3e-6 at the defaults, and then falls below the signature
+test with less than 2e-9 (Chernoff's bound); all links are verified exactly.
 
 Defined results: null text is empty; an empty set links with nothing; rows with
 a null doc_id link with nothing and keep a null component; repeated doc_ids
@@ -42,15 +48,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import bounded_broadcast, read_table, stored
+from adlake.llm.common import bounded_broadcast, drop_stored, in_batches, read_table, small_batches, spread_join, stored
 from adlake.llm.components import connected_components
 from adlake.llm.textgrams import Texts, chunks, join_hashes, mix
 
 QUERY_NAME = "op7_superminhash"
 
 BANDS, ROWS = 32, 5
-#: Buckets of up to SMALL members give out candidate pairs; larger ones are dealt to blocks of BLOCK members.
-SMALL, BLOCK = 64, 1024
+#: Buckets of up to SMALL members give out candidate pairs; larger ones are dealt to blocks of BLOCK members, or fewer with BLOCK_SHINGLES in all.
+SMALL, BLOCK, BLOCK_SHINGLES = 64, 1024, 1 << 19
+#: Bytes of text whose sets are made at once.
+SIGN_BYTES = 1 << 18
+#: Standard deviations by which a signature may fall short of the similarity before the sets are left out.
+SLACK = 7
 #: Ids that are broadcast to fetch texts or drop rows (16 MB); more are shuffled.
 BROADCAST_IDS = 1_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -115,7 +125,7 @@ def documents_to_signatures(docs: DataFrame, width: int, bands: int, rows: int)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in chunks(batch.column(1), lower=True, size=1 << 20):
+            for a, b, texts in chunks(batch.column(1), lower=True, size=SIGN_BYTES):
                 sets = shingle_sets(texts, width)
                 sig = signatures(sets, bands * rows)
                 keys = band_keys(sig, bands, rows).view(np.int64)
@@ -131,7 +141,7 @@ def documents_to_signatures(docs: DataFrame, width: int, bands: int, rows: int)
                 )
 
     schema = "doc_id long, n_shingles long, set_id string, keys binary, sketch binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, schema)
+    return in_batches(docs.select(F.col("doc_id").cast("long"), "text"), sign, schema)
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -142,13 +152,13 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in chunks(batch.column(1), lower=True, size=1 << 20):
+            for a, b, texts in chunks(batch.column(1), lower=True, size=SIGN_BYTES):
                 sets = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _set_ids(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "set_id", "members"])
 
     few = bounded_broadcast(ids, BROADCAST_IDS)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(few, "id", "left_semi")
-    return texts.mapInArrow(make, "id long, set_id string, members binary")
+    return in_batches(texts, make, "id long, set_id string, members binary")
 
 
 def explode_keys(sets: DataFrame) -> DataFrame:
@@ -161,7 +171,7 @@ def explode_keys(sets: DataFrame) -> DataFrame:
                 ids = np.repeat(batch.column(0).to_numpy(), len(keys) // len(batch))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["key", "id"])
 
-    return sets.select("id", "keys").mapInArrow(explode, "key long, id long")
+    return in_batches(sets.select("id", "keys"), explode, "key long, id long")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame:
@@ -178,20 +188,17 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, similarity: int) -> Da
                 good[k] = _similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), similarity)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in batch.columns[:2]], ["a", "b"])
 
-    return (
-        pairs.join(half.withColumnsRenamed({"id": "b", "members": "set_b"}), "b")
-        .join(half.withColumnsRenamed({"id": "a", "members": "set_a"}), "a")
-        .select("a", "b", "set_a", "set_b")
-        .mapInArrow(check, "a long, b long")
-    )
+    both = pairs.join(half.withColumnsRenamed({"id": "b", "members": "set_b"}), "b").join(half.withColumnsRenamed({"id": "a", "members": "set_a"}), "a")
+    links = stored(in_batches(both.select("a", "b", "set_a", "set_b"), check, "a long, b long"), "links")
+    drop_stored(pairs, half)
+    return links
 
 
 def _candidates(k: int, right: np.ndarray, key: int, group: np.ndarray, size: np.ndarray, sketch: np.ndarray, keys: np.ndarray, similarity: int) -> np.ndarray:
     """The members of *right* in another group than *k* that may be similar, if this is the first band that the two share."""
     at = right[(group[right] != group[k]) & (100 * np.minimum(size[right], size[k]) >= similarity * np.maximum(size[right], size[k]))]
-    # the estimate may fall short of the similarity by five standard deviations of m registers
     floor = similarity / 100
-    at = at[(sketch[at] == sketch[k]).mean(axis=1) >= floor - 5 * np.sqrt(floor * (1 - floor) / sketch.shape[1])]
+    at = at[(sketch[at] == sketch[k]).mean(axis=1) >= floor - SLACK * np.sqrt(floor * (1 - floor) / sketch.shape[1])]
     first = np.argmax(keys[at] == keys[k], axis=1)
     return at[keys[k][first] == key]
 
@@ -206,13 +213,19 @@ def _similar(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
     return 100 * shared >= similarity * (len(both) - shared)
 
 
+def _looks(t: pa.Table) -> tuple[np.ndarray, ...]:
+    """ids, group, size, sketch and band keys of a bucket's members."""
+    ids, group, size = (t[c].to_numpy() for c in ("id", "group", "n_shingles"))
+    sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+    keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.int64).reshape(len(ids), -1)
+    return ids, group, size, sketch, keys
+
+
 def pairs_in_small_buckets(members: DataFrame, similarity: int) -> DataFrame:
     """Candidate pairs (a, b) of different groups in each bucket; at most a block's members share one, so pairs grow with members."""
 
     def compare(t: pa.Table) -> pa.Table:
-        ids, group, size = (t[c].to_numpy() for c in ("id", "group", "n_shingles"))
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.int64).reshape(len(ids), -1)
+        ids, group, size, sketch, keys = _looks(t)
         a, b = [], []
         for k in range(len(ids)):
             meet = _candidates(k, np.arange(k + 1, len(ids)), t["key"][0].as_py(), group, size, sketch, keys, similarity)
@@ -224,81 +237,126 @@ def pairs_in_small_buckets(members: DataFrame, similarity: int) -> DataFrame:
     return members.groupBy("key").applyInArrow(compare, "a long, b long")
 
 
-def links_in_large_buckets(members: DataFrame, similarity: int) -> DataFrame:
-    """Links (a, b) that join the groups of each bucket, verified on the full sets.
-
-    Members (with the number of cells of their bucket) are dealt to cells, and each pair of cells is a task of its own.  A task
-    looks at all its pairs of different groups but gives out only links that join two groups that it has not joined yet.
-    """
-    dealt = (
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of large buckets on (key, i, j): each pair of the bucket's *cells* is a task of its own."""
+    return (
         members.withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
         .withColumns({"i": F.least("cell", "other"), "j": F.greatest("cell", "other")})
     )
 
+
+def _sides(t: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows to compare it with) for a pair of cells, or for a cell with itself."""
+    cell, i, j = t["cell"].to_numpy(), t["i"][0].as_py(), t["j"][0].as_py()
+    across = np.flatnonzero(cell == j)
+    for k in np.flatnonzero(cell == i):
+        yield k, across[across > k] if i == j else across
+
+
+def candidates_in_large_buckets(members: DataFrame, similarity: int) -> DataFrame:
+    """(key, id) of the members that have a candidate in another group, by signatures alone."""
+
+    def find(t: pa.Table) -> pa.Table:
+        ids, group, size, sketch, keys = _looks(t)
+        key, held = t["key"][0].as_py(), np.zeros(t.num_rows, bool)
+        for k, right in _sides(t):
+            meet = _candidates(k, right, key, group, size, sketch, keys, similarity)
+            held[meet] = True
+            held[k] |= len(meet) > 0
+        return pa.table({"key": pa.array(np.full(held.sum(), key)), "id": ids[held]})
+
+    return _dealt(members).groupBy("key", "i", "j").applyInArrow(find, "key long, id long").distinct()
+
+
+def links_in_large_buckets(members: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that join the groups of each bucket, verified on the full sets.
+
+    A task looks at all its pairs of different groups but gives out only links that join two groups that it has not joined yet.
+    """
+
     def join_groups(t: pa.Table) -> pa.Table:
-        ids, group, size, cell = (t[c].to_numpy() for c in ("id", "group", "n_shingles", "cell"))
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.int64).reshape(len(ids), -1)
+        ids, group, size, sketch, keys = _looks(t)
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["members"]]
-        group, key, one = group.copy(), t["key"][0].as_py(), t["i"][0].as_py() == t["j"][0].as_py()
-        left = np.arange(len(ids)) if one else np.flatnonzero(cell == t["i"][0].as_py())
-        across = np.flatnonzero(cell == t["j"][0].as_py())
+        group, key = group.copy(), t["key"][0].as_py()
         a, b = [], []
-        for k in left:
-            for other in _candidates(k, across[across > k] if one else across, key, group, size, sketch, keys, similarity):
+        for k, right in _sides(t):
+            for other in _candidates(k, right, key, group, size, sketch, keys, similarity):
                 if group[other] != group[k] and _similar(sets[k], sets[other], similarity):
                     a.append(min(ids[k], ids[other]))
                     b.append(max(ids[k], ids[other]))
                     group[group == group[other]] = group[k]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(join_groups, "a long, b long")
+    return _dealt(members).groupBy("key", "i", "j").applyInArrow(join_groups, "a long, b long")
 
 
 def across_groups(docs: DataFrame, buckets: DataFrame, sets: DataFrame, width: int, similarity: int, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """Links between different groups in a bucket: every pair that shares a band is looked at.
 
-    *buckets*: key, id, group of the members of buckets with two groups or more.
+    *buckets*: key, id, group of the members of buckets with two groups or more, and n, their number, if it is known.
     """
-    cells = buckets.groupBy("key").agg(F.when(F.count("*") <= small, 0).otherwise(F.ceil(F.count("*") / F.lit(block))).cast("int").alias("cells"))
-    members = stored(buckets.join(cells, "key").join(sets.select("id", "sketch", "keys", "n_shingles"), "id"), "bucketed")
-    few = verify(pairs_in_small_buckets(members.filter("cells = 0"), similarity), docs, width, similarity)
-    large = members.filter("cells > 0")
-    texts = full_sets(docs, large.select("id").distinct(), width).dropDuplicates(["id", "set_id"]).drop("set_id")
-    return few.union(links_in_large_buckets(large.join(stored(texts, "large"), "id"), similarity))
+    small_batches(docs.sparkSession)
+    looks = sets.select("id", "sketch", "keys", "n_shingles")
+    if "n" not in buckets.columns:
+        buckets = spread_join(buckets, buckets.groupBy("key").agg(F.count("*").alias("n")), "key")
+    members = stored(buckets.join(looks, "id"), "bucketed")
+    links = verify(pairs_in_small_buckets(members.filter(F.col("n") <= small), similarity), docs, width, similarity)
+    large = members.filter(F.col("n") > small)
+    if not large.isEmpty():
+        cells = F.ceil(F.col("n") / F.lit(block)).cast("int")
+        found = stored(candidates_in_large_buckets(large.withColumn("cells", cells), similarity), "found")
+        rest = large.drop("n").join(found, ["key", "id"])
+        room = F.greatest(F.count("*") / F.lit(block), F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))
+        sized = stored(rest.groupBy("key").agg(F.count("*").alias("n"), F.ceil(room).cast("int").alias("cells")), "cells")
+        texts = stored(full_sets(docs, rest.select("id").distinct(), width).dropDuplicates(["id", "set_id"]).drop("set_id"), "large")
+        joining = links_in_large_buckets(spread_join(rest, sized, "key").join(texts, "id"), similarity)
+        links = stored(links.union(joining), "links")
+        drop_stored(found, sized, texts)
+    drop_stored(members)
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80, bands: int = BANDS, rows: int = ROWS, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of *docs*."""
     signed = stored(documents_to_signatures(docs, width, bands, rows), "signatures")
-    # one representative for equal sets; max() of equal values only carries them
-    firsts = signed.filter("doc_id IS NOT NULL AND set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("id"))
-    sets = stored(
-        signed.withColumnRenamed("set_id", "_set")
-        .join(firsts, (F.col("_set") == F.col("set_id")) & (F.col("doc_id") == F.col("id")))
-        .dropDuplicates(["_set"])
-        .select("id", "keys", "sketch", "n_shingles"),
-        "representatives",
-    )
-    # repeated doc_ids with different texts are one document: their sets hang together by the id
-    banded = explode_keys(sets).distinct()
-    hubs = banded.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    buckets = stored(banded.join(hubs, "key"), "buckets")
-    stars = buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    own = signed.filter("doc_id IS NOT NULL AND set_id IS NOT NULL").select("doc_id", "set_id").join(firsts, "set_id")
-    same = own.filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = stored(verify(stars, docs, width, similarity).union(same), "links")
-    groups = connected_components(links)
-    member = buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("group"))
-    mixed = member.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("key")
-    rest = stored(member.join(mixed, "key"), "mixed")
-    more = across_groups(docs, rest, sets, width, similarity, small, block)
-    groups = connected_components(links.union(more))
+    whole = signed.filter("doc_id IS NOT NULL AND set_id IS NOT NULL")
+    # one representative for equal sets, which have equal keys and sketches
+    carried = [F.first(c).alias(c) for c in ("keys", "sketch", "n_shingles")]
+    sets = stored(whole.groupBy("set_id").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"), *carried), "representatives")
+    banded = explode_keys(sets)
+    hubs = stored(banded.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1"), "hubs")
+    buckets = stored(spread_join(banded, hubs, "key"), "buckets")
+    links = verify(buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct(), docs, width, similarity).union(_same_id(whole, sets))
+    groups = stored(connected_components(links), "groups")
+    member = stored(buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("group")), "grouped")
+    mixed = stored(member.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", "n"), "mixed")
+    more = across_groups(docs, spread_join(member, mixed, "key"), sets, width, similarity, small, block)
+    component = stored(connected_components(groups.union(more)), "components")
+    # the copies of a set, a third of all documents perhaps, meet its group on dealt keys
+    of_set = stored(sets.select("set_id", "id", "n").join(component.withColumnRenamed("node", "id"), "id", "left").select("set_id", "n", F.coalesce("component", "id").alias("component")), "sets")
+    drop_stored(hubs, buckets, groups, member, mixed, sets, component)
+    placed = spread_join(whole.select("doc_id", "set_id", "n_shingles"), of_set, "set_id", by="doc_id")
+    placed = placed.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    # a row without words belongs to the rows of its doc_id that have some
+    empty = signed.filter("doc_id IS NULL OR set_id IS NULL").select("doc_id", "n_shingles")
+    named = placed.join(empty.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    return placed.union(empty.join(named, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id")))
+
+
+def _same_id(whole: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the sets of a doc_id that comes with several texts, so that it is one document."""
+    twice = whole.groupBy("doc_id").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last")).filter("first < last").select("doc_id", "first")
+    named = sets.select("set_id", "id")
     return (
-        signed.select("doc_id", "n_shingles")
-        .join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        whole.select("doc_id", "set_id")
+        .join(twice, "doc_id")
+        .filter("set_id <> first")
+        .join(named.withColumnsRenamed({"id": "b"}), "set_id")
+        .drop("set_id")
+        .join(named.withColumnsRenamed({"id": "a", "set_id": "first"}), "first")
+        .select("a", "b")
+        .distinct()
     )
 
 
