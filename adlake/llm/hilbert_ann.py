@@ -20,7 +20,8 @@ nearer than other rows and the curves must cover most rows to reach a recall of
 0.9; `recall()` measures it against brute force.
 
 Defined results: vectors that are null, of another length than the sample's
-commonest, zero, or that hold null or non-finite components take no part;
+commonest, zero, or that hold null or non-finite components take no part (cosines
+need one length, which the contract does not state); lengths of any magnitude do;
 candidates with the query's own vec_id are left out; of repeated vec_ids the
 best score counts; ties go to the smaller vec_id; an empty table gives an empty
 result; other columns are ignored.
@@ -35,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import read_table
+from adlake.llm.common import in_batches, read_table
 
 QUERY_NAME = "op9_hilbert_ann"
 
 CURVES, DIMENSIONS, BITS, WINDOWS = 16, 8, 6, 32
-SAMPLE, BLOCK, SEED = 8192, 4096, 11
+SAMPLE, BLOCK, SEED = 8192, 16384, 11
 #: A table so small that a range would hold fewer sampled rows has fewer ranges.
 LEAST_IN_RANGE = 64
 
@@ -106,18 +107,23 @@ def usable(vectors: DataFrame) -> DataFrame:
     return whole.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(~odd & F.exists("vector", lambda x: x != 0))
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component to 0.5 or more and below 1: no length overflows or vanishes, and cosines stay as they are."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, initial=0))[1][:, None])
+
+
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    return scaled(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size))
 
 
 def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, cosine) of the k best rows of each query; ties to the smaller id, other rows of the query's own id left out."""
     lengths, query_lengths = np.linalg.norm(rows, axis=1), np.linalg.norm(queries, axis=1)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for a in range(0, len(queries), 256):
-        some = queries[a : a + 256]
-        near = (some @ rows.T) / lengths / query_lengths[a : a + 256, None]
-        near[query_ids[a : a + 256, None] == row_ids[None, :]] = -np.inf
+    for a in range(0, len(queries), 64):
+        some = queries[a : a + 64]
+        near = (some @ rows.T) / lengths / query_lengths[a : a + 64, None]
+        near[query_ids[a : a + 64, None] == row_ids[None, :]] = -np.inf
         least = np.partition(near, max(0, near.shape[1] - k), axis=1)[:, max(0, near.shape[1] - k)]
         for i in range(len(some)):
             # all rows that rounding could put among the best, once more by a sum of fixed order
@@ -142,7 +148,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
     size = int(sizes.argmax())
     fit = [v for v in fit if len(v) == size]
     windows = max(1, min(windows, len(fit) // LEAST_IN_RANGE))
-    fitted = Curves(np.array(fit, np.float64), curves=curves, windows=windows)
+    fitted = Curves(scaled(np.array(fit, np.float64)), curves=curves, windows=windows)
     rows = rows.filter(F.size("vector") == size)
     kind = rows.schema["vector"].dataType.simpleString()
     held = spark.sparkContext.broadcast(fitted)
@@ -156,7 +162,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(curves), windows)), pa.array(np.tile(np.arange(windows), curves)), pa.array(sums.ravel())], ["curve", "range", "n"])
 
     # curves x windows sums, whatever the input
-    counted = rows.select("vector").mapInArrow(count, "curve long, range long, n long").groupBy("curve", "range").agg(F.sum("n").alias("n")).toArrow()
+    counted = in_batches(rows.select("vector"), count, "curve long, range long, n long").groupBy("curve", "range").agg(F.sum("n").alias("n")).toArrow()
     parts = np.ones((curves, windows), np.int64)
     parts[counted["curve"].to_numpy(), counted["range"].to_numpy()] = np.maximum(1, -(-counted["n"].to_numpy() // block))
 
@@ -195,7 +201,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
             q, v, s = best_of(all_vectors[asks], ids[asks], all_vectors[~asks], ids[~asks], k)
         return pa.table({"query_id": q, "vec_id": v, "score": s})
 
-    dealt = rows.select("vec_id", "vector", F.coalesce(is_query, F.lit(False)).alias("asks")).mapInArrow(place, f"curve int, range int, part long, asks boolean, vec_id long, vector {kind}")
+    dealt = in_batches(rows.select("vec_id", "vector", F.coalesce(is_query, F.lit(False)).alias("asks")), place, f"curve int, range int, part long, asks boolean, vec_id long, vector {kind}")
     found = dealt.groupBy("curve", "range", "part").applyInArrow(rerank, schema)
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -205,7 +211,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
 def recall(found: DataFrame, vectors: DataFrame, is_query: Column, k: int = 5) -> float:
     """Share of the true k nearest that *found* holds, by brute force over all rows: for tests and measurements."""
     rows = usable(vectors).toArrow()
-    ids, all_vectors = rows["vec_id"].to_numpy(), np.array(rows["vector"].to_pylist(), np.float64)
+    ids, all_vectors = rows["vec_id"].to_numpy(), scaled(np.array(rows["vector"].to_pylist(), np.float64))
     asks = np.isin(ids, usable(vectors).filter(is_query).select("vec_id").toArrow()["vec_id"].to_numpy())
     q, v, _ = best_of(all_vectors[asks], ids[asks], all_vectors, ids, k)
     got = found.select("query_id", "vec_id").toArrow()
