@@ -9,8 +9,9 @@ step back.  A bit for every position that failed once keeps the search from tryi
 
 Texts fall into segments that no piece can cross: pieces hold U+2581 only in
 front or alone, and a code point that is in no piece becomes byte pieces by
-itself.  Each task keeps the encodings of segments that it has met, at most
-``cache_size`` of them.
+itself.  Each worker keeps the encodings of segments that it has met, at most
+``cache_size`` of them (about 100 MB), and twice as many verdicts on pairs of
+pieces (about 70 MB); full, they are emptied.
 
 Decoding joins the pieces, turns U+2581 into spaces, removes the one space that
 the encoder put in front, and reads runs of byte pieces as UTF-8; a byte that is
@@ -19,8 +20,8 @@ no valid UTF-8 becomes U+FFFD.
 Plan: one scan, no shuffle.  The model (half a megabyte) is read once on the
 driver and broadcast as bytes.
 
-Defined results: null counts as the empty text, with no ids; repeated rows are
-encoded each; an empty table gives an empty result; other columns are ignored.
+Defined results: null counts as the empty text, with no ids; repeated rows and
+rows with a null doc_id are encoded each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import read_table
+from adlake.llm.common import in_batches, read_table
 
 QUERY_NAME = "op10_bpe_backtrack"
 
@@ -131,7 +132,7 @@ class Pieces:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the two pieces' concatenation again gives just these two; left is -1 where a segment begins."""
-        if len(self._pairs) >= 4 * self.cache_size:
+        if len(self._pairs) >= 2 * self.cache_size:
             self._pairs.clear()
         pair = [self.pieces[i] for i in (left, right) if i >= 0]
         known = self._pairs[left << 32 | right] = self.remerge("".join(pair)) == pair
@@ -157,7 +158,7 @@ class Pieces:
         starts: list[list[int]] = [[] for _ in text]  # by rising end, so the longest is last
         for end, i in self.matcher.iter(text):
             starts[end + 1 - lengths[i]].append(i)
-        failed = 0  # a bit for each position from which the rest can't be covered
+        failed = bytearray()  # a bit for each position from which the rest can't be covered
         path, tried = [], []
         at, k, last, n = 0, 0, -1, len(text)
         while at < n:
@@ -165,7 +166,7 @@ class Pieces:
             while k < len(options):
                 k += 1
                 i = options[-k]
-                if failed and failed >> (at + lengths[i]) & 1:
+                if failed and failed[(end := at + lengths[i]) >> 3] >> (end & 7) & 1:
                     continue
                 fits = pairs.get(last << 32 | i)
                 if fits is None:
@@ -179,7 +180,8 @@ class Pieces:
             else:
                 if not path:
                     raise ValueError(f"no encoding of {text!r}")
-                failed |= 1 << at
+                failed = failed or bytearray((n >> 3) + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 at -= lengths[path.pop()]
                 k = tried.pop()
                 last = path[-1] if path else -1
@@ -305,7 +307,7 @@ def encode_documents(docs: DataFrame, model: bytes) -> DataFrame:
                 ids = [pieces.encode(t or "") for t in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(map(pieces.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(apply, "doc_id long, ids array<int>, decoded string")
+    return in_batches(docs.select(F.col("doc_id").cast("long"), "text"), apply, "doc_id long, ids array<int>, decoded string")
 
 
 def digest_documents(docs: DataFrame, model: bytes) -> DataFrame:
@@ -320,7 +322,7 @@ def digest_documents(docs: DataFrame, model: bytes) -> DataFrame:
                 n, ids, decoded = zip(*(pieces.digest(t or "") for t in rows.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(apply, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_batches(docs.select(F.col("doc_id").cast("long"), "text"), apply, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
