@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import bounded_broadcast, read_table, stored
+from adlake.llm.common import bounded_broadcast, in_batches, read_table, stored
 
 QUERY_NAME = "op2_html_consensus"
 
@@ -217,8 +217,7 @@ def host_winners(pages: DataFrame, winners: int = WINNERS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([sums[k] for k in keys], pa.float64())], ["host", "path", "votes"])
 
     votes = (
-        pages.select(host_of(F.col("url")).alias("host"), "html")
-        .mapInArrow(vote, "host string, path string, votes double")
+        in_batches(pages.select(host_of(F.col("url")).alias("host"), "html"), vote, "host string, path string, votes double")
         .groupBy("host", "path")
         .agg(F.round(F.sum("votes"), 6).alias("votes"))
     )
@@ -242,7 +241,7 @@ def extract_pages(pages: DataFrame, winners: int = WINNERS, broadcast_hosts: int
                 got = [main_text(p or "", w or []) for p, w in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([t for t, _ in got], pa.string()), pa.array([p for _, p in got], pa.string())], ["page_id", "url", "text", "path"])
 
-    return joined.select("page_id", "url", "html", "paths").mapInArrow(read, "page_id long, url string, text string, path string")
+    return in_batches(joined.select("page_id", "url", "html", "paths"), read, "page_id long, url string, text string, path string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

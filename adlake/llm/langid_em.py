@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import crc_mod, read_table
+from adlake.llm.common import crc_mod, in_batches, read_table
 from adlake.llm.textgrams import Texts, chunks
 
 QUERY_NAME = "op5_langid_em"
@@ -83,7 +83,7 @@ def trigram_counts(docs: DataFrame, usable: Column, buckets: int = BUCKETS) -> D
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(row[at])], ["lang", "bucket", "n"])
 
     rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    return rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return in_batches(rows, count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 def language_model(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> tuple[list[str], np.ndarray]:
@@ -155,7 +155,7 @@ def predict(docs: DataFrame, names: list[str], model: np.ndarray, max_languages:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, model = held.value
         for batch in batches:
-            for a, b, texts in chunks(batch.column(1), size=1 << 20):
+            for a, b, texts in chunks(batch.column(1)):
                 if not names:
                     pi = np.zeros((texts.n, 1))
                 else:
@@ -171,7 +171,7 @@ def predict(docs: DataFrame, names: list[str], model: np.ndarray, max_languages:
                 mix = [[(names[j], float(row[j])) for j in np.flatnonzero(row)] if s > 0 else [] for row, s in zip(pi, score)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found, pa.string()), pa.array(score), pa.array(mix, pa.map_(pa.string(), pa.float64()))], ["doc_id", "lang_pred", "score", "mixture"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(apply, "doc_id long, lang_pred string, score double, mixture map<string,double>")
+    return in_batches(docs.select(F.col("doc_id").cast("long"), "text"), apply, "doc_id long, lang_pred string, score double, mixture map<string,double>")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
