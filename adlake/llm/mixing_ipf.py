@@ -1,13 +1,16 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells of (source, language, topic).  Raking multiplies the
-cells' token weights by target / current for one marginal after the other, in a
-fixed number of rounds without a test of the remaining error.  A document's probability is its cell's weight
+cells' token weights by target / current for one marginal after the other, until
+all marginals are within TOLERANCE of their targets or ROUNDS have passed; what
+gap remains is reported (a warning for the tempered targets, an error for targets
+that the caller gives).  A document's probability is its cell's weight
 per token times a constant that keeps the asked share of tokens, at most 1; the
 document is kept if a hash of its doc_id falls below that.
 
 One scan aggregates the cells (pre-aggregated per task); raking runs on the cell
-table alone, each round written to the shared folder; a last scan joins the
+table alone: up to LOCAL_CELLS cells (counted) as one small numpy table, beyond
+that as DataFrame rounds written to the shared folder.  A last scan joins the
 cells' probabilities back - broadcast up to BROADCAST_CELLS cells.  Nothing is
 sampled before the decision.
 
@@ -22,15 +25,20 @@ empty table gives an empty result; other columns are carried.
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import bounded_broadcast, read_table, stored
+from adlake.llm.common import bounded_broadcast, drop_stored, read_table, stored
 
 QUERY_NAME = "op6_mixing_ipf"
 
-ROUNDS = 8
-BROADCAST_CELLS = 200_000
+ROUNDS, TOLERANCE = 40, 1e-13
+#: A gap of a marginal above this counts as a target that was not met.
+MET = 1e-6
+LOCAL_CELLS, BROADCAST_CELLS = 100_000, 200_000
 SEED = "mix-1"
 #: Exponent of the tempered targets of the registered query: below 1 it lifts small classes.
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.9}
@@ -58,19 +66,58 @@ def tempered(cells: DataFrame, name: str, exponent: float) -> DataFrame:
     return sums.join(F.broadcast(sums.agg(F.sum("lifted").alias("all"))), F.lit(True)).select(name, (F.col("lifted") / F.col("all")).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """*cells* (marginal columns, tokens) with the column w: shares that meet the targets' marginals.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE, local_cells: int = LOCAL_CELLS) -> DataFrame:
+    """*cells* (marginal columns, tokens) with w, shares that meet the targets' marginals, and gap, the largest difference that is left.
 
     targets: marginal column -> (column, target); classes without a target get none, targets are shares that sum to 1.
     """
-    cells = cells.withColumn("w", F.col("tokens").cast("double"))
-    for k in range(rounds):
+    cells = cells.select(*targets, "tokens")
+    few = cells.limit(local_cells + 1).count() <= local_cells
+    return _rake_table(cells, targets, rounds, tolerance) if few else _rake_frames(cells, targets, rounds, tolerance)
+
+
+def _rake_table(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float) -> DataFrame:
+    rows = cells.collect()
+    w = np.array([float(r["tokens"] or 0) for r in rows])
+    sides = []
+    for name, target in targets.items():
+        wanted = {r[name]: r["target"] for r in target.collect()}
+        classes = sorted({r[name] for r in rows} | set(wanted), key=lambda x: (x is None, x))
+        code = {c: k for k, c in enumerate(classes)}
+        sides.append((np.array([code[r[name]] for r in rows], np.int64), np.array([wanted.get(c, 0.0) for c in classes])))
+
+    def now(of: np.ndarray, goal: np.ndarray) -> np.ndarray:
+        return np.bincount(of, w, minlength=len(goal))
+
+    gap = 0.0
+    for _ in range(rounds if rows else 0):
+        for of, goal in sides:
+            sums = now(of, goal)
+            w = w * np.divide(goal, sums, out=np.zeros(len(goal)), where=sums > 0)[of]
+        gap = max(np.abs(now(of, goal) - goal).max() for of, goal in sides)
+        if gap <= tolerance:
+            break
+    schema = ", ".join([*(f"`{n}` {cells.schema[n].dataType.simpleString()}" for n in targets), "tokens long, w double, gap double"])
+    return cells.sparkSession.createDataFrame([(*(r[n] for n in targets), r["tokens"], float(x), float(gap)) for r, x in zip(rows, w)], schema)
+
+
+def _rake_frames(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float) -> DataFrame:
+    cells, gap = stored(cells.withColumn("w", F.col("tokens").cast("double")), "rake"), 0.0
+    for _ in range(rounds):
+        last = cells
         for name, target in targets.items():
             now = cells.groupBy(name).agg(F.sum("w").alias("_now"))
             factor = now.join(target, name, "left").select(name, F.coalesce(F.try_divide("target", "_now"), F.lit(0.0)).alias("_factor"))
             cells = cells.join(factor, name).withColumn("w", F.col("w") * F.col("_factor")).drop("_factor")
-        cells = stored(cells, f"rake{k}")
-    return cells
+        cells = stored(cells, "rake")
+        drop_stored(last)
+        gap = 0.0
+        for name, target in targets.items():
+            both = cells.groupBy(name).agg(F.sum("w").alias("_now")).join(target, name, "full")
+            gap = max(gap, both.agg(F.max(F.abs(F.coalesce("target", F.lit(0.0)) - F.coalesce("_now", F.lit(0.0))))).first()[0] or 0.0)
+        if gap <= tolerance:
+            break
+    return cells.withColumn("gap", F.lit(gap))
 
 
 def calibrate(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
@@ -80,7 +127,7 @@ def calibrate(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
         return cells.withColumn("probability", F.lit(0.0))
     budget = keep_share * float(total[0])
     c = budget / total[1]
-    for _ in range(12):  # what full cells can't take goes to the others
+    while True:  # what full cells can't take goes to the others; each step fills a cell more or is the last
         full = F.col("w") * F.lit(c) >= F.col("tokens")
         row = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("open")).first()
         if not row["open"]:
@@ -101,7 +148,14 @@ def mix(docs: DataFrame, topic: Column, temper: dict[str, float] = TEMPER, keep_
         named.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens")), "cells"
     )
     goals = targets or {name: stored(tempered(cells, name, e), f"target-{name}") for name, e in temper.items()}
-    fitted = calibrate(rake(cells, goals, rounds), keep_share).select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("w").alias("_w"), F.col("probability").alias("_probability"))
+    raked = rake(cells, goals, rounds)
+    gap = raked.agg(F.max("gap")).first()[0] or 0.0
+    if gap > MET:
+        said = f"the marginals differ from their targets by up to {gap:.3g} after {rounds} rounds: no cells allow these targets together"
+        if targets:
+            raise ValueError(said)
+        warnings.warn(said, stacklevel=2)
+    fitted = calibrate(raked, keep_share).select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("w").alias("_w"), F.col("probability").alias("_probability"))
     fitted = bounded_broadcast(stored(fitted, "fitted"), BROADCAST_CELLS)
     out = named.join(fitted, (F.col("_source") == F.col("_s")) & (F.col("_lang") == F.col("_l")) & (F.col("_topic") == F.col("_t"))).drop("_s", "_l", "_t")
     return out.withColumn("_kept", uniform(F.col("doc_id"), seed) < F.col("_probability"))
