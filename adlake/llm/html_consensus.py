@@ -45,14 +45,19 @@ SALTS = 16
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[/!?][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
-RAW = frozenset("script style textarea title noscript template iframe svg math object canvas audio video select button".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Dropped inside a block without parting it; left open, they end where the next block begins.
+MUTED = frozenset("svg math object canvas audio video select button".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var ruby rt rp center".split())
 CONTAINERS = frozenset("article main section div td body blockquote".split())
-DROPPED_TAGS = frozenset("nav header footer aside form fieldset menu dialog head".split())
+DROPPED_TAGS = frozenset("nav header footer aside form fieldset menu dialog head noscript template".split())
 DROPPED_WORDS = frozenset(
     "ad adbox ads adslot adv advert alert announcement adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer footer form login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Blocks with these words may be the article after all, if the rest of the page is next to nothing beside their unlinked text.
+DOUBTFUL = frozenset("alert announcement banner disclaimer login newsletter notice notices promo promotion related search share sharing signup social subscribe toolbar widget".split())
+DOUBT_CHARS, DOUBT_TIMES = 200, 4
 #: A name with one of these tells of another part of the page (`has-sidebar`), and an article is dropped for few words only.
 ABOUT_OTHERS = frozenset("has no with without".split())
 NO_ARTICLE = frozenset("ad ads advert comment comments promo related reply replies sponsored".split())
@@ -70,11 +75,12 @@ CLOSES = {
     "tr": frozenset(["tr"]),
     "option": frozenset(["option"]),
 }
+ENDS_MUTED = CLOSES["p"] | frozenset("li dt dd td th tr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Element:
-    __slots__ = ("tag", "step", "path", "dropped", "container", "good")
+    __slots__ = ("tag", "step", "path", "dropped", "doubtful", "container", "good")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None) -> None:
         got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
@@ -86,14 +92,30 @@ class Element:
         self.step = ".".join([tag, *classes])
         self.path = f"{parent.path}/{self.step}" if parent else self.step
         hidden = "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower()
-        boiler = tag in DROPPED_TAGS or bool(words & (NO_ARTICLE if tag in ("article", "main") else DROPPED_WORDS)) or bool(DROPPED_NAMES & set(names)) or got.get("role", "").lower() in DROPPED_ROLES or hidden
-        self.dropped = bool(parent and parent.dropped) or (boiler and tag not in ("body", "html"))
+        named = words & (NO_ARTICLE if tag in ("article", "main") else DROPPED_WORDS)
+        surely = tag in DROPPED_TAGS or tag in MUTED or bool(named - DOUBTFUL) or bool(DROPPED_NAMES & set(names)) or got.get("role", "").lower() in DROPPED_ROLES or hidden
+        self.dropped = bool(parent and parent.dropped) or (surely and tag not in ("body", "html"))
+        #: The outermost element around this one that only a doubtful name drops.
+        self.doubtful: Element | None = (parent and parent.doubtful) or (self if named and tag not in ("body", "html") else None)
         self.container = tag in CONTAINERS
         self.good = tag in ("article", "main") or bool(words & GOOD_WORDS)
 
 
-def blocks(page: str) -> Iterator[tuple[list[Element], str, int]]:
+def blocks(page: str) -> list[tuple[list[Element], str, int]]:
     """(open elements, text, linked characters) of each block outside boilerplate, in page order."""
+    found = list(_blocks(page))
+    sums: dict[int, list[int]] = {}
+    for stack, text, linked in found:
+        one = sums.setdefault(id(stack[-1].doubtful) if stack and stack[-1].doubtful else 0, [0, 0])
+        one[0] += len(text) - linked
+        one[1] += linked
+    sure = sums.pop(0, [0, 0])[0]
+    kept = {k for k, (free, linked) in sums.items() if free >= DOUBT_CHARS and free > DOUBT_TIMES * sure and free > 2 * linked}
+    return [b for b in found if not (b[0] and b[0][-1].doubtful) or id(b[0][-1].doubtful) in kept]
+
+
+def _blocks(page: str) -> Iterator[tuple[list[Element], str, int]]:
+    """Blocks outside sure boilerplate."""
     stack: list[Element] = []
     parts: list[str] = []
     linked, in_link, at = 0, 0, 0
@@ -115,7 +137,7 @@ def blocks(page: str) -> Iterator[tuple[list[Element], str, int]]:
             continue
         m = TOKEN.search(page, at)
         piece = page[at : m.start() if m else len(page)]
-        if piece:
+        if piece and not (stack and stack[-1].tag in MUTED):
             parts.append(piece)
             if in_link:
                 linked += len(piece)
@@ -130,6 +152,19 @@ def blocks(page: str) -> Iterator[tuple[list[Element], str, int]]:
             if not closing and not m[3].rstrip().endswith("/"):
                 skip_to = tag
             continue
+        if tag in MUTED:
+            if closing:
+                if any(e.tag == tag for e in stack):
+                    while stack.pop().tag != tag:
+                        pass
+            elif not m[3].rstrip().endswith("/"):
+                stack.append(Element(tag, "", stack[-1] if stack else None))
+            continue
+        if stack and stack[-1].tag in MUTED:
+            if all(e.tag != tag for e in stack) if closing else tag not in ENDS_MUTED:
+                continue
+            while stack and stack[-1].tag in MUTED:
+                stack.pop()
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if closing else 1
@@ -159,8 +194,12 @@ def blocks(page: str) -> Iterator[tuple[list[Element], str, int]]:
 
 def container_scores(page: str) -> dict[str, float]:
     """Score of each generalised container path of a page."""
+    return scores_of(blocks(page))
+
+
+def scores_of(found: list[tuple[list[Element], str, int]]) -> dict[str, float]:
     scores: dict[str, float] = defaultdict(float)
-    for stack, text, linked in blocks(page):
+    for stack, text, linked in found:
         gain = max(0, len(text) - 2 * linked)
         share = 1.0
         for e in reversed([e for e in stack if e.container][-2:]):
@@ -185,8 +224,8 @@ def climbed(path: str, winners: list[str], found: list[tuple[list[Element], str,
 
 def main_text(page: str, winners: list[str]) -> tuple[str, str]:
     """(text, path used) by the first winning path with text on the page, or the container around it."""
-    found = list(blocks(page))
-    own = container_scores(page)
+    found = blocks(page)
+    own = scores_of(found)
     tries = [(path, winners) for path in winners]
     if own:
         ranked = sorted(sorted(own), key=own.get, reverse=True)
