@@ -169,3 +169,25 @@ def test_toxicity(spark, make_docs):
     assert odd[0] == odd[1] and all(0 <= s <= 1 for s in odd)
     assert {r.s for r in toxicity_ftrl.score(docs, toxicity_ftrl.fit(docs, labels.limit(0)), name="s").collect()} == {0.0}
     assert toxicity_ftrl.score(docs.limit(0), model, name="s").count() == 0
+
+
+def test_quality_of_null_and_repeated_ids_and_bloom_filter(spark, make_docs):
+    docs = make_docs([(None, "good fine"), (1, "good fine"), (1, "good other"), (2, "bad junk")])
+    labels = spark.createDataFrame([(1, 1), (1, 1), (None, 1), (2, 0)], "doc_id long, quality int")
+    assert sorted(r.text for r in quality_llr.trusted(docs, labels).collect()) == ["good fine", "good other"]
+    assert len(quality_llr.quality(docs, labels).collect()) == 4
+    assert {r.text for r in quality_llr.trusted(docs, labels, broadcast_rows=0).collect()} == {"good fine", "good other"}
+
+
+def test_repeated_rows_have_one_language(sample, make_docs):
+    docs = sample("documents")
+    names, model = langid_em.language_model(langid_em.trigram_counts(docs, F.lit(True)))
+    got = langid_em.predict(make_docs([(3, "the thing is here"), (3, "the thing is here"), (None, "a"), (4, "ab")]), names, model).collect()
+    assert len(got) == 4 and len({(r.lang_pred, r.score) for r in got if r.doc_id == 3}) == 1 and all(r.lang_pred != "und" for r in got)
+
+
+def test_largest_of_several_labels_counts(spark, make_docs):
+    docs = make_docs([f"calm words number {k}" for k in range(40)] + [f"you idiot number {k}" for k in range(40)])
+    one = spark.createDataFrame([(k, int(k >= 40)) for k in range(80)], "doc_id long, toxic int")
+    more = one.union(spark.createDataFrame([(k, 0) for k in range(80)], one.schema))
+    assert toxicity_ftrl.fit(docs, more) == toxicity_ftrl.fit(docs, one)

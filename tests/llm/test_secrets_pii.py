@@ -1,5 +1,10 @@
+import hashlib
+import os
+import random
 import re
-from datetime import date
+from datetime import date, timedelta
+
+import duckdb
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +156,104 @@ def test_an_iban_takes_no_following_token(make_docs, iban):
 def test_a_card_behind_something_like_an_iban_is_masked(make_docs):
     out = masked(make_docs, "BE68 5390 0754 7034 4845 1681 1440 7329", "AB12 4845 1681 1440 7329", "AB12 4845 1681 1440 7328")
     assert all("4845" not in x for x in out[:2]) and out[1].startswith("AB12 ") and out[2] == "AB12 4845 1681 1440 7328"
+
+
+def test_scan_equals_sql(spark):
+    con, sf = duckdb.connect(), "/root/testdata/sf0.001"
+    for n in os.listdir(sf):
+        con.sql(f"CREATE VIEW {n.split('.')[0]} AS SELECT * FROM '{sf}/{n}'")
+    got, want = S.query(spark, sf).toPandas(), con.sql(S.ORACLE_SQL).df()
+    key = lambda d: sorted(map(repr, d[sorted(d.columns)].astype(object).itertuples(index=False, name=None)))
+    assert key(got) == key(want)
+
+
+def test_sql_links_weak_parts_alike(make_docs):
+    parts = ("user=joe ", "token=abc ", "host=db ", "0" * 17 + " ", "aB3" + "x" * 37 + " ", "AKIA12345 ", "y" * 150 + " ", "AKIA" + "Z" * 18 + " ", "=aB3" + "x" * 37 + " ", "é😀 ")
+    r = random.Random(2)
+    texts = ["".join(r.choice(parts) for _ in range(10)) for _ in range(60)]
+    docs = make_docs(texts)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = {i: s for i, s in con.sql(f"SELECT doc_id, spans FROM ({S.ORACLE_SQL})").fetchall()}
+    got = {x.doc_id: ",".join(f"{p.kind}:{p.start}:{p.end}" for p in sorted([*x.base, *x.linked], key=lambda p: (p.start, p["rank"], p.end))) for x in S.scan_secrets(docs).collect()}
+    assert got == want and any("key40" in s for s in got.values()) and any("short_access" in s for s in got.values())
+
+
+def test_text_of_many_matches(make_docs):
+    n = 20_000
+    (r,) = S.scan_secrets(make_docs(["0123456789abcdef01 user=joe " * n])).selectExpr("size(linked) AS n", "linked[39999].end AS last").collect()
+    assert (r.n, r.last) == (2 * n, 28 * n - 1)
+
+
+class Plain:
+    """The permutations of the module's text, one value at a time."""
+
+    def __init__(self, key):
+        self.key = key
+
+    def feistel(self, kind, a, b, size_a, size_b):
+        for i in range(1, 11):
+            digest = int(hashlib.sha256(f"{self.key}|{kind}|{i}|{b}".encode()).hexdigest()[:15], 16)
+            a, b = b, (a + digest) % (size_a if i % 2 else size_b)
+        return a, b
+
+    def digits(self, kind, d):
+        n, u = len(d), len(d) // 2
+        if n < 2:
+            return d
+        a, b = self.feistel(f"{kind}{n}", int(d[:u]), int(d[u:]), 10**u, 10 ** (n - u))
+        return f"{a:0{u}}{b:0{n - u}}"
+
+    def like(self, value, digits):
+        it = iter(digits)
+        return "".join(next(it) if c.isdigit() else c for c in value)
+
+    def card(self, m):
+        body = self.digits("card", re.sub("[^0-9]", "", m)[:-1])
+        return self.like(m, body + str(-luhn(body + "0") % 10))
+
+    def phone(self, m):
+        country = (re.match(r"\+[0-9]{1,3}(?![0-9])", m) or [""])[0]
+        rest = m[len(country) :]
+        return country + self.like(rest, self.digits("phone", re.sub("[^0-9]", "", rest)))
+
+    def ssn(self, m):
+        d = m.replace("-", "")
+        while True:
+            d = self.digits("ssn", d)
+            if d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000":
+                return self.like(m, d)
+
+    def ipv4(self, m):
+        p = list(map(int, m.split(".")))
+        a, b = self.feistel("ipv4", p[0] * 256 + p[1], p[2] * 256 + p[3], 65536, 65536)
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+
+    def iso(self, m):
+        first = date(1900, 1, 1)
+        x = (date.fromisoformat(m) - first).days
+        while True:
+            a, b = self.feistel("date", x // 271, x % 271, 271, 271)
+            x = a * 271 + b
+            if x < 73049:
+                return str(first + timedelta(days=x))
+
+    def iban(self, m):
+        body = m[4:]
+        new = self.like(body, self.digits("iban", re.sub("[^0-9]", "", body)))
+        number = int("".join(str(int(c, 36)) for c in new + m[:2] + "00"))
+        return f"{m[:2]}{98 - number % 97:02}{new}"
+
+
+def test_pseudonyms_equal_a_plain_version(make_docs):
+    r, plain, cases = random.Random(7), Plain("k"), []
+    for _ in range(25):
+        body = "4" + "".join(r.choice("0123456789") for _ in range(14))
+        card = body + str(-luhn(body + "0") % 10)
+        cases += [("card", card), ("card", " ".join(card[k : k + 4] for k in range(0, 16, 4))), ("phone", f"+1 ({r.randrange(200, 999)}) {r.randrange(200, 999)}-{r.randrange(1000, 9999)}"), ("phone", f"+49 30 {r.randrange(1000000, 9999999)}")]
+        cases += [("ssn", f"{r.randrange(100, 600):03}-{r.randrange(1, 99):02}-{r.randrange(1, 9999):04}"), ("ipv4", ".".join(str(r.randrange(256)) for _ in range(4))), ("iso", str(date(1900, 1, 1) + timedelta(days=r.randrange(73049))))]
+        bban = "WEST" + "".join(r.choice("0123456789") for _ in range(14))
+        cases.append(("iban", f"GB{98 - int(''.join(str(int(c, 36)) for c in bban + 'GB00')) % 97:02}{bban}"))
+    got = masked(make_docs, *(f"see {v} now" for _, v in cases))
+    assert got == [f"see {getattr(plain, kind)(v)} now" for kind, v in cases]
