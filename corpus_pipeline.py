@@ -10,6 +10,8 @@ return the columns of documents.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ from adlake.llm import bpe_backtrack, mixing_ipf, pii_feistel, superminhash, tox
 from adlake.llm.common import read_table, stored
 
 REJECT_SCORE = 0.5
+#: The session setting with the key of the pseudonyms (Spark hides settings with "secret" in its name in logs and UI).
+KEY_SETTING = "spark.adlake.pii.secret"
+
+
+def pii_key(spark: SparkSession) -> str:
+    """The session's key; where it names none, a random one for this session, so that nobody can undo its pseudonyms."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with pseudonyms; n_chars follows the text."""
-    masked = pii_feistel.mask_pii(docs, pii_feistel.QUERY_KEY)
+    """Texts with pseudonyms under the session's key; n_chars follows the text."""
+    masked = pii_feistel.mask_pii(docs, pii_key(spark))
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -51,7 +64,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("pii", pii), ("mixing", mixing), ("tokens", tokens)]
 
-#: SQL can express neither the classifier nor the encoder; tests hold the stages against brute force.
+#: SQL can express neither the classifier nor the encoder; test_pipeline_stages holds each stage against a plain version.
 ORACLE_SQL = None
 
 
