@@ -189,6 +189,8 @@ def _blocks(page: str) -> Iterator[tuple[list[Element], str, int]]:
             stack.pop()
         in_link = 0
         stack.append(Element(tag, m[3] or "", stack[-1] if stack else None))
+    while stack and stack[-1].tag in MUTED:
+        stack.pop()
     yield from flush()
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from adlake.llm import common
 from adlake.llm import superminhash as M
 from adlake.llm.components import connected_components
 
@@ -130,3 +131,20 @@ def test_connected_components(spark):
     want = groups(edges, {n for e in edges for n in e})
     assert got == {n: c for n, c in want.items() if n != 7}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_hot_keys_are_dealt_and_join_alike(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = spark.range(400).selectExpr("id", "IF(id < 300, 1, id) AS key")
+    sides = rows.groupBy("key").count().withColumnRenamed("count", "n").filter("key % 2 = 1").withColumn("side", F.col("key") * 2)
+    got = common.spread_join(rows, sides, "key")
+    assert sorted(map(tuple, got.select("id", "key", "n", "side").collect())) == sorted(map(tuple, rows.join(sides, "key").select("id", "key", "n", "side").collect()))
+    assert common.spread_join(rows.limit(0), sides, "key").count() == 0 and common.spread_join(rows, sides.limit(0), "key").count() == 0
+
+
+def test_many_copies_and_a_doc_id_with_several_texts(make_docs, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 8)
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    docs = [(k, a) for k in range(60)] + [(70, b), (71, b + " c"), (71, a), (72, None), (71, "")]
+    got = {(r.doc_id, r.component_id) for r in M.near_duplicates(make_docs(docs), 2).collect()}
+    assert got == {(k, 0) for k in [*range(60), 70, 71]} | {(72, 72)}

@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,10 @@ from adlake.llm import bpe_backtrack as B
 from adlake.llm import hilbert_ann as H
 from adlake.llm import html_consensus as X
 from adlake.llm import mixing_ipf as I
+from adlake.llm import pii_feistel as P
+from adlake.llm import toxicity_ftrl as T
+from adlake.llm.textgrams import chunks
+from test_dedup import brute
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var x="</p>";</script></head><body>
 <nav><ul><li><a href="/a">menu</a></ul></nav><div class="ad-7">buy</div><div class="sidebar"><p>side text that is rather long</p></div>
@@ -74,6 +79,62 @@ def test_linked_text_around_the_content_stays_out():
     assert X.main_text(page, [])[0] == LONG.strip()
 
 
+LOST = {
+    "<article><p>one</p><button>go<p>two</p></article><p>rest</p>": "one\ntwo",
+    "<article><p>one <button>go</button> more</p><select><option>a<option>b<p>two</p>": "one more\ntwo",
+    "<p>a<svg><g><text>z</text></g></svg>b</p><p>c": "ab\nc",
+    "<video src=x><p>t</p></video><p>u</p><noscript><p>on</p></noscript><p>v": "t\nu\nv",
+    "<ul><li>a<button>b<li>c</ul>d": "a\nc\nd",
+    "<p>a<canvas>b<audio>c": "a",
+}
+
+
+def test_open_elements_lose_no_text_behind_them():
+    for page, want in LOST.items():
+        assert X.main_text(page, [])[0] == want, page
+
+
+@pytest.mark.parametrize("name", ["share-price", "search", "related", "login-guide"])
+def test_a_doubtful_name_drops_no_main_text(name):
+    page = f"<body><nav><a href='/'>menu</a></nav><div class='{name}'><p>{LONG}</p></div><p>end</p></body>"
+    assert LONG.strip() in X.main_text(page, [])[0]
+    # but it does beside a main text, or where its text is linked
+    assert X.main_text(f"<body><article><p>{LONG}</p></article><div class='{name}'><p>{LONG} more</p></div></body>", [])[0] == LONG.strip()
+    assert "short" not in X.main_text(f"<body><p>end</p><div class='{name}'><a href='/'>{SHORT * 4}</a></div></body>", [])[0]
+
+
+def test_built_pages_are_read_back(spark):
+    """Pages built from known blocks, in random order with random boilerplate, broken and whole."""
+    r = random.Random(11)
+    rows, want = [], []
+    for k in range(120):
+        text = [" ".join(f"w{r.randrange(99)}" for _ in range(r.randrange(8, 60))) for _ in range(r.randrange(2, 9))]
+        kinds = [r.choice(("p", "li", "h2", "quote", "cell")) for _ in text]
+        close = r.random() < 0.7
+        tags = {"p": "<p>{}" + "</p>" * close, "li": "<ul><li>{}</ul>", "h2": "<h2>{}</h2>", "quote": "<blockquote>{}</blockquote>", "cell": "<table><tr><td>{}</table>"}
+        noise = ["<div class='ad-3'>buy now</div>", "<button>more", "<script>if (a < b) { '<p>' }</script>", "<aside><p>other</p></aside>", "<!-- x --><form><input><p>mail</p></form>", "<svg><title>i</title><path d='M0'/></svg>", "", ""]
+        body = "".join(tags[kind].format(t.replace(" ", r.choice((" ", "\n", "&nbsp;", "<b> </b>")), 1)) + r.choice(noise) for t, kind in zip(text, kinds))
+        box = r.choice(("<article class='post-{}'>{}</article>", "<main><div class='row'>{1}</div></main>", "<div class='page'><div class='content'>{1}</div></div>"))
+        rows.append((f"http://h{k % 5}.example/{k}", f"<html><body><header><p>top</p></header>{box.format(k, body)}<footer><p>end</p></footer></body></html>"))
+        want.append("\n".join(text))
+    got = {x.page_id: x.text for x in X.extract_pages(pages(spark, rows)).collect()}
+    assert [got[k] for k in range(120)] == want
+
+
+def test_raking_in_numpy_equals_frames_and_reports_its_gap(spark, make_docs):
+    cells = spark.createDataFrame([(s, l, (k * 37) % 91 + 5) for k, (s, l) in enumerate((s, l) for s in ("a", "b", None) for l in "xyz")], "source string, lang string, tokens long")
+    goal = lambda n, d: spark.createDataFrame(list(d.items()), f"{n} string, target double")
+    goals = {"source": goal("source", {"a": 0.3, "b": 0.7}), "lang": goal("lang", {"x": 0.5, "y": 0.2, "z": 0.3})}
+    a, b = ({(r.source, r.lang): (r.w, r.gap) for r in I.rake(cells.dropna(), goals, local_cells=n).collect()} for n in (100, 0))
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a) and all(g < 1e-12 for _, g in a.values())
+    only = cells.filter("source = 'a' AND lang = 'x' OR source = 'b' AND lang = 'y'")
+    for n in (100, 0):
+        assert I.rake(only, goals, 5, local_cells=n).first().gap > 0.1
+    docs = make_docs(["a b c"] * 3, lang="x")
+    with pytest.raises(ValueError, match="differ from their targets"):
+        I.mix(docs, F.lit("t"), targets={"source": goal("source", {"s": 0.5, "t": 0.5}), "lang": goal("lang", {"x": 1.0}), "topic": goal("topic", {"t": 1.0})})
+
+
 def test_mixing_equals_sql_and_meets_targets(spark, make_docs):
     for sf in ("/root/testdata/sf0.001",):
         con = duckdb.connect()
@@ -115,6 +176,23 @@ def test_search(spark, sample):
     assert found.exceptAll(small).count() == 0
 
 
+def test_recall_of_the_regime_of_large_tables(spark):
+    """32 ranges need 2,048 rows: the vectors of sf0.1, and noisy copies of them."""
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    more = e.select((F.col("vec_id") + 100_000).alias("vec_id"), F.transform("embedding", lambda x, k: (x + F.sin(F.col("vec_id") * 31 + k * 17) * 0.9).cast("float")).alias("embedding"))
+    e, asks = e.union(more), F.col("vec_id") % 50 == 0
+    assert e.count() >= H.LEAST_IN_RANGE * H.WINDOWS
+    assert H.recall(H.nearest(e, asks), e, asks) >= 0.9
+
+
+def test_search_vectors_of_extreme_length(spark):
+    rng = np.random.default_rng(0)
+    rows = [(k, (v * s).tolist()) for k, (v, s) in enumerate(zip(rng.normal(size=(5, 8)), (1.0, 1e-200, 1e-200, 1e200, 1e-300)))]
+    plain = [(k, (np.array(v) / np.abs(v).max()).tolist()) for k, v in rows]
+    found = [{r.rank: (r.vec_id, round(r.score, 9)) for r in H.nearest(spark.createDataFrame(x, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=3).collect()} for x in (rows, plain)]
+    assert len(found[0]) == 3 and found[0] == found[1]
+
+
 def test_search_odd_vectors(spark):
     one = [1.0, 0.0]
     rows = [(0, one), (1, one), (2, one), (3, [0.0, 1.0]), (4, None), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [1.0, float("nan")]), (8, [float("inf"), 1.0]), (9, [1.0]), (None, one), (50, [1.0, 1.0]), (2, one)]
@@ -173,3 +251,28 @@ def test_pipeline(spark):
     for _, f in corpus_pipeline.STAGES[:-1]:
         assert f(spark, odd, sf).columns == docs.columns
         assert f(spark, odd.limit(0), sf).count() == 0
+
+
+def test_pipeline_stages(spark, tokenizers):
+    """Each stage against a plain version on the rows that its predecessor kept."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: {r.doc_id: r for r in df.collect()}
+    kept = stages["toxicity"](spark, docs, sf).persist()
+    weights = T.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    total = lambda t: sum(weights.get(b, 0.0) for b in {int(x) for x in T.features(next(chunks(pa.array([t or ""]), lower=True))[2])[1]}) + weights.get(-1, 0.0)
+    before, after = rows(docs), rows(kept)
+    assert {i for i, r in before.items() if total(r.text) < 0} == set(after) and all(before[i] == r for i, r in after.items())
+    deduped = stages["near_dedup"](spark, kept, sf).persist()
+    groups = brute([(i, r.text) for i, r in after.items()], 5)
+    assert set(rows(deduped)) == {i for i, (_, c) in groups.items() if i == c}
+    masked = stages["pii"](spark, deduped, sf).persist()
+    hidden = rows(P.mask_pii(deduped, corpus_pipeline.pii_key(spark)))
+    assert {i: (r.text, r.n_chars) for i, r in rows(masked).items()} == {i: (r.text, r.text and len(r.text)) for i, r in hidden.items()}
+    mixed = stages["mixing"](spark, masked, sf).persist()
+    con, documents = duckdb.connect(), masked.select("doc_id", "text", "lang", "source").toPandas()
+    con.register("documents", documents)
+    assert set(rows(mixed)) == {r[0] for r in con.sql(f"SELECT doc_id FROM ({I.ORACLE_SQL}) WHERE kept").fetchall()}
+    for r in stages["tokens"](spark, mixed, sf).join(mixed.select("doc_id", "text"), "doc_id").collect():
+        assert list(r.ids) == tokenizers[1].encode(r.text or "") and r.n_tokens == len(r.ids)
