@@ -49,18 +49,20 @@ def attribution_candidates(events: DataFrame, lookback: str = "30 days") -> Data
 def last_touch(events: DataFrame, lookback: str = "30 days", strategy: str = "window") -> DataFrame:
     """Each order with its last click only: an as-of join.
 
-    window: one shuffle and no join - the largest (time, id) of the clicks in a range frame.  join: candidates and row
-    number, for users so hot that one task can't sort them.  Both give the same rows.
+    window: one shuffle and no join - the last click before each order in one pass over the sorted rows, dropped if it is
+    older than the look-back.  join: candidates and row number, for users so hot that one task can't sort them.  Both give
+    the same rows.
     """
     if strategy == "join":
         return attribution_candidates(events, lookback).filter("touchpoint_seq = 1").drop("touchpoint_seq")
     rows = events.filter("event_type IN ('order', 'click')")
     click = F.when(F.col("event_type") == "click", F.struct(F.col("event_ts").alias("t"), F.col("event_id").alias("i"), F.struct(*[F.col(c).alias(n) for c, n in _TOUCH.items()]).alias("touch")))
-    # a range frame over microseconds; null keys match nothing in a join, so they match nothing here
-    keyed = rows.withColumn("_us", F.unix_micros("event_ts"))
-    frame = Window.partitionBy("user_id", "advertiser_id").orderBy("_us").rangeBetween(-_micros(lookback), 0)
-    last = F.when(F.col("user_id").isNotNull() & F.col("advertiser_id").isNotNull(), F.max(click).over(frame))
-    out = keyed.withColumn("_last", last).filter("event_type = 'order'")
+    # clicks of an instant come before its orders; null keys match nothing in a join, so they match nothing here
+    first = F.when(F.col("event_type") == "click", 0).otherwise(1)
+    frame = Window.partitionBy("user_id", "advertiser_id").orderBy("event_ts", first, "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumn("_last", F.last(click, ignorenulls=True).over(frame)).filter("event_type = 'order'")
+    near = F.col("user_id").isNotNull() & F.col("advertiser_id").isNotNull() & (F.unix_micros("_last.t") >= F.unix_micros("event_ts") - _micros(lookback))
+    out = out.withColumn("_last", F.when(near, F.col("_last")))
     return _finish(out.select([F.col(c).alias(n) for c, n in _ORDER.items()] + [F.col(f"_last.touch.{n}").alias(n) for n in _TOUCH.values()]))
 
 

@@ -10,16 +10,26 @@ BROADCAST_ROWS = 500_000
 UNKNOWN = "UNKNOWN"
 
 
-def small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint after counting, so that a dimension that has grown is shuffled instead."""
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
+def small(side: DataFrame, max_rows: int = BROADCAST_ROWS, of: DataFrame | None = None) -> DataFrame:
+    """A broadcast hint after counting, so that a dimension that has grown is shuffled instead.
+
+    of: the dimension that *side* was made from, with no more rows; it is counted once and remembers it.
+    """
+    dim = side if of is None else of
+    if getattr(dim, "counted_to", None) != max_rows:
+        dim.few, dim.counted_to = dim.limit(max_rows + 1).count() <= max_rows, max_rows
+    return F.broadcast(side) if dim.few else side
 
 
 def lookup_enrich(df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], default: str = UNKNOWN) -> DataFrame:
-    """Adds dim's columns (cols: column of dim -> new name) by key; a miss or a blank key gives *default*."""
-    side = dim.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{n}") for c, n in cols.items()]).dropDuplicates(["_key"])
+    """Adds dim's columns (cols: column of dim -> new name) by key; a miss or a blank key gives *default*.
+
+    Of several rows of a key the largest counts, by the columns in their order.
+    """
+    row = F.max(F.struct(*[F.col(c).alias(f"_{n}") for c, n in cols.items()])).alias("_row")
+    side = dim.groupBy(F.col(key).alias("_key")).agg(row).select("_key", "_row.*")
     key_or_null = F.when(F.trim(F.col(key)) != "", F.col(key))
-    joined = df.join(small(side), key_or_null == F.col("_key"), "left")
+    joined = df.join(small(side, of=dim), key_or_null == F.col("_key"), "left")
     return joined.withColumns({n: F.coalesce(F.col(f"_{n}"), F.lit(default)) for n in cols.values()}).drop("_key", *[f"_{n}" for n in cols.values()])
 
 
@@ -41,4 +51,4 @@ def reenrich_unknown(dwd: DataFrame, dims: dict[str, tuple[DataFrame, dict[str,
 def ad_hierarchy(advertiser: DataFrame, campaign: DataFrame, unit: DataFrame, creative: DataFrame) -> DataFrame:
     """One row for each creative with a complete chain up to its advertiser."""
     up = unit.join(small(campaign), "campaign_id").join(small(advertiser), "advertiser_id")
-    return creative.drop("campaign_id").join(small(up), "unit_id")
+    return creative.drop("campaign_id").join(small(up, of=unit), "unit_id")

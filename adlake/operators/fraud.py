@@ -25,12 +25,19 @@ def _trailing(events: DataFrame, long: str, short: str, keys: Sequence[str], str
     complete = known[0] if len(known) == 1 else known[0] & known[1]
     is_click, is_view = F.col("event_type") == "click", F.col("event_type") == "impression"
     if strategy == "window":
-        rows = events.filter(is_click | is_view).withColumn("_us", F.unix_micros("event_ts"))
-        w = Window.partitionBy(*keys).orderBy("_us")
-        one, two = w.rangeBetween(-_micros(long), 0), w.rangeBetween(-_micros(short), 0)
+        # each event is counted from its time on and taken off when a span has passed, so that running sums are the counts of the spans
+        clicks, views = F.when(is_click, 1).otherwise(0), F.when(is_view, 1).otherwise(0)
+        steps = F.array(
+            F.struct(F.lit(0).alias("after"), clicks.alias("c"), views.alias("v"), views.alias("s")),
+            F.struct(F.lit(_micros(long) + 1).alias("after"), (-clicks).alias("c"), (-views).alias("v"), F.lit(0).alias("s")),
+            F.struct(F.lit(_micros(short) + 1).alias("after"), F.lit(0).alias("c"), F.lit(0).alias("v"), (-views).alias("s")),
+        )
+        rows = events.filter(is_click | is_view).withColumn("_e", F.explode(F.when(is_click, F.slice(steps, 1, 2)).otherwise(steps)))
+        w = Window.partitionBy(*keys).orderBy(F.unix_micros("event_ts") + F.col("_e.after")).rangeBetween(Window.unboundedPreceding, 0)
         # a null key matches nothing in the join form
-        count = lambda c, over: F.when(complete, F.coalesce(F.sum(F.when(c, 1).otherwise(0)).over(over), F.lit(0))).otherwise(0).cast("int")
-        return rows.withColumns({"click_cnt_1h": count(is_click, one), "impression_cnt_1h": count(is_view, one), "impression_cnt_1m": count(is_view, two)}).filter(is_click).drop("_us")
+        count = lambda c: F.when(complete, F.sum(f"_e.{c}").over(w)).otherwise(0).cast("int")
+        counted = rows.withColumns({"click_cnt_1h": count("c"), "impression_cnt_1h": count("v"), "impression_cnt_1m": count("s")})
+        return counted.filter(is_click & (F.col("_e.after") == 0)).drop("_e")
     past = events.filter(is_click | is_view).select(*[F.col(k).alias(f"h_{k}") for k in keys], F.col("event_ts").alias("h_ts"), F.col("event_type").alias("h_type"))
     clicks = events.filter(is_click)
     near = (F.col("h_ts") <= F.col("event_ts")) & (F.col("h_ts") >= F.col("event_ts") - F.expr(f"INTERVAL {long}"))
@@ -47,7 +54,7 @@ def _trailing(events: DataFrame, long: str, short: str, keys: Sequence[str], str
 def click_features(events: DataFrame, long: str = "1 hour", short: str = "1 minute", keys: Sequence[str] = ("user_id", "media"), base_ctr: float = 0.10, strategy: str = "window") -> DataFrame:
     """Features of each click.
 
-    window: sliding frames, one sort for each key set and no join.  join: range self-join, for keys so hot that one task
+    window: running sums, one sort for each key set and no join.  join: range self-join, for keys so hot that one task
     can't sort them.  Both give the same rows.  device, ip and ua columns are the proxies of the model: no such data exist.
     """
     clicks = _trailing(events, long, short, keys, strategy)

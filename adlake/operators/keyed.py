@@ -16,14 +16,20 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def upsert_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append a batch to a keyed table's log; a replay of the batch overwrites itself, so it counts once."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def upsert_batch(df: DataFrame, path: str, batch_id: int, run: str = "batch", seq: str | None = None) -> None:
+    """Append a batch to a keyed table's log; a replay of the batch overwrites itself, so it counts once.
+
+    run: who numbers the batches - for a stream its query's id, so that one with a new checkpoint, which begins at 0 again,
+    adds to the log.  seq: the column by which the last of a key's rows in one batch is known; else the order of the rows.
+    """
+    order = F.col(seq).cast("long") if seq else F.monotonically_increasing_id()
+    df.withColumns({"_written": F.current_timestamp(), "_seq": order}).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
 
 
 def read_keyed(spark, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current rows of a keyed table: the last batch of each key."""
-    return latest_by_key(spark.read.option("mergeSchema", "true").parquet(path), keys, "batch").drop("batch")
+    """The current rows of a keyed table: of each key the last row of the batch written last."""
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    return latest_by_key(rows, keys, ["_written", "batch", "_seq"]).drop("run", "batch", "_written", "_seq")
 
 
 def compact(spark, path: str, keys: Sequence[str], target: str, buckets: int | None = None) -> None:

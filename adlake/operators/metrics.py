@@ -73,10 +73,10 @@ def creative_offline(daily: DataFrame, advertiser: DataFrame, campaign: DataFram
     cr = creative.select("creative_id", F.col("creative_name").alias("_creative"), "format", "unit_id")
     facts = daily if as_of is None else daily.filter(F.col("stat_date") < as_of)
     rows = (
-        facts.join(small(cr), "creative_id", "left")
-        .join(small(campaign.select("campaign_id", "campaign_name", "objective", "budget", "status", "advertiser_id")), "campaign_id", "left")
-        .join(small(advertiser.select("advertiser_id", "advertiser_name", "industry", F.col("tier").alias("advertiser_tier"))), "advertiser_id", "left")
-        .join(small(unit.select("unit_id", "unit_name", "bid_type", "bid_amount")), "unit_id", "left")
+        facts.join(small(cr, of=creative), "creative_id", "left")
+        .join(small(campaign.select("campaign_id", "campaign_name", "objective", "budget", "status", "advertiser_id"), of=campaign), "campaign_id", "left")
+        .join(small(advertiser.select("advertiser_id", "advertiser_name", "industry", F.col("tier").alias("advertiser_tier")), of=advertiser), "advertiser_id", "left")
+        .join(small(unit.select("unit_id", "unit_name", "bid_type", "bid_amount"), of=unit), "unit_id", "left")
     )
     objective = F.when(F.col("objective") == "ROI", "ROAS").otherwise(F.col("objective"))
     return rows.select(
@@ -110,7 +110,7 @@ def creative_backfill(metrics_10s: DataFrame, hierarchy: DataFrame, as_of: str |
         F.sum("spend").cast("decimal(18,4)").alias("cost"), F.sum("gmv").cast("decimal(18,4)").alias("gmv"),
     )
     names = hierarchy.select("creative_id", F.col("creative_name").alias("_cr"), F.col("campaign_name").alias("_cmp"), F.col("advertiser_name").alias("_adv"), F.col("unit_name").alias("_unit"))
-    return facts.join(small(names), "creative_id", "left").select(
+    return facts.join(small(names, of=hierarchy), "creative_id", "left").select(
         "stat_date", "creative_id", F.coalesce("_cr", "creative_id").alias("creative_name"), "campaign_id", F.coalesce("_cmp", "campaign_id").alias("campaign_name"),
         "advertiser_id", F.coalesce("_adv", "advertiser_id").alias("advertiser_name"), "unit_id", F.coalesce("_unit", "unit_id").alias("unit_name"),
         "impressions", "clicks", "conversions", "orders", "cost", "gmv", *_ratios("clicks", "impressions", "conversions", "cost", "gmv"),

@@ -21,19 +21,19 @@ COUNTS = f"{_n('impression')} AS impressions, {_n('click')} AS clicks, {_n('conv
 CTES: dict[str, str] = {
     "ev": "SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events",
     "ad_events": """SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date,
-  'adv_' || (k % 10) AS advertiser_id, 'cmp_' || (k % 20) AS campaign_id, 'unit_' || (k % 40) AS unit_id, 'crt_' || k AS creative_id,
+  CASE WHEN k % 10 = 9 THEN 'adv_unlisted' ELSE 'adv_' || (k % 10) END AS advertiser_id, 'cmp_' || (k % 20) AS campaign_id, 'unit_' || (k % 40) AS unit_id, 'crt_' || k AS creative_id,
   ['douyin', 'kuaishou', 'bilibili', 'xiaohongshu', 'toutiao', 'weibo'][k % 6 + 1] AS media, 'user_' || user_id AS user_id,
   CASE event_type WHEN 'view' THEN 'impression' WHEN 'signup' THEN 'conversion' WHEN 'purchase' THEN 'order' ELSE event_type END AS event_type,
   CAST(CASE WHEN event_type = 'click' THEN value ELSE 0 END AS DECIMAL(18,4)) AS spend,
   CAST(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END AS DECIMAL(18,2)) AS gmv,
   CASE WHEN event_type = 'purchase' THEN 'ord_' || event_id END AS order_id FROM ev""",
     "adv": """SELECT 'adv_' || s_suppkey AS advertiser_id, s_name AS advertiser_name, ['game', 'retail', 'travel'][s_suppkey % 3 + 1] AS industry,
-  ['S', 'A', 'B', 'C'][s_suppkey % 4 + 1] AS tier, n_name AS home_region FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey < 9""",
-    "cmp": """SELECT 'cmp_' || c_custkey AS campaign_id, 'adv_' || (c_custkey % 10) AS advertiser_id, c_name AS campaign_name,
-  ['ROI', 'GMV', 'CTR', 'Retention'][c_custkey % 4 + 1] AS objective, CAST(c_acctbal AS DECIMAL(18,2)) AS budget, ['active', 'paused'][c_custkey % 2 + 1] AS status FROM customer WHERE c_custkey < 20""",
+  ['S', 'A', 'B', 'C'][s_suppkey % 4 + 1] AS tier, n_name AS home_region FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "cmp": """SELECT 'cmp_' || c_custkey AS campaign_id, CASE WHEN c_custkey % 10 = 9 THEN 'adv_unlisted' ELSE 'adv_' || (c_custkey % 10) END AS advertiser_id, c_name AS campaign_name,
+  ['ROI', 'GMV', 'CTR', 'Retention'][c_custkey % 4 + 1] AS objective, CAST(c_acctbal AS DECIMAL(18,2)) AS budget, ['active', 'paused'][c_custkey % 2 + 1] AS status FROM customer""",
     "unit": """SELECT 'unit_' || p_partkey AS unit_id, 'cmp_' || (p_partkey % 20) AS campaign_id, p_name AS unit_name, ['CPC', 'OCPC', 'CPM'][p_partkey % 3 + 1] AS bid_type,
-  CAST(p_retailprice AS DECIMAL(18,4)) AS bid_amount FROM part WHERE p_partkey < 40""",
-    "crt": "SELECT 'crt_' || p_partkey AS creative_id, 'unit_' || (p_partkey % 40) AS unit_id, 'cmp_' || (p_partkey % 20) AS campaign_id, p_name AS creative_name, p_type AS format FROM part WHERE p_partkey < 100",
+  CAST(p_retailprice AS DECIMAL(18,4)) AS bid_amount FROM part""",
+    "crt": "SELECT 'crt_' || p_partkey AS creative_id, 'unit_' || (p_partkey % 40) AS unit_id, 'cmp_' || (p_partkey % 20) AS campaign_id, p_name AS creative_name, p_type AS format FROM part",
     "hierarchy": "SELECT crt.creative_id, creative_name, format, unit_id, unit_name, bid_type, bid_amount, unit.campaign_id, campaign_name, objective, budget, status, advertiser_id, advertiser_name, industry, tier, home_region FROM crt JOIN unit USING (unit_id) JOIN cmp ON unit.campaign_id = cmp.campaign_id JOIN adv USING (advertiser_id)",
     "dwd": """SELECT e.*, coalesce(adv.advertiser_name, 'UNKNOWN') AS advertiser_name, coalesce(industry, 'UNKNOWN') AS industry, coalesce(tier, 'UNKNOWN') AS advertiser_tier,
   coalesce(campaign_name, 'UNKNOWN') AS campaign_name, coalesce(objective, 'UNKNOWN') AS campaign_objective, coalesce(creative_name, 'UNKNOWN') AS creative_name, coalesce(format, 'UNKNOWN') AS creative_format
@@ -75,12 +75,11 @@ CTES: dict[str, str] = {
     "fraud_day": """SELECT event_date, advertiser_id, max(advertiser_name) AS advertiser_name, CAST(sum(unique_users) AS BIGINT) AS suspicious_users, count(*) AS suspicious_windows, CAST(sum(click_count) AS BIGINT) AS suspicious_clicks,
   CAST(sum(suspicious_spend) AS DECIMAL(18,4)) AS suspicious_spend, round(avg(CAST(risk_score AS DOUBLE)), 6) AS avg_risk_score FROM signals GROUP BY ALL""",
     "active": "SELECT DISTINCT CAST(event_date AS DATE) AS d, creative_id AS e FROM ad_events WHERE spend > 0",
-    "retained": """SELECT CAST(b.d AS VARCHAR) AS cohort_date, count(DISTINCT b.e) AS cohort_size, count(DISTINCT r1.e) AS retained_1d, count(DISTINCT r7.e) AS retained_7d, count(DISTINCT r15.e) AS retained_15d, count(DISTINCT r30.e) AS retained_30d,
-"""
-    + ", ".join(f"{_r(f'count(DISTINCT r{n}.e)', 'count(DISTINCT b.e)')} AS rate_{n}d" for n in (1, 7, 15, 30))
-    + " FROM active b "
-    + " ".join(f"LEFT JOIN active r{n} ON r{n}.e = b.e AND r{n}.d = b.d + {n}" for n in (1, 7, 15, 30))
-    + " GROUP BY b.d",
+    "retained": "SELECT CAST(first AS VARCHAR) AS cohort_date, count(DISTINCT e) AS cohort_size, "
+    + ", ".join(f"count(DISTINCT CASE WHEN later = {n} THEN e END) AS retained_{n}d" for n in (1, 7, 15, 30))
+    + ", "
+    + ", ".join(f"{_r(f'count(DISTINCT CASE WHEN later = {n} THEN e END)', 'count(DISTINCT e)')} AS rate_{n}d" for n in (1, 7, 15, 30))
+    + " FROM (SELECT x.d AS first, x.e, y.d - x.d AS later FROM active x JOIN active y ON x.e = y.e AND y.d >= x.d) GROUP BY first",
     "creative_rows": f"""SELECT d.stat_date, d.creative_id, coalesce(crt.creative_name, d.creative_name, 'UNKNOWN') AS creative_name, coalesce(format, 'unknown') AS creative_format, d.campaign_id, coalesce(campaign_name, 'UNKNOWN') AS campaign_name,
   coalesce(CASE WHEN objective = 'ROI' THEN 'ROAS' ELSE objective END, 'UNKNOWN') AS campaign_objective, budget AS campaign_budget, coalesce(status, 'UNKNOWN') AS campaign_status, cmp.advertiser_id, coalesce(advertiser_name, 'UNKNOWN') AS advertiser_name,
   coalesce(industry, 'UNKNOWN') AS industry, coalesce(tier, 'UNKNOWN') AS advertiser_tier, crt.unit_id, coalesce(unit_name, 'UNKNOWN') AS unit_name, coalesce(bid_type, 'UNKNOWN') AS bid_type, bid_amount,

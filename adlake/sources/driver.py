@@ -28,6 +28,11 @@ def _id(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
+def _advertiser(number: Column) -> Column:
+    """One of nine advertisers, or one that no dimension lists, so that defaults are exercised."""
+    return F.when(number % 10 == 9, "adv_unlisted").otherwise(_id("adv_", number % 10))
+
+
 def as_ad_events(events: DataFrame) -> DataFrame:
     """The ad-event columns of a batch or stream of `events` rows; times are instants in the session's zone."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -37,7 +42,7 @@ def as_ad_events(events: DataFrame) -> DataFrame:
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts").cast("timestamp").alias("event_ts"),
         F.col("ts").cast("date").cast("string").alias("event_date"),
-        _id("adv_", k % 10).alias("advertiser_id"),
+        _advertiser(k).alias("advertiser_id"),
         _id("cmp_", k % 20).alias("campaign_id"),
         _id("unit_", k % 40).alias("unit_id"),
         _id("crt_", k).alias("creative_id"),
@@ -64,10 +69,10 @@ def _pick(number: Column, names: list[str]) -> Column:
 
 
 def dim_advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Advertisers 0 to 8; adv_9 is missing on purpose, so that defaults are exercised."""
+    """All suppliers as advertisers."""
     key = F.col("s_suppkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("home_region"))
-    supplier = read_table(spark, sf_dir, "supplier").filter(key < 9)
+    supplier = read_table(spark, sf_dir, "supplier")
     return supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).select(
         _id("adv_", key).alias("advertiser_id"), F.col("s_name").alias("advertiser_name"), _pick(key, ["game", "retail", "travel"]).alias("industry"), _pick(key, ["S", "A", "B", "C"]).alias("tier"), "home_region"
     )
@@ -75,15 +80,15 @@ def dim_advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    return read_table(spark, sf_dir, "customer").filter(key < 20).select(
-        _id("cmp_", key).alias("campaign_id"), _id("adv_", key % 10).alias("advertiser_id"), F.col("c_name").alias("campaign_name"),
+    return read_table(spark, sf_dir, "customer").select(
+        _id("cmp_", key).alias("campaign_id"), _advertiser(key).alias("advertiser_id"), F.col("c_name").alias("campaign_name"),
         _pick(key, ["ROI", "GMV", "CTR", "Retention"]).alias("objective"), F.col("c_acctbal").cast("decimal(18,2)").alias("budget"), _pick(key, ["active", "paused"]).alias("status"),
     )
 
 
 def dim_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    return read_table(spark, sf_dir, "part").filter(key < 40).select(
+    return read_table(spark, sf_dir, "part").select(
         _id("unit_", key).alias("unit_id"), _id("cmp_", key % 20).alias("campaign_id"), F.col("p_name").alias("unit_name"),
         _pick(key, ["CPC", "OCPC", "CPM"]).alias("bid_type"), F.col("p_retailprice").cast("decimal(18,4)").alias("bid_amount"),
     )
@@ -91,7 +96,7 @@ def dim_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_creative(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    return read_table(spark, sf_dir, "part").filter(key < 100).select(
+    return read_table(spark, sf_dir, "part").select(
         _id("crt_", key).alias("creative_id"), _id("unit_", key % 40).alias("unit_id"), _id("cmp_", key % 20).alias("campaign_id"), F.col("p_name").alias("creative_name"), F.col("p_type").alias("format")
     )
 

@@ -35,7 +35,8 @@ def parse_events(raw: DataFrame, zone: str = "Asia/Shanghai", topic: str = "ods_
     Valid: a JSON object with all required fields not blank and a ts with an offset.  Missing or unreadable money is 0.
     """
     e = F.from_json("value", EVENT_JSON, {"mode": "PERMISSIVE"})
-    rows = raw.select("value", e.alias("e")).select("value", "e.*")
+    # behind a generator the text is parsed once, however many columns are taken from it
+    rows = raw.select("value", F.explode(F.array(e)).alias("e")).select("value", "e.*")
     ts = F.when(F.col("ts").rlike(OFFSET), F.try_to_timestamp("ts"))
     blank = reduce(Column.__or__, [_blank(F.col(c)) for c in REQUIRED])
     zero = {c: F.coalesce(F.col(c), F.lit(0).cast(EVENT_JSON[c].dataType)) for c in ("bid_price", "spend", "gmv")}

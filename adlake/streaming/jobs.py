@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -23,6 +25,15 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns the checkpoint: it stays over restarts and is new with a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _keyed(df: DataFrame, path: str, batch_id: int, checkpoint: str, seq: str | None = None) -> None:
+    upsert_batch(df, path, batch_id, query_id(df.sparkSession, checkpoint), seq)
+
+
 def _start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str, once: bool, every: str) -> StreamingQuery:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
@@ -34,8 +45,8 @@ def ods_job(raw: DataFrame, ods_path: str, dirty_path: str, checkpoint: str, onc
     def sink(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_events(batch, zone).persist()
         valid, dirty = split_dirty(parsed)
-        upsert_batch(valid, ods_path, batch_id)
-        upsert_batch(dirty, dirty_path, batch_id)
+        _keyed(valid, ods_path, batch_id, checkpoint)
+        _keyed(dirty, dirty_path, batch_id, checkpoint)
         parsed.unpersist()
 
     return _start(raw, sink, checkpoint, "append", once, every)
@@ -43,7 +54,7 @@ def ods_job(raw: DataFrame, ods_path: str, dirty_path: str, checkpoint: str, onc
 
 def enrich_job(ods: DataFrame, enrich: Callable[[DataFrame], DataFrame], dwd_path: str, checkpoint: str, once: bool = False, every: str = "10 seconds") -> StreamingQuery:
     """The event log to the enriched log; dimensions are read anew in each micro-batch by *enrich*."""
-    return _start(ods, lambda batch, n: upsert_batch(enrich(batch), dwd_path, n), checkpoint, "append", once, every)
+    return _start(ods, lambda batch, n: _keyed(enrich(batch), dwd_path, n, checkpoint), checkpoint, "append", once, every)
 
 
 def metrics_job(
@@ -63,7 +74,7 @@ def metrics_job(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = lookup_enrich(batch, advertiser(), "advertiser_id", {"advertiser_name": "advertiser_name"}) if advertiser else batch
-        upsert_batch(rows, path, batch_id)
+        _keyed(rows, path, batch_id, checkpoint)
 
     return _start(metrics, sink, checkpoint, "append", once, every)
 
@@ -79,11 +90,11 @@ def cdc_job(changes: DataFrame, apply: Callable[[DataFrame, int], None], checkpo
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder; a temporary one only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder below the shared checkpoint folder; only a local master, whose executors share the driver's disk, may name none."""
+    base, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
     if not base:
-        import tempfile
-
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "adlake-streams")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
