@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adlake.plans.semantic import CHARTS, DATASETS
+from adlake.plans.semantic import CHARTS, DATASETS, REPORTS, Chart
 
 AS_OF = "2024-01-25"
 TS = "'%Y-%m-%d %H:%M:%S.%g'"
@@ -112,6 +112,8 @@ def _plain(table: str, doubles: str = "", times: str = "", where: str = "") -> s
     return f"SELECT *{replace} FROM {table}{where}"
 
 
+#: Windows that a watermark of five seconds has closed.
+_CLOSED = " WHERE window_end <= (SELECT max(event_ts) FROM ad_events) - INTERVAL 5 SECOND"
 _CLICK_DOUBLES = "spend ctr_deviation"
 
 FINAL: dict[str, str] = {
@@ -156,7 +158,14 @@ FINAL: dict[str, str] = {
     "metrics_10s": _plain("m10", "spend gmv", "window_start window_end"),
     "metrics_10s_enriched": _plain("m10_named", "spend gmv", "window_start window_end"),
     "metrics_change": _plain("m10_change", "spend gmv previous_spend previous_gmv spend_change gmv_change", "window_start window_end"),
-    "stream_metrics_10s": _plain("m10", "spend gmv", "window_start window_end"),
+    "stream_metrics_10s": _plain("m10", "spend gmv", "window_start window_end", _CLOSED),
+    "stream_metrics_dedupe": _plain("m10", "spend gmv", "window_start window_end", _CLOSED),
+    "stream_chain": f"SELECT event_id, strftime(event_ts, {TS}) AS event_ts, event_date, event_type, CASE WHEN CAST(event_id AS BIGINT) % 50 = 4 THEN -1 ELSE spend::DOUBLE END AS spend, gmv::DOUBLE AS gmv, advertiser_name, campaign_name, creative_name FROM dwd WHERE CAST(event_id AS BIGINT) % 50 NOT IN (1, 2, 3)",
+    "stream_cdc": _plain("current_orders", "gmv"),
+    "keyed_upserts": "SELECT order_id, status, gmv::DOUBLE AS gmv, op, seq FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) AS rn FROM changes) WHERE rn = 1",
+    "published_daily": _plain("daily", "cost_1d gmv_1d"),
+    "attr_detail_joined": _plain("detail", "order_gmv touch_spend", "order_ts click_ts"),
+    "fraud_signals_joined": _plain("signals", "suspicious_spend risk_score", "window_start window_end"),
     "stream_dwd": _plain("dwd", "spend gmv", "event_ts"),
     "reenrich_unknown": "SELECT event_id, advertiser_name FROM dwd",
     "latest_by_key": "SELECT order_id, status, gmv::DOUBLE AS gmv, op, seq FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) AS rn FROM changes) WHERE rn = 1",
@@ -173,15 +182,23 @@ FINAL: dict[str, str] = {
 _SOURCES = {"events_detail": "dwd", "realtime": "m10_change", "retention": "retained", "attribution": "summary", "order_detail": "detail", "creative": "creative_latest", "fraud": "fraud_day"}
 
 
-def _chart(name: str) -> str:
-    chart = CHARTS[name]
+def _where(chart: Chart) -> str:
+    """Filters and time range of a chart, as a condition."""
+    tests = [f"{c} IN ({', '.join(repr(v) for v in values)})" for c, values in chart.filters.items()]
+    start, _, end = (chart.time_range or " : ").partition(" : ")
+    day = f"substr(CAST({DATASETS[chart.dataset].time} AS VARCHAR), 1, 10)"
+    tests += [f"{day} {sign} '{x.strip()}'" for sign, x in ((">=", start), ("<", end)) if x.strip()]
+    return f" WHERE {' AND '.join(tests)}" if tests else ""
+
+
+def _chart(chart: Chart) -> str:
     spec = DATASETS[chart.dataset]
     keys = [*(["day"] if chart.grain else []), *chart.groupby]
     shown = [f"strftime({k}, {TS}) AS {k}" if k.endswith("_ts") else k for k in keys]
-    whole = ("count", "orders", "impressions", "clicks", "conversions", "users", "windows", "creatives")
+    whole = ("count", "orders", "events", "size", "retained_1d", "retained_7d", "impressions", "clicks", "conversions", "users", "windows", "creatives")
     cells = [f"CAST({spec.metrics[m]} AS {'BIGINT' if m.endswith(whole) else 'DOUBLE'}) AS {m}" for m in chart.metrics]
     day = f", substr(CAST({spec.time} AS VARCHAR), 1, 10) AS day" if chart.grain else ""
-    inner = f"SELECT {', '.join([*keys, *cells])} FROM (SELECT *{day} FROM {_SOURCES[chart.dataset]})" + (f" GROUP BY {', '.join(keys)}" if keys else "")
+    inner = f"SELECT {', '.join([*keys, *cells])} FROM (SELECT *{day} FROM {_SOURCES[chart.dataset]}{_where(chart)})" + (f" GROUP BY {', '.join(keys)}" if keys else "")
     first = chart.metrics[0]
     share = f", round({first}::DOUBLE / nullif(sum({first}::DOUBLE) OVER (), 0), 6) AS share" if chart.share else ""
     end = f" ORDER BY {first} DESC, {', '.join(f'{k} NULLS FIRST' for k in keys)} LIMIT {chart.limit}" if chart.limit else ""
@@ -191,4 +208,4 @@ def _chart(name: str) -> str:
 def sql() -> dict[str, str]:
     """Name -> whole statement."""
     head = "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in CTES.items()) + "\n"
-    return {n: head + q for n, q in FINAL.items()} | {f"bi_{n}": head + _chart(n) for n in CHARTS}
+    return {n: head + q for n, q in FINAL.items()} | {n: head + _chart(c) for n, c in REPORTS.items()} | {f"bi_{n}": head + _chart(c) for n, c in CHARTS.items()}

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.operators import attribution, enrich, keyed, metrics
+from adlake.operators import attribution, enrich, fraud, keyed, metrics
 from adlake.plans import oracles
 from adlake.plans.offline import Offline
-from adlake.plans.semantic import CHARTS
+from adlake.plans.semantic import CHARTS, REPORTS
 from adlake.sources import driver, events
 from adlake.streaming import jobs
 
@@ -60,8 +60,53 @@ def _reconcile(o: Offline) -> DataFrame:
     return keyed.reconcile(daily, batch, ["stat_date", "creative_id"], ["clicks"])
 
 
-def _stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.run_to_table(metrics.window_metrics(driver.ad_events_stream(spark, sf_dir)), "complete")
+def _stream_metrics(spark: SparkSession, sf_dir: str, dedupe: bool = False) -> DataFrame:
+    """Closed windows in append mode: the watermark bounds the state."""
+    events = driver.ad_events_stream(spark, sf_dir).withWatermark("event_ts", "5 seconds")
+    return jobs.run_to_table(metrics.window_metrics(events, dedupe=dedupe))
+
+
+def _stream_chain(o: Offline) -> DataFrame:
+    """Raw JSON to the event log, from there to the enriched log, each by its own job over the other's files."""
+    raw, ods, dirty, dwd = (jobs.shared_folder(o.spark, n) for n in ("raw", "ods", "dirty", "dwd"))
+    driver.raw_json(o.spark, o.sf_dir).write.text(raw)
+    jobs.ods_job(events.read_events_stream(o.spark, {"path": raw}, "text"), ods, dirty, jobs.shared_folder(o.spark, "offsets"), once=True, zone="UTC").awaitTermination()
+    log = o.spark.readStream.schema(o.spark.read.parquet(ods).schema).parquet(ods).drop("run", "batch", "_written", "_seq")
+    enrich_batch = lambda batch: enrich.enrich_dwd(batch, o.advertiser, o.campaign, o.creative)
+    jobs.enrich_job(log, enrich_batch, dwd, jobs.shared_folder(o.spark, "offsets"), once=True).awaitTermination()
+    rows = keyed.read_keyed(o.spark, dwd, ["event_id"])
+    return rows.select("event_id", "event_ts", "event_date", "event_type", "spend", "gmv", "advertiser_name", "campaign_name", "creative_name")
+
+
+def _cdc_stream(o: Offline) -> DataFrame:
+    """The change feed as a stream into a keyed log; deletes stay in the log until it is read."""
+    spark = o.spark
+    feed, table, checkpoint = (jobs.shared_folder(spark, n) for n in ("feed", "orders", "offsets"))
+    driver.order_changes(spark, o.sf_dir).withColumn("table", F.lit("orders")).write.parquet(feed)
+    changes = spark.readStream.schema(spark.read.parquet(feed).schema).parquet(feed)
+    jobs.cdc_job(changes, lambda batch, n: jobs.keyed_batch(keyed.route_changes(batch, "orders"), table, n, checkpoint, "seq"), checkpoint, once=True).awaitTermination()
+    return keyed.read_keyed(spark, table, ["order_id"]).filter("op <> 'd'").select("order_id", "status", "gmv")
+
+
+def _upserts(o: Offline) -> DataFrame:
+    """The change feed in three batches to a keyed table, the last one twice, then compacted."""
+    changes = driver.order_changes(o.spark, o.sf_dir)
+    path, target = jobs.shared_folder(o.spark, "keyed"), jobs.shared_folder(o.spark, "compact")
+    for n, op in ((0, "r"), (1, "u"), (2, "d"), (2, "d")):
+        keyed.upsert_batch(changes.filter(F.col("op") == op), path, n, seq="seq")
+    keyed.compact(o.spark, path, ["order_id"], target, 8)
+    return o.spark.read.parquet(target)
+
+
+def _published(o: Offline) -> DataFrame:
+    """Daily facts by date, two dates written again, then published; a second publication finds its target present."""
+    parts, target = jobs.shared_folder(o.spark, "daily"), jobs.shared_folder(o.spark, "published")
+    keyed.write_partitioned(o.daily, parts, "stat_date")
+    keyed.write_partitioned(o.daily.filter(F.col("stat_date").isin("2024-01-03", "2024-01-04")), parts, "stat_date")
+    rows = o.spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(parts).withColumn("stat_date", F.col("stat_date").cast("string"))
+    keyed.publish_snapshot(rows, target, ["cost_1d", "gmv_1d"])
+    keyed.publish_snapshot(rows.limit(0), target, skip_if_present="stat_date")
+    return o.spark.read.parquet(target).select(*o.daily.columns)
 
 
 def _stream_dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +147,15 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "metrics_10s_enriched": lambda o: o.metrics_named,
     "metrics_change": lambda o: o.realtime,
     "stream_metrics_10s": lambda o: _stream_metrics(o.spark, o.sf_dir),
+    "stream_metrics_dedupe": lambda o: _stream_metrics(o.spark, o.sf_dir, dedupe=True),
     "stream_dwd": lambda o: _stream_dwd(o.spark, o.sf_dir),
+    "stream_chain": _stream_chain,
+    "stream_cdc": _cdc_stream,
+    "keyed_upserts": _upserts,
+    "published_daily": _published,
+    "attr_detail_joined": lambda o: attribution.order_detail(o.candidates, o.points),
+    "fraud_signals_joined": lambda o: fraud.fraud_signals(o.fraud, o.clicks),
+    **{name: lambda o, q=q: q.run(o.dataset(q.dataset)) for name, q in REPORTS.items()},
     "reenrich_unknown": _late_names,
     "latest_by_key": lambda o: keyed.latest_by_key(driver.order_changes(o.spark, o.sf_dir), ["order_id"], "seq"),
     "cdc_apply": lambda o: _orders_now(o.spark, o.sf_dir),

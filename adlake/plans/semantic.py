@@ -132,9 +132,10 @@ class Chart:
     limit: int | None = None
     share: bool = False
     filters: dict[str, tuple] = field(default_factory=dict)
+    time_range: str | None = None
 
     def run(self, df: DataFrame) -> DataFrame:
-        return query(self.dataset, df, self.groupby, self.metrics, self.filters, None, self.grain, self.limit, self.share)
+        return query(self.dataset, df, self.groupby, self.metrics, self.filters, self.time_range, self.grain, self.limit, self.share)
 
 
 def _kpis(prefix: str, dataset: str, metrics: str) -> dict[str, Chart]:
@@ -182,3 +183,13 @@ CHARTS: dict[str, Chart] = {
     "fraud_top_score": Chart("fraud", ("avg_risk_score",), ("advertiser_name",), limit=10),
     "fraud_detail": Chart("fraud", ("suspicious_users", "suspicious_windows", "suspicious_clicks", "suspicious_spend", "avg_risk_score"), ("event_date", "advertiser_id", "advertiser_name"), limit=1000),
 }
+
+#: Reports beside the charts: the event dataset, filters and time ranges, and the metrics that no chart shows.
+REPORTS: dict[str, Chart] = {
+    "report_events": Chart("events_detail", ("count", "total_spend", "total_gmv", "impression_events", "click_events", "conversion_events"), ("advertiser_name",), grain="day"),
+    "report_active_creatives": Chart("creative", ("active_creatives", "row_count", "total_gmv"), ("industry",), filters={"campaign_objective": ("ROAS", "GMV")}, time_range="2024-01-05 : 2024-01-20"),
+    "report_attribution_rates": Chart("attribution", ("count", "total_conversions", "attributed_gmv_rate", "attributed_spend"), ("advertiser_name",), time_range="2024-01-10 : "),
+    "report_realtime_changes": Chart("realtime", ("count", "total_orders", "spend_change", "gmv_change"), ("advertiser_name",)),
+    "report_cohorts": Chart("retention", ("count", "cohort_size", "retained_1d", "retained_7d"), grain="day"),
+    "report_attribution_types": Chart("order_detail", ("order_count", "order_gmv"), ("attribution_type",), filters={"is_attributed": (True,)}, time_range=" : 2024-01-16"),
+}

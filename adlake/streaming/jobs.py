@@ -30,7 +30,8 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def _keyed(df: DataFrame, path: str, batch_id: int, checkpoint: str, seq: str | None = None) -> None:
+def keyed_batch(df: DataFrame, path: str, batch_id: int, checkpoint: str, seq: str | None = None) -> None:
+    """A micro-batch to a keyed log, numbered by its query."""
     upsert_batch(df, path, batch_id, query_id(df.sparkSession, checkpoint), seq)
 
 
@@ -45,8 +46,8 @@ def ods_job(raw: DataFrame, ods_path: str, dirty_path: str, checkpoint: str, onc
     def sink(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_events(batch, zone).persist()
         valid, dirty = split_dirty(parsed)
-        _keyed(valid, ods_path, batch_id, checkpoint)
-        _keyed(dirty, dirty_path, batch_id, checkpoint)
+        keyed_batch(valid, ods_path, batch_id, checkpoint)
+        keyed_batch(dirty, dirty_path, batch_id, checkpoint)
         parsed.unpersist()
 
     return _start(raw, sink, checkpoint, "append", once, every)
@@ -54,7 +55,7 @@ def ods_job(raw: DataFrame, ods_path: str, dirty_path: str, checkpoint: str, onc
 
 def enrich_job(ods: DataFrame, enrich: Callable[[DataFrame], DataFrame], dwd_path: str, checkpoint: str, once: bool = False, every: str = "10 seconds") -> StreamingQuery:
     """The event log to the enriched log; dimensions are read anew in each micro-batch by *enrich*."""
-    return _start(ods, lambda batch, n: _keyed(enrich(batch), dwd_path, n, checkpoint), checkpoint, "append", once, every)
+    return _start(ods, lambda batch, n: keyed_batch(enrich(batch), dwd_path, n, checkpoint), checkpoint, "append", once, every)
 
 
 def metrics_job(
@@ -74,7 +75,7 @@ def metrics_job(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = lookup_enrich(batch, advertiser(), "advertiser_id", {"advertiser_name": "advertiser_name"}) if advertiser else batch
-        _keyed(rows, path, batch_id, checkpoint)
+        keyed_batch(rows, path, batch_id, checkpoint)
 
     return _start(metrics, sink, checkpoint, "append", once, every)
 

@@ -81,3 +81,16 @@ def test_window_form_equals_join_form(events):
     a, b = (A.last_touch(events, strategy=s) for s in ("window", "join"))
     b = b.select(a.columns)
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_a_user_with_most_rows(spark):
+    """Clicks and orders of one user by the second; both forms agree, also at the end of the look-back."""
+    rows = [event(f"{k:05}", ("click", "order", "click")[k % 3], T + timedelta(seconds=k // 2), "bot", gmv=1) for k in range(6000)]
+    rows += [event("late", "order", T + timedelta(seconds=2999, days=30), "bot"), event("later", "order", T + timedelta(seconds=3000, days=30), "bot")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a = A.last_touch(df)
+    b = A.last_touch(df.filter("event_id > '05000' OR event_type = 'order'"), strategy="join").select(a.columns)
+    recent = "outcome_event_id > '05010'"
+    assert a.filter(recent).exceptAll(b.filter(recent)).isEmpty() and b.filter(recent).exceptAll(a.filter(recent)).isEmpty()
+    got = {r.outcome_event_id: r.touch_event_id for r in a.filter("outcome_event_id LIKE 'late%'").collect()}
+    assert got == {"late": "05999", "later": None}

@@ -125,3 +125,21 @@ def test_semantic_ratio_of_sums_share_and_ties(spark):
     assert query("realtime", df, metrics=["count"], time_range="Last 14 days", as_of="2024-01-02").first()[0] == 1
     assert query("realtime", df, metrics=["count"], filters={"advertiser_name": ["a"]}).first()[0] == 1
     assert len(CHARTS) == 50
+
+
+def test_events_are_parsed_once(spark):
+    valid, _ = events.split_dirty(events.parse_events(raw(spark, {})))
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("jsontostructs") == 1
+
+
+def test_last_row_of_a_batch_by_sequence_and_largest_dimension_row(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "new", 9), (1, "old", 3)], "id int, v string, seq int")
+    keyed.upsert_batch(rows, str(tmp_path / "t"), 0, seq="seq")
+    assert [r.v for r in keyed.read_keyed(spark, str(tmp_path / "t"), ["id"]).collect()] == ["new"]
+    keyed.upsert_batch(rows.filter("v = 'old'"), str(tmp_path / "t"), 0, run="other")
+    assert [r.v for r in keyed.read_keyed(spark, str(tmp_path / "t"), ["id"]).collect()] == ["old"]
+    dim = spark.createDataFrame([("a", "x", None), ("a", "y", "z"), ("a", "y", None)], "k string, name string, more string")
+    df = spark.createDataFrame([("a",)], "k string")
+    assert lookup_enrich(df, dim, "k", {"name": "name", "more": "more"}).first()[1:] == ("y", "z")
+    assert lookup_enrich(df, dim, "k", {"name": "name"}).first().name == "y" and dim.few

@@ -33,7 +33,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("bi_")] + ["bi_realtime_daily", "bi_creative_kpi_latest_roas", "bi_attribution_share_gmv", "bi_creative_detail"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("bi_")] + ["bi_realtime_daily", "bi_creative_kpi_latest_roas", "bi_attribution_share_gmv", "bi_creative_detail", "bi_retention_daily"])
 def test_query_equals_sql(spark, duck, name):
     got, want = QUERIES[name](spark, SF).toPandas(), duck.sql(SQL[name]).df()
     columns = sorted(got.columns)

@@ -56,3 +56,20 @@ def test_ods_job_splits_dirty_and_bears_replay(spark, tmp_path):
         jobs.ods_job(raw, str(tmp_path / "ods"), str(tmp_path / "dirty"), str(tmp_path / "cp"), once=True).awaitTermination()
     assert read_keyed(spark, str(tmp_path / "ods"), ["event_id"]).count() == 1
     assert spark.read.parquet(str(tmp_path / "dirty")).count() == 2
+
+
+def test_replay_after_a_crash_before_the_commit(spark, tmp_path):
+    src, cp = tmp_path / "in", tmp_path / "cp"
+    write(src, "1.txt", [line("1", 1), "broken", line("2", 2)])
+    raw = read_events_stream(spark, {"path": str(src)}, "text")
+    run = lambda checkpoint: jobs.ods_job(raw, str(tmp_path / "ods"), str(tmp_path / "dirty"), str(checkpoint), once=True).awaitTermination()
+    run(cp)
+    for f in (cp / "commits").glob("*0*"):  # as if the job had died between its sink and the commit: the batch runs again
+        f.unlink()
+    run(cp)
+    assert spark.read.parquet(str(tmp_path / "ods")).count() == 2 and spark.read.parquet(str(tmp_path / "dirty")).count() == 1
+    # a job with a new checkpoint begins at batch 0 again and overwrites nothing
+    write(src, "2.txt", [line("3", 3)])
+    (src / "1.txt").unlink()
+    run(tmp_path / "cp2")
+    assert sorted(r.event_id for r in read_keyed(spark, str(tmp_path / "ods"), ["event_id"]).collect()) == ["1", "2", "3"]
