@@ -5,13 +5,13 @@ and in which every two neighbours stay as they are when their concatenation is
 merged again.  So no merge queue over the text is needed: from the left, take
 the longest piece that an Aho-Corasick automaton finds at the place; if it is
 not compatible with the piece before, try the next shorter one; if none fits,
-step back.  A bit for every position that failed once keeps the search from trying it again.
+step back.  A flag for every position that failed once keeps the search from trying it again.
 
 Texts fall into segments that no piece can cross: pieces hold U+2581 only in
 front or alone, and a code point that is in no piece becomes byte pieces by
 itself.  Each worker keeps the encodings of segments that it has met, at most
-``cache_size`` of them (about 100 MB), and twice as many verdicts on pairs of
-pieces (about 70 MB); full, they are emptied.
+``cache_size`` of them (about 100 MB), and four times as many verdicts on pairs of
+pieces (about 140 MB); full, they are emptied.
 
 Decoding joins the pieces, turns U+2581 into spaces, removes the one space that
 the encoder put in front, and reads runs of byte pieces as UTF-8; a byte that is
@@ -132,7 +132,7 @@ class Pieces:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the two pieces' concatenation again gives just these two; left is -1 where a segment begins."""
-        if len(self._pairs) >= 2 * self.cache_size:
+        if len(self._pairs) >= 4 * self.cache_size:
             self._pairs.clear()
         pair = [self.pieces[i] for i in (left, right) if i >= 0]
         known = self._pairs[left << 32 | right] = self.remerge("".join(pair)) == pair
@@ -158,7 +158,7 @@ class Pieces:
         starts: list[list[int]] = [[] for _ in text]  # by rising end, so the longest is last
         for end, i in self.matcher.iter(text):
             starts[end + 1 - lengths[i]].append(i)
-        failed = bytearray()  # a bit for each position from which the rest can't be covered
+        failed = bytearray(len(text) + 1)  # a flag for each position from which the rest can't be covered
         path, tried = [], []
         at, k, last, n = 0, 0, -1, len(text)
         while at < n:
@@ -166,7 +166,7 @@ class Pieces:
             while k < len(options):
                 k += 1
                 i = options[-k]
-                if failed and failed[(end := at + lengths[i]) >> 3] >> (end & 7) & 1:
+                if failed[at + lengths[i]]:
                     continue
                 fits = pairs.get(last << 32 | i)
                 if fits is None:
@@ -180,8 +180,7 @@ class Pieces:
             else:
                 if not path:
                     raise ValueError(f"no encoding of {text!r}")
-                failed = failed or bytearray((n >> 3) + 1)
-                failed[at >> 3] |= 1 << (at & 7)
+                failed[at] = 1
                 at -= lengths[path.pop()]
                 k = tried.pop()
                 last = path[-1] if path else -1
