@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -38,6 +40,16 @@ def compact(spark, path: str, keys: Sequence[str], target: str, buckets: int | N
     (rows.repartition(buckets, *keys) if buckets else rows).write.mode("overwrite").parquet(target)
 
 
+def tail_keyed(spark: SparkSession, path: str, since: Column, schema: str | None = None) -> DataFrame:
+    """A keyed table's log as a stream of only what is written after *since* (an instant); the filter reaches the row groups.
+
+    A restarted stream must name the same instant as before, or rows written meanwhile are lost.
+    schema: the log's columns; else they are read from the files there now.
+    """
+    rows = spark.readStream.schema(schema or spark.read.option("mergeSchema", "true").parquet(path).schema).parquet(path)
+    return rows.filter(F.col("_written") > since).drop("run", "batch", "_written", "_seq")
+
+
 def write_partitioned(df: DataFrame, path: str, by: str) -> None:
     """Write by date; only the dates in *df* are replaced.  Rows of a date gather by a shuffle that Spark may split."""
     df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
@@ -48,6 +60,11 @@ def route_changes(changes: DataFrame, table: str) -> DataFrame:
     return changes.filter(F.col("table") == table).drop("table")
 
 
+def local_times(changes: DataFrame, columns: Sequence[str], zone: str = "Asia/Shanghai") -> DataFrame:
+    """The change feed's UTC times as wall-clock times of *zone*; nulls stay."""
+    return changes.withColumns({c: F.from_utc_timestamp(F.col(c).cast("timestamp"), zone) for c in columns})
+
+
 def cdc_apply(base: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str = "seq", op: str = "op") -> DataFrame:
     """*base* after the changes (op r, c, u or d): the last change of each key by *seq* wins; new columns are added, null in old rows."""
     rest = [c for c in changes.columns if c not in keys]
@@ -118,5 +135,54 @@ def upsert_messages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 100, properties: dict[str, str] | None = None) -> None:
-    """Append a batch over JDBC in groups of rows; the target upserts by its primary key."""
+    """Append a batch over JDBC in groups of rows."""
     df.write.option("batchsize", batch_size).mode("append").jdbc(url, table, properties=properties or {})
+
+
+def _execute(spark: SparkSession, url: str, statements: Sequence[str], properties: dict[str, str]) -> None:
+    """Statements in one transaction, sent by the driver: they move no rows through it."""
+    jvm = spark._jvm
+    if "driver" in properties:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    settings = jvm.java.util.Properties()
+    for name, value in properties.items():
+        settings.setProperty(name, value)
+    connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for sql in statements:
+            statement.executeUpdate(sql)
+        connection.commit()
+    except Py4JJavaError:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def upsert_jdbc(
+    df: DataFrame, url: str, table: str, stage: str, keys: Sequence[str], order: str | None = None, batch_size: int = 100, tries: int = 3, wait: float = 1.0, properties: dict[str, str] | None = None
+) -> None:
+    """Write a batch over JDBC so that each key has one row, the batch's; a replay or a second try changes nothing.
+
+    Executors fill *stage*, a table with the target's columns and types that belongs to this writer; then one transaction
+    takes the stage's keys from the target and puts the stage's rows there.  order: the column by which the last of a key's
+    rows is known (without it keys must be unique).  A failed try is repeated after *wait* seconds, twice as long each time.
+    """
+    spark, properties = df.sparkSession, properties or {}
+    rows = latest_by_key(df, keys, order) if order else df
+    quote = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
+    for n in range(tries):
+        try:
+            there = {c.lower(): quote(c) for c in spark.read.jdbc(url, table, properties=properties).columns}
+            columns = ", ".join(there[c.lower()] for c in rows.columns)
+            same = " AND ".join(f"{stage}.{there[k.lower()]} = {table}.{there[k.lower()]}" for k in keys)
+            rows.write.option("batchsize", batch_size).option("truncate", True).mode("overwrite").jdbc(url, stage, properties=properties)
+            # a task that Spark ran twice may have left its rows twice
+            _execute(spark, url, [f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {stage} WHERE {same})", f"INSERT INTO {table} ({columns}) SELECT DISTINCT {columns} FROM {stage}"], properties)
+            return
+        except Py4JJavaError:
+            if n == tries - 1:
+                raise
+            time.sleep(wait * 2**n)

@@ -114,6 +114,8 @@ def _plain(table: str, doubles: str = "", times: str = "", where: str = "") -> s
 
 #: Windows that a watermark of five seconds has closed.
 _CLOSED = " WHERE window_end <= (SELECT max(event_ts) FROM ad_events) - INTERVAL 5 SECOND"
+#: Midnight of a step's day, eight hours on.
+_LOCAL = f"strftime(CAST(CAST(o_orderdate AS DATE) + CAST(days AS INT) AS TIMESTAMP) + INTERVAL 8 HOUR, {TS})"
 _CLICK_DOUBLES = "spend ctr_deviation"
 
 FINAL: dict[str, str] = {
@@ -162,6 +164,10 @@ FINAL: dict[str, str] = {
     "stream_metrics_dedupe": _plain("m10", "spend gmv", "window_start window_end", _CLOSED),
     "stream_chain": f"SELECT event_id, strftime(event_ts, {TS}) AS event_ts, event_date, event_type, CASE WHEN CAST(event_id AS BIGINT) % 50 = 4 THEN -1 ELSE spend::DOUBLE END AS spend, gmv::DOUBLE AS gmv, advertiser_name, campaign_name, creative_name FROM dwd WHERE CAST(event_id AS BIGINT) % 50 NOT IN (1, 2, 3)",
     "stream_cdc": _plain("current_orders", "gmv"),
+    "stream_tail": "SELECT order_id, status, gmv::DOUBLE AS gmv FROM changes WHERE op = 'u'",
+    "cdc_local_times": f"""SELECT o_orderkey AS order_id, CASE WHEN step = 1 THEN {_LOCAL} END AS create_time, CASE WHEN step = 2 THEN {_LOCAL} END AS payment_time, CASE WHEN step = 3 THEN {_LOCAL} END AS finish_time, order_status, CAST(step AS INT) AS seq
+  FROM orders, (VALUES (1, 0, 'created'), (2, 1, 'paid'), (3, 5, 'finished')) v(step, days, order_status) WHERE step = 1 OR (step = 2 AND o_orderkey % 2 = 1) OR (step = 3 AND o_orderkey % 4 = 0)""",
+    "published_retention": _plain("retained"),
     "keyed_upserts": "SELECT order_id, status, gmv::DOUBLE AS gmv, op, seq FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) AS rn FROM changes) WHERE rn = 1",
     "published_daily": _plain("daily", "cost_1d gmv_1d"),
     "attr_detail_joined": _plain("detail", "order_gmv touch_spend", "order_ts click_ts"),

@@ -109,6 +109,23 @@ def _published(o: Offline) -> DataFrame:
     return o.spark.read.parquet(target).select(*o.daily.columns)
 
 
+def _publish_one(o: Offline, name: str) -> DataFrame:
+    """One dataset published by its name and read again."""
+    folder = jobs.shared_folder(o.spark, "datasets")
+    o.publish(name, folder)
+    return o.spark.read.parquet(f"{folder}/{name}")
+
+
+def _tail(o: Offline) -> DataFrame:
+    """The change feed in two batches to a keyed log; a stream that begins between them sees the second only."""
+    changes = driver.order_changes(o.spark, o.sf_dir).select("order_id", "status", "gmv", "op", "seq")
+    path = jobs.shared_folder(o.spark, "log")
+    keyed.upsert_batch(changes.filter("op = 'r'"), path, 0, seq="seq")
+    since = o.spark.read.parquet(path).agg(F.max("_written")).first()[0]
+    keyed.upsert_batch(changes.filter("op = 'u'"), path, 1, seq="seq")
+    return jobs.run_to_table(keyed.tail_keyed(o.spark, path, F.lit(since))).select("order_id", "status", "gmv")
+
+
 def _stream_dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = offline(spark, sf_dir)
     return jobs.run_to_table(enrich.enrich_dwd(driver.ad_events_stream(spark, sf_dir), o.advertiser, o.campaign, o.creative))
@@ -151,7 +168,10 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "stream_dwd": lambda o: _stream_dwd(o.spark, o.sf_dir),
     "stream_chain": _stream_chain,
     "stream_cdc": _cdc_stream,
+    "stream_tail": _tail,
+    "cdc_local_times": lambda o: keyed.local_times(driver.order_steps(o.spark, o.sf_dir), ["create_time", "payment_time", "finish_time"]),
     "keyed_upserts": _upserts,
+    "published_retention": lambda o: _publish_one(o, "retention"),
     "published_daily": _published,
     "attr_detail_joined": lambda o: attribution.order_detail(o.candidates, o.points),
     "fraud_signals_joined": lambda o: fraud.fraud_signals(o.fraud, o.clicks),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adlake.operators.enrich import lookup_enrich
-from adlake.operators.keyed import upsert_batch, upsert_messages
+from adlake.operators.keyed import upsert_batch, upsert_jdbc, upsert_messages
 from adlake.operators.metrics import window_metrics
 from adlake.schemas import METRIC_KEYS
 from adlake.sources.events import parse_events, split_dirty
@@ -85,6 +85,11 @@ def relay_job(rows: DataFrame, keys: Sequence[str], options: dict[str, str], che
     return upsert_messages(rows, keys).writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint).outputMode("append").start()
 
 
+def jdbc_job(rows: DataFrame, url: str, table: str, stage: str, keys: Sequence[str], checkpoint: str, order: str | None = None, once: bool = False, every: str = "1 second", **options) -> StreamingQuery:
+    """Rows of a stream to a JDBC table, one for each key; micro-batches are the buffer, *options* go to upsert_jdbc."""
+    return _start(rows, lambda batch, n: upsert_jdbc(batch, url, table, stage, keys, order, **options), checkpoint, "append", once, every)
+
+
 def cdc_job(changes: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, every: str = "10 seconds") -> StreamingQuery:
     """Change rows to keyed tables; *apply* routes and upserts a micro-batch and must bear a replay."""
     return _start(changes, apply, checkpoint, "append", once, every)

@@ -143,3 +143,56 @@ def test_last_row_of_a_batch_by_sequence_and_largest_dimension_row(spark, tmp_pa
     df = spark.createDataFrame([("a",)], "k string")
     assert lookup_enrich(df, dim, "k", {"name": "name", "more": "more"}).first()[1:] == ("y", "z")
     assert lookup_enrich(df, dim, "k", {"name": "name"}).first().name == "y" and dim.few
+
+
+@pytest.fixture
+def ledger(spark):
+    """A JDBC database in memory with a keyed table and its stage."""
+    import uuid
+
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    make = [f"CREATE TABLE {t} (order_id INT NOT NULL{key}, status VARCHAR(20), gmv DECIMAL(18,2))" for t, key in (("orders_now", " PRIMARY KEY"), ("orders_stage", ""))]
+    keyed._execute(spark, url, make, {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    return url
+
+
+def stored_rows(spark, url):
+    return sorted(tuple(r) for r in events.read_dimension_jdbc(spark, url, "orders_now").selectExpr("order_id", "status", "CAST(gmv AS INT)").collect())
+
+
+def test_jdbc_upsert_bears_replay_and_keeps_the_last_row(spark, ledger):
+    first = spark.createDataFrame([(1, "new", 5), (2, "sent", None), (3, "old", 7)], "order_id int, status string, gmv int")
+    again = spark.createDataFrame([(3, "paid", 8, 2), (3, "new", 7, 1), (4, "new", None, 1)], "order_id int, status string, gmv int, seq int")
+    write = lambda df, **more: keyed.upsert_jdbc(df, ledger, "orders_now", "orders_stage", ["order_id"], **more)
+    write(first)
+    write(first)
+    assert stored_rows(spark, ledger) == [(1, "new", 5), (2, "sent", None), (3, "old", 7)]
+    write(first.limit(0))
+    keyed._execute(spark, ledger, ["ALTER TABLE orders_stage ADD COLUMN seq INT", "ALTER TABLE orders_now ADD COLUMN seq INT"], {})
+    write(again, order="seq")
+    assert stored_rows(spark, ledger) == [(1, "new", 5), (2, "sent", None), (3, "paid", 8), (4, "new", None)]
+
+
+def test_jdbc_upsert_tries_again_and_leaves_the_target_on_failure(spark, ledger, monkeypatch):
+    rows = spark.createDataFrame([(1, "new", 5)], "order_id int, status string, gmv int")
+    write = lambda df, tries: keyed.upsert_jdbc(df, ledger, "orders_now", "orders_stage", ["order_id"], tries=tries, wait=0.01)
+    write(rows, 1)
+    calls, real = [], keyed._execute
+
+    def breaks(spark, url, statements, properties):
+        calls.append(1)
+        bad = [statements[0], "INSERT INTO nowhere VALUES (1)"]
+        return real(spark, url, bad if len(calls) < 3 else statements, properties)
+
+    monkeypatch.setattr(keyed, "_execute", breaks)
+    paid = spark.createDataFrame([(1, "paid", 9)], "order_id int, status string, gmv int")
+    with pytest.raises(Exception, match="NOWHERE"):
+        write(paid, 2)
+    assert stored_rows(spark, ledger) == [(1, "new", 5)]  # the delete went with the failed insert
+    write(paid, 3)
+    assert stored_rows(spark, ledger) == [(1, "paid", 9)] and len(calls) == 3
+
+
+def test_local_times(spark):
+    df = spark.sql("SELECT 1 AS id, TIMESTAMP '2024-01-01 20:00:00' AS t UNION ALL SELECT 2, NULL")
+    assert [r.t for r in keyed.local_times(df, ["t"]).orderBy("id").collect()] == [datetime(2024, 1, 2, 4), None]

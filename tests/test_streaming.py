@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from adlake.operators.keyed import read_keyed
+from adlake.operators.keyed import _execute, read_keyed
 from adlake.operators.metrics import window_metrics
 from adlake.sources.events import parse_events, read_events_stream
 from adlake.streaming import jobs
@@ -73,3 +73,15 @@ def test_replay_after_a_crash_before_the_commit(spark, tmp_path):
     (src / "1.txt").unlink()
     run(tmp_path / "cp2")
     assert sorted(r.event_id for r in read_keyed(spark, str(tmp_path / "ods"), ["event_id"]).collect()) == ["1", "2", "3"]
+
+
+def test_jdbc_job_over_two_runs(spark, tmp_path):
+    url, src = "jdbc:derby:memory:jobs;create=true", tmp_path / "in"
+    for table in ("seen", "seen_stage"):
+        _execute(spark, url, [f"CREATE TABLE {table} (event_id VARCHAR(20), event_type VARCHAR(20))"], {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    for name, kind in (("1.txt", "click"), ("2.txt", "order")):
+        write(src, name, [line("1", 1, kind), line(kind, 2)])
+        rows = parse_events(read_events_stream(spark, {"path": str(src)}, "text"), "UTC").select("event_id", "event_type")
+        jobs.jdbc_job(rows, url, "seen", "seen_stage", ["event_id"], str(tmp_path / "cp"), once=True).awaitTermination()
+    got = spark.read.jdbc(url, "seen").collect()
+    assert sorted(tuple(r) for r in got) == [("1", "order"), ("click", "impression"), ("order", "impression")]
