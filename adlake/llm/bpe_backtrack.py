@@ -9,9 +9,9 @@ step back.  A flag for every position that failed once keeps the search from try
 
 Texts fall into segments that no piece can cross: pieces hold U+2581 only in
 front or alone, and a code point that is in no piece becomes byte pieces by
-itself.  Each worker keeps the encodings of segments that it has met, at most
-``cache_size`` of them (about 100 MB), and four times as many verdicts on pairs of
-pieces (about 140 MB); full, they are emptied.
+itself.  Each worker keeps the encodings of segments that it has met lately, at most
+``cache_size`` of them (about 100 MB), in two halves of which the older goes, and
+four times as many verdicts on pairs of pieces (about 140 MB), emptied when full.
 
 Decoding joins the pieces, turns U+2581 into spaces, removes the one space that
 the encoder put in front, and reads runs of byte pieces as UTF-8; a byte that is
@@ -41,6 +41,7 @@ QUERY_NAME = "op10_bpe_backtrack"
 
 SPACE = "▁"
 CACHE_SIZE = 300_000
+NEVER = float("-inf")
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -97,10 +98,10 @@ class Pieces:
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == self.BYTE}
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == self.NORMAL}
         self.unknown = self.kinds.index(self.UNKNOWN)
-        #: Order of merging: by falling score; equal scores merge from the left, whatever the piece.
-        self.score = {i: scores[i] for i in self.ids.values()}
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece crosses a space")
+        #: Order of merging: by falling score; equal scores merge from the left, whatever the piece.
+        self._order = {p: scores[i] for p, i in self.ids.items()}
         self.letters = {c for p in self.ids for c in p}
         self.matcher = ahocorasick.Automaton()
         for p, i in self.ids.items():
@@ -110,6 +111,8 @@ class Pieces:
         self._bytes = [self._decoded(i) for i in range(len(self.pieces))]
         self._decimal = [str(i) for i in range(len(self.pieces))]
         self._lengths = [len(p) for p in self.pieces]
+        #: The longest other piece that a piece begins with, or -1.
+        self._shorter = [next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), -1) for p in self.pieces]
         self._cache = _Segments(self, cache_size)
         self._pairs: dict[int, bool] = {}
         # a line break is in no piece of the models at hand; it then parts segments as well, so that more of them recur
@@ -118,16 +121,19 @@ class Pieces:
 
     def remerge(self, text: str) -> list[str]:
         """Merge from single code points: the best-scored adjacent pair first, the leftmost of equals. Only short texts come here."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                got = self.ids.get(parts[k] + parts[k + 1])
-                if got is not None and (best is None or self.score[got] > best):
-                    best, at = self.score[got], k
-            if best is None:
+        parts, order = list(text), self._order
+        ranks = [order.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = max(ranks)
+            if best == NEVER:
                 break
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = order.get(parts[at] + parts[at + 1], NEVER)
+            if at:
+                ranks[at - 1] = order.get(parts[at - 1] + parts[at], NEVER)
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
@@ -140,49 +146,48 @@ class Pieces:
 
     def search(self, text: str) -> list[int]:
         """Ids of a segment whose code points are all in the vocabulary."""
-        lengths, pairs = self._lengths, self._pairs
+        lengths, pairs, shorter = self._lengths, self._pairs, self._shorter
         # the leftmost longest pieces: if all neighbours fit, no other encoding exists
-        path, last, at = [], -1, 0
+        path, last, at, n = [], -1, 0, len(text)
         for end, i in self.matcher.iter_long(text):
+            if end + 1 - lengths[i] != at:
+                break
             fits = pairs.get(last << 32 | i)
             if fits is None:
                 fits = self.compatible(last, i)
-            at += lengths[i]
-            if not fits or at != end + 1:
+            if not fits:
                 break
             path.append(i)
-            last = i
-        else:
-            if at == len(text):
-                return path
-        starts: list[list[int]] = [[] for _ in text]  # by rising end, so the longest is last
+            last, at = i, end + 1
+        if at == n:
+            return path
+        # the search goes on from there; shorter pieces that begin with the longest of a position follow from the vocabulary
+        longest = [-1] * n
         for end, i in self.matcher.iter(text):
-            starts[end + 1 - lengths[i]].append(i)
-        failed = bytearray(len(text) + 1)  # a flag for each position from which the rest can't be covered
-        path, tried = [], []
-        at, k, last, n = 0, 0, -1, len(text)
+            longest[end + 1 - lengths[i]] = i  # by rising end, so the longest comes last
+        failed = bytearray(n + 1)  # a flag for each position from which the rest can't be covered
+        i = longest[at]
         while at < n:
-            options = starts[at]
-            while k < len(options):
-                k += 1
-                i = options[-k]
-                if failed[at + lengths[i]]:
-                    continue
-                fits = pairs.get(last << 32 | i)
-                if fits is None:
-                    fits = self.compatible(last, i)
-                if fits:
-                    path.append(i)
-                    tried.append(k)
-                    at += lengths[i]
-                    last, k = i, 0
-                    break
+            while i >= 0:
+                if not failed[at + lengths[i]]:
+                    fits = pairs.get(last << 32 | i)
+                    if fits is None:
+                        fits = self.compatible(last, i)
+                    if fits:
+                        break
+                i = shorter[i]
+            if i >= 0:
+                path.append(i)
+                at += lengths[i]
+                last = i
+                if at < n:
+                    i = longest[at]
             else:
                 if not path:
                     raise ValueError(f"no encoding of {text!r}")
                 failed[at] = 1
-                at -= lengths[path.pop()]
-                k = tried.pop()
+                at -= lengths[last]
+                i = shorter[path.pop()]
                 last = path[-1] if path else -1
         return path
 
@@ -237,17 +242,21 @@ class Pieces:
 
 
 class _Segments(dict):
-    """Decimal ids joined by commas, and decoded bytes, of the short segments met so far; emptied when full."""
+    """Decimal ids joined by commas, and decoded bytes, of the short segments met lately: when full, it becomes the older half, from which segments that recur come back."""
 
     def __init__(self, pieces: Pieces, size: int) -> None:
         super().__init__()
-        self.pieces, self.size = pieces, size
+        self.pieces, self.half = pieces, size // 2
+        self.older: dict[str, tuple[str, bytes]] = {}
 
     def __missing__(self, segment: str) -> tuple[str, bytes]:
-        ids = self.pieces.segment_ids(segment)
-        got = ",".join([self.pieces._decimal[i] for i in ids]), self.pieces._raw(ids)
+        got = self.older.get(segment)
+        if got is None:
+            ids = self.pieces.segment_ids(segment)
+            got = ",".join([self.pieces._decimal[i] for i in ids]), self.pieces._raw(ids)
         if len(segment) <= 64:
-            if len(self) >= self.size:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[segment] = got
         return got
