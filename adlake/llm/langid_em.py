@@ -6,7 +6,8 @@ trigrams likeliest.  The set of languages is chosen by penalised likelihood: the
 nested sets of the 1, 2, ... largest proportions, up to all learned languages, are
 fitted again, and the one with the least -2 log L + penalty * size * log(n) stays.
 A size is left out only where an upper bound of its likelihood shows that it
-cannot win.  The prediction is the largest proportion of that set, its score the
+cannot win.  EM of a document ends when none of its proportions moves by more
+than a tolerance.  The prediction is the largest proportion of that set, its score the
 proportion.  A text counts as standing between two spaces, so that every text
 with a letter has a trigram.
 
@@ -36,7 +37,8 @@ QUERY_NAME = "op5_langid_em"
 
 BUCKETS = 1 << 13
 SMOOTHING = 0.5
-ROUNDS = 8
+#: EM of a document ends when no proportion moves further than this; ROUNDS only guards against endless work.
+TOLERANCE, ROUNDS = 1e-4, 1000
 #: Weight of log(n) per further language; adjacent trigrams overlap, so it is above 1.
 PENALTY = 3.0
 
@@ -96,16 +98,30 @@ def language_model(counts: DataFrame, buckets: int = BUCKETS, smoothing: float =
     return list(names), sums / sums.sum(axis=1, keepdims=True)
 
 
-def _em(pi: np.ndarray, probs: np.ndarray, counts: np.ndarray, first: np.ndarray, owner: np.ndarray, total: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions (documents x languages) after *rounds* and the log likelihood; probs: features x languages."""
+def _em(pi: np.ndarray, probs: np.ndarray, counts: np.ndarray, first: np.ndarray, owner: np.ndarray, total: np.ndarray, tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions (documents x languages) and their log likelihood; probs: features x languages.
+
+    A document leaves when no proportion moves by more than *tolerance*, whatever the others of its batch do.
+    """
+    pi = pi.copy()
+    alive, p, n, of, start = np.arange(len(pi)), probs, counts, owner, first
     for _ in range(rounds):
-        share = pi[owner] * probs
-        share *= (counts / share.sum(axis=1))[:, None]
-        pi = np.add.reduceat(share, first, axis=0) / total[:, None]
+        share = pi[alive][of] * p
+        share *= (n / share.sum(axis=1))[:, None]
+        now = np.add.reduceat(share, start, axis=0) / total[alive][:, None]
+        moved = np.abs(now - pi[alive]).max(axis=1) > tolerance
+        pi[alive] = now
+        if not moved.any():
+            break
+        if not moved.all():
+            use = moved[of]
+            p, n, of = p[use], n[use], (np.cumsum(moved) - 1)[of[use]]
+            start = np.searchsorted(of, np.arange(moved.sum()))
+            alive = alive[moved]
     return pi, np.add.reduceat(counts * np.log((pi[owner] * probs).sum(axis=1)), first)
 
 
-def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int, max_languages: int | None = None, rounds: int = ROUNDS, penalty: float = PENALTY) -> np.ndarray:
+def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int, max_languages: int | None = None, tolerance: float = TOLERANCE, penalty: float = PENALTY) -> np.ndarray:
     """Language proportions of each document after choosing its set of languages; zeros for a document without trigrams."""
     n_langs, buckets = model.shape
     out = np.zeros((n_docs, n_langs))
@@ -117,7 +133,7 @@ def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int
     first = np.searchsorted(owner, np.arange(len(docs)))
     probs = np.ascontiguousarray(model.T[keys % buckets])
     total = np.add.reduceat(counts, first)
-    full, reached = _em(np.full((len(docs), n_langs), 1 / n_langs), probs, counts, first, owner, total, rounds)
+    full, reached = _em(np.full((len(docs), n_langs), 1 / n_langs), probs, counts, first, owner, total, tolerance)
     # the log likelihood is concave in the proportions: none exceeds this tangent's largest value
     slope = np.add.reduceat(probs * (counts / (full[owner] * probs).sum(axis=1))[:, None], first, axis=0)
     bound = reached + np.maximum(slope.max(axis=1) - total, 0) + 1e-6 * (1 + np.abs(reached))
@@ -140,7 +156,7 @@ def mixtures(doc: np.ndarray, bucket: np.ndarray, model: np.ndarray, n_docs: int
         sub_owner = np.searchsorted(todo, owner[use])
         sub_first = np.searchsorted(sub_owner, np.arange(len(todo)))
         start = np.where(chosen[todo], full[todo], 0)
-        pi, fit = _em(start / start.sum(axis=1, keepdims=True), probs[use], counts[use], sub_first, sub_owner, total[todo], rounds)
+        pi, fit = _em(start / start.sum(axis=1, keepdims=True), probs[use], counts[use], sub_first, sub_owner, total[todo], tolerance)
         now = -2 * fit + penalty * (size - 1) * np.log(total[todo] + 1)
         win = now < cost[todo]
         best[todo[win]], cost[todo[win]] = pi[win], now[win]

@@ -106,7 +106,7 @@ def test_bound_leaves_out_no_winning_set():
     for k in range(60):
         counts = rng.multinomial(rng.integers(3, 600), rng.dirichlet(np.full(5, 0.3)) @ model)
         at = np.flatnonzero(counts)
-        n, args = counts.sum(), (model.T[at], counts[at].astype(float), np.array([0]), np.zeros(len(at), int), np.array([counts.sum()]), langid_em.ROUNDS)
+        n, args = counts.sum(), (model.T[at], counts[at].astype(float), np.array([0]), np.zeros(len(at), int), np.array([counts.sum()]))
         full, _ = langid_em._em(np.full((1, 5), 0.2), *args)
         single = counts @ np.log(model.T)
         best, cost = np.eye(5)[np.argmax(single)], -2 * single.max()
@@ -121,16 +121,28 @@ def test_bound_leaves_out_no_winning_set():
 
 
 def test_em_equals_plain_em():
+    """Each document of a batch gets what EM by itself gives, whenever the others end; the end is near the maximum."""
     rng = np.random.default_rng(1)
     model = rng.dirichlet(np.ones(50), 3)
-    counts = rng.multinomial(400, 0.7 * model[0] + 0.3 * model[2])
-    pi = np.full(3, 1 / 3)
-    for _ in range(langid_em.ROUNDS):
-        share = pi[:, None] * model
-        pi = (share / share.sum(0) * counts).sum(1) / counts.sum()
-    at = np.flatnonzero(counts)
-    got, _ = langid_em._em(np.full((1, 3), 1 / 3), model.T[at], counts[at].astype(float), np.array([0]), np.zeros(len(at), int), np.array([counts.sum()]), langid_em.ROUNDS)
-    assert np.allclose(got[0], pi)
+    weights = np.array([[0.7, 0, 0.3], [1, 0, 0], [0.2, 0.3, 0.5], [0, 0.98, 0.02], [0.4, 0.4, 0.2]])
+    counts = np.array([rng.multinomial(n, w @ model) for n, w in zip((400, 3000, 80, 5000, 2), weights)])
+
+    def plain(n, tolerance):
+        pi, steps = np.full(3, 1 / 3), 0
+        while True:
+            share = pi[:, None] * model
+            now = (share / share.sum(0) * n).sum(1) / n.sum()
+            moved, pi, steps = np.abs(now - pi).max(), now, steps + 1
+            if moved <= tolerance:
+                return pi, steps
+
+    owner, at = np.nonzero(counts)
+    first = np.searchsorted(owner, np.arange(5))
+    got, fit = langid_em._em(np.full((5, 3), 1 / 3), model.T[at], counts[owner, at].astype(float), first, owner, counts.sum(1))
+    expected, steps = zip(*(plain(n, langid_em.TOLERANCE) for n in counts))
+    assert np.allclose(got, expected) and len(set(steps)) > 1 and max(steps) < langid_em.ROUNDS
+    best = np.array([plain(n, 1e-9)[0] for n in counts])
+    assert np.allclose(fit, (counts * np.log(best @ model)).sum(1), atol=0.1)
 
 
 def test_ftrl_equals_scalar_updates():
