@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Upper limits in minutes, type, period label and sort number; labels are part of the result.
@@ -46,26 +46,45 @@ def attribution_candidates(events: DataFrame, lookback: str = "30 days") -> Data
     return _finish(orders.join(clicks, near, "left").drop("_user").withColumn("touchpoint_seq", F.row_number().over(w)))
 
 
-def last_touch(events: DataFrame, lookback: str = "30 days", strategy: str = "window") -> DataFrame:
+def last_touch(events: DataFrame, lookback: str = "30 days", strategy: str = "sliced", slice_width: str = "1 hour") -> DataFrame:
     """Each order with its last click only: an as-of join.
 
-    window: one shuffle and no join - the last click before each order in one pass over the sorted rows, dropped if it is
-    older than the look-back.  join: candidates and row number, for users so hot that one task can't sort them.  Both give
-    the same rows.
+    sliced: the last click before each order within a slice of time, and for orders before the first click of their slice
+    the last click of the earlier slices, carried over from one row for each slice.  So no task holds more of a user than one
+    slice.  window: the same in one pass over all rows of a user - one shuffle and no join, for tables without hot users.
+    join: candidates and row number.  All give the same rows; a click older than the look-back is dropped at the end.
     """
     if strategy == "join":
         return attribution_candidates(events, lookback).filter("touchpoint_seq = 1").drop("touchpoint_seq")
-    rows = events.filter("event_type IN ('order', 'click')")
+    keys = ["user_id", "advertiser_id"]
+    # null keys match nothing
+    rows = events.filter("event_type IN ('order', 'click')").filter("event_type = 'order' OR (user_id IS NOT NULL AND advertiser_id IS NOT NULL)")
     click = F.when(F.col("event_type") == "click", F.struct(F.col("event_ts").alias("t"), F.col("event_id").alias("i"), F.struct(*[F.col(c).alias(n) for c, n in _TOUCH.items()]).alias("touch")))
-    # clicks of an instant come before its orders; null keys match nothing in a join, so they match nothing here
-    first = F.when(F.col("event_type") == "click", 0).otherwise(1)
-    frame = Window.partitionBy("user_id", "advertiser_id").orderBy("event_ts", first, "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumn("_last", F.last(click, ignorenulls=True).over(frame)).filter("event_type = 'order'")
+    # clicks of an instant come before its orders
+    order = ["event_ts", F.when(F.col("event_type") == "click", 0).otherwise(1), "event_id"]
+    if strategy == "sliced":
+        rows = rows.withColumn("_slice", time_slice(F.unix_micros("event_ts"), slice_width))
+        ends = rows.groupBy(*keys, "_slice").agg(F.max(click).alias("_end"), F.max(F.col("event_type") == "order").alias("_asked"))
+        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(earlier)).filter("_asked AND _carried IS NOT NULL").drop("_end", "_asked")
+        orders = rows.withColumn("_last", F.last(click, ignorenulls=True).over(running(*keys, "_slice", order=order))).filter("event_type = 'order'")
+        out = orders.join(carried, [*keys, "_slice"], "left").withColumn("_last", F.coalesce("_last", "_carried"))
+    else:
+        out = rows.withColumn("_last", F.last(click, ignorenulls=True).over(running(*keys, order=order))).filter("event_type = 'order'")
     near = F.col("user_id").isNotNull() & F.col("advertiser_id").isNotNull() & (F.unix_micros("_last.t") >= F.unix_micros("event_ts") - _micros(lookback))
     out = out.withColumn("_last", F.when(near, F.col("_last")))
     return _finish(out.select([F.col(c).alias(n) for c, n in _ORDER.items()] + [F.col(f"_last.touch.{n}").alias(n) for n in _TOUCH.values()]))
 
 
+def running(*keys: str, order) -> WindowSpec:
+    """All rows up to this one."""
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def time_slice(micros: Column, width: str) -> Column:
+    return F.floor(micros / F.lit(_micros(width))).cast("long")
+
+
 def _micros(span: str) -> int:
     number, unit = span.split()
     return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")] * 1_000_000

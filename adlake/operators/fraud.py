@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.operators.attribution import _micros
+from adlake.operators.attribution import _micros, time_slice
 
 NORMAL = "NORMAL"
 #: Rule code, score and description.
@@ -19,12 +19,12 @@ RULES = {
 NORMAL_SCORE, OTHER_RULE = "0.1000", "DM anti-fraud model signal"
 
 
-def _trailing(events: DataFrame, long: str, short: str, keys: Sequence[str], strategy: str) -> DataFrame:
+def _trailing(events: DataFrame, long: str, short: str, keys: Sequence[str], strategy: str, slice_width: str) -> DataFrame:
     """Clicks with click and impression counts of the trailing spans, rows of the same instant included."""
     known = [F.col(k).isNotNull() for k in keys]
     complete = known[0] if len(known) == 1 else known[0] & known[1]
     is_click, is_view = F.col("event_type") == "click", F.col("event_type") == "impression"
-    if strategy == "window":
+    if strategy != "join":
         # each event is counted from its time on and taken off when a span has passed, so that running sums are the counts of the spans
         clicks, views = F.when(is_click, 1).otherwise(0), F.when(is_view, 1).otherwise(0)
         steps = F.array(
@@ -33,11 +33,22 @@ def _trailing(events: DataFrame, long: str, short: str, keys: Sequence[str], str
             F.struct(F.lit(_micros(short) + 1).alias("after"), F.lit(0).alias("c"), F.lit(0).alias("v"), (-views).alias("s")),
         )
         rows = events.filter(is_click | is_view).withColumn("_e", F.explode(F.when(is_click, F.slice(steps, 1, 2)).otherwise(steps)))
-        w = Window.partitionBy(*keys).orderBy(F.unix_micros("event_ts") + F.col("_e.after")).rangeBetween(Window.unboundedPreceding, 0)
+        at = F.unix_micros("event_ts") + F.col("_e.after")
+        within, sums = list(keys), ("c", "v", "s")
+        if strategy == "sliced":
+            rows, within = rows.withColumn("_slice", time_slice(at, slice_width)), [*keys, "_slice"]
+        w = Window.partitionBy(*within).orderBy(at).rangeBetween(Window.unboundedPreceding, 0)
+        counted = rows.withColumn("_n", F.struct(*[F.sum(f"_e.{c}").over(w).alias(c) for c in sums])).filter(is_click & (F.col("_e.after") == 0))
+        earlier = {c: F.lit(0) for c in sums}
+        if strategy == "sliced":  # one row for each slice has the sums of the slices before
+            before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+            totals = rows.groupBy(*within).agg(*[F.sum(f"_e.{c}").alias(c) for c in sums], F.max(is_click & (F.col("_e.after") == 0)).alias("_asked"))
+            carried = totals.select(*within, "_asked", F.struct(*[F.sum(c).over(before).alias(c) for c in sums]).alias("_before")).filter("_asked").drop("_asked")
+            counted = counted.join(carried, within, "left")
+            earlier = {c: F.coalesce(F.col(f"_before.{c}"), F.lit(0)) for c in sums}
         # a null key matches nothing in the join form
-        count = lambda c: F.when(complete, F.sum(f"_e.{c}").over(w)).otherwise(0).cast("int")
-        counted = rows.withColumns({"click_cnt_1h": count("c"), "impression_cnt_1h": count("v"), "impression_cnt_1m": count("s")})
-        return counted.filter(is_click & (F.col("_e.after") == 0)).drop("_e")
+        count = lambda c: F.when(complete, F.col(f"_n.{c}") + earlier[c]).otherwise(0).cast("int")
+        return counted.select(*events.columns, *[count(c).alias(n) for c, n in zip(sums, ("click_cnt_1h", "impression_cnt_1h", "impression_cnt_1m"))])
     past = events.filter(is_click | is_view).select(*[F.col(k).alias(f"h_{k}") for k in keys], F.col("event_ts").alias("h_ts"), F.col("event_type").alias("h_type"))
     clicks = events.filter(is_click)
     near = (F.col("h_ts") <= F.col("event_ts")) & (F.col("h_ts") >= F.col("event_ts") - F.expr(f"INTERVAL {long}"))
@@ -51,22 +62,33 @@ def _trailing(events: DataFrame, long: str, short: str, keys: Sequence[str], str
     return clicks.join(sums, "event_id", "left").fillna(0, ["click_cnt_1h", "impression_cnt_1h", "impression_cnt_1m"])
 
 
-def click_features(events: DataFrame, long: str = "1 hour", short: str = "1 minute", keys: Sequence[str] = ("user_id", "media"), base_ctr: float = 0.10, strategy: str = "window") -> DataFrame:
+def click_features(events: DataFrame, long: str = "1 hour", short: str = "1 minute", keys: Sequence[str] = ("user_id", "media"), base_ctr: float = 0.10, strategy: str = "sliced", slice_width: str = "1 hour") -> DataFrame:
     """Features of each click.
 
-    window: running sums, one sort for each key set and no join.  join: range self-join, for keys so hot that one task
-    can't sort them.  Both give the same rows.  device, ip and ua columns are the proxies of the model: no such data exist.
+    sliced: running sums within slices of time, with the sums, counts and last clicks of earlier slices from one row for each
+    slice, so that no task holds more of a user than one slice.  window: running sums over all rows of a key, without a join,
+    for tables without hot users.  join: range self-join.  All give the same rows.  device, ip and ua columns are the proxies
+    of the model: no such data exist.
     """
-    clicks = _trailing(events, long, short, keys, strategy)
-    w = Window.partitionBy("user_id").orderBy("event_ts", "event_id")
-    daily = Window.partitionBy("event_date", "user_id")
-    before = F.lag("event_ts").over(w)
+    clicks = _trailing(events, long, short, keys, strategy, slice_width)
+    whole = Window.partitionBy("event_date", "user_id")
+    if strategy == "sliced":
+        at = time_slice(F.unix_micros("event_ts"), slice_width)
+        parts = events.filter("event_type = 'click'").groupBy("user_id", "event_date", at.alias("_at")).agg(F.count("*").alias("_n"), F.max("event_ts").alias("_end"))
+        earlier = Window.partitionBy("user_id").orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+        parts = parts.select(F.col("user_id").alias("_user"), F.col("event_date").alias("_date"), "_at", F.sum("_n").over(whole).alias("_daily"), F.max("_end").over(earlier).alias("_before"))
+        same = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("event_date").eqNullSafe(F.col("_date")) & F.col("_slice").eqNullSafe(F.col("_at"))
+        within = F.lag("event_ts").over(Window.partitionBy("user_id", "_slice").orderBy("event_ts", "event_id"))
+        clicks = clicks.withColumn("_slice", at).withColumn("_within", within).join(parts, same, "left")
+        before, daily = F.coalesce("_within", "_before"), F.col("_daily")
+    else:
+        before, daily = F.lag("event_ts").over(Window.partitionBy("user_id").orderBy("event_ts", "event_id")), F.count("*").over(whole)
     seconds = F.floor((F.unix_micros("event_ts") - F.unix_micros(before)) / 1_000_000)
     deviation = F.when(F.col("impression_cnt_1h") == 0, F.col("click_cnt_1h").cast("double")).otherwise(F.col("click_cnt_1h") / F.col("impression_cnt_1h") - F.lit(base_ctr))
     return clicks.select(
         F.col("event_date").alias("stat_date"), "event_id", F.col("event_ts").alias("event_time"), "user_id", F.col("user_id").alias("device_id"), F.lit(None).cast("string").alias("device_ip"),
         "creative_id", F.col("media").alias("slot_id"), "advertiser_id", "advertiser_name", "media", "spend",
-        "click_cnt_1h", F.count("*").over(daily).cast("int").alias("click_cnt_1d"), "impression_cnt_1h", "impression_cnt_1m",
+        "click_cnt_1h", daily.cast("int").alias("click_cnt_1d"), "impression_cnt_1h", "impression_cnt_1m",
         F.col("click_cnt_1h").alias("ip_click_cnt_1h"), F.lit(1).alias("ip_uv_1h"), (seconds * 1000).cast("long").alias("click_interval_ms"),
         F.round(deviation, 6).cast("decimal(10,6)").alias("ctr_deviation"), F.hour("event_ts").between(0, 5).alias("is_night_burst"),
     )

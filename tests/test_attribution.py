@@ -77,10 +77,10 @@ def test_detail_without_join_equals_join(events):
         assert joined.exceptAll(other).isEmpty() and other.exceptAll(joined).isEmpty()
 
 
-def test_window_form_equals_join_form(events):
-    a, b = (A.last_touch(events, strategy=s) for s in ("window", "join"))
-    b = b.select(a.columns)
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+def test_sliced_and_window_forms_equal_join_form(events):
+    b = A.last_touch(events, strategy="join")
+    for a in (A.last_touch(events, strategy="window"), *(A.last_touch(events, slice_width=w) for w in ("1 second", "1 hour", "40 days"))):
+        assert a.exceptAll(b.select(a.columns)).isEmpty() and b.select(a.columns).exceptAll(a).isEmpty()
 
 
 def test_a_user_with_most_rows(spark):
@@ -88,7 +88,7 @@ def test_a_user_with_most_rows(spark):
     rows = [event(f"{k:05}", ("click", "order", "click")[k % 3], T + timedelta(seconds=k // 2), "bot", gmv=1) for k in range(6000)]
     rows += [event("late", "order", T + timedelta(seconds=2999, days=30), "bot"), event("later", "order", T + timedelta(seconds=3000, days=30), "bot")]
     df = spark.createDataFrame(rows, SCHEMA)
-    a = A.last_touch(df)
+    a = A.last_touch(df, slice_width="7 minutes")
     b = A.last_touch(df.filter("event_id > '05000' OR event_type = 'order'"), strategy="join").select(a.columns)
     recent = "outcome_event_id > '05010'"
     assert a.filter(recent).exceptAll(b.filter(recent)).isEmpty() and b.filter(recent).exceptAll(a.filter(recent)).isEmpty()

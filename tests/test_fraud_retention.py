@@ -53,11 +53,12 @@ def test_span_ends_night_and_null_keys(spark):
     assert got["b"].click_interval_ms == 3_600_000 and got["a"].click_interval_ms is None
 
 
-def test_window_form_equals_join_form(spark):
+def test_sliced_and_window_forms_equal_join_form(spark):
     rows = burst() + [event(f"r{n}", ("click", "impression")[n % 2], T + timedelta(seconds=37 * n), f"u{n % 3}", ("m", None)[n % 7 == 0]) for n in range(200)]
     df = spark.createDataFrame(rows, SCHEMA)
-    a, b = (Fr.click_features(df, strategy=s) for s in ("window", "join"))
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    b = Fr.click_features(df, strategy="join")
+    for a in (Fr.click_features(df, strategy="window"), *(Fr.click_features(df, slice_width=w) for w in ("20 seconds", "1 hour", "3 days"))):
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
 def test_retention(spark):
