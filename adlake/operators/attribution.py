@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from adlake.operators.keyed import latest_by_key
+
 #: Upper limits in minutes, type, period label and sort number; labels are part of the result.
 DIRECT = (30, "direct", "30分钟直接归因", 1)
 INDIRECT = ((1440, "1日间接归因", 2), (4320, "3日间接归因", 3), (10080, "7日间接归因", 4))
@@ -29,11 +31,8 @@ def _finish(rows: DataFrame) -> DataFrame:
     )
 
 
-def attribution_candidates(events: DataFrame, lookback: str = "30 days") -> DataFrame:
-    """Each order with every click of its user and advertiser in the look-back, the latest first (ties: larger event_id); an order without one has a row of its own.
-
-    An equi-join with a range residual: Spark splits skewed users.
-    """
+def _sides(events: DataFrame, lookback: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Orders, clicks, and when a click may have led to an order."""
     orders = events.filter("event_type = 'order'").select([F.col(c).alias(n) for c, n in _ORDER.items()])
     clicks = events.filter("event_type = 'click'").select([F.col(c).alias(n) for c, n in _TOUCH.items()] + [F.col("user_id").alias("_user")])
     near = (
@@ -42,6 +41,15 @@ def attribution_candidates(events: DataFrame, lookback: str = "30 days") -> Data
         & (F.col("touch_time") <= F.col("outcome_time"))
         & (F.col("touch_time") >= F.col("outcome_time") - F.expr(f"INTERVAL {lookback}"))
     )
+    return orders, clicks, near
+
+
+def attribution_candidates(events: DataFrame, lookback: str = "30 days") -> DataFrame:
+    """Each order with every click of its user and advertiser in the look-back, the latest first (ties: larger event_id); an order without one has a row of its own.
+
+    An equi-join with a range residual: Spark splits skewed users.
+    """
+    orders, clicks, near = _sides(events, lookback)
     w = Window.partitionBy("outcome_event_id").orderBy(F.desc("touch_time"), F.desc("touch_event_id"))
     return _finish(orders.join(clicks, near, "left").drop("_user").withColumn("touchpoint_seq", F.row_number().over(w)))
 
@@ -85,6 +93,23 @@ def time_slice(micros: Column, width: str) -> Column:
     return F.floor(micros / F.lit(_micros(width))).cast("long")
 
 
+def touch_stream(events: DataFrame, lookback: str = "30 days", watermark: str = "10 minutes") -> DataFrame:
+    """Attribution of a stream of events: each order at once without a click, and again with every click of the look-back.
+
+    The latest touch of an order, whenever its row came, is its last click (`settled_touches`), so no order waits for the
+    watermark; that and the look-back bound the join's state.  Events later than the watermark are dropped.
+    """
+    orders, clicks, near = _sides(events, lookback)
+    orders = orders.withWatermark("outcome_time", watermark)
+    pairs = orders.join(clicks.withWatermark("touch_time", watermark), near).drop("_user")
+    return _finish(pairs.unionByName(orders, allowMissingColumns=True))
+
+
+def settled_touches(log: DataFrame) -> DataFrame:
+    """Each order with its last click so far, from what `touch_stream` gave; the same rows as `last_touch`."""
+    return latest_by_key(log, ["outcome_event_id"], ["touch_time", "touch_event_id"])
+
+
 def _micros(span: str) -> int:
     number, unit = span.split()
     return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")] * 1_000_000

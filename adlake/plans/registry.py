@@ -131,6 +131,14 @@ def _stream_dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_to_table(enrich.enrich_dwd(driver.ad_events_stream(spark, sf_dir), o.advertiser, o.campaign, o.creative))
 
 
+def _stream_attribution(o: Offline) -> DataFrame:
+    """Enriched events as a stream, orders joined with clicks as both arrive, then the last click of each order."""
+    log = jobs.shared_folder(o.spark, "touches")
+    rows = enrich.enrich_dwd(driver.ad_events_stream(o.spark, o.sf_dir), o.advertiser, o.campaign, o.creative)
+    jobs.attribution_job(rows, log, jobs.shared_folder(o.spark, "offsets"), once=True).awaitTermination()
+    return jobs.settled_attribution(o.spark, log)
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.parse_events(driver.raw_json(spark, sf_dir), "UTC")
 
@@ -168,6 +176,7 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "stream_dwd": lambda o: _stream_dwd(o.spark, o.sf_dir),
     "stream_chain": _stream_chain,
     "stream_cdc": _cdc_stream,
+    "stream_attribution": _stream_attribution,
     "stream_tail": _tail,
     "cdc_local_times": lambda o: keyed.local_times(driver.order_steps(o.spark, o.sf_dir), ["create_time", "payment_time", "finish_time"]),
     "keyed_upserts": _upserts,

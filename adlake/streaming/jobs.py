@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from adlake.operators.attribution import settled_touches, touch_stream
 from adlake.operators.enrich import lookup_enrich
 from adlake.operators.keyed import upsert_batch, upsert_jdbc, upsert_messages
 from adlake.operators.metrics import window_metrics
@@ -80,6 +81,16 @@ def metrics_job(
     return _start(metrics, sink, checkpoint, "append", once, every)
 
 
+def attribution_job(events: DataFrame, path: str, checkpoint: str, lookback: str = "30 days", watermark: str = "10 minutes", once: bool = False, every: str = "10 seconds") -> StreamingQuery:
+    """Orders and their clicks to a log that `settled_attribution` reads; a replayed micro-batch overwrites itself."""
+    return _start(touch_stream(events, lookback, watermark), lambda batch, n: keyed_batch(batch, path, n, checkpoint), checkpoint, "append", once, every)
+
+
+def settled_attribution(spark: SparkSession, path: str) -> DataFrame:
+    """Each order of the log with its last click so far."""
+    return settled_touches(spark.read.parquet(path).drop("run", "batch", "_written", "_seq"))
+
+
 def relay_job(rows: DataFrame, keys: Sequence[str], options: dict[str, str], checkpoint: str) -> StreamingQuery:
     """Keyed rows as JSON messages to Kafka."""
     return upsert_messages(rows, keys).writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint).outputMode("append").start()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adlake.operators import attribution as A
+from adlake.streaming import jobs
 
 T = datetime(2024, 3, 1, 12)
 SCHEMA = "event_id string, event_ts timestamp, event_date string, advertiser_id string, advertiser_name string, campaign_id string, campaign_name string, creative_id string, user_id string, event_type string, spend decimal(18,4), gmv decimal(18,2), order_id string"
@@ -94,3 +95,22 @@ def test_a_user_with_most_rows(spark):
     assert a.filter(recent).exceptAll(b.filter(recent)).isEmpty() and b.filter(recent).exceptAll(a.filter(recent)).isEmpty()
     got = {r.outcome_event_id: r.touch_event_id for r in a.filter("outcome_event_id LIKE 'late%'").collect()}
     assert got == {"late": "05999", "later": None}
+
+
+def test_streamed_attribution_equals_batch(spark, tmp_path):
+    """Clicks before, with and after their order, over restarts of the stream; an order needs no watermark to be there."""
+    m = lambda n: T + timedelta(minutes=n)
+    batches = [
+        [event("c1", "click", m(0), "u"), event("c2", "click", m(1), "u"), event("q", "order", m(1), "w", gmv=5)],
+        [event("o1", "order", m(5), "u", gmv=5), event("o2", "order", m(4), "u", gmv=5), event("n", "click", m(5), None)],
+        [event("c3", "click", m(3), "u"), event("o3", "order", m(2), "u", gmv=5), event("c0", "click", m(-1), "u"), event("o4", "order", m(6), None, gmv=5)],
+    ]
+    src, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "cp"))
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+        jobs.attribution_job(stream, log, checkpoint, once=True).awaitTermination()
+    got, want = jobs.settled_attribution(spark, log), A.last_touch(spark.read.parquet(src))
+    want = want.select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {r.outcome_event_id: r.touch_event_id for r in got.collect()} == {"q": None, "o1": "c3", "o2": "c3", "o3": "c2", "o4": None}
