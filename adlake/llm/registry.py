@@ -21,6 +21,9 @@ MODULES = (
     "toxicity_ftrl",
     "hilbert_ann",
     "bpe_backtrack",
+    "segment_popcount",
+    "prefix_repair",
+    "overlap_dsir",
 )
 
 
