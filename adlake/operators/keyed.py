@@ -1,4 +1,4 @@
-"""Keyed tables on plain files: upsert, change feeds, change logs, publishing."""
+"""Keyed tables on plain files: upsert, change feeds, change logs."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from adlake.sources import files
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str) -> DataFrame:
@@ -23,13 +24,21 @@ def upsert_batch(df: DataFrame, path: str, batch_id: int, run: str = "batch", se
 
     run: who numbers the batches - for a stream its query's id, so that one with a new checkpoint, which begins at 0 again,
     adds to the log.  seq: the column by which the last of a key's rows in one batch is known; else the order of the rows.
+    A replayed batch keeps the time at which it was first written, so an old one does not come before later ones.
     """
     order = F.col(seq).cast("long") if seq else F.monotonically_increasing_id()
-    df.withColumns({"_written": F.current_timestamp(), "_seq": order}).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+    written = F.timestamp_micros(F.lit(_first_written(df.sparkSession, f"{path}/_written/{run}-{batch_id}")))
+    df.withColumns({"_written": written, "_seq": order}).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+
+
+def _first_written(spark: SparkSession, file: str) -> int:
+    """The time in *file* in microseconds; now, if it has none yet.  The file is there before the batch's rows and outlives them."""
+    files.put_new(spark, file, str(time.time_ns() // 1000))
+    return int(files.read_small(spark, file))
 
 
 def read_keyed(spark, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current rows of a keyed table: of each key the last row of the batch written last."""
+    """The current rows of a keyed table: of each key the last row of the batch that was last written for the first time."""
     rows = spark.read.option("mergeSchema", "true").parquet(path)
     return latest_by_key(rows, keys, ["_written", "batch", "_seq"]).drop("run", "batch", "_written", "_seq")
 
@@ -104,30 +113,6 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], metrics: S
     return both.withColumns({**diffs, "is_match": agree}).drop("_l", "_r")
 
 
-def _rows_at(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def publish_snapshot(df: DataFrame, path: str, zero_cols: Sequence[str] = (), force: bool = False, skip_if_present: str | None = None) -> bool:
-    """Replace a published snapshot; False if nothing was done.
-
-    An empty frame is refused and the old snapshot stays.  Nulls in *zero_cols* become 0; other nulls stay.
-    skip_if_present: do nothing if the target has rows and this column, unless *force*.
-    """
-    spark = df.sparkSession
-    if skip_if_present and not force:
-        there = _rows_at(spark, path)
-        if there is not None and skip_if_present in there.columns and not there.isEmpty():
-            return False
-    if df.isEmpty():
-        raise ValueError(f"refusing to replace {path} by an empty snapshot")
-    df.fillna(0, list(zero_cols)).write.mode("overwrite").parquet(path)
-    return True
-
-
 def upsert_messages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """key and value as JSON, for a keyed topic; times as SQL text with milliseconds."""
     options = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSS", "ignoreNullFields": "false"}

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.operators import attribution, enrich, fraud, keyed, metrics, retention
+from adlake.operators import attribution, enrich, fraud, metrics, publishing, retention
 from adlake.sources import driver
 
 
@@ -116,4 +116,4 @@ class Offline:
 
     def publish(self, name: str, folder: str, zero_cols: tuple[str, ...] = (), force: bool = False, skip_if_present: str | None = None) -> bool:
         """Replace the published snapshot of one dataset only, in a folder of its name; False if nothing was done."""
-        return keyed.publish_snapshot(self.dataset(name), f"{folder}/{name}", zero_cols, force, skip_if_present)
+        return publishing.publish_snapshot(self.dataset(name), f"{folder}/{name}", zero_cols, force, skip_if_present)

@@ -171,6 +171,9 @@ FINAL: dict[str, str] = {
     "published_retention": _plain("retained"),
     "keyed_upserts": "SELECT order_id, status, gmv::DOUBLE AS gmv, op, seq FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) AS rn FROM changes) WHERE rn = 1",
     "published_daily": _plain("daily", "cost_1d gmv_1d"),
+    "published_rollback": _plain("summary", "attributed_gmv attributed_spend"),
+    "ordered_creatives": "SELECT row_number() OVER (ORDER BY stat_date, creative_id) AS position, stat_date, creative_id, advertiser_name, cost::DOUBLE AS cost FROM creative_rows",
+    "ordered_top_orders": "SELECT * FROM (SELECT row_number() OVER (ORDER BY order_gmv DESC, order_event_id) AS position, order_event_id, order_gmv::DOUBLE AS order_gmv, attribution_period FROM detail) WHERE position BETWEEN 101 AND 600",
     "attr_detail_joined": _plain("detail", "order_gmv touch_spend", "order_ts click_ts"),
     "fraud_signals_joined": _plain("signals", "suspicious_spend risk_score", "window_start window_end"),
     "stream_dwd": _plain("dwd", "spend gmv", "event_ts"),

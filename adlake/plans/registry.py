@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.operators import attribution, enrich, fraud, keyed, metrics
+from adlake.operators import attribution, enrich, fraud, keyed, metrics, ordered, publishing
 from adlake.plans import oracles
 from adlake.plans.offline import Offline
 from adlake.plans.semantic import CHARTS, REPORTS
@@ -89,10 +89,10 @@ def _cdc_stream(o: Offline) -> DataFrame:
 
 
 def _upserts(o: Offline) -> DataFrame:
-    """The change feed in three batches to a keyed table, the last one twice, then compacted."""
+    """The change feed in three batches to a keyed table, the first and the last one twice, then compacted."""
     changes = driver.order_changes(o.spark, o.sf_dir)
     path, target = jobs.shared_folder(o.spark, "keyed"), jobs.shared_folder(o.spark, "compact")
-    for n, op in ((0, "r"), (1, "u"), (2, "d"), (2, "d")):
+    for n, op in ((0, "r"), (1, "u"), (2, "d"), (2, "d"), (0, "r")):
         keyed.upsert_batch(changes.filter(F.col("op") == op), path, n, seq="seq")
     keyed.compact(o.spark, path, ["order_id"], target, 8)
     return o.spark.read.parquet(target)
@@ -104,16 +104,41 @@ def _published(o: Offline) -> DataFrame:
     keyed.write_partitioned(o.daily, parts, "stat_date")
     keyed.write_partitioned(o.daily.filter(F.col("stat_date").isin("2024-01-03", "2024-01-04")), parts, "stat_date")
     rows = o.spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(parts).withColumn("stat_date", F.col("stat_date").cast("string"))
-    keyed.publish_snapshot(rows, target, ["cost_1d", "gmv_1d"])
-    keyed.publish_snapshot(rows.limit(0), target, skip_if_present="stat_date")
-    return o.spark.read.parquet(target).select(*o.daily.columns)
+    publishing.publish_snapshot(rows, target, ["cost_1d", "gmv_1d"])
+    publishing.publish_snapshot(rows.limit(0), target, skip_if_present="stat_date")
+    return publishing.read_published(o.spark, target).select(*o.daily.columns)
+
+
+def _rolled_back(o: Offline) -> DataFrame:
+    """Attribution's summary published, then replaced by a part of it, then rolled back and vacuumed."""
+    target = jobs.shared_folder(o.spark, "versions")
+    first = publishing.publish(o.summary, target)
+    publishing.publish(o.summary.filter("orders > 1"), target, allow_empty=True)
+    publishing.roll_back(o.spark, target, first)
+    publishing.vacuum(o.spark, target, keep=1)
+    return publishing.read_published(o.spark, target)
+
+
+def _ordered_creatives(o: Offline) -> DataFrame:
+    """Daily creative rows exported in order, each with its position."""
+    target = jobs.shared_folder(o.spark, "ordered")
+    ordered.export_ordered(o.creative_offline.select("stat_date", "creative_id", "advertiser_name", "cost"), target, ["stat_date"], ["creative_id"], parts=8)
+    return ordered.read_ordered(o.spark, target)
+
+
+def _top_orders(o: Offline) -> DataFrame:
+    """Rows 101 to 600 of all orders by falling gmv, from the files that hold them."""
+    target = jobs.shared_folder(o.spark, "ordered")
+    rows = o.detail.select("order_event_id", "order_gmv", "attribution_period")
+    ordered.export_ordered(rows, target, [F.desc("order_gmv")], ["order_event_id"], parts=8, rows_per_file=200)
+    return ordered.read_slice(o.spark, target, 101, 500)
 
 
 def _publish_one(o: Offline, name: str) -> DataFrame:
     """One dataset published by its name and read again."""
     folder = jobs.shared_folder(o.spark, "datasets")
     o.publish(name, folder)
-    return o.spark.read.parquet(f"{folder}/{name}")
+    return publishing.read_published(o.spark, f"{folder}/{name}")
 
 
 def _tail(o: Offline) -> DataFrame:
@@ -182,6 +207,9 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "keyed_upserts": _upserts,
     "published_retention": lambda o: _publish_one(o, "retention"),
     "published_daily": _published,
+    "published_rollback": _rolled_back,
+    "ordered_creatives": _ordered_creatives,
+    "ordered_top_orders": _top_orders,
     "attr_detail_joined": lambda o: attribution.order_detail(o.candidates, o.points),
     "fraud_signals_joined": lambda o: fraud.fraud_signals(o.fraud, o.clicks),
     **{name: lambda o, q=q: q.run(o.dataset(q.dataset)) for name, q in REPORTS.items()},

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from adlake.operators import keyed
+from adlake.operators import keyed, publishing
 from adlake.operators.enrich import lookup_enrich
 from adlake.operators.metrics import creative_rolling, metrics_change, window_metrics
 from adlake.plans.semantic import CHARTS, query
@@ -72,11 +72,11 @@ def test_upsert_replay_and_publish(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "compact")).count() == 2
     out = str(tmp_path / "snapshot")
     rows = spark.createDataFrame([(1, None, None)], "id int, n int, ratio double")
-    assert keyed.publish_snapshot(rows, out, ["n"])
+    assert publishing.publish_snapshot(rows, out, ["n"])
     with pytest.raises(ValueError):
-        keyed.publish_snapshot(rows.filter("false"), out)
-    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, 0, None)]
-    assert not keyed.publish_snapshot(rows, out, skip_if_present="ratio") and keyed.publish_snapshot(rows, out, skip_if_present="ratio", force=True)
+        publishing.publish_snapshot(rows.filter("false"), out)
+    assert [tuple(r) for r in publishing.read_published(spark, out).collect()] == [(1, 0, None)]
+    assert not publishing.publish_snapshot(rows, out, skip_if_present="ratio") and publishing.publish_snapshot(rows, out, skip_if_present="ratio", force=True)
 
 
 def test_partitioned_write_replaces_only_its_dates(spark, tmp_path):
