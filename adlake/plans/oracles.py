@@ -139,6 +139,8 @@ FINAL: dict[str, str] = {
     "attr_summary": _plain("summary", "attributed_gmv attributed_spend"),
     "last_touch_asof": f"SELECT * EXCLUDE (touchpoint_seq) REPLACE ({_D('order_gmv touch_spend')}, {_T('outcome_time touch_time')}) FROM cand WHERE touchpoint_seq = 1",
     "stream_attribution": f"SELECT * EXCLUDE (touchpoint_seq) REPLACE ({_D('order_gmv touch_spend')}, {_T('outcome_time touch_time')}) FROM cand WHERE touchpoint_seq = 1",
+    "stream_attribution_final": f"""SELECT * EXCLUDE (touchpoint_seq) REPLACE ({_D('order_gmv touch_spend')}, {_T('outcome_time touch_time')}) FROM cand WHERE touchpoint_seq = 1
+  AND outcome_time < (SELECT max(event_ts) FROM ad_events WHERE event_type IN ('order', 'click')) - INTERVAL 10 MINUTE""",
     "click_features": _plain("clicks", _CLICK_DOUBLES, "event_time"),
     "fraud_features": f"SELECT * REPLACE ({_D('ctr_deviation ua_entropy fraud_score')}), CASE fraud_label WHEN 'NORMAL' THEN 'NONE' ELSE fraud_label END AS rule_hits FROM fraud",
     "fraud_signals_1m": _plain("signals", "suspicious_spend risk_score", "window_start window_end"),

@@ -164,6 +164,17 @@ def _stream_attribution(o: Offline) -> DataFrame:
     return jobs.settled_attribution(o.spark, log)
 
 
+def _stream_final_attribution(o: Offline) -> DataFrame:
+    """Events in three files, one after the other in time, through keyed state: the orders that the watermark has passed."""
+    spark = o.spark
+    feed, log, checkpoint = (jobs.shared_folder(spark, n) for n in ("feed", "final", "offsets"))
+    for low, high in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "9999-01-01")):
+        o.dwd.filter((F.col("event_date") >= low) & (F.col("event_date") < high)).coalesce(1).write.mode("append").parquet(feed)
+    stream = spark.readStream.schema(o.dwd.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    jobs.final_attribution_job(stream, log, checkpoint, once=True).awaitTermination()
+    return spark.read.parquet(log).drop("run", "batch", "_written", "_seq")
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.parse_events(driver.raw_json(spark, sf_dir), "UTC")
 
@@ -202,6 +213,7 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "stream_chain": _stream_chain,
     "stream_cdc": _cdc_stream,
     "stream_attribution": _stream_attribution,
+    "stream_attribution_final": _stream_final_attribution,
     "stream_tail": _tail,
     "cdc_local_times": lambda o: keyed.local_times(driver.order_steps(o.spark, o.sf_dir), ["create_time", "payment_time", "finish_time"]),
     "keyed_upserts": _upserts,

@@ -6,7 +6,8 @@ import json
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +18,7 @@ from adlake.operators.keyed import upsert_batch, upsert_jdbc, upsert_messages
 from adlake.operators.metrics import window_metrics
 from adlake.schemas import METRIC_KEYS
 from adlake.sources.events import parse_events, split_dirty
+from adlake.streaming.last_click import final_touches
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -26,6 +28,18 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """For streams that are started inside, keep state off the heap; the session's own setting comes back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of the query that owns the checkpoint: it stays over restarts and is new with a new checkpoint."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
@@ -86,6 +100,12 @@ def attribution_job(events: DataFrame, path: str, checkpoint: str, lookback: str
     return _start(touch_stream(events, lookback, watermark), lambda batch, n: keyed_batch(batch, path, n, checkpoint), checkpoint, "append", once, every)
 
 
+def final_attribution_job(events: DataFrame, path: str, checkpoint: str, lookback: str = "30 days", watermark: str = "10 minutes", once: bool = False, every: str = "10 seconds") -> StreamingQuery:
+    """Each order once with its last click, when the watermark has passed it, to a keyed log; the state is a click a key and the watermark's delay."""
+    with rocksdb(events.sparkSession):
+        return _start(final_touches(events, lookback, watermark), lambda batch, n: keyed_batch(batch, path, n, checkpoint), checkpoint, "append", once, every)
+
+
 def settled_attribution(spark: SparkSession, path: str) -> DataFrame:
     """Each order of the log with its last click so far."""
     return settled_touches(spark.read.parquet(path).drop("run", "batch", "_written", "_seq"))

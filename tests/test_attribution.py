@@ -114,3 +114,43 @@ def test_streamed_attribution_equals_batch(spark, tmp_path):
     want = want.select(got.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     assert {r.outcome_event_id: r.touch_event_id for r in got.collect()} == {"q": None, "o1": "c3", "o2": "c3", "o3": "c2", "o4": None}
+
+
+def feed(spark, tmp_path, *batches, **options):
+    """Runs the keyed-state job after each batch of rows; what it wrote, and the last run."""
+    src, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "cp"))
+    job = None
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+        job = jobs.final_attribution_job(stream, log, checkpoint, once=True, **options)
+        job.awaitTermination()
+    return spark.read.parquet(log).drop("run", "batch", "_written", "_seq"), spark.read.parquet(src), checkpoint
+
+
+def test_each_order_has_one_final_row(spark, tmp_path):
+    """Clicks that come after their order, ties, an order that waits over restarts, null keys, and a look-back that has passed."""
+    m = lambda n: T + timedelta(minutes=n)
+    got, rows, _ = feed(
+        spark, tmp_path,
+        [event("o1", "order", m(5), gmv=5), event("c1", "click", m(0)), event("s", "click", m(5), "v", "other"), event("p", "order", m(5), None, gmv=5), event("w", "order", m(5), "w", gmv=1)],
+        [event("c2", "click", m(4)), event("c3", "click", m(4)), event("c4", "click", m(6)), event("o2", "order", m(7), gmv=5), event("o3", "order", m(5), "v", gmv=2)],
+        [event("far", "click", m(60), "z"), event("o4", "order", m(61), gmv=5), event("o5", "order", m(90), "z", gmv=9)],
+        [event("end", "click", m(300), "z"), event("o6", "order", m(291), gmv=5)],
+        lookback="60 minutes",
+    )
+    want = A.last_touch(rows, "60 minutes").filter("outcome_event_id <> 'o6'").select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() == want.count() == 7
+    assert {r.outcome_event_id: r.touch_event_id for r in got.collect()} == {"o1": "c3", "o2": "c4", "o3": None, "o4": "c4", "o5": "far", "p": None, "w": None}
+
+
+def test_state_is_a_click_a_key_and_the_delay(spark, tmp_path):
+    users = [f"u{k}" for k in range(4)]
+    clicks = [event(f"{u}-{k:03}", "click", T + timedelta(minutes=k), u) for u in users for k in range(200)]
+    orders = [event(f"o{u}", "order", T + timedelta(minutes=199, seconds=30), u, gmv=1) for u in users]
+    got, _, checkpoint = feed(spark, tmp_path, clicks + orders, [event("x", "click", T + timedelta(minutes=215), "other")])
+    assert {r.touch_event_id for r in got.collect()} == {f"{u}-199" for u in users}
+    held = lambda name: spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+    assert held("last").count() == 4 and held("orders").count() == 0 and held("clicks").select("key").distinct().count() <= 1
+    _, _, _ = feed(spark, tmp_path, [event("y", "click", T + timedelta(days=31), "other")], [event("z", "click", T + timedelta(days=32), "other")])
+    assert held("last").select("key").distinct().count() <= 1  # the look-back of the four has passed
