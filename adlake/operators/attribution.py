@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from adlake.operators.enrich import small
 from adlake.operators.keyed import latest_by_key
 
 #: Upper limits in minutes, type, period label and sort number; labels are part of the result.
@@ -44,14 +45,39 @@ def _sides(events: DataFrame, lookback: str) -> tuple[DataFrame, DataFrame, Colu
     return orders, clicks, near
 
 
-def attribution_candidates(events: DataFrame, lookback: str = "30 days") -> DataFrame:
+def attribution_candidates(events: DataFrame, lookback: str = "30 days", strategy: str = "join", hot_orders: int = 10_000) -> DataFrame:
     """Each order with every click of its user and advertiser in the look-back, the latest first (ties: larger event_id); an order without one has a row of its own.
 
-    An equi-join with a range residual: Spark splits skewed users.
+    join: an equi-join with a range residual; Spark splits skewed users.  banded: for tables in which one user has a large share
+    of the rows.  Time is cut into bands as wide as the look-back, an order lies in one band and a click in two, so an order
+    meets only clicks of two bands; and in bands of a key with more than *hot_orders* orders these are dealt to as many parts
+    as that takes, with the band's clicks in each.  No task then has more than about *hot_orders* orders of a key.
     """
     orders, clicks, near = _sides(events, lookback)
+    if strategy == "banded":
+        orders, clicks, same = _banded(orders, clicks, lookback, hot_orders)
+        pairs = orders.join(clicks, same & near, "left").drop("_user", "_band", "_part", "_click_band", "_click_part")
+    else:
+        pairs = orders.join(clicks, near, "left").drop("_user")
     w = Window.partitionBy("outcome_event_id").orderBy(F.desc("touch_time"), F.desc("touch_event_id"))
-    return _finish(orders.join(clicks, near, "left").drop("_user").withColumn("touchpoint_seq", F.row_number().over(w)))
+    return _finish(pairs.withColumn("touchpoint_seq", F.row_number().over(w)))
+
+
+def _banded(orders: DataFrame, clicks: DataFrame, lookback: str, hot_orders: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Orders with band and part, clicks in every band and part that may ask for them, and when both are the same."""
+    orders = orders.withColumn("_band", time_slice(F.unix_micros("outcome_time"), lookback))
+    clicks = clicks.withColumn("_at", time_slice(F.unix_micros("touch_time"), lookback)).withColumn("_click_band", F.explode(F.array("_at", F.col("_at") + 1))).drop("_at")
+    parts = F.ceil(F.col("_n") / F.lit(hot_orders)).cast("int").alias("_parts")
+    counted = orders.groupBy("user_id", "order_advertiser_id", "_band").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_orders)
+    # one row for more than hot_orders orders; still counted before it is broadcast
+    hot = small(counted.select(F.col("user_id").alias("_hot_user"), F.col("order_advertiser_id").alias("_hot_advertiser"), F.col("_band").alias("_hot_band"), parts))
+    is_hot = lambda user, advertiser, band: (F.col(user) == F.col("_hot_user")) & (F.col(advertiser) == F.col("_hot_advertiser")) & (F.col(band) == F.col("_hot_band"))
+    part = F.coalesce(F.pmod(F.xxhash64("outcome_event_id"), F.col("_parts")), F.lit(0)).cast("int")
+    done = ("_hot_user", "_hot_advertiser", "_hot_band", "_parts")
+    orders = orders.join(hot, is_hot("user_id", "order_advertiser_id", "_band"), "left").withColumn("_part", part).drop(*done)
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
+    clicks = clicks.join(hot, is_hot("_user", "advertiser_id", "_click_band"), "left").withColumn("_click_part", every).drop(*done)
+    return orders, clicks, (F.col("_band") == F.col("_click_band")) & (F.col("_part") == F.col("_click_part"))
 
 
 def last_touch(events: DataFrame, lookback: str = "30 days", strategy: str = "sliced", slice_width: str = "1 hour") -> DataFrame:

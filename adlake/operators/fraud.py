@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.operators.attribution import _micros, time_slice
+from adlake.operators.sketches import distinct_count, roll_up, sketch_by
 
 NORMAL = "NORMAL"
 #: Rule code, score and description.
@@ -142,6 +143,20 @@ def fraud_signals(features: DataFrame, clicks: DataFrame | None = None, size: st
     )
 
 
+def fraud_user_sketches(labelled: DataFrame, size: str = "1 minute") -> DataFrame:
+    """The users of each window, advertiser, media and rule of `fraud_signals` as a sketch that can be merged."""
+    abnormal = labelled.filter(F.col("fraud_label") != NORMAL)
+    rows = sketch_by(abnormal, [F.window("event_time", size).alias("w"), "advertiser_id", "media", F.col("fraud_label").alias("rule_code")], "user_id")
+    return rows.select(F.date_format("w.start", "yyyy-MM-dd").alias("event_date"), F.col("w.start").alias("window_start"), "advertiser_id", "media", "rule_code", "sketch")
+
+
+def fraud_daily_users(signals: DataFrame, sketches: DataFrame) -> DataFrame:
+    """By day and advertiser: users summed over windows, which counts one user many times, and different users from merged sketches."""
+    keys = ["event_date", "advertiser_id"]
+    summed = signals.groupBy(*keys).agg(F.sum("unique_users").alias("suspicious_users"))
+    return summed.join(roll_up(sketches, keys).select(*keys, distinct_count().alias("different_users")), keys)
+
+
 def fraud_daily(signals: DataFrame) -> DataFrame:
     """Signals by day and advertiser."""
     return signals.groupBy("event_date", "advertiser_id").agg(

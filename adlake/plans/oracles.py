@@ -131,6 +131,14 @@ FINAL: dict[str, str] = {
     "point_lookup": _plain("ad_events", "spend gmv", "event_ts", " WHERE creative_id = 'crt_7'"),
     "ad_hierarchy": _plain("hierarchy", "bid_amount budget"),
     "attr_candidates": _plain("cand", "order_gmv touch_spend", "outcome_time touch_time"),
+    "attr_candidates_banded": _plain("cand", "order_gmv touch_spend", "outcome_time touch_time"),
+    "fraud_daily_users": """SELECT event_date, advertiser_id, suspicious_users, different_users FROM fraud_day JOIN (
+  SELECT strftime(c.event_time, '%Y-%m-%d') AS event_date, c.advertiser_id, count(DISTINCT c.user_id) AS different_users FROM clicks c JOIN fraud f USING (event_id) WHERE fraud_label <> 'NORMAL' GROUP BY ALL) USING (event_date, advertiser_id)""",
+    "retracted_daily": f"""SELECT event_date, creative_id, count(*) AS row_count, {_n('impression')} AS impressions, {_n('click')} AS clicks, sum(spend)::DOUBLE AS spend, sum(gmv)::DOUBLE AS gmv, max(gmv)::DOUBLE AS largest_gmv,
+  strftime(max(event_ts), {TS}) AS last_event, count(DISTINCT user_id) AS users
+  FROM (SELECT event_date, event_ts, event_type, spend, CASE WHEN i % 33 = 1 THEN 'crt_moved' ELSE creative_id END AS creative_id, CASE WHEN i % 11 = 1 THEN 'user_moved' ELSE user_id END AS user_id, CASE WHEN i % 11 = 1 THEN gmv * 2 ELSE gmv END AS gmv
+      FROM (SELECT *, CAST(event_id AS BIGINT) AS i FROM ad_events) WHERE i % 7 <> 0
+    UNION ALL SELECT event_date, event_ts, event_type, spend, creative_id, user_id, gmv FROM ad_events WHERE CAST(event_id AS BIGINT) % 13 = 2) GROUP BY event_date, creative_id""",
     "attr_touchpoints": f"""SELECT candidate_id AS attribution_id, stat_date, outcome_event_id AS conversion_event_id, order_id, user_id, CASE WHEN touch_event_id IS NULL THEN 0 ELSE touchpoint_seq END AS touchpoint_seq,
   CASE WHEN touch_event_id IS NULL THEN 'organic' ELSE 'click' END AS touchpoint_type, strftime(touch_time, {TS}) AS touch_time, creative_id, campaign_id, advertiser_id, l AS is_last_click, 'last_click_30d' AS attribution_model,
   CAST(l AS INT)::DOUBLE AS touch_weight, CASE WHEN l THEN CAST(order_gmv AS DOUBLE) ELSE 0 END AS attributed_gmv, CAST(l AS INT)::DOUBLE AS attributed_conv, CAST(30 AS INT) AS lookback_days

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.operators import attribution, enrich, fraud, keyed, metrics, ordered, publishing
+from adlake.operators import attribution, enrich, fraud, keyed, metrics, ordered, publishing, retract
 from adlake.plans import oracles
 from adlake.plans.offline import Offline
 from adlake.plans.semantic import CHARTS, REPORTS
@@ -134,6 +134,44 @@ def _top_orders(o: Offline) -> DataFrame:
     return ordered.read_slice(o.spark, target, 101, 500)
 
 
+#: Daily facts of a creative that follow a change log.
+DAILY_FACTS = retract.Facts(
+    ("event_date", "creative_id"),
+    {"impressions": "IF(event_type = 'impression', 1L, 0L)", "clicks": "IF(event_type = 'click', 1L, 0L)", "spend": "spend", "gmv": "gmv"},
+    {"largest_gmv": "gmv", "last_event": "event_ts"},
+    {"users": "user_id"},
+)
+
+
+def _changed_events(o: Offline) -> DataFrame:
+    """The events after some were deleted, changed and added."""
+    n = F.col("event_id").cast("long")
+    changed = n % 11 == 1
+    kept = o.events.filter(n % 7 != 0)
+    new = kept.withColumns(
+        {
+            "user_id": F.when(changed, "user_moved").otherwise(F.col("user_id")),
+            "gmv": F.when(changed, F.col("gmv") * 2).otherwise(F.col("gmv")).cast("decimal(18,2)"),
+            "creative_id": F.when(n % 33 == 1, "crt_moved").otherwise(F.col("creative_id")),
+        }
+    )
+    return new.unionByName(o.events.filter(n % 13 == 2).withColumn("event_id", F.concat(F.lit("n"), "event_id")))
+
+
+def _retracted(o: Offline) -> DataFrame:
+    """Daily facts loaded, folded, then brought up to date by a stream of changes, of which a part is folded as well."""
+    spark = o.spark
+    path, feed, checkpoint = (jobs.shared_folder(spark, n) for n in ("facts", "changes", "offsets"))
+    columns = ["event_id", "event_date", "event_ts", "creative_id", "user_id", "event_type", "spend", "gmv"]
+    old, new = o.events.select(*columns), _changed_events(o).select(*columns)
+    retract.log_changes(old.withColumn("row_kind", F.lit("+I")), path, DAILY_FACTS, 0, "load")
+    retract.fold(spark, path, DAILY_FACTS)
+    keyed.changelog_between(old, new, ["event_id"]).repartition(3, "event_id").write.parquet(feed)
+    stream = spark.readStream.schema(spark.read.parquet(feed).schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    retract.retract_job(stream, path, DAILY_FACTS, checkpoint, once=True).awaitTermination()
+    return retract.read_facts(spark, path, DAILY_FACTS)
+
+
 def _publish_one(o: Offline, name: str) -> DataFrame:
     """One dataset published by its name and read again."""
     folder = jobs.shared_folder(o.spark, "datasets")
@@ -191,6 +229,7 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "point_lookup": lambda o: events.point_lookup(o.events, "creative_id", "crt_7"),
     "ad_hierarchy": lambda o: o.hierarchy,
     "attr_candidates": lambda o: o.candidates,
+    "attr_candidates_banded": lambda o: attribution.attribution_candidates(o.dwd, strategy="banded", hot_orders=2),
     "attr_touchpoints": lambda o: o.points,
     "attr_order_detail": lambda o: o.detail,
     "attr_summary": lambda o: o.summary,
@@ -199,6 +238,8 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "fraud_features": lambda o: o.fraud,
     "fraud_signals_1m": lambda o: o.signals,
     "fraud_daily": lambda o: o.fraud_daily.withColumn("avg_risk_score", F.round("avg_risk_score", 6)),
+    "fraud_daily_users": lambda o: fraud.fraud_daily_users(o.signals, fraud.fraud_user_sketches(fraud.label_clicks(o.clicks, **o.fraud_rules))),
+    "retracted_daily": _retracted,
     "advertiser_retention": lambda o: o.retention,
     "creative_offline": lambda o: o.creative_offline,
     "creative_rolling_7d": lambda o: metrics.creative_rolling(o.daily).select("stat_date", "creative_id", "cost_1d", "gmv_1d", "cost_7d", "gmv_7d", "cost_total", "gmv_total"),
