@@ -10,7 +10,8 @@ shuffle.  Round functions are SHA-256 of key, kind, round and half.
 * IBANs (valid mod 97): digits behind the check digits are permuted, letters
   stay, the check digits are set anew; the length follows the country, so a token
   behind the number is left alone;
-* phone numbers: digits behind the country code are permuted;
+* phone numbers: digits behind the country code are permuted; the code is known by a table, and a trunk zero in brackets
+  stays, so one number has one pseudonym however it is grouped;
 * social security numbers (valid ranges): the nine digits are permuted, walking
   the cycle until the ranges are valid again;
 * IPv4 addresses: the 32 bits are permuted;
@@ -85,6 +86,9 @@ PHONE = "|".join(
     )
 )
 
+#: Country calling codes of one and two digits; all others have three.
+COUNTRY_CODE = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
 KINDS = {"email": EMAIL, "iban": IBAN, "ipv4": IPV4, "date": DATE, "ssn": SSN, "card": CARD, "phone": PHONE}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 
@@ -199,9 +203,11 @@ def _iban(m: Column, key: Column) -> Column:
 
 
 def _phone(m: Column, key: Column) -> Column:
-    country = F.regexp_extract(m, r"^\+[0-9]{1,3}(?![0-9])", 0)
-    rest = F.substr(m, F.length(country) + 1)
-    return F.concat(country, written_like(rest, permute_digits(only_digits(rest), key, "phone")))
+    bare = F.regexp_replace(m, r"\(0\)", "()")  # the trunk zero is no digit of the number
+    digits = only_digits(bare)
+    code = F.when(m.startswith("+"), F.regexp_extract(digits, COUNTRY_CODE, 0)).otherwise(F.lit(""))
+    new = F.concat(code, permute_digits(F.substr(digits, F.length(code) + 1), key, "phone"))
+    return F.replace(written_like(bare, new), F.lit("()"), F.lit("(0)"))
 
 
 def _ssn(m: Column, key: Column) -> Column:

@@ -138,6 +138,27 @@ def test_phone_groups_of_any_length_are_masked_whole(make_docs):
         assert n not in text and re.sub("[0-9]", "9", text[5:-9]) == re.sub("[0-9]", "9", n) and text.endswith(" 5 times.")
 
 
+ONE_NUMBER = [
+    ("+49 151 1234567", "+491511234567", "+49-151-1234567", "+49 1511234567", "+49 (0)151 1234567", "+49.151.1234567", "+49 15 11 23 45 67"),
+    ("+1 555 123 4567", "+15551234567", "+1 (555) 123-4567", "+1-555-123-4567", "+1.555.123.4567"),
+    ("+358 40 1234567", "+358401234567", "+358-40-1234567"),
+    ("+7 495 1234567", "+74951234567", "+7 (495) 1234567"),
+]
+
+
+@pytest.mark.parametrize("written", ONE_NUMBER)
+def test_a_number_has_one_pseudonym_however_it_is_grouped(make_docs, written):
+    code = written[0].split()[0]
+    out = [x[5:-1] for x in masked(make_docs, *(f"call {n}." for n in written))]
+    assert len({re.sub(r"[^0-9]", "", x.replace("(0)", "")) for x in out}) == 1 and all(x.startswith(code) for x in out)
+    assert not set(out) & set(written) and [re.sub("[1-9]", "0", x) for x in out] == [re.sub("[1-9]", "0", n) for n in written]
+
+
+def test_a_number_within_its_country_is_the_same(make_docs):
+    a, b = masked(make_docs, "call +1 (555) 123-4567.", "call (555) 123-4567.")
+    assert a[8:] == b[5:]
+
+
 @pytest.mark.parametrize("next_token", ["10.0.0.1", "2024-02-29", "29.02.2024", "4845 1681 1440 7329", "078-05-1120", "555-123-4567"])
 def test_a_phone_number_takes_no_following_value(next_token):
     for n in ("+49 30 12345", "+49 30 1234567", "+49-89-123456"):
@@ -214,9 +235,11 @@ class Plain:
         return self.like(m, body + str(-luhn(body + "0") % 10))
 
     def phone(self, m):
-        country = (re.match(r"\+[0-9]{1,3}(?![0-9])", m) or [""])[0]
-        rest = m[len(country) :]
-        return country + self.like(rest, self.digits("phone", re.sub("[^0-9]", "", rest)))
+        m = m.replace("(0)", "(o)")
+        digits = re.sub("[^0-9]", "", m)
+        two = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+        n = 0 if m[0] != "+" else 1 if digits[0] in "17" else 2 if digits[:2] in two else 3
+        return self.like(m, digits[:n] + self.digits("phone", digits[n:])).replace("(o)", "(0)")
 
     def ssn(self, m):
         d = m.replace("-", "")
