@@ -103,6 +103,95 @@ def test_a_doubtful_name_drops_no_main_text(name):
     assert "short" not in X.main_text(f"<body><p>end</p><div class='{name}'><a href='/'>{SHORT * 4}</a></div></body>", [])[0]
 
 
+def prose(seed, n):
+    r = random.Random(seed)
+    return " ".join(f"p{r.randrange(999)}" for _ in range(n // 5))
+
+
+@pytest.mark.parametrize("size", [90, 900])
+@pytest.mark.parametrize("box", ["article class='promo-story'", "div class='main-footer-fix'", "div class='comments-policy'", "article class='ad-review'", "form id='aspnetForm'", "div class='login-guide'"])
+def test_a_page_of_one_doubtful_block_keeps_its_text(box, size):
+    tag, text = box.split()[0], prose(size, size)
+    page = f"<html><body><nav><a href='/'>menu</a></nav><{box}><header>top</header><div class='row'><p>{text}</p></div><div class='newsletter'><p>your mail</p></div></{tag}><footer>end</footer></body></html>"
+    assert X.main_text(page, [])[0] == text
+    assert X.main_text(page, ["html/body/div.else"])[0] == text
+    # beside an article the block is what its name says
+    assert X.main_text(f"<body><article><p>{prose(1, 500)}</p></article><{box}><p>{text}</p></{tag}></body>", [])[0] == prose(1, 500)
+
+
+HALVES = {
+    "two halves": ("<div class='alpha'><p>{}</p></div><div class='beta'><p>{}</p></div>", ["html/body/div.alpha", "html/body/div.beta"]),
+    "halves of halves": ("<div class='w'><div class='ra'><div class='alpha'><p>{}</p></div></div><div class='rb'><div class='beta'><p>{}</p></div></div></div>", ["html/body/div.w/div.ra/div.alpha", "html/body/div.w/div.rb/div.beta"]),
+}
+
+
+@pytest.mark.parametrize("kind", HALVES)
+def test_an_article_in_two_containers_is_read_whole(spark, kind):
+    body, paths = HALVES[kind]
+    page = lambda k: "<html><body><nav><a href='/'>menu</a></nav>" + body.format(prose(k, 300), prose(k + 50, 240)) + "<footer>f</footer></body></html>"
+    for winners in ([], paths, paths[:1] + ["html/body/div.none"], paths[::-1]):
+        assert X.main_text(page(1), winners)[0] == (f"{prose(1, 300)}\n{prose(51, 240)}" if len(winners) != 2 or "none" not in winners[1] else prose(1, 300))
+    got = X.extract_pages(pages(spark, [("http://a/", page(k)) for k in range(6)])).orderBy("page_id").collect()
+    assert [r.text for r in got] == [f"{prose(k, 300)}\n{prose(k + 50, 240)}" for k in range(6)]
+
+
+def test_a_short_winner_does_not_hide_a_page_of_its_own():
+    page = f"<html><body><div class='teaser'>in short</div><div class='unknown'><p>{prose(3, 600)}</p></div></body></html>"
+    assert prose(3, 600) in X.main_text(page, ["html/body/div.teaser"])[0]
+    assert X.main_text(page, ["html/body/div.teaser"], ["html/body/div.unknown"])[0] == "in short"
+
+
+INSIDE = {
+    "<p>one <span class='ad'>buy <b>now</b></span> two</p>": "one two",
+    "<p>one <span hidden>secret <span>more</span></span>two</p>": "one two",
+    "<p>one <em style='display: none'>x</em>two <span class='ad-box'>tell all": "one two",
+    "<p>one <span class='ad'>never closed</p><p>two</p>": "one\ntwo",
+    "<p>one</p><section id='disqus_thread'><p>reader says</p></section>": "one",
+    "<p>one</p><div class='discussion'><p>reader says so, and at length, again and again</p></div>": "one",
+    "<p>one</p><div class='notice'><p>long notice of many words, longer than the text</p></div>": "one",
+    "<p>one</p><div class='notice-board'><p>long notice of many words, longer than the text</p></div><p>two</p>": "one\ntwo",
+    "<p>one</p><form><p>your name, your mail, and your thoughts on this</p></form>": "one",
+    "<p>one <span class='highlight'>two</span> <a class='ref' href='/'>three</a></p>": "one two three",
+}
+
+
+@pytest.mark.parametrize("body", INSIDE)
+def test_parts_inside_an_article(body):
+    assert X.main_text(f"<html><body><article>{body}</article><div class='newsletter'><p>{prose(1, 90)}</p></div></body></html>", [])[0] == INSIDE[body]
+
+
+def test_hosts_of_several_containers_equal_a_plain_version(spark):
+    """Votes, winners and texts of generated hosts, from the known containers of each page."""
+    r = random.Random(21)
+    rows, boxes_of = [], []
+    for k in range(120):
+        host = k % 4
+        names = {0: ("lead", "body-x", "side-y"), 1: ("alpha", "beta"), 2: ("only",), 3: ("aa", "bb", "cc", "dd")}[host]
+        sizes = {0: (200, 900, 60), 1: (300, 240), 2: (500,), 3: (400, 300, 200, 40)}[host]
+        here = [(n, prose(r.randrange(10**6), s + r.randrange(40))) for n, s in zip(names, sizes) if r.random() < 0.9] or [(names[0], prose(k, 50))]
+        page = "".join(f"<div class='{n}'><p>{t}</p></div><div class='ad'>buy</div>" for n, t in here)
+        rows.append((f"http://h{host}.example/{k}", f"<html><body><nav>menu</nav>{page}<aside>x</aside></body></html>"))
+        boxes_of.append((host, here))
+    votes, count = {}, {}
+    for host, here in boxes_of:
+        scores = {f"html/body/div.{n}": len(t) * (1.5 if n == "body-x" else 1.0) for n, t in here}
+        scores["html/body"] = 0.5 * 0.5 * sum(len(t) for _, t in here)
+        for p, x in scores.items():
+            votes[host, p] = votes.get((host, p), 0) + x / sum(scores.values())
+            count[host, p] = count.get((host, p), 0) + 1
+    winners = {}
+    for host in range(4):
+        mine = sorted((p for h, p in votes if h == host), key=lambda p: (-round(votes[host, p], 6), p))
+        mean = {p: votes[host, p] / count[host, p] for p in mine}
+        winners[host] = [p for p in mine if 3 * mean[p] >= mean[mine[0]]]
+    found = {x.host: list(x.paths) for x in X.host_winners(pages(spark, rows)).collect()}
+    assert found == {f"h{h}.example": w for h, w in winners.items()}
+    got = {x.page_id: x.text for x in X.extract_pages(pages(spark, rows)).collect()}
+    for k, (host, here) in enumerate(boxes_of):
+        read = [t for n, t in here if f"html/body/div.{n}" in winners[host]]
+        assert got[k] == "\n".join(read or [t for _, t in here]), k
+
+
 def test_built_pages_are_read_back(spark):
     """Pages built from known blocks, in random order with random boilerplate, broken and whole."""
     r = random.Random(11)
