@@ -7,13 +7,17 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch: with texts of some kilobytes a worker holds a few megabytes at once.
 ARROW_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bits of a set of ids that is sent to all tasks (16 MB).
+BITMAP_BITS = 1 << 27
 #: Keys that one join may deal to several tasks, and the rows of a key up to which one task is enough.
 HOT_KEYS, HOT_ROWS = 10_000, 1024
 
@@ -54,6 +58,14 @@ def drop_stored(*frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """*name*, with underscores behind it as far as a column of *frames* has it."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def in_batches(df: DataFrame, f: Callable, schema: StructType | str) -> DataFrame:
     """mapInArrow with batches of ARROW_ROWS rows, unless the session names another number."""
     small_batches(df.sparkSession)
@@ -80,8 +92,46 @@ def spread_join(rows: DataFrame, sides: DataFrame, key: str, n: str = "n", by: s
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast if *df* has at most *max_rows* rows (counted); else Spark shuffles the join. The result is the same."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    return F.broadcast(df) if is_few(df, max_rows) else df
+
+
+def id_bitmap(ids: DataFrame, column: str, bits: int = BITMAP_BITS) -> Callable[[Column], Column]:
+    """A test that is true for every id of *ids*, and for few others as long as they are fewer than *bits*; its size is fixed.
+
+    Put before a join that shuffles, it lets only rows move that may have a partner.
+    """
+    at = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(bits))
+    words = ids.groupBy(F.shiftright(at, 15).alias("word")).agg(F.bitmap_construct_agg(at.bitwiseAND(F.lit(32767))).alias("held"))
+    whole = np.zeros(bits // 8, np.uint8)
+    for row in words.toLocalIterator():  # at most bits / 32768 rows of 4 KB
+        whole[row["word"] * 4096 : (row["word"] + 1) * 4096] = np.frombuffer(row["held"], np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(whole)
+
+    @F.pandas_udf("boolean")
+    def held(place: pd.Series) -> pd.Series:
+        x = place.to_numpy()
+        return pd.Series((shared.value[x >> 3] >> (x & 7)) & 1 == 1)
+
+    return lambda c: held(F.pmod(F.xxhash64(c.cast("long")), F.lit(bits)))
+
+
+def semi_join(rows: DataFrame, ids: DataFrame, column: str, max_rows: int) -> DataFrame:
+    """The *rows* whose *column* is in *ids*: by a broadcast up to *max_rows* ids, else only rows that a bitmap of the ids lets pass are shuffled."""
+    if is_few(ids, max_rows):
+        return rows.join(F.broadcast(ids), column, "left_semi")
+    return rows.filter(id_bitmap(ids, column)(F.col(column))).join(ids, column, "left_semi")
+
+
+def anti_join(rows: DataFrame, ids: DataFrame, column: str, max_rows: int) -> DataFrame:
+    """The *rows* whose *column* is not in *ids*, in the same way; rows that no id can meet are not shuffled."""
+    if is_few(ids, max_rows):
+        return rows.join(F.broadcast(ids), column, "left_anti")
+    may = F.coalesce(id_bitmap(ids, column)(F.col(column)), F.lit(False))
+    return rows.filter(~may).union(rows.filter(may).join(ids, column, "left_anti").select(*rows.columns))
+
+
+def is_few(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def crc_mod(doc_id, m: int):

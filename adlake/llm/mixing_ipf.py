@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import bounded_broadcast, drop_stored, read_table, stored
+from adlake.llm.common import bounded_broadcast, drop_stored, read_table, stored, unused
 
 QUERY_NAME = "op6_mixing_ipf"
 
@@ -139,14 +139,19 @@ def calibrate(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
     return cells.withColumn("probability", F.coalesce(F.least(F.lit(1.0), F.try_divide(F.col("w") * F.lit(c), F.col("tokens"))), F.lit(0.0)))
 
 
-def mix(docs: DataFrame, topic: Column, temper: dict[str, float] = TEMPER, keep_share: float = KEEP_SHARE, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, seed: str = SEED) -> DataFrame:
-    """*docs* with _topic, _tokens, _w, _probability and _kept."""
+def mix(
+    docs: DataFrame, topic: Column, temper: dict[str, float] = TEMPER, keep_share: float = KEEP_SHARE, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, seed: str = SEED, prefix: str = "_"
+) -> DataFrame:
+    """*docs* with topic, tokens, w, probability and kept, each behind *prefix*; ValueError if docs have one of these names."""
+    names = {n: prefix + n for n in ("topic", "tokens", "w", "probability", "kept")}
+    if clash := {c.lower() for c in docs.columns} & set(names.values()):
+        raise ValueError(f"documents have columns {sorted(clash)}: choose another prefix")
+    own = {n: unused(f"_{n}", docs) for n in ("source", "lang")} | {n: names[n] for n in ("topic", "tokens")}
+    none = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))
     named = docs.withColumns(
-        {"_source": F.coalesce(F.col("source").cast("string"), F.lit(NONE)), "_lang": F.coalesce(F.col("lang").cast("string"), F.lit(NONE)), "_topic": F.coalesce(topic, F.lit(NONE)), "_tokens": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")}
-    )
-    cells = stored(
-        named.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens")), "cells"
+        {own["source"]: none(F.col("source")), own["lang"]: none(F.col("lang")), own["topic"]: F.coalesce(topic, F.lit(NONE)), own["tokens"]: F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")}
     )
+    cells = stored(named.groupBy(*[F.col(own[n]).alias(n) for n in ("source", "lang", "topic")]).agg(F.sum(own["tokens"]).alias("tokens")), "cells")
     goals = targets or {name: stored(tempered(cells, name, e), f"target-{name}") for name, e in temper.items()}
     raked = rake(cells, goals, rounds)
     gap = raked.agg(F.max("gap")).first()[0] or 0.0
@@ -155,10 +160,12 @@ def mix(docs: DataFrame, topic: Column, temper: dict[str, float] = TEMPER, keep_
         if targets:
             raise ValueError(said)
         warnings.warn(said, stacklevel=2)
-    fitted = calibrate(raked, keep_share).select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("w").alias("_w"), F.col("probability").alias("_probability"))
-    fitted = bounded_broadcast(stored(fitted, "fitted"), BROADCAST_CELLS)
-    out = named.join(fitted, (F.col("_source") == F.col("_s")) & (F.col("_lang") == F.col("_l")) & (F.col("_topic") == F.col("_t"))).drop("_s", "_l", "_t")
-    return out.withColumn("_kept", uniform(F.col("doc_id"), seed) < F.col("_probability"))
+    of = {n: unused(f"_cell_{n}", named) for n in ("source", "lang", "topic")}
+    fitted = stored(calibrate(raked, keep_share).select(*[F.col(n).alias(of[n]) for n in of], F.col("w").alias(names["w"]), F.col("probability").alias(names["probability"])), "fitted")
+    drop_stored(cells, *(goals.values() if not targets else ()))
+    same = [F.col(own[n]) == F.col(of[n]) for n in of]
+    out = named.join(bounded_broadcast(fitted, BROADCAST_CELLS), same[0] & same[1] & same[2]).drop(own["source"], own["lang"], *of.values())
+    return out.withColumn(names["kept"], uniform(F.col("doc_id"), seed) < F.col(names["probability"]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

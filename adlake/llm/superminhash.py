@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import bounded_broadcast, drop_stored, in_batches, read_table, small_batches, spread_join, stored
+from adlake.llm.common import anti_join, drop_stored, in_batches, read_table, semi_join, small_batches, spread_join, stored
 from adlake.llm.components import connected_components
 from adlake.llm.textgrams import Texts, chunks, join_hashes, mix
 
@@ -61,7 +61,7 @@ SMALL, BLOCK, BLOCK_SHINGLES = 64, 1024, 1 << 19
 SIGN_BYTES = 1 << 18
 #: Standard deviations by which a signature may fall short of the similarity before the sets are left out.
 SLACK = 7
-#: Ids that are broadcast to fetch texts or drop rows (16 MB); more are shuffled.
+#: Ids that are broadcast to fetch texts or drop rows (16 MB); of more a bitmap goes to the tasks, and only rows that it lets pass are shuffled.
 BROADCAST_IDS = 1_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -156,8 +156,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 sets = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _set_ids(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "set_id", "members"])
 
-    few = bounded_broadcast(ids, BROADCAST_IDS)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(few, "id", "left_semi")
+    texts = semi_join(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), ids, "id", BROADCAST_IDS)
     return in_batches(texts, make, "id long, set_id string, members binary")
 
 
@@ -177,7 +176,7 @@ def explode_keys(sets: DataFrame) -> DataFrame:
 def verify(pairs: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= similarity * union on the full sets."""
     pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     # repeated rows have one set
     half = stored(full_sets(docs, ids, width).dropDuplicates(["id", "set_id"]).drop("set_id"), "members")
 
@@ -190,7 +189,7 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, similarity: int) -> Da
 
     both = pairs.join(half.withColumnsRenamed({"id": "b", "members": "set_b"}), "b").join(half.withColumnsRenamed({"id": "a", "members": "set_a"}), "a")
     links = stored(in_batches(both.select("a", "b", "set_a", "set_b"), check, "a long, b long"), "links")
-    drop_stored(pairs, half)
+    drop_stored(pairs, ids, half)
     return links
 
 
@@ -309,10 +308,11 @@ def across_groups(docs: DataFrame, buckets: DataFrame, sets: DataFrame, width: i
         rest = large.drop("n").join(found, ["key", "id"])
         room = F.greatest(F.count("*") / F.lit(block), F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))
         sized = stored(rest.groupBy("key").agg(F.count("*").alias("n"), F.ceil(room).cast("int").alias("cells")), "cells")
-        texts = stored(full_sets(docs, rest.select("id").distinct(), width).dropDuplicates(["id", "set_id"]).drop("set_id"), "large")
+        ids = stored(rest.select("id").distinct(), "ids")
+        texts = stored(full_sets(docs, ids, width).dropDuplicates(["id", "set_id"]).drop("set_id"), "large")
         joining = links_in_large_buckets(spread_join(rest, sized, "key").join(texts, "id"), similarity)
-        links = stored(links.union(joining), "links")
-        drop_stored(found, sized, texts)
+        small_links, links = links, stored(links.union(joining), "links")
+        drop_stored(found, sized, ids, texts, small_links)
     drop_stored(members)
     return links
 
@@ -327,15 +327,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80, bands
     banded = explode_keys(sets)
     hubs = stored(banded.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1"), "hubs")
     buckets = stored(spread_join(banded, hubs, "key"), "buckets")
-    links = verify(buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct(), docs, width, similarity).union(_same_id(whole, sets))
-    groups = stored(connected_components(links), "groups")
+    links = verify(buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct(), docs, width, similarity)
+    groups = stored(connected_components(links.union(_same_id(whole, sets))), "groups")
     member = stored(buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("group")), "grouped")
     mixed = stored(member.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", "n"), "mixed")
     more = across_groups(docs, spread_join(member, mixed, "key"), sets, width, similarity, small, block)
     component = stored(connected_components(groups.union(more)), "components")
     # the copies of a set, a third of all documents perhaps, meet its group on dealt keys
     of_set = stored(sets.select("set_id", "id", "n").join(component.withColumnRenamed("node", "id"), "id", "left").select("set_id", "n", F.coalesce("component", "id").alias("component")), "sets")
-    drop_stored(hubs, buckets, groups, member, mixed, sets, component)
+    drop_stored(hubs, buckets, links, groups, member, mixed, more, sets, component)
     placed = spread_join(whole.select("doc_id", "set_id", "n_shingles"), of_set, "set_id", by="doc_id")
     placed = placed.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     # a row without words belongs to the rows of its doc_id that have some
@@ -363,8 +363,8 @@ def _same_id(whole: DataFrame, sets: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFrame:
     """The rows of *docs* whose doc_id is the smallest of its group; rows without a doc_id stay."""
     groups = near_duplicates(docs, width, similarity)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(bounded_broadcast(stored(gone, "gone"), BROADCAST_IDS), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = stored(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    return anti_join(docs, gone, "doc_id", BROADCAST_IDS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

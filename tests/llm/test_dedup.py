@@ -148,3 +148,39 @@ def test_many_copies_and_a_doc_id_with_several_texts(make_docs, monkeypatch):
     docs = [(k, a) for k in range(60)] + [(70, b), (71, b + " c"), (71, a), (72, None), (71, "")]
     got = {(r.doc_id, r.component_id) for r in M.near_duplicates(make_docs(docs), 2).collect()}
     assert got == {(k, 0) for k in [*range(60), 70, 71]} | {(72, 72)}
+
+
+def test_ids_beyond_the_broadcast_bound(spark, make_docs, monkeypatch):
+    """A bitmap of the ids lets few other rows through, and the results are the same."""
+    texts = corpus(n=60)
+    want = {i: c for i, (_, c) in brute(texts, 5).items()}
+    kept = sorted(i for i, c in want.items() if i == c)
+    monkeypatch.setattr(M, "BROADCAST_IDS", 3)
+    docs = make_docs(texts + [(None, "a row without an id")]).selectExpr("*", "5 AS _gone", "6 AS id_", "7 AS set_id")
+    assert {r.doc_id: r.component_id for r in M.near_duplicates(docs).collect() if r.doc_id is not None} == want
+    out = M.keep_one(docs)
+    assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == kept and out.filter("doc_id IS NULL").count() == 1 and out.columns == docs.columns
+    ids = spark.range(0, 40_000, 7).toDF("k")
+    rows = spark.range(400_000).toDF("k")
+    test = common.id_bitmap(ids, "k", 1 << 20)
+    passed = rows.filter(test(F.col("k")))
+    assert ids.join(passed, "k", "left_anti").isEmpty() and passed.count() < ids.count() + 4000
+    assert common.semi_join(rows, ids, "k", 5).count() == ids.count() and common.anti_join(rows, ids, "k", 5).count() == 400_000 - ids.count()
+
+
+INTERNAL = "_toxicity _gone _s _l _t _w _topic _tokens _probability _kept _source _lang _cell_source cell id fp n key keys a b component component_id n_shingles set_id members label bucket ids decoded spans mark place part score rank weight features _n _salt _parts _hot"
+
+
+def test_clashing_columns_are_carried(make_docs):
+    import corpus_pipeline
+    from adlake.llm import overlap_dsir, segment_popcount
+
+    texts = [" ".join(f"w{(k * 7 + j) % 50}" for j in range(30)) for k in range(12)]
+    docs = make_docs(texts, lang="x").selectExpr("doc_id", "text", "lang", "source", "n_chars", *[f"'{n}' AS `{n}`" for n in INTERNAL.split()])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(docs.sparkSession, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        assert all(r[n] == n for r in out.collect() for n in INTERNAL.split())
+    assert corpus_pipeline.STAGES[-1][1](docs.sparkSession, docs, "").count() == 12
+    assert segment_popcount.near_duplicates(docs).count() == 12
+    assert overlap_dsir.resample(docs, docs.select("text")).count() == 12
