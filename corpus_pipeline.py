@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.llm import bpe_backtrack, mixing_ipf, pii_feistel, superminhash, toxicity_ftrl
-from adlake.llm.common import read_table, stored
+from adlake.llm.common import drop_stored, read_table, stored, unused
 
 REJECT_SCORE = 0.5
 #: The session setting with the key of the pseudonyms (Spark hides settings with "secret" in its name in logs and UI).
@@ -35,8 +35,8 @@ def pii_key(spark: SparkSession) -> str:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below REJECT_SCORE; the model learns from all labels (a bounded sample)."""
     model = toxicity_ftrl.fit(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity_ftrl.score(docs, model, name="_toxicity")
-    return scored.filter(F.col("_toxicity") < REJECT_SCORE).drop("_toxicity")
+    name = unused("_toxicity", docs)
+    return toxicity_ftrl.score(docs, model, name=name).filter(F.col(name) < REJECT_SCORE).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,11 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by their calibrated probabilities."""
-    mixed = mixing_ipf.mix(docs, mixing_ipf.form_topic(F.col("text")))
-    return mixed.filter("_kept").select(*docs.columns)
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    mixed = mixing_ipf.mix(docs, mixing_ipf.form_topic(F.col("text")), prefix=prefix)
+    return mixed.filter(F.col(f"{prefix}kept")).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,10 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    docs = read_table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, f"stage-{name}")
-    return docs
+    """All stages over documents, each written to the shared folder and read again; a stage's rows go when the next one's are written."""
+    docs, former = read_table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if former is not None:
+            drop_stored(former)
+        former = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
