@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from adlake.operators.enrich import small
+from adlake.operators.enrich import lookup_enrich, small
 from adlake.operators.keyed import latest_by_key
 
 #: Upper limits in minutes, type, period label and sort number; labels are part of the result.
@@ -32,10 +34,24 @@ def _finish(rows: DataFrame) -> DataFrame:
     )
 
 
+def _there(names: dict[str, str], events: DataFrame) -> dict[str, str]:
+    """The columns that *events* have: names may be looked up later, for the few rows of the result (`name_touches`)."""
+    return {c: n for c, n in names.items() if c in events.columns}
+
+
+def name_touches(touches: DataFrame, advertiser: DataFrame, campaign: DataFrame) -> DataFrame:
+    """Adds the names of advertiser and campaign of order and touch to rows made from events without names."""
+    touched = F.col("touch_event_id").isNotNull()
+    out = lookup_enrich(touches, advertiser, "order_advertiser_id", {"advertiser_name": "order_advertiser_name"}, dim_key="advertiser_id")
+    out = out.withColumn("advertiser_name", F.when(touched, F.col("order_advertiser_name")))  # both are of one advertiser
+    out = lookup_enrich(out, campaign, "order_campaign_id", {"campaign_name": "order_campaign_name"}, dim_key="campaign_id")
+    return lookup_enrich(out, campaign, "campaign_id", {"campaign_name": "campaign_name"}).withColumn("campaign_name", F.when(touched, F.col("campaign_name")))
+
+
 def _sides(events: DataFrame, lookback: str) -> tuple[DataFrame, DataFrame, Column]:
     """Orders, clicks, and when a click may have led to an order."""
-    orders = events.filter("event_type = 'order'").select([F.col(c).alias(n) for c, n in _ORDER.items()])
-    clicks = events.filter("event_type = 'click'").select([F.col(c).alias(n) for c, n in _TOUCH.items()] + [F.col("user_id").alias("_user")])
+    orders = events.filter("event_type = 'order'").select([F.col(c).alias(n) for c, n in _there(_ORDER, events).items()])
+    clicks = events.filter("event_type = 'click'").select([F.col(c).alias(n) for c, n in _there(_TOUCH, events).items()] + [F.col("user_id").alias("_user")])
     near = (
         (F.col("user_id") == F.col("_user"))
         & (F.col("order_advertiser_id") == F.col("advertiser_id"))
@@ -80,20 +96,24 @@ def _banded(orders: DataFrame, clicks: DataFrame, lookback: str, hot_orders: int
     return orders, clicks, (F.col("_band") == F.col("_click_band")) & (F.col("_part") == F.col("_click_part"))
 
 
-def last_touch(events: DataFrame, lookback: str = "30 days", strategy: str = "sliced", slice_width: str = "1 hour") -> DataFrame:
+def last_touch(events: DataFrame, lookback: str = "30 days", strategy: str = "auto", slice_width: str = "1 hour", hot_rows: int = 100_000) -> DataFrame:
     """Each order with its last click only: an as-of join.
 
-    sliced: the last click before each order within a slice of time, and for orders before the first click of their slice
-    the last click of the earlier slices, carried over from one row for each slice.  So no task holds more of a user than one
-    slice.  window: the same in one pass over all rows of a user - one shuffle and no join, for tables without hot users.
-    join: candidates and row number.  All give the same rows; a click older than the look-back is dropped at the end.
+    window: one pass over all rows of a user and advertiser - one shuffle and no join.  sliced: the last click before each order
+    within a slice of time, and for orders before the first click of their slice the last click of the earlier slices, carried
+    over from one row for each slice; so no task holds more of a user than one slice.  auto: keys with more than
+    *hot_rows* rows (counted in a pass over the keys alone) are sliced, all others take one pass.  join: candidates and row
+    number.  All give the same rows; a click older than the look-back is dropped at the end.
     """
     if strategy == "join":
         return attribution_candidates(events, lookback).filter("touchpoint_seq = 1").drop("touchpoint_seq")
     keys = ["user_id", "advertiser_id"]
     # null keys match nothing
     rows = events.filter("event_type IN ('order', 'click')").filter("event_type = 'order' OR (user_id IS NOT NULL AND advertiser_id IS NOT NULL)")
-    click = F.when(F.col("event_type") == "click", F.struct(F.col("event_ts").alias("t"), F.col("event_id").alias("i"), F.struct(*[F.col(c).alias(n) for c, n in _TOUCH.items()]).alias("touch")))
+    if strategy == "auto":
+        return by_heat(rows, keys, hot_rows, lambda part, how: last_touch(part, lookback, how, slice_width))
+    touch = _there(_TOUCH, events)
+    click = F.when(F.col("event_type") == "click", F.struct(F.col("event_ts").alias("t"), F.col("event_id").alias("i"), F.struct(*[F.col(c).alias(n) for c, n in touch.items()]).alias("touch")))
     # clicks of an instant come before its orders
     order = ["event_ts", F.when(F.col("event_type") == "click", 0).otherwise(1), "event_id"]
     if strategy == "sliced":
@@ -107,7 +127,16 @@ def last_touch(events: DataFrame, lookback: str = "30 days", strategy: str = "sl
         out = rows.withColumn("_last", F.last(click, ignorenulls=True).over(running(*keys, order=order))).filter("event_type = 'order'")
     near = F.col("user_id").isNotNull() & F.col("advertiser_id").isNotNull() & (F.unix_micros("_last.t") >= F.unix_micros("event_ts") - _micros(lookback))
     out = out.withColumn("_last", F.when(near, F.col("_last")))
-    return _finish(out.select([F.col(c).alias(n) for c, n in _ORDER.items()] + [F.col(f"_last.touch.{n}").alias(n) for n in _TOUCH.values()]))
+    return _finish(out.select([F.col(c).alias(n) for c, n in _there(_ORDER, events).items()] + [F.col(f"_last.touch.{n}").alias(n) for n in touch.values()]))
+
+
+def by_heat(rows: DataFrame, keys: Sequence[str], hot_rows: int, run: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """*run* over the rows of keys with at most *hot_rows* rows as "window", and over those of the others as "sliced"."""
+    hot = rows.filter(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+    if hot.isEmpty():
+        return run(rows, "window")
+    hot = small(hot)
+    return run(rows.join(hot, list(keys), "left_anti"), "window").unionByName(run(rows.join(hot, list(keys), "left_semi"), "sliced"))
 
 
 def running(*keys: str, order) -> WindowSpec:

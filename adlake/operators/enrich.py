@@ -10,24 +10,31 @@ BROADCAST_ROWS = 500_000
 UNKNOWN = "UNKNOWN"
 
 
+#: Whether frames had few rows, by plan, files and bound: each table is counted once in a session.
+_COUNTED: dict[tuple, bool] = {}
+
+
 def small(side: DataFrame, max_rows: int = BROADCAST_ROWS, of: DataFrame | None = None) -> DataFrame:
     """A broadcast hint after counting, so that a dimension that has grown is shuffled instead.
 
-    of: the dimension that *side* was made from, with no more rows; it is counted once and remembers it.
+    of: the dimension that *side* was made from, with no more rows; it is counted instead.  A count holds as long as the
+    dimension's files have their names; frames without files are counted each time.
     """
     dim = side if of is None else of
-    if getattr(dim, "counted_to", None) != max_rows:
-        dim.few, dim.counted_to = dim.limit(max_rows + 1).count() <= max_rows, max_rows
-    return F.broadcast(side) if dim.few else side
+    files = tuple(sorted(dim.inputFiles()))
+    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), files, max_rows)
+    if key not in _COUNTED or not files:
+        _COUNTED[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(side) if _COUNTED[key] else side
 
 
-def lookup_enrich(df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], default: str = UNKNOWN) -> DataFrame:
-    """Adds dim's columns (cols: column of dim -> new name) by key; a miss or a blank key gives *default*.
+def lookup_enrich(df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], default: str = UNKNOWN, dim_key: str | None = None) -> DataFrame:
+    """Adds dim's columns (cols: column of dim -> new name) by key (in dim: *dim_key*, if it has another name); a miss or a blank key gives *default*.
 
     Of several rows of a key the largest counts, by the columns in their order.
     """
     row = F.max(F.struct(*[F.col(c).alias(f"_{n}") for c, n in cols.items()])).alias("_row")
-    side = dim.groupBy(F.col(key).alias("_key")).agg(row).select("_key", "_row.*")
+    side = dim.groupBy(F.col(dim_key or key).alias("_key")).agg(row).select("_key", "_row.*")
     key_or_null = F.when(F.trim(F.col(key)) != "", F.col(key))
     joined = df.join(small(side, of=dim), key_or_null == F.col("_key"), "left")
     return joined.withColumns({n: F.coalesce(F.col(f"_{n}"), F.lit(default)) for n in cols.values()}).drop("_key", *[f"_{n}" for n in cols.values()])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.operators.attribution import _micros, time_slice
+from adlake.operators.attribution import _micros, by_heat, time_slice
 from adlake.operators.sketches import distinct_count, roll_up, sketch_by
 
 NORMAL = "NORMAL"
@@ -63,14 +63,17 @@ def _trailing(events: DataFrame, long: str, short: str, keys: Sequence[str], str
     return clicks.join(sums, "event_id", "left").fillna(0, ["click_cnt_1h", "impression_cnt_1h", "impression_cnt_1m"])
 
 
-def click_features(events: DataFrame, long: str = "1 hour", short: str = "1 minute", keys: Sequence[str] = ("user_id", "media"), base_ctr: float = 0.10, strategy: str = "sliced", slice_width: str = "1 hour") -> DataFrame:
+def click_features(events: DataFrame, long: str = "1 hour", short: str = "1 minute", keys: Sequence[str] = ("user_id", "media"), base_ctr: float = 0.10, strategy: str = "auto", slice_width: str = "1 hour", hot_rows: int = 100_000) -> DataFrame:
     """Features of each click.
 
     sliced: running sums within slices of time, with the sums, counts and last clicks of earlier slices from one row for each
     slice, so that no task holds more of a user than one slice.  window: running sums over all rows of a key, without a join,
-    for tables without hot users.  join: range self-join.  All give the same rows.  device, ip and ua columns are the proxies
-    of the model: no such data exist.
+    for tables without hot users.  auto: users with more than *hot_rows* rows are sliced, the others are not.  join: range
+    self-join.  All give the same rows.  device, ip and ua columns are the proxies of the model: no such data exist.
     """
+    if strategy == "auto":
+        rows = events.filter("event_type IN ('click', 'impression')")
+        return by_heat(rows, ["user_id"], hot_rows, lambda part, how: click_features(part, long, short, keys, base_ctr, how, slice_width))
     clicks = _trailing(events, long, short, keys, strategy, slice_width)
     whole = Window.partitionBy("event_date", "user_id")
     if strategy == "sliced":
@@ -88,7 +91,7 @@ def click_features(events: DataFrame, long: str = "1 hour", short: str = "1 minu
     deviation = F.when(F.col("impression_cnt_1h") == 0, F.col("click_cnt_1h").cast("double")).otherwise(F.col("click_cnt_1h") / F.col("impression_cnt_1h") - F.lit(base_ctr))
     return clicks.select(
         F.col("event_date").alias("stat_date"), "event_id", F.col("event_ts").alias("event_time"), "user_id", F.col("user_id").alias("device_id"), F.lit(None).cast("string").alias("device_ip"),
-        "creative_id", F.col("media").alias("slot_id"), "advertiser_id", "advertiser_name", "media", "spend",
+        "creative_id", F.col("media").alias("slot_id"), "advertiser_id", *[c for c in ("advertiser_name",) if c in events.columns], "media", "spend",
         "click_cnt_1h", daily.cast("int").alias("click_cnt_1d"), "impression_cnt_1h", "impression_cnt_1m",
         F.col("click_cnt_1h").alias("ip_click_cnt_1h"), F.lit(1).alias("ip_uv_1h"), (seconds * 1000).cast("long").alias("click_interval_ms"),
         F.round(deviation, 6).cast("decimal(10,6)").alias("ctr_deviation"), F.hour("event_ts").between(0, 5).alias("is_night_burst"),

@@ -117,7 +117,10 @@ def creative_backfill(metrics_10s: DataFrame, hierarchy: DataFrame, as_of: str |
     )
 
 
-def with_latest_flag(df: DataFrame, date_col: str) -> DataFrame:
-    """Adds is_latest_partition: the row's date is the largest of all (one scalar, no unpartitioned window)."""
-    latest = df.agg(F.max(date_col).alias("_latest"))
+def with_latest_flag(df: DataFrame, date_col: str, dates: DataFrame | None = None) -> DataFrame:
+    """Adds is_latest_partition: the row's date is the largest of all (one scalar, no unpartitioned window).
+
+    dates: a narrower frame with the same dates in *date_col*, so that the joins of *df* are not done twice.
+    """
+    latest = (df if dates is None else dates).agg(F.max(date_col).alias("_latest"))
     return df.join(F.broadcast(latest), F.lit(True)).withColumn("is_latest_partition", F.col(date_col) == F.col("_latest")).drop("_latest")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlake.operators import attribution, enrich, fraud, metrics, publishing, retention
 from adlake.sources import driver
@@ -57,9 +58,14 @@ class Offline:
     def points(self) -> DataFrame:
         return attribution.touchpoints(self.candidates)
 
+    @cached_property
+    def touches(self) -> DataFrame:
+        """Last clicks, found on events without names; names are looked up for the orders only."""
+        return attribution.name_touches(attribution.last_touch(self.events), self.advertiser, self.campaign)
+
     @cached_property
     def detail(self) -> DataFrame:
-        return attribution.order_detail(attribution.last_touch(self.dwd))
+        return attribution.order_detail(self.touches)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -67,7 +73,7 @@ class Offline:
 
     @cached_property
     def clicks(self) -> DataFrame:
-        return fraud.click_features(self.dwd, **self.fraud_options)
+        return enrich.lookup_enrich(fraud.click_features(self.events, **self.fraud_options), self.advertiser, "advertiser_id", {"advertiser_name": "advertiser_name"})
 
     @cached_property
     def fraud(self) -> DataFrame:
@@ -89,6 +95,12 @@ class Offline:
     def creative_offline(self) -> DataFrame:
         return metrics.creative_offline(self.daily, self.advertiser, self.campaign, self.unit, self.creative, self.as_of)
 
+    @cached_property
+    def dates(self) -> DataFrame:
+        """The completed days, from one column of the events."""
+        days = self.events.select(F.col("event_date").alias("stat_date"))
+        return days if self.as_of is None else days.filter(F.col("stat_date") < self.as_of)
+
     @cached_property
     def metrics_10s(self) -> DataFrame:
         return metrics.window_metrics(self.events)
@@ -110,7 +122,7 @@ class Offline:
             "retention": lambda: self.retention,
             "attribution": lambda: self.summary,
             "order_detail": lambda: self.detail,
-            "creative": lambda: metrics.with_latest_flag(self.creative_offline, "stat_date"),
+            "creative": lambda: metrics.with_latest_flag(self.creative_offline, "stat_date", self.dates),
             "fraud": lambda: self.fraud_daily,
         }[name]()
 

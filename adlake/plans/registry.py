@@ -233,7 +233,7 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "attr_touchpoints": lambda o: o.points,
     "attr_order_detail": lambda o: o.detail,
     "attr_summary": lambda o: o.summary,
-    "last_touch_asof": lambda o: attribution.last_touch(o.dwd),
+    "last_touch_asof": lambda o: o.touches,
     "click_features": lambda o: o.clicks,
     "fraud_features": lambda o: o.fraud,
     "fraud_signals_1m": lambda o: o.signals,
@@ -244,7 +244,7 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "creative_offline": lambda o: o.creative_offline,
     "creative_rolling_7d": lambda o: metrics.creative_rolling(o.daily).select("stat_date", "creative_id", "cost_1d", "gmv_1d", "cost_7d", "gmv_7d", "cost_total", "gmv_total"),
     "creative_backfill": lambda o: metrics.creative_backfill(o.metrics_10s, o.hierarchy, o.as_of),
-    "creative_latest_flag": lambda o: metrics.with_latest_flag(o.creative_offline, "stat_date").select("stat_date", "creative_id", "is_latest_partition"),
+    "creative_latest_flag": lambda o: metrics.with_latest_flag(o.creative_offline, "stat_date", o.dates).select("stat_date", "creative_id", "is_latest_partition"),
     "metrics_10s": lambda o: o.metrics_10s,
     "metrics_10s_enriched": lambda o: o.metrics_named,
     "metrics_change": lambda o: o.realtime,

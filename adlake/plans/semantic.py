@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -118,8 +118,9 @@ def query(
         keys = ["day", *keys]
     out = rows.groupBy(*keys).agg(*[F.expr(spec.metrics[m]).alias(m) for m in metrics])
     if share:
-        total = out.agg(F.sum(metrics[0]).cast("double").alias("_total"))
-        out = out.join(F.broadcast(total), F.lit(True)).withColumn("share", F.round(F.col(metrics[0]).cast("double") / F.nullif(F.col("_total"), F.lit(0.0)), 6)).drop("_total")
+        # over the groups of a chart, which are few: the rows are read once
+        total = F.sum(metrics[0]).over(Window.partitionBy()).cast("double")
+        out = out.withColumn("share", F.round(F.col(metrics[0]).cast("double") / F.nullif(total, F.lit(0.0)), 6))
     return out.orderBy(F.desc(metrics[0]), *keys).limit(limit) if limit else out
 
 

@@ -80,16 +80,27 @@ def test_detail_without_join_equals_join(events):
 
 def test_sliced_and_window_forms_equal_join_form(events):
     b = A.last_touch(events, strategy="join")
-    for a in (A.last_touch(events, strategy="window"), *(A.last_touch(events, slice_width=w) for w in ("1 second", "1 hour", "40 days"))):
+    for a in (A.last_touch(events), A.last_touch(events, hot_rows=2), A.last_touch(events, strategy="window"), *(A.last_touch(events, strategy="sliced", slice_width=w) for w in ("1 second", "1 hour", "40 days"))):
         assert a.exceptAll(b.select(a.columns)).isEmpty() and b.select(a.columns).exceptAll(a).isEmpty()
 
 
+def test_names_looked_up_after_attribution(spark, events):
+    names = ("advertiser_name", "campaign_name")
+    adv, cmp = spark.createDataFrame([("a", "A")], "advertiser_id string, advertiser_name string"), spark.createDataFrame([("x", "X")], "campaign_id string, campaign_name string")
+    rows = events.withColumn("campaign_name", F.lit("UNKNOWN")).withColumn("advertiser_name", F.when(F.col("advertiser_id") == "a", "A").otherwise("UNKNOWN"))
+    want = A.last_touch(rows)
+    got = A.name_touches(A.last_touch(rows.drop(*names)), adv, cmp).select(want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_a_user_with_most_rows(spark):
     """Clicks and orders of one user by the second; both forms agree, also at the end of the look-back."""
     rows = [event(f"{k:05}", ("click", "order", "click")[k % 3], T + timedelta(seconds=k // 2), "bot", gmv=1) for k in range(6000)]
     rows += [event("late", "order", T + timedelta(seconds=2999, days=30), "bot"), event("later", "order", T + timedelta(seconds=3000, days=30), "bot")]
     df = spark.createDataFrame(rows, SCHEMA)
-    a = A.last_touch(df, slice_width="7 minutes")
+    a = A.last_touch(df, slice_width="7 minutes", hot_rows=1000)
+    plan = a._jdf.queryExecution().optimizedPlan().toString()
+    assert "_slice" in plan and "LeftAnti" in plan and "_slice" not in A.last_touch(df)._jdf.queryExecution().optimizedPlan().toString()
     b = A.last_touch(df.filter("event_id > '05000' OR event_type = 'order'"), strategy="join").select(a.columns)
     recent = "outcome_event_id > '05010'"
     assert a.filter(recent).exceptAll(b.filter(recent)).isEmpty() and b.filter(recent).exceptAll(a.filter(recent)).isEmpty()

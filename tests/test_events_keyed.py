@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from adlake.operators import keyed, publishing
+from adlake.operators import enrich, keyed, publishing
 from adlake.operators.enrich import lookup_enrich
 from adlake.operators.metrics import creative_rolling, metrics_change, window_metrics
 from adlake.plans.semantic import CHARTS, query
@@ -142,7 +142,18 @@ def test_last_row_of_a_batch_by_sequence_and_largest_dimension_row(spark, tmp_pa
     dim = spark.createDataFrame([("a", "x", None), ("a", "y", "z"), ("a", "y", None)], "k string, name string, more string")
     df = spark.createDataFrame([("a",)], "k string")
     assert lookup_enrich(df, dim, "k", {"name": "name", "more": "more"}).first()[1:] == ("y", "z")
-    assert lookup_enrich(df, dim, "k", {"name": "name"}).first().name == "y" and dim.few
+    assert lookup_enrich(df, dim, "k", {"name": "name"}).first().name == "y"
+
+
+def test_a_dimension_is_counted_once_and_shuffled_when_it_has_grown(spark, tmp_path, monkeypatch):
+    path, counted = str(tmp_path / "dim"), []
+    spark.range(10).write.parquet(path)
+    real = type(spark.range(1)).count
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda self: counted.append(1) or real(self))
+    hinted = lambda bound: "broadcast" in enrich.small(spark.read.parquet(path), bound)._jdf.queryExecution().analyzed().toString()
+    assert hinted(10) and hinted(10) and len(counted) == 1 and not hinted(9)
+    spark.range(30).write.mode("overwrite").parquet(path)
+    assert not hinted(10) and len(counted) == 3
 
 
 @pytest.fixture

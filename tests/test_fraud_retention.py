@@ -57,7 +57,7 @@ def test_sliced_and_window_forms_equal_join_form(spark):
     rows = burst() + [event(f"r{n}", ("click", "impression")[n % 2], T + timedelta(seconds=37 * n), f"u{n % 3}", ("m", None)[n % 7 == 0]) for n in range(200)]
     df = spark.createDataFrame(rows, SCHEMA)
     b = Fr.click_features(df, strategy="join")
-    for a in (Fr.click_features(df, strategy="window"), *(Fr.click_features(df, slice_width=w) for w in ("20 seconds", "1 hour", "3 days"))):
+    for a in (Fr.click_features(df), Fr.click_features(df, hot_rows=3), Fr.click_features(df, strategy="window"), *(Fr.click_features(df, strategy="sliced", slice_width=w) for w in ("20 seconds", "1 hour", "3 days"))):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
