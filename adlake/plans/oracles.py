@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from adlake.plans.semantic import CHARTS, DATASETS, REPORTS, Chart
+from adlake.plans.lattice import cross_filtered
+from adlake.plans.semantic import CHARTS, DASHBOARDS, REPORTS, SELECTED, Chart
 
 AS_OF = "2024-01-25"
 TS = "'%Y-%m-%d %H:%M:%S.%g'"
@@ -199,6 +200,48 @@ FINAL: dict[str, str] = {
     "upsert_messages": """SELECT '{"order_id":' || order_id || '}' AS key, '{"order_id":' || order_id || ',"status":"' || status || '"}' AS value FROM current_orders""",
 }
 
+_CTR, _CVR = _r("sum(clicks)", "sum(impressions)"), _r("sum(conversions)", "sum(clicks)")
+_LATE = "FILTER (WHERE is_latest_partition)"
+_ATTRIBUTED = "FILTER (WHERE attribution_period <> '自然订单')"
+
+
+def _z(x: str) -> str:
+    return f"coalesce({x}, 0)"
+
+
+#: The metrics of the seven datasets, stated a second time.
+METRICS: dict[str, dict[str, str]] = {
+    "events_detail": {
+        "count": "count(*)", "total_spend": "sum(spend)", "total_gmv": "sum(gmv)", "impression_events": _n("impression"), "click_events": _n("click"), "conversion_events": _n("conversion"),
+    },
+    "realtime": {
+        "count": "count(*)", "total_spend": "sum(spend)", "total_gmv": "sum(gmv)", "total_impressions": "sum(impressions)", "total_clicks": "sum(clicks)", "total_conversions": "sum(conversions)", "total_orders": "sum(orders)",
+        "ctr": _CTR, "cvr": _CVR, "roas": _r("sum(gmv)", "sum(spend)"), "spend_change": "sum(spend_change)", "gmv_change": "sum(gmv_change)",
+    },
+    "retention": {
+        "count": "count(*)", "cohort_size": "sum(cohort_size)", "retained_1d": "sum(retained_1d)", "retained_7d": "sum(retained_7d)",
+        "avg_rate_1d": "round(avg(rate_1d), 6)", "avg_rate_7d": "round(avg(rate_7d), 6)", "avg_rate_15d": "round(avg(rate_15d), 6)", "avg_rate_30d": "round(avg(rate_30d), 6)",
+    },
+    "attribution": {
+        "count": "count(*)", "total_conversions": "sum(conversions)", "total_orders": "sum(orders)", "total_order_gmv": "sum(attributed_gmv)", "attributed_gmv": _z(f"sum(attributed_gmv) {_ATTRIBUTED}"),
+        "direct_gmv": _z("sum(attributed_gmv) FILTER (WHERE attribution_period = '30分钟直接归因')"), "indirect_gmv": _z("sum(attributed_gmv) FILTER (WHERE attribution_period IN ('1日间接归因', '3日间接归因', '7日间接归因', '30日间接归因'))"),
+        "organic_gmv": _z("sum(attributed_gmv) FILTER (WHERE attribution_period = '自然订单')"), "attributed_orders": _z(f"sum(orders) {_ATTRIBUTED}"), "attributed_order_rate": _r(_z(f"sum(orders) {_ATTRIBUTED}"), "sum(orders)"),
+        "attributed_gmv_rate": _r(_z(f"sum(attributed_gmv) {_ATTRIBUTED}"), "sum(attributed_gmv)"), "attributed_spend": "sum(attributed_spend)",
+    },
+    "order_detail": {"order_count": "count(*)", "order_gmv": "sum(order_gmv)", "avg_lag_minutes": "round(avg(lag_minutes), 6)"},
+    "creative": {
+        "count": "count(*)", "row_count": "count(*)", "active_creatives": "count(DISTINCT creative_id)", "total_cost": "sum(cost)", "total_gmv": "sum(gmv)", "total_impressions": "sum(impressions)", "total_clicks": "sum(clicks)",
+        "total_conversions": "sum(conversions)", "total_orders": "sum(orders)", "ctr": _CTR, "cvr": _CVR, "roas": _r("sum(gmv)", "sum(cost)"), "cpc": _r("sum(cost)", "sum(clicks)"), "cpa": _r("sum(cost)", "sum(conversions)"),
+        "latest_cost": _z(f"sum(cost) {_LATE}"), "latest_gmv": _z(f"sum(gmv) {_LATE}"), "latest_impressions": _z(f"sum(impressions) {_LATE}"), "latest_clicks": _z(f"sum(clicks) {_LATE}"),
+        "latest_conversions": _z(f"sum(conversions) {_LATE}"), "latest_orders": _z(f"sum(orders) {_LATE}"), "latest_roas": _r(f"sum(gmv) {_LATE}", f"sum(cost) {_LATE}"),
+        "latest_ctr": _r(f"sum(clicks) {_LATE}", f"sum(impressions) {_LATE}"), "latest_cvr": _r(f"sum(conversions) {_LATE}", f"sum(clicks) {_LATE}"),
+    },
+    "fraud": {
+        "count": "count(*)", "suspicious_users": "sum(suspicious_users)", "suspicious_windows": "sum(suspicious_windows)", "suspicious_clicks": "sum(suspicious_clicks)", "suspicious_spend": "sum(suspicious_spend)", "avg_risk_score": "round(avg(avg_risk_score), 6)",
+    },
+}
+_TIMES = {"events_detail": "event_ts", "realtime": "window_start", "retention": "cohort_date", "attribution": "event_date", "order_detail": "order_ts", "creative": "stat_date", "fraud": "event_date"}
+
 _SOURCES = {"events_detail": "dwd", "realtime": "m10_change", "retention": "retained", "attribution": "summary", "order_detail": "detail", "creative": "creative_latest", "fraud": "fraud_day"}
 
 
@@ -206,18 +249,17 @@ def _where(chart: Chart) -> str:
     """Filters and time range of a chart, as a condition."""
     tests = [f"{c} IN ({', '.join(repr(v) for v in values)})" for c, values in chart.filters.items()]
     start, _, end = (chart.time_range or " : ").partition(" : ")
-    day = f"substr(CAST({DATASETS[chart.dataset].time} AS VARCHAR), 1, 10)"
+    day = f"substr(CAST({_TIMES[chart.dataset]} AS VARCHAR), 1, 10)"
     tests += [f"{day} {sign} '{x.strip()}'" for sign, x in ((">=", start), ("<", end)) if x.strip()]
     return f" WHERE {' AND '.join(tests)}" if tests else ""
 
 
 def _chart(chart: Chart) -> str:
-    spec = DATASETS[chart.dataset]
     keys = [*(["day"] if chart.grain else []), *chart.groupby]
     shown = [f"strftime({k}, {TS}) AS {k}" if k.endswith("_ts") else k for k in keys]
     whole = ("count", "orders", "events", "size", "retained_1d", "retained_7d", "impressions", "clicks", "conversions", "users", "windows", "creatives")
-    cells = [f"CAST({spec.metrics[m]} AS {'BIGINT' if m.endswith(whole) else 'DOUBLE'}) AS {m}" for m in chart.metrics]
-    day = f", substr(CAST({spec.time} AS VARCHAR), 1, 10) AS day" if chart.grain else ""
+    cells = [f"CAST({METRICS[chart.dataset][m]} AS {'BIGINT' if m.endswith(whole) else 'DOUBLE'}) AS {m}" for m in chart.metrics]
+    day = f", substr(CAST({_TIMES[chart.dataset]} AS VARCHAR), 1, 10) AS day" if chart.grain else ""
     inner = f"SELECT {', '.join([*keys, *cells])} FROM (SELECT *{day} FROM {_SOURCES[chart.dataset]}{_where(chart)})" + (f" GROUP BY {', '.join(keys)}" if keys else "")
     first = chart.metrics[0]
     share = f", round({first}::DOUBLE / nullif(sum({first}::DOUBLE) OVER (), 0), 6) AS share" if chart.share else ""
@@ -225,7 +267,19 @@ def _chart(chart: Chart) -> str:
     return f"SELECT {', '.join([*shown, *chart.metrics])}{share} FROM ({inner}{end})"
 
 
+def _tall(charts: dict[str, Chart]) -> str:
+    """Charts' rows as (chart, keys, metric, value)."""
+    parts = []
+    for name, chart in charts.items():
+        keys = [*(["day"] if chart.grain else []), *chart.groupby]
+        text = f"concat_ws('|', {', '.join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)})" if keys else "''"
+        parts += [f"SELECT '{name}' AS chart, {text} AS keys, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM ({_chart(chart)})" for m in [*chart.metrics, *(["share"] if chart.share else [])]]
+    return "\nUNION ALL ".join(parts)
+
+
 def sql() -> dict[str, str]:
     """Name -> whole statement."""
     head = "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in CTES.items()) + "\n"
-    return {n: head + q for n, q in FINAL.items()} | {n: head + _chart(c) for n, c in REPORTS.items()} | {f"bi_{n}": head + _chart(c) for n, c in CHARTS.items()}
+    boards = {f"dashboard_{d}": head + _tall({n: CHARTS[n] for n in names}) for d, (names, _) in DASHBOARDS.items()}
+    boards["dashboard_cross_filter"] = head + _tall(cross_filtered({n: CHARTS[n] for n in DASHBOARDS["attribution"][0]}, SELECTED))
+    return {n: head + q for n, q in FINAL.items()} | boards | {n: head + _chart(c) for n, c in REPORTS.items()} | {f"bi_{n}": head + _chart(c) for n, c in CHARTS.items()}

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.operators import attribution, enrich, fraud, keyed, metrics, ordered, publishing, retract
-from adlake.plans import oracles
+from adlake.plans import lattice, oracles
 from adlake.plans.offline import Offline
-from adlake.plans.semantic import CHARTS, REPORTS
+from adlake.plans.semantic import CHARTS, DASHBOARDS, REPORTS, SELECTED
 from adlake.sources import driver, events
 from adlake.streaming import jobs
 
@@ -266,6 +266,8 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "attr_detail_joined": lambda o: attribution.order_detail(o.candidates, o.points),
     "fraud_signals_joined": lambda o: fraud.fraud_signals(o.fraud, o.clicks),
     **{name: lambda o, q=q: q.run(o.dataset(q.dataset)) for name, q in REPORTS.items()},
+    **{f"dashboard_{name}": lambda o, name=name: _dashboard(o, name) for name in DASHBOARDS},
+    "dashboard_cross_filter": lambda o: _dashboard(o, "attribution", SELECTED),
     "reenrich_unknown": _late_names,
     "latest_by_key": lambda o: keyed.latest_by_key(driver.order_changes(o.spark, o.sf_dir), ["order_id"], "seq"),
     "cdc_apply": lambda o: _orders_now(o.spark, o.sf_dir),
@@ -276,6 +278,21 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
 }
 
 
+def _dashboard(o: Offline, name: str, selected: dict | None = None) -> DataFrame:
+    """All charts of a dashboard from its roll-ups."""
+    names, key_sets = DASHBOARDS[name]
+    charts = lattice.cross_filtered({n: CHARTS[n] for n in names}, selected or {})
+
+    def store(df: DataFrame) -> DataFrame:
+        path = jobs.shared_folder(o.spark, "rollup")
+        df.write.parquet(path)
+        return o.spark.read.schema(df.schema).parquet(path)
+
+    dataset = CHARTS[names[0]].dataset
+    rolled = lattice.Lattice(dataset, o.dataset(dataset), key_sets, store)
+    return lattice.tall({n: rolled.answer(c) for n, c in charts.items()}, charts)
+
+
 def _query(make: Callable[[Offline], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: portable(make(offline(spark, sf_dir)))
 

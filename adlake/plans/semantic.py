@@ -8,70 +8,108 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlake.operators import attribution
+
 
 def _ratio(a: str, b: str) -> str:
-    return f"round(CAST(({a}) AS DOUBLE) / nullif(CAST(({b}) AS DOUBLE), 0), 6)"
+    return f"round(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 6)"
+
+
+def _where(condition: str, value: str) -> str:
+    return f"CASE WHEN {condition} THEN {value} ELSE 0 END"
+
 
+def _mean(*columns: str) -> dict[str, str]:
+    """The parts of means: a sum and how many values it has."""
+    return {f"{c}_sum": f"CAST({c} AS DOUBLE)" for c in columns} | {f"{c}_n": f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in columns}
 
-def _if(condition: str, value: str) -> str:
-    return f"SUM(CASE WHEN {condition} THEN {value} ELSE 0 END)"
 
+def _same(names: str) -> dict[str, str]:
+    return {n: n for n in names.split()}
 
-_NATURAL, _DIRECT, _INDIRECT = "attribution_period = '自然订单'", "attribution_period = '30分钟直接归因'", "attribution_period LIKE '%间接归因'"
-_TOUCHED = "attribution_period <> '自然订单'"
-_LATEST = {c: _if("is_latest_partition", c) for c in ("cost", "gmv", "impressions", "clicks", "conversions", "orders")}
+
+_MONEY_AND_COUNTS = "gmv impressions clicks conversions orders"
 
 
 @dataclass(frozen=True)
 class Dataset:
-    """A time column and metrics: name -> aggregate expression in SQL."""
+    """A time column, parts and metrics.
+
+    parts: name -> what a row adds.  metrics: name -> SQL over the sums of parts, so that a metric can be had from rows and
+    from roll-ups alike.  distinct: name -> column whose values are counted.
+    """
 
     time: str
+    parts: dict[str, str]
     metrics: dict[str, str]
+    distinct: dict[str, str] = field(default_factory=dict)
 
 
 DATASETS: dict[str, Dataset] = {
     "events_detail": Dataset(
         "event_ts",
-        {"count": "COUNT(*)", "total_spend": "SUM(spend)", "total_gmv": "SUM(gmv)", "impression_events": _if("event_type = 'impression'", "1"), "click_events": _if("event_type = 'click'", "1"), "conversion_events": _if("event_type = 'conversion'", "1")},
+        {"rows": "1L", **_same("spend gmv"), **{f"{k}s": _where(f"event_type = '{k}'", "1") for k in ("impression", "click", "conversion")}},
+        {"count": "rows", "total_spend": "spend", "total_gmv": "gmv", "impression_events": "impressions", "click_events": "clicks", "conversion_events": "conversions"},
     ),
     "realtime": Dataset(
         "window_start",
+        {"rows": "1L", **_same(f"spend {_MONEY_AND_COUNTS} spend_change gmv_change")},
         {
-            "count": "COUNT(*)", "total_spend": "SUM(spend)", "total_gmv": "SUM(gmv)", "total_impressions": "SUM(impressions)", "total_clicks": "SUM(clicks)", "total_conversions": "SUM(conversions)", "total_orders": "SUM(orders)",
-            "ctr": _ratio("SUM(clicks)", "SUM(impressions)"), "cvr": _ratio("SUM(conversions)", "SUM(clicks)"), "roas": _ratio("SUM(gmv)", "SUM(spend)"), "spend_change": "SUM(spend_change)", "gmv_change": "SUM(gmv_change)",
+            "count": "rows", "total_spend": "spend", "total_gmv": "gmv", "total_impressions": "impressions", "total_clicks": "clicks", "total_conversions": "conversions", "total_orders": "orders",
+            "ctr": _ratio("clicks", "impressions"), "cvr": _ratio("conversions", "clicks"), "roas": _ratio("gmv", "spend"), "spend_change": "spend_change", "gmv_change": "gmv_change",
         },
     ),
     "retention": Dataset(
         "cohort_date",
-        {"count": "COUNT(*)", "cohort_size": "SUM(cohort_size)", "retained_1d": "SUM(retained_1d)", "retained_7d": "SUM(retained_7d)"} | {f"avg_rate_{n}d": f"round(AVG(CAST(rate_{n}d AS DOUBLE)), 6)" for n in (1, 7, 15, 30)},
+        {"rows": "1L", **_same("cohort_size retained_1d retained_7d"), **_mean("rate_1d", "rate_7d", "rate_15d", "rate_30d")},
+        {"count": "rows", "cohort_size": "cohort_size", "retained_1d": "retained_1d", "retained_7d": "retained_7d"} | {f"avg_rate_{n}d": _ratio(f"rate_{n}d_sum", f"rate_{n}d_n") for n in (1, 7, 15, 30)},
     ),
     "attribution": Dataset(
         "event_date",
         {
-            "count": "COUNT(*)", "total_conversions": "SUM(conversions)", "total_orders": "SUM(orders)", "total_order_gmv": "SUM(attributed_gmv)",
-            "attributed_gmv": _if(_TOUCHED, "attributed_gmv"), "direct_gmv": _if(_DIRECT, "attributed_gmv"), "indirect_gmv": _if(_INDIRECT, "attributed_gmv"), "organic_gmv": _if(_NATURAL, "attributed_gmv"),
-            "attributed_orders": _if(_TOUCHED, "orders"), "attributed_order_rate": _ratio(_if(_TOUCHED, "orders"), "SUM(orders)"), "attributed_gmv_rate": _ratio(_if(_TOUCHED, "attributed_gmv"), "SUM(attributed_gmv)"),
-            "attributed_spend": "SUM(attributed_spend)",
+            "rows": "1L", **_same("conversions orders"), "gmv": "attributed_gmv", "spend": "attributed_spend",
+            "touched_gmv": _where("attribution_sort_name <> 'natural'", "attributed_gmv"), "touched_orders": _where("attribution_sort_name <> 'natural'", "orders"),
+            **{f"{k}_gmv": _where(f"attribution_sort_name = '{k}'", "attributed_gmv") for k in ("direct", "indirect", "natural")},
+        },
+        {
+            "count": "rows", "total_conversions": "conversions", "total_orders": "orders", "total_order_gmv": "gmv", "attributed_gmv": "touched_gmv", "direct_gmv": "direct_gmv", "indirect_gmv": "indirect_gmv",
+            "organic_gmv": "natural_gmv", "attributed_orders": "touched_orders", "attributed_order_rate": _ratio("touched_orders", "orders"), "attributed_gmv_rate": _ratio("touched_gmv", "gmv"), "attributed_spend": "spend",
         },
     ),
-    "order_detail": Dataset("order_ts", {"order_count": "COUNT(*)", "order_gmv": "SUM(order_gmv)", "avg_lag_minutes": "round(AVG(CAST(lag_minutes AS DOUBLE)), 6)"}),
+    "order_detail": Dataset("order_ts", {"rows": "1L", "gmv": "order_gmv", **_mean("lag_minutes")}, {"order_count": "rows", "order_gmv": "gmv", "avg_lag_minutes": _ratio("lag_minutes_sum", "lag_minutes_n")}),
     "creative": Dataset(
         "stat_date",
+        {"rows": "1L", **_same(f"cost {_MONEY_AND_COUNTS}"), **{f"latest_{c}": _where("is_latest_partition", c) for c in ("cost", *_MONEY_AND_COUNTS.split())}},
         {
-            "count": "COUNT(*)", "row_count": "COUNT(*)", "active_creatives": "COUNT(DISTINCT creative_id)", "total_cost": "SUM(cost)", "total_gmv": "SUM(gmv)", "total_impressions": "SUM(impressions)",
-            "total_clicks": "SUM(clicks)", "total_conversions": "SUM(conversions)", "total_orders": "SUM(orders)", "ctr": _ratio("SUM(clicks)", "SUM(impressions)"), "cvr": _ratio("SUM(conversions)", "SUM(clicks)"),
-            "roas": _ratio("SUM(gmv)", "SUM(cost)"), "cpc": _ratio("SUM(cost)", "SUM(clicks)"), "cpa": _ratio("SUM(cost)", "SUM(conversions)"),
-            **{f"latest_{c}": e for c, e in _LATEST.items()},
-            "latest_roas": _ratio(_LATEST["gmv"], _LATEST["cost"]), "latest_ctr": _ratio(_LATEST["clicks"], _LATEST["impressions"]), "latest_cvr": _ratio(_LATEST["conversions"], _LATEST["clicks"]),
+            "count": "rows", "row_count": "rows", "total_cost": "cost", "total_gmv": "gmv", "total_impressions": "impressions", "total_clicks": "clicks", "total_conversions": "conversions", "total_orders": "orders",
+            "ctr": _ratio("clicks", "impressions"), "cvr": _ratio("conversions", "clicks"), "roas": _ratio("gmv", "cost"), "cpc": _ratio("cost", "clicks"), "cpa": _ratio("cost", "conversions"),
+            **_same(" ".join(f"latest_{c}" for c in ("cost", *_MONEY_AND_COUNTS.split()))),
+            "latest_roas": _ratio("latest_gmv", "latest_cost"), "latest_ctr": _ratio("latest_clicks", "latest_impressions"), "latest_cvr": _ratio("latest_conversions", "latest_clicks"),
         },
+        {"active_creatives": "creative_id"},
     ),
     "fraud": Dataset(
         "event_date",
-        {"count": "COUNT(*)", "suspicious_users": "SUM(suspicious_users)", "suspicious_windows": "SUM(suspicious_windows)", "suspicious_clicks": "SUM(suspicious_clicks)", "suspicious_spend": "SUM(suspicious_spend)", "avg_risk_score": "round(AVG(avg_risk_score), 6)"},
+        {"rows": "1L", **_same("suspicious_users suspicious_windows suspicious_clicks suspicious_spend"), **_mean("avg_risk_score")},
+        {"count": "rows", **_same("suspicious_users suspicious_windows suspicious_clicks suspicious_spend"), "avg_risk_score": _ratio("avg_risk_score_sum", "avg_risk_score_n")},
     ),
 }
 
+#: Columns that parts need beside those of the dataset.
+_ADDED = {
+    "attribution_sort_name": lambda: F.when(F.col("attribution_period") == attribution.NATURAL[1], "natural").when(F.col("attribution_period") == attribution.DIRECT[2], "direct").otherwise("indirect")
+}
+
+
+def summed_parts(dataset: str, df: DataFrame, keys: Sequence[str], rolled: bool = False, extra: Sequence[Column] = ()) -> DataFrame:
+    """The sums of a dataset's parts by *keys*; of rows, or of a roll-up, whose columns they are."""
+    spec = DATASETS[dataset]
+    if not rolled:
+        df = df.withColumns({n: make() for n, make in _ADDED.items() if any(n in e for e in spec.parts.values())})
+    sums = [F.sum(F.col(n) if rolled else F.expr(e)).alias(n) for n, e in spec.parts.items()]
+    out = df.groupBy(*keys).agg(*sums, *extra)
+    return out.withColumn("rows", F.coalesce("rows", F.lit(0)).cast("long"))
+
 
 def in_time_range(column: str, time_range: str | None, as_of: str | None = None) -> Column:
     """`No filter`, `2024-01-01 : 2024-02-01` (end exclusive, either side may be empty) or `Last N days` before *as_of*."""
@@ -102,21 +140,28 @@ def query(
     limit: int | None = None,
     share: bool = False,
     as_of: str | None = None,
+    rolled: bool = False,
 ) -> DataFrame:
     """Aggregate a dataset's rows.
 
     filters: column -> allowed values; grain: "day" groups by the time column's day; limit: the first rows by falling first
     metric, ties by the grouping columns; share: adds the first metric's share of the total of the groups.
+    rolled: *df* is a roll-up (`adlake.plans.lattice`), with `day` for the time and the parts' sums as columns.
     """
     spec = DATASETS[dataset]
-    rows = df.filter(in_time_range(spec.time, time_range, as_of))
+    time = "day" if rolled else spec.time
+    rows = df.filter(in_time_range(time, time_range, as_of))
     for column, values in (filters or {}).items():
         rows = rows.filter(F.col(column).isin(list(values)))
     keys = list(groupby)
     if grain == "day":
-        rows = rows.withColumn("day", F.col(spec.time).cast("string").substr(1, 10))
+        rows = rows if rolled else rows.withColumn("day", F.col(time).cast("string").substr(1, 10))
         keys = ["day", *keys]
-    out = rows.groupBy(*keys).agg(*[F.expr(spec.metrics[m]).alias(m) for m in metrics])
+    # metrics may be named like parts and keys
+    named = {k: f"_key_{k}" for k in keys}
+    counted = [F.count_distinct(spec.distinct[m]).alias(f"_{m}") for m in metrics if m in spec.distinct]
+    sums = summed_parts(dataset, rows.withColumns({n: F.col(k) for k, n in named.items()}), list(named.values()), rolled, counted)
+    out = sums.select(*[F.col(n).alias(k) for k, n in named.items()], *[F.expr(spec.metrics[m] if m in spec.metrics else f"_{m}").alias(m) for m in metrics])
     if share:
         # over the groups of a chart, which are few: the rows are read once
         total = F.sum(metrics[0]).over(Window.partitionBy()).cast("double")
@@ -135,8 +180,15 @@ class Chart:
     filters: dict[str, tuple] = field(default_factory=dict)
     time_range: str | None = None
 
-    def run(self, df: DataFrame) -> DataFrame:
-        return query(self.dataset, df, self.groupby, self.metrics, self.filters, self.time_range, self.grain, self.limit, self.share)
+    def run(self, df: DataFrame, rolled: bool = False) -> DataFrame:
+        return query(self.dataset, df, self.groupby, self.metrics, self.filters, self.time_range, self.grain, self.limit, self.share, rolled=rolled)
+
+    @property
+    def needs(self) -> set[str]:
+        """The columns that a roll-up must have to answer this."""
+        spec = DATASETS[self.dataset]
+        timed = self.grain == "day" or (self.time_range or "No filter") != "No filter"
+        return {*self.groupby, *self.filters, *(spec.distinct[m] for m in self.metrics if m in spec.distinct), *(["day"] if timed else [])}
 
 
 def _kpis(prefix: str, dataset: str, metrics: str) -> dict[str, Chart]:
@@ -194,3 +246,18 @@ REPORTS: dict[str, Chart] = {
     "report_cohorts": Chart("retention", ("count", "cohort_size", "retained_1d", "retained_7d"), grain="day"),
     "report_attribution_types": Chart("order_detail", ("order_count", "order_gmv"), ("attribution_type",), filters={"is_attributed": (True,)}, time_range=" : 2024-01-16"),
 }
+
+#: Dashboards over one dataset: its charts, and the keys of the roll-ups that answer them.
+DASHBOARDS: dict[str, tuple[list[str], list[tuple[str, ...]]]] = {
+    "creative": (
+        [n for n, c in CHARTS.items() if c.dataset == "creative" and n != "creative_detail"],
+        [("day", "advertiser_name", "campaign_objective", "creative_name"), ("day", "advertiser_name", "campaign_objective"), ("day",), ("creative_name",)],
+    ),
+    "attribution": ([n for n, c in CHARTS.items() if c.dataset == "attribution"], [("day", "attribution_period", "advertiser_name"), ("attribution_period", "advertiser_name"), ("day",)]),
+    "fraud": ([n for n, c in CHARTS.items() if c.dataset == "fraud"], [("day", "event_date", "advertiser_id", "advertiser_name"), ("advertiser_name",)]),
+}
+#: What a user of the attribution dashboard has chosen: two periods in the share chart, two advertisers in another.
+SELECTED: dict[str, dict[str, tuple]] = {
+    "attribution_share_gmv": {"attribution_period": ("自然订单", "1日间接归因")},
+    "attribution_by_advertiser": {"advertiser_name": ("Supplier#000000001", "Supplier#000000002", "Supplier#000000003")},
+}
