@@ -177,8 +177,9 @@ FINAL: dict[str, str] = {
     "stream_chain": f"SELECT event_id, strftime(event_ts, {TS}) AS event_ts, event_date, event_type, CASE WHEN CAST(event_id AS BIGINT) % 50 = 4 THEN -1 ELSE spend::DOUBLE END AS spend, gmv::DOUBLE AS gmv, advertiser_name, campaign_name, creative_name FROM dwd WHERE CAST(event_id AS BIGINT) % 50 NOT IN (1, 2, 3)",
     "stream_cdc": _plain("current_orders", "gmv"),
     "stream_tail": "SELECT order_id, status, gmv::DOUBLE AS gmv FROM changes WHERE op = 'u'",
-    "cdc_local_times": f"""SELECT o_orderkey AS order_id, CASE WHEN step = 1 THEN {_LOCAL} END AS create_time, CASE WHEN step = 2 THEN {_LOCAL} END AS payment_time, CASE WHEN step = 3 THEN {_LOCAL} END AS finish_time, order_status, CAST(step AS INT) AS seq
-  FROM orders, (VALUES (1, 0, 'created'), (2, 1, 'paid'), (3, 5, 'finished')) v(step, days, order_status) WHERE step = 1 OR (step = 2 AND o_orderkey % 2 = 1) OR (step = 3 AND o_orderkey % 4 = 0)""",
+    "cdc_local_times": f"""SELECT o_orderkey AS order_id, CASE WHEN step = 1 THEN {_LOCAL} END AS create_time, CASE WHEN step = 2 THEN {_LOCAL} END AS payment_time, CASE WHEN step = 3 THEN {_LOCAL} END AS refund_time, CASE WHEN step = 4 THEN {_LOCAL} END AS finish_time,
+  order_status, CAST(step AS INT) AS seq FROM orders, (VALUES (1, 0, 'created'), (2, 1, 'paid'), (3, 3, 'refunded'), (4, 5, 'finished')) v(step, days, order_status)
+  WHERE step = 1 OR (step = 2 AND o_orderkey % 2 = 1) OR (step = 3 AND o_orderkey % 9 = 0) OR (step = 4 AND o_orderkey % 4 = 0)""",
     "published_retention": _plain("retained"),
     "keyed_upserts": "SELECT order_id, status, gmv::DOUBLE AS gmv, op, seq FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) AS rn FROM changes) WHERE rn = 1",
     "published_daily": _plain("daily", "cost_1d gmv_1d"),
@@ -194,8 +195,15 @@ FINAL: dict[str, str] = {
     "changelog_diff": """SELECT '-D' AS row_kind, order_id, status, gmv::DOUBLE AS gmv FROM base_orders WHERE order_id NOT IN (SELECT order_id FROM current_orders)
   UNION ALL SELECT k, b.order_id, CASE k WHEN '-U' THEN b.status ELSE c.status END, CASE k WHEN '-U' THEN b.gmv::DOUBLE ELSE c.gmv::DOUBLE END FROM base_orders b JOIN current_orders c ON b.order_id = c.order_id, (VALUES ('-U'), ('+U')) v(k) WHERE b.status <> c.status OR b.gmv <> c.gmv""",
     "order_lifecycle": """SELECT o_orderkey AS order_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS create_time, CASE WHEN o_orderkey % 2 = 1 THEN CAST(CAST(o_orderdate AS DATE) + 1 AS VARCHAR) END AS payment_time,
-  CASE WHEN o_orderkey % 4 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 5 AS VARCHAR) END AS finish_time, CASE WHEN o_orderkey % 4 = 0 THEN 'finished' WHEN o_orderkey % 2 = 1 THEN 'paid' ELSE 'created' END AS order_status FROM orders""",
+  CASE WHEN o_orderkey % 9 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 3 AS VARCHAR) END AS refund_time, CASE WHEN o_orderkey % 4 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 5 AS VARCHAR) END AS finish_time,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'finished' WHEN o_orderkey % 9 = 0 THEN 'refunded' WHEN o_orderkey % 2 = 1 THEN 'paid' ELSE 'created' END AS order_status FROM orders""",
+    "cdc_evolving": """SELECT o_orderkey AS order_id, o_orderstatus AS status,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'c' || o_orderkey WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey % 7 AS VARCHAR) ELSE CAST(o_orderkey % 10 AS VARCHAR) END AS code,
+  CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 100 + 0.5 WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 100 END::DOUBLE AS weight,
+  CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END::DOUBLE AS gmv FROM orders WHERE o_orderkey % 35 <> 0""",
     "reconcile": f"""SELECT stat_date, creative_id, n AS clicks_left, CASE WHEN stat_date < '{AS_OF}' THEN n END AS clicks_right, CASE WHEN stat_date < '{AS_OF}' THEN 0.0::DOUBLE ELSE n::DOUBLE END AS clicks_diff, stat_date < '{AS_OF}' AS is_match
+  FROM (SELECT event_date AS stat_date, creative_id, {_n('click')} AS n FROM ad_events GROUP BY ALL)""",
+    "reconcile_bucketed": f"""SELECT stat_date, creative_id, n AS clicks_left, CASE WHEN stat_date < '{AS_OF}' THEN n END AS clicks_right, CASE WHEN stat_date < '{AS_OF}' THEN 0.0::DOUBLE ELSE n::DOUBLE END AS clicks_diff, stat_date < '{AS_OF}' AS is_match
   FROM (SELECT event_date AS stat_date, creative_id, {_n('click')} AS n FROM ad_events GROUP BY ALL)""",
     "upsert_messages": """SELECT '{"order_id":' || order_id || '}' AS key, '{"order_id":' || order_id || ',"status":"' || status || '"}' AS value FROM current_orders""",
 }
@@ -282,4 +290,5 @@ def sql() -> dict[str, str]:
     head = "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in CTES.items()) + "\n"
     boards = {f"dashboard_{d}": head + _tall({n: CHARTS[n] for n in names}) for d, (names, _) in DASHBOARDS.items()}
     boards["dashboard_cross_filter"] = head + _tall(cross_filtered({n: CHARTS[n] for n in DASHBOARDS["attribution"][0]}, SELECTED))
+    FINAL["changelog_bucketed"] = FINAL["changelog_diff"]
     return {n: head + q for n, q in FINAL.items()} | boards | {n: head + _chart(c) for n, c in REPORTS.items()} | {f"bi_{n}": head + _chart(c) for n, c in CHARTS.items()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.operators import attribution, enrich, fraud, keyed, metrics, ordered, publishing, retract
+from adlake.operators import attribution, bucketed, enrich, evolving, fraud, keyed, metrics, ordered, publishing, retract
 from adlake.plans import lattice, oracles
 from adlake.plans.offline import Offline
 from adlake.plans.semantic import CHARTS, DASHBOARDS, REPORTS, SELECTED
@@ -54,15 +54,24 @@ def _orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver.order_changes(spark, sf_dir).filter("op = 'r'").drop("op", "seq")
 
 
-def _reconcile(o: Offline) -> DataFrame:
+def _facts_pair(o: Offline) -> tuple[DataFrame, DataFrame]:
+    """Clicks by day and creative, from window metrics and from the daily batch."""
     daily = o.metrics_10s.groupBy(F.date_format("window_start", "yyyy-MM-dd").alias("stat_date"), "creative_id").agg(F.sum("clicks").alias("clicks"))
     batch = o.daily.filter(F.col("stat_date") < o.as_of).select("stat_date", "creative_id", F.col("click_cnt_1d").alias("clicks"))
-    return keyed.reconcile(daily, batch, ["stat_date", "creative_id"], ["clicks"])
+    return daily, batch
+
+
+def _reconcile(o: Offline) -> DataFrame:
+    return keyed.reconcile(*_facts_pair(o), ["stat_date", "creative_id"], ["clicks"])
 
 
 def _stream_metrics(spark: SparkSession, sf_dir: str, dedupe: bool = False) -> DataFrame:
-    """Closed windows in append mode: the watermark bounds the state."""
-    events = driver.ad_events_stream(spark, sf_dir).withWatermark("event_ts", "5 seconds")
+    """Closed windows in append mode: the watermark bounds the state.  dedupe: on a feed in which every third event comes twice."""
+    events = driver.ad_events_stream(spark, sf_dir)
+    if dedupe:
+        copies = F.when(F.col("event_id").cast("long") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        events = events.withColumn("copy", F.explode(copies)).drop("copy")
+    events = events.withWatermark("event_ts", "5 seconds")
     return jobs.run_to_table(metrics.window_metrics(events, dedupe=dedupe))
 
 
@@ -98,6 +107,43 @@ def _upserts(o: Offline) -> DataFrame:
     return o.spark.read.parquet(target)
 
 
+def _evolving(o: Offline) -> DataFrame:
+    """A change feed as JSON in three files: the second brings a column, the third has text where numbers were, and a number with a fraction."""
+    spark = o.spark
+    feed, log, checkpoint = (jobs.shared_folder(spark, n) for n in ("feed", "evolving", "offsets"))
+    rows, n = driver.read_table(spark, o.sf_dir, "orders"), F.col("o_orderkey")
+    base = [n.alias("order_id"), F.col("o_orderstatus").alias("status")]
+    batches = (
+        (rows, "r", [*base, (n % 10).alias("code"), (n % 100).alias("weight")]),
+        (rows.filter(n % 3 == 0), "u", [*base, (n % 7).alias("code"), F.col("o_totalprice").cast("decimal(18,2)").alias("gmv")]),
+        (rows.filter(n % 5 == 0), "u", [*base, F.concat(F.lit("c"), n).alias("code"), (n % 100 + F.lit(0.5).cast("decimal(2,1)")).alias("weight")]),
+        (rows.filter(n % 35 == 0), "d", [n.alias("order_id")]),
+    )
+    for k, (df, op, columns) in enumerate(batches):
+        df.select(F.lit(op).alias("op"), (n + F.lit(k * 10**9)).alias("seq"), F.to_json(F.struct(*columns)).alias("row")).coalesce(1).write.mode("append").json(feed)
+    stream = spark.readStream.schema("op string, seq long, row string").option("maxFilesPerTrigger", 1).json(feed)
+    evolving.evolving_job(stream, log, checkpoint, once=True).awaitTermination()
+    return evolving.read_current(spark, log, ["order_id"]).select("order_id", "status", "code", "weight", "gmv")
+
+
+def _bucketed_pair(o: Offline, left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides as tables in buckets of *keys*."""
+    paths = [jobs.shared_folder(o.spark, "bucketed") for _ in range(2)]
+    left, right = (bucketed.write_bucketed(df, f"b{path[-32:]}", keys, 8, path) for df, path in zip((left, right), paths))
+    return left, right
+
+
+def _changelog_bucketed(o: Offline) -> DataFrame:
+    """Two versions of a keyed table, each in buckets of its key, compared without a shuffle."""
+    return keyed.changelog_between(*_bucketed_pair(o, _orders_before(o.spark, o.sf_dir), _orders_now(o.spark, o.sf_dir), ["order_id"]), ["order_id"])
+
+
+def _reconcile_bucketed(o: Offline) -> DataFrame:
+    """Streamed and daily facts in buckets of creative and day, reconciled without a shuffle."""
+    keys = ["stat_date", "creative_id"]
+    return keyed.reconcile(*_bucketed_pair(o, *_facts_pair(o), keys), keys, ["clicks"])
+
+
 def _published(o: Offline) -> DataFrame:
     """Daily facts by date, two dates written again, then published; a second publication finds its target present."""
     parts, target = jobs.shared_folder(o.spark, "daily"), jobs.shared_folder(o.spark, "published")
@@ -256,7 +302,7 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "stream_attribution": _stream_attribution,
     "stream_attribution_final": _stream_final_attribution,
     "stream_tail": _tail,
-    "cdc_local_times": lambda o: keyed.local_times(driver.order_steps(o.spark, o.sf_dir), ["create_time", "payment_time", "finish_time"]),
+    "cdc_local_times": lambda o: keyed.local_times(driver.order_steps(o.spark, o.sf_dir), ["create_time", "payment_time", "refund_time", "finish_time"]),
     "keyed_upserts": _upserts,
     "published_retention": lambda o: _publish_one(o, "retention"),
     "published_daily": _published,
@@ -274,6 +320,9 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "changelog_diff": lambda o: keyed.changelog_between(_orders_before(o.spark, o.sf_dir), _orders_now(o.spark, o.sf_dir), ["order_id"]),
     "order_lifecycle": lambda o: keyed.partial_update(driver.order_steps(o.spark, o.sf_dir), ["order_id"], "seq"),
     "reconcile": _reconcile,
+    "reconcile_bucketed": _reconcile_bucketed,
+    "changelog_bucketed": _changelog_bucketed,
+    "cdc_evolving": _evolving,
     "upsert_messages": lambda o: keyed.upsert_messages(_orders_now(o.spark, o.sf_dir).select("order_id", "status"), ["order_id"]),
 }
 

@@ -128,11 +128,12 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partial rows of an order's life: created, paid (odd keys) and finished (every fourth key), each with only its own time."""
+    """Partial rows of an order's life: created, paid (odd keys), refunded (every ninth) and finished (every fourth), each with only its own time."""
     o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("date").alias("day"))
-    none = F.lit(None).cast("date")
     n = F.col("order_id")
-    create = o.select("order_id", F.col("day").alias("create_time"), none.alias("payment_time"), none.alias("finish_time"), F.lit("created").alias("order_status"), F.lit(1).alias("seq"))
-    pay = o.filter(n % 2 == 1).select("order_id", none.alias("create_time"), F.date_add("day", 1).alias("payment_time"), none.alias("finish_time"), F.lit("paid").alias("order_status"), F.lit(2).alias("seq"))
-    finish = o.filter(n % 4 == 0).select("order_id", none.alias("create_time"), none.alias("payment_time"), F.date_add("day", 5).alias("finish_time"), F.lit("finished").alias("order_status"), F.lit(3).alias("seq"))
-    return create.unionByName(pay).unionByName(finish)
+    steps = {"create_time": (0, "created", F.lit(True)), "payment_time": (1, "paid", n % 2 == 1), "refund_time": (3, "refunded", n % 9 == 0), "finish_time": (5, "finished", n % 4 == 0)}
+    parts = []
+    for seq, (own, (days, status, when)) in enumerate(steps.items(), 1):
+        times = [(F.date_add("day", days) if c == own else F.lit(None).cast("date")).alias(c) for c in steps]
+        parts.append(o.filter(when).select("order_id", *times, F.lit(status).alias("order_status"), F.lit(seq).alias("seq")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
