@@ -3,9 +3,10 @@
 Every vector is normalised, turned by ``curves`` random projections to a few
 dimensions, made uniform by the sample's quantiles, shifted by a random offset,
 and placed on a Hilbert curve.  On each curve the rows fall into ``windows``
-ranges of equal share.  A query meets the rows of its own range and of both
-neighbouring ranges, on every curve; the cosines are computed on the original
-vectors in double precision, and the best of all curves are merged.
+ranges of equal share.  A query meets the rows of its own range and of the
+neighbouring ranges on both sides - one, or more until they hold `beside` rows or the curve ends - on
+every curve; the cosines are computed on the original vectors in double precision, and the best of
+all curves are merged.
 
 Projections, quantiles and range bounds come from at most ``sample`` rows (those
 with the smallest hash of vec_id); every row is indexed.  A range is dealt to as
@@ -42,8 +43,8 @@ QUERY_NAME = "op9_hilbert_ann"
 
 CURVES, DIMENSIONS, BITS, WINDOWS = 16, 8, 6, 32
 SAMPLE, BLOCK, SEED = 8192, 16384, 11
-#: A table so small that a range would hold fewer sampled rows has fewer ranges.
-LEAST_IN_RANGE = 64
+#: Rows that a query meets on each side of its range at least, as far as there are any.
+BESIDE = 64
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -136,7 +137,20 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_id
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURVES, windows: int = WINDOWS, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
+def neighbours(rows: np.ndarray, beside: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last range that a query of each range meets (curves x ranges): one more on each side, or more until they hold *beside* rows."""
+    curves, windows = rows.shape
+    before = np.concatenate([np.zeros((curves, 1), np.int64), np.cumsum(rows, axis=1)], axis=1)
+    first, last = np.zeros((curves, windows), np.int64), np.full((curves, windows), windows - 1, np.int64)
+    for c in range(curves):
+        for r in range(windows):
+            low = [x for x in range(r) if before[c, r] - before[c, x] >= beside]
+            high = [x for x in range(r + 1, windows) if before[c, x + 1] - before[c, r + 1] >= beside]
+            first[c, r], last[c, r] = low[-1] if low else 0, high[0] if high else windows - 1
+    return first, last
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURVES, windows: int = WINDOWS, sample: int = SAMPLE, block: int = BLOCK, beside: int = BESIDE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row that meets the condition on vec_id."""
     schema = "query_id long, vec_id long, score double"
     rows = usable(vectors)
@@ -147,7 +161,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
     sizes = np.bincount([len(v) for v in fit])
     size = int(sizes.argmax())
     fit = [v for v in fit if len(v) == size]
-    windows = max(1, min(windows, len(fit) // LEAST_IN_RANGE))
     fitted = Curves(scaled(np.array(fit, np.float64)), curves=curves, windows=windows)
     rows = rows.filter(F.size("vector") == size)
     kind = rows.schema["vector"].dataType.simpleString()
@@ -163,8 +176,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
 
     # curves x windows sums, whatever the input
     counted = in_batches(rows.select("vector"), count, "curve long, range long, n long").groupBy("curve", "range").agg(F.sum("n").alias("n")).toArrow()
-    parts = np.ones((curves, windows), np.int64)
-    parts[counted["curve"].to_numpy(), counted["range"].to_numpy()] = np.maximum(1, -(-counted["n"].to_numpy() // block))
+    held_rows = np.zeros((curves, windows), np.int64)
+    held_rows[counted["curve"].to_numpy(), counted["range"].to_numpy()] = counted["n"].to_numpy()
+    parts = np.maximum(1, -(-held_rows // block))
+    first, last = neighbours(held_rows, beside)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,8 +194,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = CURV
                     cell.append(got[:, c])
                     part.append(ids % parts[c, got[:, c]])
                     role.append(np.zeros(len(ids), bool))
-                    for i in np.flatnonzero(asks):  # a query goes to all parts of three ranges
-                        for r in range(max(0, got[i, c] - 1), min(windows, got[i, c] + 2)):
+                    for i in np.flatnonzero(asks):  # a query goes to all parts of its own and the neighbouring ranges
+                        for r in range(first[c, got[i, c]], last[c, got[i, c]] + 1):
                             n = parts[c, r]
                             curve.append(np.full(n, c))
                             of.append(np.full(n, i))

@@ -266,14 +266,28 @@ def test_search(spark, sample):
 
 
 def test_recall_of_the_regime_of_large_tables(spark):
-    """32 ranges need 2,048 rows: the vectors of sf0.1, and noisy copies of them."""
+    """Ranges of more rows than a query meets at least: the vectors of sf0.1, and noisy copies of them."""
     e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
     more = e.select((F.col("vec_id") + 100_000).alias("vec_id"), F.transform("embedding", lambda x, k: (x + F.sin(F.col("vec_id") * 31 + k * 17) * 0.9).cast("float")).alias("embedding"))
     e, asks = e.union(more), F.col("vec_id") % 50 == 0
-    assert e.count() >= H.LEAST_IN_RANGE * H.WINDOWS
+    assert e.count() >= H.BESIDE * H.WINDOWS
     assert H.recall(H.nearest(e, asks), e, asks) >= 0.9
 
 
+def test_recall_is_alike_at_every_size(spark):
+    e, asks = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), F.col("vec_id") % 50 == 0
+    for n in (60, 500, 1500):
+        some = e.filter(F.col("vec_id") < n)
+        assert H.recall(H.nearest(some, asks), some, asks) >= 0.9
+
+
+def test_neighbouring_ranges_hold_enough_rows():
+    rows = np.array([[5, 0, 0, 70, 3, 200, 64, 1], [0, 0, 0, 0, 0, 0, 0, 9]])
+    first, last = H.neighbours(rows, 64)
+    assert first.tolist() == [[0, 0, 0, 0, 3, 3, 5, 6], [0] * 8]
+    assert last.tolist() == [[3, 3, 3, 5, 5, 6, 7, 7], [7] * 8]
+
+
 def test_search_vectors_of_extreme_length(spark):
     rng = np.random.default_rng(0)
     rows = [(k, (v * s).tolist()) for k, (v, s) in enumerate(zip(rng.normal(size=(5, 8)), (1.0, 1e-200, 1e-200, 1e200, 1e-300)))]
