@@ -8,6 +8,30 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+#: Folders that a session's queries have made, until clean_up().
+_MADE: dict[str, set[str]] = {}
+
+
+def made(spark: SparkSession, path: str) -> str:
+    """Remember a folder as one that clean_up() deletes."""
+    _MADE.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a folder now."""
+    _MADE.get(spark.sparkContext.applicationId, set()).discard(path)
+    delete(spark, path)
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete all folders that queries of this session have left in the shared folder; frames that read them can't be used any more."""
+    paths = _MADE.pop(spark.sparkContext.applicationId, set())
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
+
+
 def _at(spark: SparkSession, path: str):
     """Path and its file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(path)

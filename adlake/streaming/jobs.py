@@ -17,6 +17,7 @@ from adlake.operators.enrich import lookup_enrich
 from adlake.operators.keyed import upsert_batch, upsert_jdbc, upsert_messages
 from adlake.operators.metrics import window_metrics
 from adlake.schemas import METRIC_KEYS
+from adlake.sources import files
 from adlake.sources.events import parse_events, split_dirty
 from adlake.streaming.last_click import final_touches
 
@@ -127,13 +128,13 @@ def cdc_job(changes: DataFrame, apply: Callable[[DataFrame, int], None], checkpo
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder; only a local master, whose executors share the driver's disk, may name none."""
+    """A new folder below the shared checkpoint folder, until files.clean_up(); only a local master, whose executors share the driver's disk, may name none."""
     base, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
     if not base:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "adlake-streams")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return files.made(spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
 def run_to_table(stream: DataFrame, mode: str = "append", watch: Callable[[StreamingQuery], None] | None = None) -> DataFrame:

@@ -151,3 +151,15 @@ def test_exports_as_text_and_of_nothing(spark, tmp_path, table):
     assert [int(x.split(",")[1]) for x in lines] == list(range(3000))
     ordered.export_ordered(table.filter("false"), str(tmp_path / "none"), ["k"])
     assert ordered.read_ordered(spark, str(tmp_path / "none")).count() == 0 and ordered.read_slice(spark, str(tmp_path / "none"), 1, 5).count() == 0
+
+
+def test_folders_of_queries_are_cleaned_up(spark):
+    from adlake.plans import registry
+
+    files.clean_up(spark)
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(files.names(spark, base))
+    for name in ("ordered_creatives", "published_rollback", "stream_tail"):
+        registry.queries()[name](spark, "/root/testdata/sf0.001").count()
+    assert len(set(files.names(spark, base)) - before) >= 4
+    assert files.clean_up(spark) >= 4 and set(files.names(spark, base)) == before and files.clean_up(spark) == 0
