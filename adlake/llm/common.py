@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from adlake.sources import files
+
 #: Rows of an Arrow batch: with texts of some kilobytes a worker holds a few megabytes at once.
 ARROW_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -40,10 +42,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a step to Parquet in the shared folder and read it again: splittable, and safe against lost executors.
 
-    drop_stored() deletes it when nothing reads it any more.
+    drop_stored() deletes it when nothing reads it any more, files.clean_up() all that are left.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/adlake-{name}-{uuid.uuid4().hex}"
+    path = files.made(spark, f"{checkpoint_dir(spark)}/adlake-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_in = path
@@ -53,9 +55,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def drop_stored(*frames: DataFrame) -> None:
     """Delete the files of frames that stored() returned."""
     for df in frames:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_in)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files.forget(df.sparkSession, df.stored_in)
 
 
 def unused(name: str, *frames: DataFrame) -> str:
