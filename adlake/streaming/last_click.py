@@ -8,9 +8,11 @@ delay holds, not the clicks of the whole look-back; a timer drops a key's last c
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -80,6 +82,8 @@ def final_touches(events: DataFrame, lookback: str = "30 days", watermark: str =
 
     Needs the RocksDB state store (`jobs.rocksdb`).  Events later than the watermark are dropped, as in windowed metrics.
     """
+    # Spark describes the state in a process of its own, which need not know this package
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     rows = events.filter("event_type IN ('order', 'click')").withWatermark("event_ts", watermark).withColumn("_at", F.unix_micros("event_ts"))
     fields = {f.name: f for f in rows.schema}
     order, click = (StructType([StructField(n, fields[n].dataType) for n in dict.fromkeys(["_at", "event_id", *names])]) for names in (_ORDER, _TOUCH))
