@@ -114,6 +114,13 @@ class Offline:
         """The serving view of real-time metrics."""
         return metrics.metrics_change(self.metrics_named).withColumnRenamed("roi", "roas")
 
+    def register_views(self) -> list[str]:
+        """Temporary views of all layers, for SQL; their names."""
+        names = ["advertiser", "campaign", "unit", "creative", "dwd", "daily", "detail", "summary", "fraud_daily", "retention", "creative_offline", "metrics_10s"]
+        for name in names:
+            getattr(self, name).createOrReplaceTempView(name)
+        return names
+
     def dataset(self, name: str) -> DataFrame:
         """The rows of a dataset of the semantic layer."""
         return {

@@ -174,6 +174,11 @@ FINAL: dict[str, str] = {
     "metrics_change": _plain("m10_change", "spend gmv previous_spend previous_gmv spend_change gmv_change", "window_start window_end"),
     "stream_metrics_10s": _plain("m10", "spend gmv", "window_start window_end", _CLOSED),
     "stream_metrics_dedupe": _plain("m10", "spend gmv", "window_start window_end", _CLOSED),
+    "stream_late_dropped": _plain("m10", "spend gmv", "window_start window_end", _CLOSED),
+    "stream_restarted": _plain("m10", "spend gmv", "window_start window_end", _CLOSED),
+    "views_sql": "SELECT industry, attribution_period, sum(orders)::BIGINT AS orders, sum(attributed_gmv)::DOUBLE AS gmv FROM summary JOIN adv USING (advertiser_id) GROUP BY ALL",
+    "jdbc_upserts": """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN upper(c_mktsegment) || ' CHANGED' ELSE c_mktsegment END AS segment, CAST(c_acctbal AS DECIMAL(18,2))::DOUBLE AS balance FROM customer
+  UNION ALL SELECT c_custkey + 1000000000, 'NEW', 0.0::DOUBLE FROM customer WHERE c_custkey % 50 = 0""",
     "stream_chain": f"SELECT event_id, strftime(event_ts, {TS}) AS event_ts, event_date, event_type, CASE WHEN CAST(event_id AS BIGINT) % 50 = 4 THEN -1 ELSE spend::DOUBLE END AS spend, gmv::DOUBLE AS gmv, advertiser_name, campaign_name, creative_name FROM dwd WHERE CAST(event_id AS BIGINT) % 50 NOT IN (1, 2, 3)",
     "stream_cdc": _plain("current_orders", "gmv"),
     "stream_tail": "SELECT order_id, status, gmv::DOUBLE AS gmv FROM changes WHERE op = 'u'",
@@ -258,6 +263,8 @@ def _where(chart: Chart) -> str:
     tests = [f"{c} IN ({', '.join(repr(v) for v in values)})" for c, values in chart.filters.items()]
     start, _, end = (chart.time_range or " : ").partition(" : ")
     day = f"substr(CAST({_TIMES[chart.dataset]} AS VARCHAR), 1, 10)"
+    if start.startswith("Last"):
+        return f" WHERE CAST({day} AS DATE) >= current_date - {int(start.split()[1])} AND CAST({day} AS DATE) < current_date"
     tests += [f"{day} {sign} '{x.strip()}'" for sign, x in ((">=", start), ("<", end)) if x.strip()]
     return f" WHERE {' AND '.join(tests)}" if tests else ""
 

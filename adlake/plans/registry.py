@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from adlake.operators import attribution, bucketed, enrich, evolving, fraud, key
 from adlake.plans import lattice, oracles
 from adlake.plans.offline import Offline
 from adlake.plans.semantic import CHARTS, DASHBOARDS, REPORTS, SELECTED
+from adlake.schemas import METRIC_KEYS
 from adlake.sources import driver, events
 from adlake.streaming import jobs
 
@@ -75,6 +77,52 @@ def _stream_metrics(spark: SparkSession, sf_dir: str, dedupe: bool = False) -> D
     return jobs.run_to_table(metrics.window_metrics(events, dedupe=dedupe))
 
 
+def _metrics_over(o: Offline, parts: list[DataFrame], runs: int) -> DataFrame:
+    """Closed windows of *parts*, each a file of the feed, by one job or by one for each file over one checkpoint."""
+    spark = o.spark
+    feed, rows, checkpoint = (jobs.shared_folder(spark, n) for n in ("feed", "metrics", "offsets"))
+    for k, part in enumerate(parts, 1):
+        part.coalesce(1).write.mode("append").parquet(feed)
+        if k > len(parts) - runs:
+            stream = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+            jobs.metrics_job(stream, rows, checkpoint, once=True).awaitTermination()
+    return keyed.read_keyed(spark, rows, ["window_start", *METRIC_KEYS])
+
+
+def _late_dropped(o: Offline) -> DataFrame:
+    """All events in two files, then one of events that come too late: Spark drops what is older than the watermark of two batches before."""
+    day = F.col("event_date")
+    late = o.events.filter(day < "2024-01-20").withColumns({"event_id": F.concat(F.lit("late"), "event_id"), "event_ts": F.col("event_ts") - F.expr("INTERVAL 3 DAYS")})
+    return _metrics_over(o, [o.events.filter(day < "2024-01-21"), o.events.filter(day >= "2024-01-21"), late], 1)
+
+
+def _restarted(o: Offline) -> DataFrame:
+    """Three parts of the events in the order of time, each by a new run of the job over the checkpoint of the last."""
+    day = F.col("event_date")
+    return _metrics_over(o, [o.events.filter(day < "2024-01-11"), o.events.filter((day >= "2024-01-11") & (day < "2024-01-21")), o.events.filter(day >= "2024-01-21")], 3)
+
+
+def _views(o: Offline) -> DataFrame:
+    """SQL over the temporary views of the layers."""
+    o.register_views()
+    return o.spark.sql("SELECT industry, attribution_period, SUM(orders) AS orders, SUM(attributed_gmv) AS gmv FROM summary JOIN advertiser USING (advertiser_id) GROUP BY industry, attribution_period")
+
+
+def _jdbc(o: Offline) -> DataFrame:
+    """Customers to a database over JDBC, some of them again with changes, twice; an embedded database in memory, so for a local master only."""
+    spark, url = o.spark, f"jdbc:derby:memory:q{uuid.uuid4().hex};create=true"
+    tables = [f"CREATE TABLE {t} (id BIGINT NOT NULL PRIMARY KEY, segment VARCHAR(40), balance DECIMAL(18,2))" for t in ("customers", "customers_stage")]
+    keyed._execute(spark, url, tables, {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    n = F.col("c_custkey")
+    first = driver.read_table(spark, o.sf_dir, "customer").select(n.alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
+    changed = first.filter(F.col("id") % 3 == 0).withColumn("segment", F.concat(F.upper("segment"), F.lit(" CHANGED")))
+    new = first.filter(F.col("id") % 50 == 0).select((F.col("id") + 10**9).alias("id"), F.lit("NEW").alias("segment"), F.lit(0).cast("decimal(18,2)").alias("balance"))
+    for rows in (first, changed.unionByName(new), changed.unionByName(new)):
+        keyed.upsert_jdbc(rows.coalesce(2), url, "customers", "customers_stage", ["id"], batch_size=1000)
+    got = events.read_dimension_jdbc(spark, url, "customers")
+    return got.select(*[F.col(c).alias(c.lower()) for c in got.columns])
+
+
 def _stream_chain(o: Offline) -> DataFrame:
     """Raw JSON to the event log, from there to the enriched log, each by its own job over the other's files."""
     raw, ods, dirty, dwd = (jobs.shared_folder(o.spark, n) for n in ("raw", "ods", "dirty", "dwd"))
@@ -296,6 +344,10 @@ _QUERIES: dict[str, Callable[[Offline], DataFrame]] = {
     "metrics_change": lambda o: o.realtime,
     "stream_metrics_10s": lambda o: _stream_metrics(o.spark, o.sf_dir),
     "stream_metrics_dedupe": lambda o: _stream_metrics(o.spark, o.sf_dir, dedupe=True),
+    "stream_late_dropped": _late_dropped,
+    "stream_restarted": _restarted,
+    "views_sql": _views,
+    "jdbc_upserts": _jdbc,
     "stream_dwd": lambda o: _stream_dwd(o.spark, o.sf_dir),
     "stream_chain": _stream_chain,
     "stream_cdc": _cdc_stream,

@@ -243,6 +243,7 @@ REPORTS: dict[str, Chart] = {
     "report_active_creatives": Chart("creative", ("active_creatives", "row_count", "total_gmv"), ("industry",), filters={"campaign_objective": ("ROAS", "GMV")}, time_range="2024-01-05 : 2024-01-20"),
     "report_attribution_rates": Chart("attribution", ("count", "total_conversions", "attributed_gmv_rate", "attributed_spend"), ("advertiser_name",), time_range="2024-01-10 : "),
     "report_realtime_changes": Chart("realtime", ("count", "total_orders", "spend_change", "gmv_change"), ("advertiser_name",)),
+    "report_last_days": Chart("creative", ("total_cost", "row_count"), ("campaign_objective",), time_range="Last 10000 days"),
     "report_cohorts": Chart("retention", ("count", "cohort_size", "retained_1d", "retained_7d"), grain="day"),
     "report_attribution_types": Chart("order_detail", ("order_count", "order_gmv"), ("attribution_type",), filters={"is_attributed": (True,)}, time_range=" : 2024-01-16"),
 }
