@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -101,12 +102,19 @@ _ADDED = {
 }
 
 
-def summed_parts(dataset: str, df: DataFrame, keys: Sequence[str], rolled: bool = False, extra: Sequence[Column] = ()) -> DataFrame:
-    """The sums of a dataset's parts by *keys*; of rows, or of a roll-up, whose columns they are."""
+def parts_of(dataset: str, metrics: Sequence[str]) -> set[str]:
+    """The parts that these metrics are made of."""
     spec = DATASETS[dataset]
+    words = {w for m in metrics if m in spec.metrics for w in re.findall(r"\w+", spec.metrics[m])}
+    return {"rows", *(words & set(spec.parts))}
+
+
+def summed_parts(dataset: str, df: DataFrame, keys: Sequence[str], rolled: bool = False, extra: Sequence[Column] = (), parts: set[str] | None = None) -> DataFrame:
+    """The sums of a dataset's *parts* (or all) by *keys*; of rows, or of a roll-up, whose columns they are."""
+    spec = {n: e for n, e in DATASETS[dataset].parts.items() if parts is None or n in parts}
     if not rolled:
-        df = df.withColumns({n: make() for n, make in _ADDED.items() if any(n in e for e in spec.parts.values())})
-    sums = [F.sum(F.col(n) if rolled else F.expr(e)).alias(n) for n, e in spec.parts.items()]
+        df = df.withColumns({n: make() for n, make in _ADDED.items() if any(n in e for e in spec.values())})
+    sums = [F.sum(F.col(n) if rolled else F.expr(e)).alias(n) for n, e in spec.items()]
     out = df.groupBy(*keys).agg(*sums, *extra)
     return out.withColumn("rows", F.coalesce("rows", F.lit(0)).cast("long"))
 
@@ -160,7 +168,7 @@ def query(
     # metrics may be named like parts and keys
     named = {k: f"_key_{k}" for k in keys}
     counted = [F.count_distinct(spec.distinct[m]).alias(f"_{m}") for m in metrics if m in spec.distinct]
-    sums = summed_parts(dataset, rows.withColumns({n: F.col(k) for k, n in named.items()}), list(named.values()), rolled, counted)
+    sums = summed_parts(dataset, rows.withColumns({n: F.col(k) for k, n in named.items()}), list(named.values()), rolled, counted, parts_of(dataset, metrics))
     out = sums.select(*[F.col(n).alias(k) for k, n in named.items()], *[F.expr(spec.metrics[m] if m in spec.metrics else f"_{m}").alias(m) for m in metrics])
     if share:
         # over the groups of a chart, which are few: the rows are read once
