@@ -25,6 +25,7 @@ columns are carried by `resample` and ignored by the query.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 from zlib import crc32
 
 import numpy as np
@@ -151,3 +152,45 @@ def resample(docs: DataFrame, target: DataFrame, order: int = ORDER, buckets: in
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return resample(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _oracle() -> str:
+    """The query in DuckDB's SQL: CRC-32 by its table of 256 remainders, folded over each different feature's bytes."""
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    runs = "unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f"
+    remainder = "list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)"
+    digit = "instr('123456789ABCDEF', substr(x, {}, 1))"
+    nibble = digit.replace("x,", "hex(f),")
+    byte = f"16 * {nibble.format('2 * i + 1')} + {nibble.format('2 * i + 2')}"
+    h = " + ".join(f"{16 ** (8 - k)} * {digit.format(k)}" for k in range(1, 9))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+wanted AS (SELECT {words} AS w FROM benchmark),
+corpus_runs AS (SELECT r, f, count(*) AS n FROM (SELECT r, {runs} FROM docs) GROUP BY r, f),
+target_runs AS (SELECT f, count(*) AS n FROM (SELECT {runs} FROM wanted) GROUP BY f),
+remainders AS (SELECT list({remainder} ORDER BY i) AS t FROM range(256) _(i)),
+named AS (SELECT f FROM corpus_runs UNION SELECT f FROM target_runs),
+bytes AS (SELECT f, list_transform(range(octet_length(encode(f))), lambda i: {byte}) AS b FROM named),
+buckets AS (
+  SELECT f, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295), 4294967295) % {BUCKETS} AS bucket
+  FROM bytes, remainders),
+corpus AS (SELECT bucket, sum(n)::DOUBLE AS s FROM corpus_runs JOIN buckets USING (f) GROUP BY bucket),
+target AS (SELECT bucket, sum(n)::DOUBLE AS t FROM target_runs JOIN buckets USING (f) GROUP BY bucket),
+totals AS (SELECT coalesce((SELECT sum(s) FROM corpus), 0) AS ss, coalesce((SELECT sum(t) FROM target), 0) AS tt),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (ss + {BUCKETS}) / ((s + 1) * (tt + {BUCKETS}))))::BIGINT AS gain
+  FROM corpus LEFT JOIN target USING (bucket), totals),
+sums AS (SELECT r, sum(n) AS n_features, sum(n * gain) AS total FROM corpus_runs JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY r),
+noise AS (SELECT r, doc_id, len(w) AS n_words, substr(upper(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, ''))), 1, 8) AS x FROM docs),
+scored AS (
+  SELECT doc_id, n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(floor(total::DOUBLE / n_features), 0)::BIGINT AS weight,
+    floor(-1000 * ln(-ln(({h} + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+  FROM noise LEFT JOIN sums USING (r)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= {LEAST_WORDS} ORDER BY weight + noise DESC, doc_id NULLS FIRST) AS place,
+    {DRAW_PERCENT} * count(*) OVER (PARTITION BY n_words >= {LEAST_WORDS}) // 100 AS wanted
+  FROM scored)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN n_words >= {LEAST_WORDS} AND place <= wanted THEN place END AS rank FROM placed"""
+
+
+ORACLE_SQL = _oracle()

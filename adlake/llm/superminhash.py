@@ -42,6 +42,7 @@ result; other columns are carried or ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -370,3 +371,37 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFrame
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read_table(spark, sf_dir, "documents"), width=2)
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+#: The query in DuckDB's SQL, by exact sets: texts of a similarity of 0.8 share a shingle among the rarest fifth, and one more, of each.
+ORACLE_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingled AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS shingles
+  FROM words),
+sets AS (SELECT min(doc_id) AS id, shingles, len(shingles) AS n FROM shingled WHERE doc_id IS NOT NULL AND len(shingles) > 0 GROUP BY shingles),
+held AS (SELECT DISTINCT hash(shingles) AS s, id, n, unnest(shingles) AS shingle FROM sets),
+rare AS (
+  SELECT s, id, n, shingle, row_number() OVER (PARTITION BY s, id ORDER BY f, shingle) AS place
+  FROM held JOIN (SELECT shingle, count(*) AS f FROM held GROUP BY shingle) USING (shingle)),
+firsts AS (SELECT * FROM rare WHERE place <= n - (4 * n + 4) // 5 + 1),
+candidates AS (
+  SELECT DISTINCT a.s AS s, a.id AS id, b.s AS s2, b.id AS id2
+  FROM firsts a JOIN firsts b ON a.shingle = b.shingle AND (a.s < b.s OR (a.s = b.s AND a.id < b.id)) AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+links AS (
+  SELECT c.id AS a, c.id2 AS b
+  FROM candidates c JOIN held x ON x.s = c.s AND x.id = c.id JOIN held y ON y.s = c.s2 AND y.id = c.id2 AND y.shingle = x.shingle
+  GROUP BY c.s, c.id, c.s2, c.id2, x.n, y.n
+  HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+  UNION SELECT doc_id, id FROM shingled JOIN sets USING (shingles) WHERE doc_id IS NOT NULL
+  UNION SELECT id, doc_id FROM shingled JOIN sets USING (shingles) WHERE doc_id IS NOT NULL),
+reach AS (
+  SELECT DISTINCT doc_id AS node, doc_id AS seen FROM shingled WHERE doc_id IS NOT NULL
+  UNION SELECT node, b FROM reach JOIN edges ON seen = a),
+components AS (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM shingled LEFT JOIN components USING (doc_id)"""

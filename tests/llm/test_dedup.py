@@ -1,7 +1,9 @@
 import random
 import re
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,22 @@ def corpus(seed=3, n=150):
     return list(enumerate(out))
 
 
+def test_sql_equals_all_pairs():
+    con = duckdb.connect()
+    for texts in (corpus(), corpus(seed=8, n=300), [(0, None), (1, " ")], duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()):
+        con.register("documents", pd.DataFrame(texts, columns=["doc_id", "text"]).astype({"text": "string"}))
+        got = con.sql(f"SELECT doc_id, n_shingles, component_id, kept FROM ({M.ORACLE_SQL})").fetchall()
+        assert sorted(got) == sorted((i, n, c, i == c) for i, (n, c) in brute(texts, 2).items())
+
+
+def test_sql_of_repeated_and_null_ids():
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents AS SELECT * FROM (VALUES (5, 'a b c'), (3, 'A B c'), (5, 'x y z'), (9, 'x y z'), (NULL, 'x y z'), (7, ''), (3, NULL), (9, 'q')) _(doc_id, text)")
+    got = con.sql(f"SELECT doc_id, n_shingles, component_id, kept FROM ({M.ORACLE_SQL})").fetchall()
+    want = [(5, 2, 3, False), (3, 2, 3, True), (5, 2, 3, False), (9, 2, 3, False), (None, 2, None, None), (7, 0, 7, True), (3, 0, 3, True), (9, 1, 3, False)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_components_equal_brute_force(make_docs, width):
     texts = corpus()

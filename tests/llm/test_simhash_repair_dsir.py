@@ -6,7 +6,9 @@ import random
 import re
 from zlib import crc32
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -278,6 +280,20 @@ def test_resampling_equals_the_plain_version(spark, sample, make_docs):
     assert drawn(D.resample(make_docs(odd), spark.createDataFrame([(t,) for t in ("a b c", None, "w7 w9")], "text string"))) == plain_resample(odd, ["a b c", None, "w7 w9"])
 
 
+def test_sql_of_resampling_equals_the_plain_version():
+    def sql(docs, target):
+        con = duckdb.connect()
+        con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]).astype({"doc_id": "Int64", "text": "string"}))
+        con.register("benchmark", pd.DataFrame({"text": pd.array(target, "string")}))
+        return sorted(con.sql(f"SELECT doc_id, n_features, weight, score, rank FROM ({D.ORACLE_SQL})").fetchall(), key=str)
+
+    docs, target = (duckdb.sql(f"SELECT {c} FROM '/root/testdata/sf0.001/{n}.parquet'").fetchall() for c, n in (("doc_id, text", "documents"), ("text", "benchmark")))
+    assert sql(docs, [t for t, in target]) == plain_resample(docs, [t for t, in target])
+    odd = [*corpus(n=60), (500, "Ünï-Cödé 12_3 ÉA"), (None, "w " * 30), (501, "-- // --"), (502, "y" * 10_000), (503, None), (504, "")]
+    for wanted in (["a b c", None, "w7 w9"], []):
+        assert sql(odd, wanted) == plain_resample(odd, wanted)
+
+
 def test_resampling_of_equal_scores_and_empty_tables(spark, make_docs):
     rows = spark.createDataFrame([(i, 30, s) for i, s in [(4, 5), (3, 5), (2, 5), (1, 9), (0, 1), (9, 1), (8, 1), (7, 1)]] + [(10, 3, 99), (11, None, 99)], "doc_id long, n_words long, score long")
     assert {r.doc_id: r["rank"] for r in D.draw(rows, percent=30).collect() if r["rank"]} == {1: 1, 2: 2}
