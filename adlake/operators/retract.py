@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adlake.operators import publishing
-from adlake.sources import files
+from adlake.operators import deltas
 
 
 @dataclass(frozen=True)
@@ -83,51 +82,17 @@ def facts_of(rows: DataFrame, facts: Facts) -> DataFrame:
 
 def log_changes(changes: DataFrame, path: str, facts: Facts, batch_id: int, run: str = "batch") -> None:
     """Write a batch's delta; a replay of the batch overwrites itself.  run: who numbers the batches."""
-    delta(changes, facts).write.mode("overwrite").parquet(f"{path}/log/run={run}/batch={batch_id}")
-
-
-def _folded(spark: SparkSession, path: str) -> dict[str, int]:
-    """The last batch of each run that the base holds."""
-    commit = publishing.current(spark, f"{path}/base")
-    return commit.note["folded"] if commit else {}
-
-
-def _open_rows(spark: SparkSession, path: str, folded: dict[str, int], upto: dict[str, int] | None = None) -> DataFrame:
-    """The base and the deltas that it lacks; folders of folded batches are not read."""
-    log = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(f"{path}/log")
-    batch = F.col("batch").cast("long")
-    done = F.lit(False)
-    for run, last in folded.items():
-        done = done | ((F.col("run") == run) & (batch <= last))
-    log = log.filter(~done)
-    if upto is not None:
-        within = F.lit(False)
-        for run, last in upto.items():
-            within = within | ((F.col("run") == run) & (batch <= last))
-        log = log.filter(within)
-    log = log.drop("run", "batch")
-    return publishing.read_published(spark, f"{path}/base").unionByName(log) if folded else log
+    deltas.log(delta(changes, facts), path, batch_id, run)
 
 
 def read_facts(spark: SparkSession, path: str, facts: Facts) -> DataFrame:
     """The aggregates as of the last batch."""
-    return facts_of(_open_rows(spark, path, _folded(spark, path)), facts)
+    return facts_of(deltas.read(spark, path), facts)
 
 
 def fold(spark: SparkSession, path: str, facts: Facts, keep: int = 2) -> int | None:
     """Add the finished batches to the base and return its version; None if there was nothing to add.  The *keep* last bases stay."""
-    folded, last = _folded(spark, path), {}
-    for run in (n.removeprefix("run=") for n in files.names(spark, f"{path}/log") if n.startswith("run=")):
-        batches = [n for n in files.names(spark, f"{path}/log/run={run}") if n.startswith("batch=")]
-        done = [int(b.removeprefix("batch=")) for b in batches if "_SUCCESS" in files.names(spark, f"{path}/log/run={run}/{b}")]
-        if done and max(done) > folded.get(run, -1):
-            last[run] = max(done)
-    if not last:
-        return None
-    rows = added_up(_open_rows(spark, path, folded, last), facts)
-    version = publishing.publish(rows, f"{path}/base", note={"folded": folded | last}, allow_empty=True)
-    publishing.vacuum(spark, f"{path}/base", keep)
-    return version
+    return deltas.fold(spark, path, lambda rows: added_up(rows, facts), keep)
 
 
 def retract_job(changes: DataFrame, path: str, facts: Facts, checkpoint: str, once: bool = False, every: str = "10 seconds") -> StreamingQuery:

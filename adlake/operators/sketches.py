@@ -3,14 +3,23 @@
 A sketch holds the smallest hashes of the values seen.  Below 2^lg values it is exact; above, its relative error is about
 1 / sqrt(2^lg) (1.6 % at 12).  Its size is bounded by 8 * 2^lg bytes, so sums of distinct users over windows, which count a
 user many times, can be replaced by the union of the windows' sketches without reading events again.
+
+Reach keeps such sketches: each batch of events adds a delta of window sketches (`deltas`), and any coarser keys,
+span of time or trailing days are answered from them.  A late event goes to its window whenever it comes, without a
+watermark or state; a replayed event changes nothing.  A value can't be taken out of a sketch: where rows are retracted,
+`retract` counts them.  Rows without a time are in no window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from adlake.operators import deltas
 
 LG = 12
 
@@ -27,3 +36,52 @@ def roll_up(sketches: DataFrame, keys: Sequence[str | Column], lg: int = LG, nam
 
 def distinct_count(name: str = "sketch") -> Column:
     return F.theta_sketch_estimate(name)
+
+
+@dataclass(frozen=True)
+class Reach:
+    """What is kept: the different values of *column* by *keys* and windows of *size* of the column *time*."""
+
+    keys: Sequence[str]
+    column: str
+    time: str = "event_ts"
+    size: str = "1 hour"
+    lg: int = LG
+
+
+def log_reach(rows: DataFrame, path: str, reach: Reach, batch_id: int, run: str = "batch") -> None:
+    """Add the window sketches of a batch; a replay of the batch overwrites itself."""
+    by_window = sketch_by(rows, [*reach.keys, F.window(reach.time, reach.size).alias("_w")], reach.column, reach.lg)
+    deltas.log(by_window.select(*reach.keys, F.col("_w.start").alias("window_start"), "sketch"), path, batch_id, run)
+
+
+def fold_reach(spark: SparkSession, path: str, reach: Reach, keep: int = 2) -> int | None:
+    """Merge finished batches into one sketch for each window; the base's new version, or None if there was nothing to add."""
+    return deltas.fold(spark, path, lambda rows: roll_up(rows, [*reach.keys, "window_start"], reach.lg), keep)
+
+
+def reached(spark: SparkSession, path: str, reach: Reach, keys: Sequence[str | Column], since: str | None = None, until: str | None = None) -> DataFrame:
+    """*keys* (of the kept keys and window_start) and their merged sketch, of windows from *since* and before *until*; both must begin a window."""
+    rows = deltas.read(spark, path)
+    if since is not None:
+        rows = rows.filter(F.col("window_start") >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        rows = rows.filter(F.col("window_start") < F.lit(until).cast("timestamp"))
+    return roll_up(rows, keys, reach.lg)
+
+
+def trailing(daily: DataFrame, keys: Sequence[str], day: str, days: int, lg: int = LG) -> DataFrame:
+    """For each row of *daily* (keys, a date *day*, sketch) the sketch of the *days* days that end with it."""
+    by = [day, *keys]
+    dealt = daily.withColumn(day, F.explode(F.sequence(F.col(day), F.date_add(day, days - 1))))
+    own = daily.select(*by, F.lit(True).alias("_own"))
+    # one shuffle: whether the day has a row of its own travels with the sketches
+    both = dealt.select(*by, "sketch", F.lit(None).cast("boolean").alias("_own")).unionByName(own.withColumn("sketch", F.lit(None).cast("binary")))
+    return both.groupBy(*by).agg(F.theta_union_agg("sketch", lg).alias("sketch"), F.max("_own").alias("_own")).filter("_own").drop("_own")
+
+
+def reach_job(events: DataFrame, path: str, reach: Reach, checkpoint: str, once: bool = False, every: str = "10 seconds") -> StreamingQuery:
+    """A stream of events into the window sketches of *path*."""
+    from adlake.streaming.jobs import _start, query_id
+
+    return _start(events, lambda batch, n: log_reach(batch, path, reach, n, query_id(batch.sparkSession, checkpoint)), checkpoint, "append", once, every)

@@ -140,6 +140,10 @@ FINAL: dict[str, str] = {
   FROM (SELECT event_date, event_ts, event_type, spend, CASE WHEN i % 33 = 1 THEN 'crt_moved' ELSE creative_id END AS creative_id, CASE WHEN i % 11 = 1 THEN 'user_moved' ELSE user_id END AS user_id, CASE WHEN i % 11 = 1 THEN gmv * 2 ELSE gmv END AS gmv
       FROM (SELECT *, CAST(event_id AS BIGINT) AS i FROM ad_events) WHERE i % 7 <> 0
     UNION ALL SELECT event_date, event_ts, event_type, spend, creative_id, user_id, gmv FROM ad_events WHERE CAST(event_id AS BIGINT) % 13 = 2) GROUP BY event_date, creative_id""",
+    "reach_daily": """SELECT a.advertiser_id, a.event_date AS day, count(DISTINCT CASE WHEN b.event_date = a.event_date THEN b.user_id END) AS users, count(DISTINCT b.user_id) AS users_7d
+  FROM (SELECT DISTINCT advertiser_id, event_date FROM ad_events WHERE event_type = 'click') a
+  JOIN (SELECT DISTINCT advertiser_id, event_date, user_id FROM ad_events WHERE event_type = 'click') b
+    ON b.advertiser_id = a.advertiser_id AND CAST(b.event_date AS DATE) BETWEEN CAST(a.event_date AS DATE) - 6 AND CAST(a.event_date AS DATE) GROUP BY ALL""",
     "attr_touchpoints": f"""SELECT candidate_id AS attribution_id, stat_date, outcome_event_id AS conversion_event_id, order_id, user_id, CASE WHEN touch_event_id IS NULL THEN 0 ELSE touchpoint_seq END AS touchpoint_seq,
   CASE WHEN touch_event_id IS NULL THEN 'organic' ELSE 'click' END AS touchpoint_type, strftime(touch_time, {TS}) AS touch_time, creative_id, campaign_id, advertiser_id, l AS is_last_click, 'last_click_30d' AS attribution_model,
   CAST(l AS INT)::DOUBLE AS touch_weight, CASE WHEN l THEN CAST(order_gmv AS DOUBLE) ELSE 0 END AS attributed_gmv, CAST(l AS INT)::DOUBLE AS attributed_conv, CAST(30 AS INT) AS lookback_days

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from adlake.operators import attribution, keyed, publishing, retract, sketches
+from adlake.operators import attribution, deltas, keyed, publishing, retract, sketches
 
 SCHEMA = "id int, day string, k string, x decimal(10,2), user string"
 FACTS = retract.Facts(("day", "k"), {"x_sum": "x", "big": "IF(x > 5, 1, 0)"}, {"x_max": "x"}, {"users": "user", "values": "x"})
@@ -60,7 +60,7 @@ def test_facts_follow_random_changes(spark, tmp_path, seed):
             retract.log_changes(batches[1], path, FACTS, 1)
         if n == 3:
             retract.log_changes(batches[3], path, FACTS, 3)
-            plan = retract._open_rows(spark, path, retract._folded(spark, path))._jdf.queryExecution().executedPlan().toString()
+            plan = deltas.read(spark, path)._jdf.queryExecution().executedPlan().toString()
             assert "PartitionFilters: [NOT" in plan or "PartitionFilters: [(NOT" in plan  # folders of folded batches are not read
         assert followed(spark, path) == refreshed(spark, rows)
     assert followed(spark, path) == {} and retract.fold(spark, path, FACTS) == 3 and followed(spark, path) == {}
@@ -114,6 +114,41 @@ def test_merged_sketches_count_users_once(spark):
     assert abs(got[0] - 60_000) < 4 * 60_000 / 64 and got[1] < 8 * 4096 + 100
 
 
+def test_stored_sketches_follow_batches_late_events_and_replays(spark, tmp_path):
+    r, path = random.Random(9), str(tmp_path / "reach")
+    reach = sketches.Reach(["media"], "user", "at", "1 hour")
+    start = datetime(2024, 3, 1)
+    rows = [(start + timedelta(minutes=r.randrange(20 * 24 * 60)), r.choice("ab"), f"u{r.randrange(150)}") for _ in range(2500)]
+    rows += [(None, "a", "lost"), (start, "a", None), (start, "b", "")]
+    r.shuffle(rows)  # each batch has events of all days: all but the first are late
+    schema = "at timestamp, media string, user string"
+    for n in range(3):
+        sketches.log_reach(spark.createDataFrame(rows[n * 500 : (n + 1) * 500], schema), path, reach, n)
+        if n == 1:
+            assert sketches.fold_reach(spark, path, reach) is not None
+            assert sketches.fold_reach(spark, path, reach) is None
+    sketches.log_reach(spark.createDataFrame(rows[:500], schema), path, reach, 0)  # folded already
+    sketches.log_reach(spark.createDataFrame(rows[1000:1500], schema), path, reach, 2)
+    feed = str(tmp_path / "feed")
+    spark.createDataFrame(rows[1500:], schema).repartition(2).write.parquet(feed)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    sketches.reach_job(stream, path, reach, str(tmp_path / "cp"), once=True).awaitTermination()
+
+    def users(keep):
+        return len({u for t, m, u in rows if t and u and keep(t, m)})
+
+    whole = {x.media: x.n for x in sketches.reached(spark, path, reach, ["media"]).select("media", sketches.distinct_count().alias("n")).collect()}
+    assert whole == {m: users(lambda t, x, m=m: x == m) for m in "ab"}
+    span = sketches.reached(spark, path, reach, [F.lit(1).alias("all")], "2024-03-03 05:00:00", "2024-03-04 00:00:00").select(sketches.distinct_count()).first()[0]
+    assert span == users(lambda t, m: datetime(2024, 3, 3, 5) <= t < datetime(2024, 3, 4))
+    daily = sketches.reached(spark, path, reach, ["media", F.to_date("window_start").alias("day")]).filter("day <> '2024-03-05'")
+    week = sketches.trailing(daily, ["media"], "day", 3).select("media", "day", sketches.distinct_count().alias("n")).collect()
+    gone = datetime(2024, 3, 5).date()
+    assert len(week) == daily.count() and all(x.day != gone for x in week)
+    for x in week:
+        assert x.n == users(lambda t, m, x=x: m == x.media and t.date() != gone and x.day - timedelta(days=2) <= t.date() <= x.day)
+
+
 def test_banded_candidates_equal_the_join_and_deal_a_hot_user(spark):
     from test_attribution import SCHEMA as EVENTS
     from test_attribution import event
