@@ -19,7 +19,7 @@ Defined results: null and empty texts have no features, the weight 0 and no rank
 a null doc_id has the noise of an empty id and comes first among ties; repeated
 rows count each, and tie in any order where they are equal; an empty table gives
 an empty result, an empty target gives gains from the smoothing alone; other
-columns are carried by `resample` and ignored by the query.
+columns are ignored by `resample`; `chosen` gives the drawn documents with all of theirs.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import drop_stored, in_batches, read_table, stored
+from adlake.llm.common import drop_stored, id_bitmap, in_batches, read_table, stored, unused
 
 QUERY_NAME = "op13_overlap_dsir"
 
@@ -149,6 +149,17 @@ def resample(docs: DataFrame, target: DataFrame, order: int = ORDER, buckets: in
     return draw(scored, least_words, percent)
 
 
+def chosen(docs: DataFrame, ranked: DataFrame) -> DataFrame:
+    """The documents that `resample` or `draw` drew, with all their columns and their rank (`rank_`, if they have a rank of their own).
+
+    All rows of a drawn doc_id, with its first rank.  Only rows that a bitmap of the drawn ids lets pass are shuffled.
+    """
+    rank, key = unused("rank", docs), unused("_drawn", docs)
+    first = stored(ranked.filter("rank IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.min("rank").alias(rank)), "drawn")
+    may = id_bitmap(first.select(F.xxhash64(key).alias("h")), "h")(F.xxhash64("doc_id"))
+    return docs.filter(may).join(first, F.col("doc_id").eqNullSafe(F.col(key))).drop(key)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return resample(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")

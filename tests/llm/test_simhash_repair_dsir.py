@@ -305,6 +305,22 @@ def test_resampling_of_equal_scores_and_empty_tables(spark, make_docs):
     assert drawn(D.resample(make_docs(texts), none)) == plain_resample(texts, [])
 
 
+def test_chosen_documents_keep_their_columns(spark, make_docs):
+    texts = corpus(n=80) + [(None, "w " * 30), (900, None), (901, "")]
+    docs = make_docs(texts).withColumn("rank", F.lit("own")).withColumn("_drawn", F.col("doc_id")).withColumn("n_words", F.lit(None).cast("int"))
+    target = spark.createDataFrame([("a b w1 w2",)], "text string")
+    ranked = D.resample(docs, target, percent=40)
+    got = D.chosen(docs, ranked)
+    want = {}
+    for i, *_, rank in drawn(ranked):
+        if rank:
+            want[i] = min(rank, want.get(i, rank))
+    assert got.columns == [*docs.columns, "rank_"] and want
+    assert sorted(((r.doc_id, r.text, r["rank_"]) for r in got.collect()), key=str) == sorted(((i, t, want[i]) for i, t in texts if i in want), key=str)
+    assert D.chosen(docs.limit(0), ranked).count() == 0 and D.chosen(docs, ranked.filter("rank IS NULL")).count() == 0
+    assert D.chosen(docs, D.resample(docs, target, percent=100)).filter("doc_id IS NULL").count() == 1
+
+
 def test_features_of_longer_runs():
     words, found = D.features("A b  c-d", D.ngram_patterns(3))
     assert words == 4 and list(found) == [crc32(x) % 10_000 for x in (b"a", b"b", b"c", b"d", b"a b", b"b c", b"c d", b"a b c", b"b c d")]
