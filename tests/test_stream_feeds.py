@@ -41,3 +41,14 @@ def test_attribution_feed_is_written_by_all_tasks(spark, seen):
     assert files_by_batch(spark, seen["folders"]["offsets"]) == [4, 4, 4]
     want = registry._stream_final_attribution(registry.offline(spark, SF))
     assert got.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_metrics_feeds_are_written_and_summed_by_all_tasks(spark, seen):
+    for query in (registry._late_dropped, registry._restarted):
+        o = registry.offline(spark, SF)
+        o.events = o.events.repartition(4, "event_id")
+        got, want = query(o), o.metrics_10s
+        assert files_by_batch(spark, seen["folders"]["offsets"]) == [4, 4, 4]
+        # all windows but those that the watermark has not closed
+        assert got.exceptAll(want).isEmpty() and 0 < want.exceptAll(got).count() < 5
+    assert all("RepartitionByExpression" in s._jdf.queryExecution().analyzed().toString() for s in seen["streams"])
