@@ -1,7 +1,9 @@
 """Feeds of the streaming queries are written and summed by all tasks, and each part is one micro-batch."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from adlake.operators import attribution
 from adlake.plans import registry
 from adlake.streaming import jobs
 
@@ -34,12 +36,14 @@ def files_by_batch(spark, checkpoint):
     return [r["n"] for r in lines.selectExpr("CAST(get_json_object(value, '$.batchId') AS INT) AS b").groupBy("b").count().orderBy("b").selectExpr("count AS n").collect()]
 
 
-def test_attribution_feed_is_written_by_all_tasks(spark, seen):
+def test_attribution_is_one_job_whose_events_pass_no_single_task(spark, seen):
     o = registry.offline(spark, SF)
-    o.dwd = o.dwd.repartition(4, "event_id")
     got = registry._stream_final_attribution(o)
-    assert files_by_batch(spark, seen["folders"]["offsets"]) == [4, 4, 4]
-    want = registry._stream_final_attribution(registry.offline(spark, SF))
+    assert files_by_batch(spark, seen["folders"]["offsets"]) == [1, 1, 1] and len(seen["streams"]) == 1
+    # the feed has a row for each part; the events are read where they are
+    assert spark.read.parquet(seen["folders"]["feed"]).count() == 3
+    last = o.events.filter("event_type IN ('order', 'click')").agg(F.max("event_ts") - F.expr("INTERVAL 10 MINUTES")).first()[0]
+    want = attribution.last_touch(o.dwd).filter(F.col("outcome_time") < F.lit(last)).select(got.columns)
     assert got.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
