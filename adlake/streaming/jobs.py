@@ -101,10 +101,12 @@ def attribution_job(events: DataFrame, path: str, checkpoint: str, lookback: str
     return _start(touch_stream(events, lookback, watermark), lambda batch, n: keyed_batch(batch, path, n, checkpoint), checkpoint, "append", once, every)
 
 
-def final_attribution_job(events: DataFrame, path: str, checkpoint: str, lookback: str = "30 days", watermark: str = "10 minutes", once: bool = False, every: str = "10 seconds") -> StreamingQuery:
-    """Each order once with its last click, when the watermark has passed it, to a keyed log; the state is a click a key and the watermark's delay."""
+def final_attribution_job(
+    events: DataFrame, path: str, checkpoint: str, lookback: str = "30 days", watermark: str = "10 minutes", once: bool = False, every: str = "10 seconds", parts: int = 4096
+) -> StreamingQuery:
+    """Each order once with its last click, when the watermark has passed it, to a keyed log; the state is a click a key and the watermark's delay, in *parts*."""
     with rocksdb(events.sparkSession):
-        return _start(final_touches(events, lookback, watermark), lambda batch, n: keyed_batch(batch, path, n, checkpoint), checkpoint, "append", once, every)
+        return _start(final_touches(events, lookback, watermark, parts), lambda batch, n: keyed_batch(batch, path, n, checkpoint), checkpoint, "append", once, every)
 
 
 def settled_attribution(spark: SparkSession, path: str) -> DataFrame:

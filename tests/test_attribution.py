@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adlake.operators import attribution as A
-from adlake.streaming import jobs
+from adlake.streaming import jobs, last_click
 
 T = datetime(2024, 3, 1, 12)
 SCHEMA = "event_id string, event_ts timestamp, event_date string, advertiser_id string, advertiser_name string, campaign_id string, campaign_name string, creative_id string, user_id string, event_type string, spend decimal(18,4), gmv decimal(18,2), order_id string"
@@ -165,3 +165,18 @@ def test_state_is_a_click_a_key_and_the_delay(spark, tmp_path):
     assert held("last").count() == 4 and held("orders").count() == 0 and held("clicks").select("key").distinct().count() <= 1
     _, _, _ = feed(spark, tmp_path, [event("y", "click", T + timedelta(days=31), "other")], [event("z", "click", T + timedelta(days=32), "other")])
     assert held("last").select("key").distinct().count() <= 1  # the look-back of the four has passed
+
+
+def test_state_grows_with_parts_not_with_keys(spark, tmp_path, monkeypatch):
+    """300 users in 4 parts: all of a part's rows are in few rows of the state, and each order still has its own last click."""
+    monkeypatch.setattr(last_click, "_CHUNK", 50)
+    m = lambda n: T + timedelta(minutes=n)
+    users = [f"u{k:03}" for k in range(300)]
+    early = [event(f"{u}-{n}", "click", m(n), u) for u in users for n in (0, 3, 9)]
+    orders = [event(f"o{n}-{u}", "order", m(n), u, gmv=1) for u in users for n in (2, 5, 90)]
+    got, rows, checkpoint = feed(spark, tmp_path, early + orders, [event("x", "click", m(85), "x")], [event("y", "click", m(120), "y")], parts=4)
+    want = A.last_touch(rows).select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {(r.outcome_event_id, r.touch_event_id) for r in got.collect()} == {(f"o{n}-{u}", f"{u}-{c}") for u in users for n, c in ((2, 0), (5, 3), (90, 9))}
+    held = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint).select("key", F.size("list_element.event_id").alias("n"))
+    assert held.select("key").distinct().count() <= 4 and held.count() < 12 and held.agg(F.sum("n")).first()[0] == 301
