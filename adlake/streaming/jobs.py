@@ -102,11 +102,26 @@ def attribution_job(events: DataFrame, path: str, checkpoint: str, lookback: str
 
 
 def final_attribution_job(
-    events: DataFrame, path: str, checkpoint: str, lookback: str = "30 days", watermark: str = "10 minutes", once: bool = False, every: str = "10 seconds", parts: int = 4096
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    lookback: str = "30 days",
+    watermark: str = "10 minutes",
+    once: bool = False,
+    every: str = "10 seconds",
+    parts: int = 4096,
+    names: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Each order once with its last click, when the watermark has passed it, to a keyed log; the state is a click a key and the watermark's delay, in *parts*."""
+    """Each order once with its last click, when the watermark has passed it, to a keyed log; the state is a click a key and the watermark's delay, in *parts*.
+
+    names: looks names up for the rows of a micro-batch, if the events have none.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        keyed_batch(names(batch) if names else batch, path, batch_id, checkpoint)
+
     with rocksdb(events.sparkSession):
-        return _start(final_touches(events, lookback, watermark, parts), lambda batch, n: keyed_batch(batch, path, n, checkpoint), checkpoint, "append", once, every)
+        return _start(final_touches(events, lookback, watermark, parts), sink, checkpoint, "append", once, every)
 
 
 def settled_attribution(spark: SparkSession, path: str) -> DataFrame:

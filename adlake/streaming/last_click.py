@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ListState, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from adlake.operators.attribution import _ORDER, _TOUCH, _finish, _micros
+from adlake.operators.attribution import _ORDER, _TOUCH, _finish, _micros, _there
 
 #: Rows of one element of a list in the state.
 _CHUNK = 10_000
@@ -116,7 +116,7 @@ class LastClick(StatefulProcessor):
 
 
 def final_touches(events: DataFrame, lookback: str = "30 days", watermark: str = "10 minutes", parts: int = 4096) -> DataFrame:
-    """The rows of `last_touch` for a stream of events, each order once, when the watermark has passed it.
+    """The rows of `last_touch` for a stream of events, each order once, when the watermark has passed it; events may come without names.
 
     Needs the RocksDB state store (`jobs.rocksdb`).  Events later than the watermark are dropped, as in windowed metrics.
     parts: users and advertisers are dealt to so many; it stays as it is as long as the checkpoint does.  A micro-batch reads
@@ -127,7 +127,8 @@ def final_touches(events: DataFrame, lookback: str = "30 days", watermark: str =
     rows = events.filter("event_type IN ('order', 'click')").withWatermark("event_ts", watermark).withColumn("_at", F.unix_micros("event_ts"))
     fields = {f.name: f.dataType for f in rows.schema}
     first = ("_at", "event_id", "user_id", "advertiser_id")
-    order, click = ([*first, *(n for n in names if n not in (*first, "event_ts"))] for names in (_ORDER, _TOUCH))
+    ordered, touched = _there(_ORDER, events), _there(_TOUCH, events)
+    order, click = ([*first, *(n for n in names if n not in (*first, "event_ts"))] for names in (ordered, touched))
     out = [*(f"_order_{n}" for n in order), *(f"_click_{n}" for n in click)]
     types = lambda names: [fields[n] for n in names]
     struct = lambda names, kinds: StructType([StructField(n, k) for n, k in zip(names, kinds)])
@@ -143,4 +144,4 @@ def final_touches(events: DataFrame, lookback: str = "30 days", watermark: str =
     def given(side: str, names: dict[str, str]) -> list:
         return [(F.timestamp_micros(f"_{side}__at") if c == "event_ts" else F.col(f"_{side}_{c}")).alias(n) for c, n in names.items()]
 
-    return _finish(both.select(given("order", _ORDER) + given("click", _TOUCH)))
+    return _finish(both.select(given("order", ordered) + given("click", touched)))

@@ -180,3 +180,18 @@ def test_state_grows_with_parts_not_with_keys(spark, tmp_path, monkeypatch):
     assert {(r.outcome_event_id, r.touch_event_id) for r in got.collect()} == {(f"o{n}-{u}", f"{u}-{c}") for u in users for n, c in ((2, 0), (5, 3), (90, 9))}
     held = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint).select("key", F.size("list_element.event_id").alias("n"))
     assert held.select("key").distinct().count() <= 4 and held.count() < 12 and held.agg(F.sum("n")).first()[0] == 301
+
+
+def test_names_of_final_touches_looked_up_for_the_result(spark, tmp_path):
+    names = ("advertiser_name", "campaign_name")
+    adv, cmp = spark.createDataFrame([("a", "A")], "advertiser_id string, advertiser_name string"), spark.createDataFrame([("c", "C")], "campaign_id string, campaign_name string")
+    m = lambda n: T + timedelta(minutes=n)
+    rows = [event("o1", "order", m(5), gmv=5), event("c1", "click", m(4)), event("o2", "order", m(5), "v", gmv=1), event("p", "order", m(5), None, gmv=2), event("end", "click", m(60), "z")]
+    src, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "cp"))
+    events = spark.createDataFrame(rows, SCHEMA)
+    events.drop(*names).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(events.drop(*names).schema).parquet(src)
+    jobs.final_attribution_job(stream, log, checkpoint, once=True, names=lambda touches: A.name_touches(touches, adv, cmp)).awaitTermination()
+    got, want = spark.read.parquet(log), A.last_touch(events)
+    got = got.select(want.columns)
+    assert got.count() == 3 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
